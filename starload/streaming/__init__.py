@@ -1,0 +1,7 @@
+"""Streaming.
+
+The loader this library re-creates works on batch tables only: it has no
+stream source, watermark, state or late-data handling, so nothing is built
+here. The sinks take plain DataFrames, so a caller who streams can still
+hand each micro-batch to them from ``writeStream.foreachBatch``.
+"""
