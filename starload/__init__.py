@@ -12,6 +12,7 @@ from starload.operators.relational import Parent, RelationalSpec, child_table, p
 from starload.plans.star import BANK_STAR, query_to_table, single_table, type_declared
 from starload.schemas import EXAMPLE, FDIC_BANKS, SCHEMAS, get_schema, register_schema, sql_types
 from starload.sinks.files import csv_sink, parquet_sink, write_csv, write_parquet
+from starload.sinks.tables import write_tables
 from starload.sinks.jdbc import create_table_column_types, create_table_sql, jdbc_sink, write_jdbc
 from starload.sources.files import read_csv, read_parquet
 from starload.sources.generic import load_base, read_source
@@ -24,5 +25,5 @@ __all__ = [
     "jdbc_sink", "load_base", "parent_table", "parquet_sink", "query_to_table", "read_csv",
     "read_jdbc", "read_parquet", "read_source", "register_schema", "relational", "run_star",
     "select_in_schema_order", "single_table", "sql_types", "subset_schema", "type_declared",
-    "write_csv", "write_jdbc", "write_parquet",
+    "write_csv", "write_jdbc", "write_parquet", "write_tables",
 ]

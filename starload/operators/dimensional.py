@@ -13,14 +13,20 @@ How the base is shared between the outputs is a choice:
   where every output reads only its own columns.
 * ``"persist"``: the pruned base is cached (memory, spilling to disk) by the
   first output that reads it; lost blocks are recomputed from lineage.
-* ``"checkpoint"``: the pruned base is written once to the shared
-  checkpoint folder and the lineage cut; for costly or remote sources.
+* ``"checkpoint"``: the pruned base is checkpointed once to the shared
+  checkpoint folder and the lineage cut.
+* ``"stage"``: the pruned base is written once as a Parquet table in the
+  shared checkpoint folder and read back; outputs then read only their own
+  columns of it. For costly bases (joins, remote or row-format sources).
+
+Checkpointed and staged data survive the loss of executors without
+recomputation; they stay in the checkpoint folder, whose clean-up belongs
+to the cluster's retention policy.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -28,7 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.columns import quoted
-from starload.session import shared_dir
+from starload.session import scratch_path, shared_dir
+from starload.sinks.tables import Sink, write_tables
 
 
 def _cols(columns: Sequence[str]):
@@ -83,33 +90,38 @@ class Star:
         self._released = True
 
 
-def build_star(base: DataFrame, spec: StarSpec, share: str = "persist") -> Star:
-    """All outputs of ``spec`` from one base, pruned to the columns they use."""
-    if share not in ("none", "persist", "checkpoint"):
-        raise ValueError(f"share must be none, persist or checkpoint, not {share!r}")
+SHARE_MODES = ("none", "persist", "checkpoint", "stage")
+
+
+def build_star(base: DataFrame, spec: StarSpec, share: str = "stage") -> Star:
+    """All outputs of ``spec`` from one base, pruned to the columns they use.
+
+    ``share="stage"`` (default) suits a costly base; pass ``"none"`` when the
+    base is a plain Parquet/ORC table.
+    """
+    if share not in SHARE_MODES:
+        raise ValueError(f"share must be one of {SHARE_MODES}, not {share!r}")
     pruned = base.select(*_cols(spec.columns()))
     if share == "persist":
         pruned = pruned.persist(StorageLevel.MEMORY_AND_DISK)
     elif share == "checkpoint":
         shared_dir(pruned.sparkSession)
         pruned = pruned.checkpoint(eager=True)
+    elif share == "stage":
+        spark = pruned.sparkSession
+        path = scratch_path(spark, "star-base")
+        pruned.write.parquet(path)
+        pruned = spark.read.schema(pruned.schema).parquet(path)
     frames = {name: dimension(pruned, cols) for name, cols in spec.dimensions.items()}
     frames.update({name: fact(pruned, cols) for name, cols in spec.facts.items()})
     return Star(frames=frames, base=pruned, share=share)
 
 
-Sink = Callable[[DataFrame, str], object]
-
-
-def run_star(star: Star, sink: Sink, parallel: int = 1) -> dict[str, object]:
+def run_star(star: Star, sink: Sink, parallel: int | None = None) -> dict[str, object]:
     """Write every output with ``sink(frame, table_name)``, then release the
-    shared base. ``parallel > 1`` submits that many writes at once, so small
-    dimension jobs fill the slots a long fact job leaves idle."""
+    shared base. Writes are submitted ``parallel`` at a time (default: all at
+    once), so small dimension jobs fill the slots a long fact job leaves idle."""
     try:
-        if parallel <= 1:
-            return {name: sink(df, name) for name, df in star.frames.items()}
-        with ThreadPoolExecutor(max_workers=parallel) as pool:
-            futures = {name: pool.submit(sink, df, name) for name, df in star.frames.items()}
-            return {name: f.result() for name, f in futures.items()}
+        return write_tables(star.frames, sink, parallel)
     finally:
         star.release()
