@@ -1,10 +1,10 @@
 """Any registered Spark data source (S3-S6).
 
 The warehouse extract of a single-machine client is re-aimed at Spark's
-data source API: a warehouse connector (for example the public BigQuery
-connector for Spark, when installed), Parquet, ORC, JSON or JDBC all read in
-parallel on the executors. The source's own schema fixes the columns and
-their order (S5); ``load_base`` then binds the declared schema by name (S6).
+data source API: a warehouse connector for Spark (when installed on the
+cluster), Parquet, ORC, JSON or JDBC all read in parallel on the
+executors. The source's own schema fixes the columns and their order (S5);
+``load_base`` then binds the declared schema by name (S6).
 """
 
 from __future__ import annotations
