@@ -16,13 +16,13 @@ from starload.sinks.tables import write_tables
 from starload.sinks.jdbc import create_table_column_types, create_table_sql, jdbc_sink, write_jdbc
 from starload.sources.files import read_csv, read_parquet
 from starload.sources.generic import load_base, read_source
-from starload.sources.jdbc import JdbcConnection, JdbcPartitioning, read_jdbc
+from starload.sources.jdbc import JdbcConnection, JdbcPartitioning, jdbc_partitioning, read_jdbc
 
 __all__ = [
     "BANK_STAR", "EXAMPLE", "FDIC_BANKS", "JdbcConnection", "JdbcPartitioning", "Parent",
     "RelationalSpec", "SCHEMAS", "Star", "StarSpec", "build_star", "child_table", "conform",
     "create_table_column_types", "create_table_sql", "csv_sink", "dimension", "fact", "get_schema",
-    "jdbc_sink", "load_base", "parent_table", "parquet_sink", "query_to_table", "read_csv",
+    "jdbc_partitioning", "jdbc_sink", "load_base", "parent_table", "parquet_sink", "query_to_table", "read_csv",
     "read_jdbc", "read_parquet", "read_source", "register_schema", "relational", "run_star",
     "select_in_schema_order", "single_table", "sql_types", "subset_schema", "type_declared",
     "write_csv", "write_jdbc", "write_parquet", "write_tables",

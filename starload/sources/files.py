@@ -42,11 +42,13 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return select_in_schema_order(spark.read.schema(schema).parquet(path), schema)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
     """Read CSV written by ``write_csv`` with its declared schema.
 
-    ``multiLine`` is needed for quoted line breaks; each file is then parsed
-    by one task, which the sink bounds by writing one file per task.
+    ``multi_line`` is needed for quoted line breaks; each file is then parsed
+    by one task, which ``write_csv`` bounds by writing one file per task.
+    Data known to hold no line breaks can pass ``multi_line=False`` so that
+    large files are split between tasks.
     """
     return (spark.read.schema(schema).options(**CSV_OPTIONS)
-            .option("multiLine", "true").csv(path))
+            .option("multiLine", str(multi_line).lower()).csv(path))

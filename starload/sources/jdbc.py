@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -84,3 +85,21 @@ def read_jdbc(spark: SparkSession, conn: JdbcConnection, table: str | None = Non
     opts = jdbc_read_options(conn, table=table, query=query, partitioning=partitioning,
                              fetch_size=fetch_size)
     return spark.read.format("jdbc").options(**opts).load()
+
+
+def jdbc_partitioning(spark: SparkSession, conn: JdbcConnection, table: str, column: str,
+                      num_partitions: int) -> JdbcPartitioning:
+    """Range partitioning over ``column`` with bounds taken from the data.
+
+    ``min``/``max`` are pushed into the database as one aggregate query
+    (``pushDownAggregate``), so a single row comes back to the driver.
+    Bounds only set the stride: rows outside them still go to the first or
+    last partition, so nothing is lost.
+    """
+    opts = {**jdbc_read_options(conn, table=table), "pushDownAggregate": "true"}
+    row = (spark.read.format("jdbc").options(**opts).load()
+           .agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first())
+    lo, hi = (row.lo, row.hi) if row is not None else (None, None)
+    if lo is None:
+        return JdbcPartitioning(column, 0, 1, 1)
+    return JdbcPartitioning(column, lo, hi, max(1, int(num_partitions)))
