@@ -21,11 +21,11 @@ from pyspark.sql import types as T
 
 from starload.functions.columns import hash_key_sql
 from starload.operators.conform import conform, select_in_schema_order
-from starload.operators.dimensional import build_star, dimension
+from starload.operators.dimensional import build_star, dimension, run_star
 from starload.operators.relational import relational
 from starload.plans.standin import (BANK_FROM_STANDIN, CUSTOMER_RELATIONAL, STANDIN_SCHEMA,
                                     STANDIN_STAR, bank_base, read_table, standin_base)
-from starload.plans.star import BANK_STAR, query_to_table, single_table
+from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table
 from starload.schemas import FDIC_BANKS
 from starload.session import scratch_path
 from starload.sinks.files import parquet_sink, write_csv, write_parquet
@@ -95,6 +95,35 @@ def q_ref_single_table(spark, sf_dir):
     return single_table(bank_base(standin_base(spark, sf_dir)), FDIC_BANKS)
 
 
+def _bank_relational(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return relational(bank_base(standin_base(spark, sf_dir)), BANK_RELATIONAL)[name]
+    return q
+
+
+def _written_star(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The whole bank star built over a staged base and written by
+    ``run_star``; one of its tables read back."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star = build_star(bank_base(standin_base(spark, sf_dir)), BANK_STAR, share="stage")
+        paths = run_star(star, parquet_sink(scratch_path(spark, "bank_star")))
+        return read_parquet(spark, paths[name])
+    return q
+
+
+def q_ref_query_to_table(spark, sf_dir):
+    root = scratch_path(spark, "ref_query_to_table")
+    sql = """
+        SELECT DISTINCT
+            state_name,
+            state_fips_code
+        FROM {base};
+    """
+    path = query_to_table(spark, sql, parquet_sink(root), "state_dimension_table", schema=FDIC_BANKS,
+                          base=bank_base(standin_base(spark, sf_dir)))
+    return read_parquet(spark, path)
+
+
 def q_dim_entity_versions(spark, sf_dir):
     return dimension(read_table(spark, sf_dir, "orders"), ["o_custkey", "o_orderstatus"])
 
@@ -227,6 +256,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for name in BANK_STAR.tables():
         qs[f"ref_{name}"] = _bank_output(name)
+    qs["ref_query_to_table"] = q_ref_query_to_table
+    qs["ref_written_fact_table"] = _written_star("fact_table")
+    qs["ref_written_bank_dimension_table"] = _written_star("bank_dimension_table")
+    for p in BANK_RELATIONAL.parents:
+        qs[f"ref_rel_{p.name}"] = _bank_relational(p.name)
+    qs[f"ref_rel_{BANK_RELATIONAL.child}"] = _bank_relational(BANK_RELATIONAL.child)
     return qs
 
 
@@ -255,6 +290,10 @@ def _bank_cte() -> str:
     return W_CTE + ",\nb as (\n  select " + ",\n         ".join(cols) + "\n  from w\n)"
 
 
+def _quoted(cols) -> list[str]:
+    return [f'"{c}"' for c in cols]
+
+
 def _cols_sql(cols) -> str:
     return ", ".join(f'"{c}"' for c in cols)
 
@@ -293,4 +332,13 @@ def oracle_sql() -> dict[str, str]:
         sql[f"ref_{name}"] = f"{bank} select distinct {_cols_sql(cols)} from b"
     for name, cols in BANK_STAR.facts.items():
         sql[f"ref_{name}"] = f"{bank} select {_cols_sql(cols)} from b"
+    sql["ref_query_to_table"] = sql["ref_state_dimension_table"]
+    sql["ref_written_fact_table"] = sql["ref_fact_table"]
+    sql["ref_written_bank_dimension_table"] = sql["ref_bank_dimension_table"]
+    for p in BANK_RELATIONAL.parents:
+        sql[f"ref_rel_{p.name}"] = (f"{bank} select distinct {hash_key_sql(_quoted(p.natural_key))} as {p.key}, "
+                                    f"{_cols_sql(p.natural_key)} from b")
+    fks = ", ".join(f"{hash_key_sql(_quoted(p.natural_key))} as {p.key}" for p in BANK_RELATIONAL.parents)
+    sql[f"ref_rel_{BANK_RELATIONAL.child}"] = (f"{bank} select {_cols_sql(BANK_RELATIONAL.child_columns)}, "
+                                               f"{fks} from b")
     return sql

@@ -9,7 +9,7 @@ DataFrames on the caller's session; only sinks run jobs.
 from starload.operators.conform import conform, select_in_schema_order, subset_schema
 from starload.operators.dimensional import Star, StarSpec, build_star, dimension, fact, run_star
 from starload.operators.relational import Parent, RelationalSpec, child_table, parent_table, relational
-from starload.plans.star import BANK_STAR, query_to_table, single_table, type_declared
+from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table, type_declared
 from starload.schemas import EXAMPLE, FDIC_BANKS, SCHEMAS, get_schema, register_schema, sql_types
 from starload.sinks.files import csv_sink, parquet_sink, write_csv, write_parquet
 from starload.sinks.tables import write_tables
@@ -19,7 +19,7 @@ from starload.sources.generic import load_base, read_source
 from starload.sources.jdbc import JdbcConnection, JdbcPartitioning, jdbc_partitioning, read_jdbc
 
 __all__ = [
-    "BANK_STAR", "EXAMPLE", "FDIC_BANKS", "JdbcConnection", "JdbcPartitioning", "Parent",
+    "BANK_RELATIONAL", "BANK_STAR", "EXAMPLE", "FDIC_BANKS", "JdbcConnection", "JdbcPartitioning", "Parent",
     "RelationalSpec", "SCHEMAS", "Star", "StarSpec", "build_star", "child_table", "conform",
     "create_table_column_types", "create_table_sql", "csv_sink", "dimension", "fact", "get_schema",
     "jdbc_partitioning", "jdbc_sink", "load_base", "parent_table", "parquet_sink", "query_to_table", "read_csv",

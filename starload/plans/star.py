@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from starload.functions.columns import quoted
 from starload.operators.conform import conform, subset_schema
 from starload.operators.dimensional import StarSpec
+from starload.operators.relational import Parent, RelationalSpec
 
 # Output tables of the bank star and their columns, in the
 # order the original loader selects them. Natural keys only; the fact keeps
@@ -37,6 +38,27 @@ BANK_STAR = StarSpec(
 )
 
 
+# Relational modelling of the same base (our design; the original names the
+# table kind only). Each parent is keyed by a hash over all of its columns,
+# so a key identifies exactly one parent row; the institution table keeps
+# its own columns and one foreign key per parent.
+BANK_RELATIONAL = RelationalSpec(
+    child="institution_table",
+    child_columns=[
+        "fdic_certificate_number", "institution_name", "address", "zip_code",
+        "bank_charter_class", "occ_charter", "federal_charter", "fdic_field_office",
+        "total_assets", "total_deposits", "equity_capital", "net_income",
+        "return_on_assets", "return_on_equity", "effective_date",
+    ],
+    parents=[
+        Parent(name="state_table", key="state_key", natural_key=["state_name", "state_fips_code"]),
+        Parent(name="city_table", key="city_key", natural_key=["city", "state_name"]),
+        Parent(name="chartering_agency_table", key="chartering_agency_key",
+               natural_key=["chartering_agency"]),
+    ],
+)
+
+
 def type_declared(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
     """Cast the columns ``schema`` declares to their declared types, keeping
     the frame's own column order and any undeclared column as it is."""

@@ -39,6 +39,14 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
     return spark
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None under Spark Connect (no driver-side context)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Root of the cluster-shared folder named by ``spark.checkpoint.dir``.
 
@@ -47,17 +55,18 @@ def shared_dir(spark: SparkSession) -> str:
     setting is an error, because a machine-local folder is not visible to
     other executors.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if not root:
-        current = sc.getCheckpointDir()
-        if current:
-            root = current.rsplit("/", 1)[0]
+    sc = _context(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir")
+        if not root and sc.getCheckpointDir():
+            root = sc.getCheckpointDir().rsplit("/", 1)[0]
     if not root:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder")
         root = tempfile.mkdtemp(prefix="starload-ckpt-")
-    if not sc.getCheckpointDir():
+    if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

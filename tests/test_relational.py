@@ -37,3 +37,16 @@ def test_every_child_key_has_a_parent(spark):
     assert out["c"].count() == 4
     assert out["c"].join(out["p"], "pk", "left_anti").count() == 0
     assert out["p"].groupBy("pk").count().where("count > 1").count() == 0
+
+
+def test_bank_relational_keys_resolve_and_are_unique(spark):
+    from starload import BANK_RELATIONAL
+    from starload.plans.standin import bank_base, standin_base
+    base = bank_base(standin_base(spark, "/root/testdata/sf0.001"))
+    out = relational(base, BANK_RELATIONAL)
+    child = out[BANK_RELATIONAL.child]
+    assert child.count() == base.count()
+    for p in BANK_RELATIONAL.parents:
+        parent = out[p.name]
+        assert parent.groupBy(p.key).count().where("count > 1").count() == 0, p.name
+        assert child.join(parent, p.key, "left_anti").count() == 0, p.name
