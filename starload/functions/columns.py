@@ -20,6 +20,18 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def sql_type(data_type: T.DataType) -> str:
+    """Spark SQL text of a data type, with nested field names quoted."""
+    if isinstance(data_type, T.StructType):
+        fields = ",".join(f"{quoted(f.name)}:{sql_type(f.dataType)}" for f in data_type.fields)
+        return f"struct<{fields}>"
+    if isinstance(data_type, T.ArrayType):
+        return f"array<{sql_type(data_type.elementType)}>"
+    if isinstance(data_type, T.MapType):
+        return f"map<{sql_type(data_type.keyType)},{sql_type(data_type.valueType)}>"
+    return data_type.simpleString()
+
+
 def cast_to(col: Column, data_type: T.DataType, strict: bool = False) -> Column:
     """``cast`` (a bad value fails the job) or ``try_cast`` (it becomes NULL)."""
     return col.cast(data_type) if strict else col.try_cast(data_type)

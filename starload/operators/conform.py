@@ -10,37 +10,36 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.functions.columns import cast_to, quoted
+from starload.functions.columns import quoted, sql_type
 
 
-def _lookup(df: DataFrame) -> dict[str, str]:
-    """Map a declared name to the frame's column, honouring case sensitivity."""
-    case_sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
-    if case_sensitive:
-        return {c: c for c in df.columns}
-    return {c.lower(): c for c in reversed(df.columns)}
-
+def conform_exprs(df: DataFrame, schema: T.StructType, strict: bool = False) -> list[str]:
+    """The select list (SQL expressions) that conforms ``df`` to ``schema``.
 
-def conform_columns(df: DataFrame, schema: T.StructType, strict: bool = False) -> list[Column]:
-    """The select list that conforms ``df`` to ``schema``."""
+    Names are matched as Spark resolves them (case-insensitively unless
+    ``spark.sql.caseSensitive`` is on).
+    """
     case_sensitive = df.sparkSession.conf.get("spark.sql.caseSensitive", "false") == "true"
-    present = _lookup(df)
-    types = {f.name: f.dataType for f in df.schema.fields}
+    norm = (lambda n: n) if case_sensitive else str.lower
+    present: dict[str, T.StructField] = {}
+    for f in df.schema.fields:
+        present.setdefault(norm(f.name), f)
+    cast = "cast" if strict else "try_cast"
     out = []
     for field in schema.fields:
-        key = field.name if case_sensitive else field.name.lower()
-        name = present.get(key)
-        if name is None:
-            col = F.lit(None).cast(field.dataType)
-        elif types[name] == field.dataType:
-            col = F.col(quoted(name))
+        src = present.get(norm(field.name))
+        target = sql_type(field.dataType)
+        if src is None:
+            expr = f"cast(NULL AS {target})"
+        elif src.dataType == field.dataType:
+            expr = quoted(src.name)
         else:
-            col = cast_to(F.col(quoted(name)), field.dataType, strict=strict)
-        out.append(col.alias(field.name))
+            expr = f"{cast}({quoted(src.name)} AS {target})"
+        out.append(f"{expr} AS {quoted(field.name)}")
     return out
 
 
@@ -48,9 +47,10 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFr
     """Give ``df`` exactly the columns, order and types of ``schema``.
 
     Lenient by default: a value that does not cast becomes NULL
-    (``try_cast``). With ``strict=True`` a bad value fails the job.
+    (``try_cast``). With ``strict=True`` a bad value fails the job. The
+    projection is handed to Spark in one call, however wide the schema.
     """
-    return df.select(*conform_columns(df, schema, strict=strict))
+    return df.selectExpr(*conform_exprs(df, schema, strict=strict))
 
 
 def subset_schema(schema: T.StructType, columns: Iterable[str]) -> T.StructType:
