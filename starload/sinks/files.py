@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from starload.operators.conform import conform
-from starload.sources.files import CSV_OPTIONS
+from starload.sources.files import CSV_OPTIONS, csv_escape_exprs
 
 
 def _norm(path: str) -> str:
@@ -70,9 +70,11 @@ def write_parquet(df: DataFrame, path: str, schema: T.StructType | None = None,
 def write_csv(df: DataFrame, path: str, schema: T.StructType | None = None,
               mode: str = "overwrite", strict: bool = False) -> None:
     """Write CSV with a header, one file per task, NULL written as ``\\N``
-    (distinct from the empty string) and quotes/line breaks quoted."""
+    (distinct from the empty string and from any text: text starting with a
+    backslash gets one more, which ``read_csv`` removes) and quotes/line
+    breaks quoted."""
     df = _prepare(df, path, schema, mode, strict)
-    df.write.options(**CSV_OPTIONS).mode(mode).csv(path)
+    df.selectExpr(*csv_escape_exprs(df.schema)).write.options(**CSV_OPTIONS).mode(mode).csv(path)
 
 
 def parquet_sink(root: str, mode: str = "overwrite", partition_by: dict[str, Sequence[str]] | None = None,

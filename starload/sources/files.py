@@ -9,20 +9,48 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from starload.functions.columns import quoted
 from starload.operators.conform import select_in_schema_order
 
 # How NULL, quotes and embedded newlines are written to and read
-# from CSV, so that NULL, '' and text with quotes or line breaks survive a
-# round trip.
+# from CSV, so that NULL, '' and text with quotes, line breaks or surrounding
+# blanks survive a round trip (Spark's writer trims blanks unless told not
+# to). NULL is written as \N; a text value that starts with the escape
+# character gets one more in front, so no text can read as NULL.
 CSV_NULL = "\\N"
+CSV_ESCAPE = "\\"
 CSV_OPTIONS = {
     "header": "true",
     "nullValue": CSV_NULL,
     "quote": '"',
     "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
 }
 
 
+def _text_exprs(schema: T.StructType, text_expr) -> list[str]:
+    out = []
+    for f in schema.fields:
+        c = quoted(f.name)
+        e = text_expr(c) if isinstance(f.dataType, T.StringType) else c
+        out.append(f"{e} AS {c}")
+    return out
+
+
+def csv_escape_exprs(schema: T.StructType) -> list[str]:
+    """Select list that escapes text columns before a CSV write."""
+    esc = CSV_ESCAPE.replace("\\", "\\\\")
+    return _text_exprs(schema, lambda c: f"CASE WHEN startswith({c}, '{esc}') THEN concat('{esc}', {c}) ELSE {c} END")
+
+
+def csv_unescape_exprs(schema: T.StructType) -> list[str]:
+    """Select list that undoes ``csv_escape_exprs`` after a CSV read."""
+    esc = CSV_ESCAPE.replace("\\", "\\\\")
+    n = len(CSV_ESCAPE) + 1
+    return _text_exprs(schema, lambda c: f"CASE WHEN startswith({c}, '{esc}') THEN substr({c}, {n}) ELSE {c} END")
+
+
 def table_path(directory: str, name: str = "") -> str:
     """``<directory>/<name>`` without a trailing slash."""
     path = f"{directory.rstrip('/')}/{name}" if name else directory
@@ -50,5 +78,6 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     Data known to hold no line breaks can pass ``multi_line=False`` so that
     large files are split between tasks.
     """
-    return (spark.read.schema(schema).options(**CSV_OPTIONS)
-            .option("multiLine", str(multi_line).lower()).csv(path))
+    df = (spark.read.schema(schema).options(**CSV_OPTIONS)
+          .option("multiLine", str(multi_line).lower()).csv(path))
+    return df.selectExpr(*csv_unescape_exprs(schema))

@@ -49,7 +49,8 @@ def test_refuses_to_overwrite_its_own_input(spark, tmp_out):
 def test_csv_keeps_nulls_empty_strings_quotes_and_newlines(spark, tmp_out):
     schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("v", T.FloatType()),
                            T.StructField("f", T.BooleanType())])
-    rows = [("", None, True), (None, 1.5, None), ('a,"b"\nc', 2.5, False)]
+    rows = [("", None, True), (None, 1.5, None), ('a,"b"\nc', 2.5, False),
+            ("\\N", 3.5, True), ("\\", None, None), ("\\\\N", 0.0, False), ('"\\N"', -1.0, True)]
     df = spark.createDataFrame(rows, schema)
     path = os.path.join(tmp_out, "csv")
     write_csv(df, path, schema=schema)
