@@ -26,7 +26,7 @@ from starload.operators.relational import relational
 from starload.plans.standin import (BANK_FROM_STANDIN, CUSTOMER_RELATIONAL, STANDIN_SCHEMA,
                                     STANDIN_STAR, bank_base, read_table, standin_base)
 from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table
-from starload.schemas import FDIC_BANKS
+from starload.schemas import EXAMPLE, FDIC_BANKS
 from starload.session import scratch_path
 from starload.sinks.files import parquet_sink, write_csv, write_parquet
 from starload.sources.files import read_csv, read_parquet, table_path
@@ -166,6 +166,23 @@ def q_typed_ingest(spark, sf_dir):
     return load_base(src, ORDERS_INGEST)
 
 
+def _nation_as_example(spark, sf_dir):
+    """Nation rows under the example table's names (spaces in two of them)."""
+    n = read_table(spark, sf_dir, "nation")
+    return n.select(F.col("n_name").alias("Country name"), F.col("n_regionkey").cast("string").alias("Series name"),
+                    F.col("n_nationkey").alias("Value"))
+
+
+def q_example_conform(spark, sf_dir):
+    return conform(_nation_as_example(spark, sf_dir), EXAMPLE)
+
+
+def q_example_csv_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "example_csv")
+    write_csv(_nation_as_example(spark, sf_dir), path, schema=EXAMPLE)
+    return read_csv(spark, path, EXAMPLE)
+
+
 def q_schema_subset(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer").select("c_mktsegment", "c_custkey")
     return select_in_schema_order(c, CUSTOMER_DECLARED)
@@ -243,6 +260,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "conform_cast": q_conform_cast,
         "typed_ingest": q_typed_ingest,
         "schema_subset": q_schema_subset,
+        "example_conform": q_example_conform,
+        "example_csv_roundtrip": q_example_csv_roundtrip,
         "parquet_scan": q_parquet_scan,
         "source_scan": q_source_scan,
         "parquet_roundtrip": q_parquet_roundtrip,
@@ -320,6 +339,10 @@ def oracle_sql() -> dict[str, str]:
         "rel_parent": f"select distinct {key} as k, c_mktsegment, c_nationkey from customer",
         "rel_child": f"select c_custkey, {key} as k from customer",
     }
+    example = ('select n_name as "Country name", cast(n_regionkey as varchar) as "Series name", '
+               'cast(n_nationkey as float) as "Value", cast(null as float) as "value_percentile" from nation')
+    sql["example_conform"] = example
+    sql["example_csv_roundtrip"] = example
     conformed = ("select cast(c_custkey as varchar) as c_custkey, c_name, cast(null as boolean) as active, "
                  "cast(c_acctbal as float) as c_acctbal from customer")
     for q in ("conform", "conform_missing", "conform_drop"):

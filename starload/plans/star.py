@@ -6,10 +6,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.functions.columns import quoted
+from starload.functions.columns import quoted, sql_type
 from starload.operators.conform import conform, subset_schema
 from starload.operators.dimensional import StarSpec
 from starload.operators.relational import Parent, RelationalSpec
@@ -63,14 +62,13 @@ def type_declared(df: DataFrame, schema: T.StructType, strict: bool = False) ->
     """Cast the columns ``schema`` declares to their declared types, keeping
     the frame's own column order and any undeclared column as it is."""
     declared = {f.name: f.dataType for f in subset_schema(schema, df.columns).fields}
-    cols = []
+    cast = "cast" if strict else "try_cast"
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(quoted(f.name))
         t = declared.get(f.name)
-        if t is not None and t != f.dataType:
-            c = (c.cast(t) if strict else c.try_cast(t)).alias(f.name)
-        cols.append(c)
-    return df.select(*cols)
+        c = quoted(f.name)
+        exprs.append(c if t is None or t == f.dataType else f"{cast}({c} AS {sql_type(t)}) AS {c}")
+    return df.selectExpr(*exprs)
 
 
 def query_to_table(spark: SparkSession, sql: str, sink: Callable[..., object], table: str,

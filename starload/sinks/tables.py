@@ -15,8 +15,16 @@ def write_tables(frames: Mapping[str, DataFrame], sink: Sink, parallel: int | No
     (default: all at once). Concurrent jobs share the cluster, so the small
     jobs of narrow tables run in the slots a long job leaves idle."""
     parallel = len(frames) if parallel is None else parallel
+
+    def one(name: str, df: DataFrame) -> object:
+        try:  # name the jobs in the event log; thread-local, absent under Spark Connect
+            df.sparkSession.sparkContext.setJobDescription(f"starload: write {name}")
+        except Exception:
+            pass
+        return sink(df, name)
+
     if parallel <= 1:
-        return {name: sink(df, name) for name, df in frames.items()}
+        return {name: one(name, df) for name, df in frames.items()}
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        futures = {name: pool.submit(sink, df, name) for name, df in frames.items()}
+        futures = {name: pool.submit(one, name, df) for name, df in frames.items()}
         return {name: f.result() for name, f in futures.items()}
