@@ -29,8 +29,26 @@ def _norm(path: str) -> str:
     return path.rstrip("/")
 
 
+def _path_exists(spark, path: str) -> bool | None:
+    """Hadoop FileSystem ``exists``; None when the JVM is not reachable
+    (Spark Connect)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+    except Exception:
+        return None
+
+
 def assert_not_reading(df: DataFrame, path: str) -> None:
-    """Refuse to overwrite ``path`` when ``df`` reads files under it."""
+    """Refuse to overwrite ``path`` when ``df`` reads files under it.
+
+    An absent target is settled by one ``exists`` call; otherwise the
+    frame's input file list is checked (driver metadata, of the same order
+    as Spark's own planning of those files).
+    """
+    if _path_exists(df.sparkSession, path) is False:
+        return  # nothing there yet, so nothing of it can be read
     target = _norm(path)
     for f in df.inputFiles():
         src = _norm(f)
