@@ -8,7 +8,9 @@ DataFrames on the caller's session; only sinks run jobs.
 
 from starload.operators.conform import conform, select_in_schema_order, subset_schema
 from starload.operators.dimensional import Star, StarSpec, build_star, dimension, fact, run_star
-from starload.operators.relational import Parent, RelationalSpec, child_table, parent_table, relational
+from starload.operators.relational import (Parent, RelationalSpec, build_relational, child_table,
+                                          parent_table, relational)
+from starload.operators.sharing import SHARE_MODES, Outputs, share_base, write_outputs
 from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table, type_declared
 from starload.schemas import EXAMPLE, FDIC_BANKS, SCHEMAS, get_schema, register_schema, sql_types
 from starload.sinks.files import csv_sink, parquet_sink, write_csv, write_parquet
@@ -19,11 +21,11 @@ from starload.sources.generic import load_base, read_source
 from starload.sources.jdbc import JdbcConnection, JdbcPartitioning, jdbc_partitioning, read_jdbc
 
 __all__ = [
-    "BANK_RELATIONAL", "BANK_STAR", "EXAMPLE", "FDIC_BANKS", "JdbcConnection", "JdbcPartitioning", "Parent",
-    "RelationalSpec", "SCHEMAS", "Star", "StarSpec", "build_star", "child_table", "conform",
+    "BANK_RELATIONAL", "BANK_STAR", "EXAMPLE", "FDIC_BANKS", "JdbcConnection", "JdbcPartitioning", "Outputs", "Parent", "SHARE_MODES",
+    "RelationalSpec", "SCHEMAS", "Star", "StarSpec", "build_relational", "build_star", "child_table", "conform",
     "create_table_column_types", "create_table_sql", "csv_sink", "dimension", "fact", "get_schema",
     "jdbc_partitioning", "jdbc_sink", "load_base", "parent_table", "parquet_sink", "query_to_table", "read_csv",
     "read_jdbc", "read_parquet", "read_source", "register_schema", "relational", "run_star",
-    "select_in_schema_order", "single_table", "sql_types", "subset_schema", "type_declared",
-    "write_csv", "write_jdbc", "write_parquet", "write_tables",
+    "select_in_schema_order", "share_base", "single_table", "sql_types", "subset_schema", "type_declared",
+    "write_csv", "write_jdbc", "write_parquet", "write_outputs", "write_tables",
 ]

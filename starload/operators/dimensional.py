@@ -6,36 +6,21 @@ value (even a third of all rows) collapses to one row per map task before it
 is shuffled. NULLs compare equal, so a NULL member is kept. A fact is a plain
 projection: no shuffle, duplicates kept, one output row per base row.
 
-``build_star`` derives every output of a ``StarSpec`` from one pruned base.
-How the base is shared between the outputs is a choice:
-
-* ``"none"``: each output re-reads the base. Right for columnar files,
-  where every output reads only its own columns.
-* ``"persist"``: the pruned base is cached (memory, spilling to disk) by the
-  first output that reads it; lost blocks are recomputed from lineage.
-* ``"checkpoint"``: the pruned base is checkpointed once to the shared
-  checkpoint folder and the lineage cut.
-* ``"stage"``: the pruned base is written once as a Parquet table in the
-  shared checkpoint folder and read back; outputs then read only their own
-  columns of it. For costly bases (joins, remote or row-format sources).
-
-Checkpointed and staged data survive the loss of executors without
-recomputation; they stay in the checkpoint folder, whose clean-up belongs
-to the cluster's retention policy.
+``build_star`` derives every output of a ``StarSpec`` from one base, pruned
+to the columns they use and shared as ``share`` says (see ``sharing``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.columns import quoted
-from starload.session import scratch_path, shared_dir
-from starload.sinks.tables import Sink, write_tables
+from starload.operators.sharing import Outputs, share_base, write_outputs
+from starload.sinks.tables import Sink
 
 
 def _cols(columns: Sequence[str]):
@@ -72,25 +57,7 @@ class StarSpec:
         return [*self.dimensions, *self.facts]
 
 
-@dataclass
-class Star:
-    """Lazy output frames of a star plus the handle on the shared base."""
-
-    frames: dict[str, DataFrame]
-    base: DataFrame
-    share: str
-    _released: bool = field(default=False, repr=False)
-
-    def __getitem__(self, name: str) -> DataFrame:
-        return self.frames[name]
-
-    def release(self) -> None:
-        if not self._released and self.share == "persist":
-            self.base.unpersist()
-        self._released = True
-
-
-SHARE_MODES = ("none", "persist", "checkpoint", "stage")
+Star = Outputs
 
 
 def build_star(base: DataFrame, spec: StarSpec, share: str = "stage") -> Star:
@@ -99,29 +66,13 @@ def build_star(base: DataFrame, spec: StarSpec, share: str = "stage") -> Star:
     ``share="stage"`` (default) suits a costly base; pass ``"none"`` when the
     base is a plain Parquet/ORC table.
     """
-    if share not in SHARE_MODES:
-        raise ValueError(f"share must be one of {SHARE_MODES}, not {share!r}")
-    pruned = base.select(*_cols(spec.columns()))
-    if share == "persist":
-        pruned = pruned.persist(StorageLevel.MEMORY_AND_DISK)
-    elif share == "checkpoint":
-        shared_dir(pruned.sparkSession)
-        pruned = pruned.checkpoint(eager=True)
-    elif share == "stage":
-        spark = pruned.sparkSession
-        path = scratch_path(spark, "star-base")
-        pruned.write.parquet(path)
-        pruned = spark.read.schema(pruned.schema).parquet(path)
+    pruned = share_base(base, spec.columns(), share)
     frames = {name: dimension(pruned, cols) for name, cols in spec.dimensions.items()}
     frames.update({name: fact(pruned, cols) for name, cols in spec.facts.items()})
     return Star(frames=frames, base=pruned, share=share)
 
 
 def run_star(star: Star, sink: Sink, parallel: int | None = None) -> dict[str, object]:
-    """Write every output with ``sink(frame, table_name)``, then release the
-    shared base. Writes are submitted ``parallel`` at a time (default: all at
-    once), so small dimension jobs fill the slots a long fact job leaves idle."""
-    try:
-        return write_tables(star.frames, sink, parallel)
-    finally:
-        star.release()
+    """Write every output of ``star`` with ``sink(frame, table_name)``, then
+    release the shared base (all writes at once by default)."""
+    return write_outputs(star, sink, parallel)

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.columns import hash_key, quoted
+from starload.operators.sharing import Outputs, share_base
 
 
 @dataclass(frozen=True)
@@ -54,3 +55,17 @@ def relational(base: DataFrame, spec: RelationalSpec) -> dict[str, DataFrame]:
     out = {p.name: parent_table(base, p) for p in spec.parents}
     out[spec.child] = child_table(base, spec)
     return out
+
+
+def spec_columns(spec: RelationalSpec) -> list[str]:
+    cols = dict.fromkeys(spec.child_columns)
+    for p in spec.parents:
+        cols.update(dict.fromkeys([*p.natural_key, *p.attributes]))
+    return list(cols)
+
+
+def build_relational(base: DataFrame, spec: RelationalSpec, share: str = "stage") -> Outputs:
+    """``relational`` over one shared base (see ``sharing``); write with
+    ``write_outputs``."""
+    pruned = share_base(base, spec_columns(spec), share)
+    return Outputs(frames=relational(pruned, spec), base=pruned, share=share)

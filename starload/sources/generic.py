@@ -38,7 +38,17 @@ def read_source(spark: SparkSession, fmt: str, options: Mapping[str, str] | None
     return df
 
 
-def load_base(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
-    """Typed ingest: bind the declared base schema to a source frame by name
-    (not by position), casting and filling absent columns with NULL."""
+def load_base(df: DataFrame, schema: T.StructType, strict: bool = False,
+              by_position: bool = False) -> DataFrame:
+    """Typed ingest: bind the declared base schema to a source frame.
+
+    By name by default: casting, filling absent columns with NULL and
+    dropping undeclared ones. ``by_position=True`` binds the i-th source
+    column to the i-th declared field (for sources without usable names,
+    such as header-less files); the column counts must then agree.
+    """
+    if by_position:
+        if len(df.columns) != len(schema.fields):
+            raise ValueError(f"source has {len(df.columns)} columns, schema declares {len(schema.fields)}")
+        df = df.toDF(*schema.names)
     return conform(df, schema, strict=strict)

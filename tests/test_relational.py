@@ -50,3 +50,17 @@ def test_bank_relational_keys_resolve_and_are_unique(spark):
         parent = out[p.name]
         assert parent.groupBy(p.key).count().where("count > 1").count() == 0, p.name
         assert child.join(parent, p.key, "left_anti").count() == 0, p.name
+
+
+def test_build_relational_share_modes_agree(spark):
+    from starload import BANK_RELATIONAL, build_relational
+    from starload.plans.standin import bank_base, standin_base
+    base = bank_base(standin_base(spark, "/root/testdata/sf0.001"))
+    got = {}
+    for share in ("none", "stage", "persist"):
+        out = build_relational(base, BANK_RELATIONAL, share=share)
+        try:
+            got[share] = {k: sorted(map(tuple, v.collect()), key=repr) for k, v in out.frames.items()}
+        finally:
+            out.release()
+    assert got["none"] == got["stage"] == got["persist"]

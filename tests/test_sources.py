@@ -31,3 +31,13 @@ def test_query_to_table_types_declared_columns(spark, tmp_out):
     assert back.columns == ["state_fips_code", "active", "other"]
     assert dict(back.dtypes)["state_fips_code"] == "string"
     assert back.count() == 1
+
+
+def test_load_base_binds_by_position(spark):
+    from starload import EXAMPLE, load_base
+    df = spark.createDataFrame([("FR", "gdp", "1.5", "0.5")], "_c0 string, _c1 string, _c2 string, _c3 string")
+    out = load_base(df, EXAMPLE, by_position=True)
+    assert out.schema == EXAMPLE and out.collect()[0]["Value"] == 1.5
+    import pytest
+    with pytest.raises(ValueError):
+        load_base(df.select("_c0"), EXAMPLE, by_position=True)
