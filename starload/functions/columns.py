@@ -32,11 +32,6 @@ def sql_type(data_type: T.DataType) -> str:
     return data_type.simpleString()
 
 
-def cast_to(col: Column, data_type: T.DataType, strict: bool = False) -> Column:
-    """``cast`` (a bad value fails the job) or ``try_cast`` (it becomes NULL)."""
-    return col.cast(data_type) if strict else col.try_cast(data_type)
-
-
 def key_part(col: Column) -> Column:
     """Text form of one key part that keeps NULL apart from every value."""
     text = col.cast("string")

@@ -29,15 +29,17 @@ def _norm(path: str) -> str:
     return path.rstrip("/")
 
 
-def _path_exists(spark, path: str) -> bool | None:
-    """Hadoop FileSystem ``exists``; None when the JVM is not reachable
-    (Spark Connect)."""
+def _qualify(spark, path: str) -> tuple[str, bool | None]:
+    """The path qualified by its Hadoop FileSystem (relative paths resolved
+    as Spark resolves them) and whether it exists; unchanged and None when
+    the JVM is not reachable (Spark Connect)."""
     try:
         jvm = spark.sparkContext._jvm
         hpath = jvm.org.apache.hadoop.fs.Path(path)
-        return bool(hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hpath))
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return str(fs.makeQualified(hpath).toString()), bool(fs.exists(hpath))
     except Exception:
-        return None
+        return path, None
 
 
 def assert_not_reading(df: DataFrame, path: str) -> None:
@@ -47,9 +49,10 @@ def assert_not_reading(df: DataFrame, path: str) -> None:
     frame's input file list is checked (driver metadata, of the same order
     as Spark's own planning of those files).
     """
-    if _path_exists(df.sparkSession, path) is False:
+    qualified, exists = _qualify(df.sparkSession, path)
+    if exists is False:
         return  # nothing there yet, so nothing of it can be read
-    target = _norm(path)
+    target = _norm(qualified)
     for f in df.inputFiles():
         src = _norm(f)
         if src == target or src.startswith(target + "/"):

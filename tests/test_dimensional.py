@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from starload import BANK_STAR, build_star, dimension, fact, parquet_sink, read_parquet, run_star
 from starload.plans.standin import STANDIN_STAR, bank_base, standin_base
 

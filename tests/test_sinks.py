@@ -43,6 +43,9 @@ def test_refuses_to_overwrite_its_own_input(spark, tmp_out):
         write_parquet(df, path)
     with pytest.raises(ValueError):
         assert_not_reading(df, "file:" + path)
+    with pytest.raises(ValueError):
+        assert_not_reading(df, os.path.relpath(path))
+    assert_not_reading(df, path + "_other")
     assert spark.read.parquet(path).count() == 5
 
 
