@@ -59,11 +59,6 @@ SUPPLIER_DECLARED = T.StructType([
     T.StructField("s_nationkey", T.IntegerType()),
     T.StructField("s_acctbal", T.DoubleType()),
 ])
-NATION_DECLARED = T.StructType([
-    T.StructField("n_nationkey", T.IntegerType()),
-    T.StructField("n_name", T.StringType()),
-    T.StructField("n_regionkey", T.IntegerType()),
-])
 ROW_CAP = 100
 
 
@@ -166,20 +161,20 @@ def q_typed_ingest(spark, sf_dir):
     return load_base(src, ORDERS_INGEST)
 
 
-def _nation_as_example(spark, sf_dir):
-    """Nation rows under the example table's names (spaces in two of them)."""
-    n = read_table(spark, sf_dir, "nation")
-    return n.select(F.col("n_name").alias("Country name"), F.col("n_regionkey").cast("string").alias("Series name"),
-                    F.col("n_nationkey").alias("Value"))
+def _customer_as_example(spark, sf_dir):
+    """Customer rows under the example table's names (spaces in two of them)."""
+    c = read_table(spark, sf_dir, "customer")
+    return c.select(F.col("c_mktsegment").alias("Country name"), F.col("c_name").alias("Series name"),
+                    F.col("c_acctbal").alias("Value"))
 
 
 def q_example_conform(spark, sf_dir):
-    return conform(_nation_as_example(spark, sf_dir), EXAMPLE)
+    return conform(_customer_as_example(spark, sf_dir), EXAMPLE)
 
 
 def q_example_csv_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "example_csv")
-    write_csv(_nation_as_example(spark, sf_dir), path, schema=EXAMPLE)
+    write_csv(_customer_as_example(spark, sf_dir), path, schema=EXAMPLE)
     return read_csv(spark, path, EXAMPLE)
 
 
@@ -219,10 +214,10 @@ def q_parquet_partitioned(spark, sf_dir):
 
 def q_parquet_append(spark, sf_dir):
     path = scratch_path(spark, "parquet_append")
-    nation = read_table(spark, sf_dir, "nation")
-    write_parquet(nation, path, schema=NATION_DECLARED, mode="overwrite")
-    write_parquet(nation, path, schema=NATION_DECLARED, mode="append")
-    return read_parquet(spark, path, NATION_DECLARED)
+    supplier = read_table(spark, sf_dir, "supplier")
+    write_parquet(supplier, path, schema=SUPPLIER_DECLARED, mode="overwrite")
+    write_parquet(supplier, path, schema=SUPPLIER_DECLARED, mode="append")
+    return read_parquet(spark, path, SUPPLIER_DECLARED)
 
 
 def q_row_cap(spark, sf_dir):
@@ -334,13 +329,13 @@ def oracle_sql() -> dict[str, str]:
         "schema_subset": "select c_custkey, c_mktsegment from customer",
         "conform_cast": "select c_custkey, try_cast(c_name as integer) as v from customer",
         "parquet_partitioned": f"{W_CTE} select * from w",
-        "parquet_append": "select * from nation union all select * from nation",
+        "parquet_append": "select * from supplier union all select * from supplier",
         "row_cap": f"select least({ROW_CAP}, count(*)) as n, count(*) as m from customer",
         "rel_parent": f"select distinct {key} as k, c_mktsegment, c_nationkey from customer",
         "rel_child": f"select c_custkey, {key} as k from customer",
     }
-    example = ('select n_name as "Country name", cast(n_regionkey as varchar) as "Series name", '
-               'cast(n_nationkey as float) as "Value", cast(null as float) as "value_percentile" from nation')
+    example = ('select c_mktsegment as "Country name", c_name as "Series name", '
+               'cast(c_acctbal as float) as "Value", cast(null as float) as "value_percentile" from customer')
     sql["example_conform"] = example
     sql["example_csv_roundtrip"] = example
     conformed = ("select cast(c_custkey as varchar) as c_custkey, c_name, cast(null as boolean) as active, "
