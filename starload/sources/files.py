@@ -79,5 +79,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     large files are split between tasks.
     """
     df = (spark.read.schema(schema).options(**CSV_OPTIONS)
-          .option("multiLine", str(multi_line).lower()).csv(path))
+          .option("multiLine", str(multi_line).lower())
+          .option("enforceSchema", "false")  # header must name the declared columns, in order
+          .csv(path))
     return df.selectExpr(*csv_unescape_exprs(schema))

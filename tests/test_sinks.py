@@ -96,3 +96,12 @@ def test_csv_roundtrip_of_typed_base_is_exact(spark, tmp_out):
     back = read_csv(spark, path, STANDIN_SCHEMA)
     assert back.schema == STANDIN_SCHEMA
     assert back.exceptAll(base).count() == 0 and base.exceptAll(back).count() == 0
+
+
+def test_csv_read_refuses_a_header_that_does_not_match(spark, tmp_out):
+    schema = T.StructType([T.StructField("a", T.StringType()), T.StructField("b", T.StringType())])
+    path = os.path.join(tmp_out, "ab")
+    write_csv(spark.createDataFrame([("1", "2")], "b string, a string"), path)
+    with pytest.raises(Exception):
+        read_csv(spark, path, schema).collect()
+    assert read_csv(spark, path, T.StructType(list(reversed(schema.fields)))).collect()[0].a == "2"
