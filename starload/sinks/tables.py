@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
 Sink = Callable[[DataFrame, str], object]
@@ -25,6 +26,10 @@ def write_tables(frames: Mapping[str, DataFrame], sink: Sink, parallel: int | No
 
     if parallel <= 1:
         return {name: one(name, df) for name, df in frames.items()}
+    # wrapped here, in the caller's thread, so every write inherits its job
+    # group, scheduler pool and other local properties (cancellation works)
+    session = next(iter(frames.values())).sparkSession
+    target = inheritable_thread_target(session)(one)
     with ThreadPoolExecutor(max_workers=parallel) as pool:
-        futures = {name: pool.submit(one, name, df) for name, df in frames.items()}
+        futures = {name: pool.submit(target, name, df) for name, df in frames.items()}
         return {name: f.result() for name, f in futures.items()}

@@ -73,3 +73,19 @@ def test_run_star_writes_all_and_releases(spark, tmp_out):
     assert not star.base.is_cached
     assert read_parquet(spark, paths["fact"]).count() == base.count()
     assert read_parquet(spark, paths["dim_single"]).count() == base.select("c_mktsegment").distinct().count()
+
+
+def test_concurrent_writes_inherit_the_callers_job_group(spark, tmp_out):
+    from starload import write_tables
+    seen = {}
+
+    def sink(df, name):
+        seen[name] = spark.sparkContext.getLocalProperty("spark.jobGroup.id")
+        return name
+
+    spark.sparkContext.setJobGroup("starload-test-group", "test")
+    try:
+        write_tables({"a": spark.range(1), "b": spark.range(2)}, sink, parallel=2)
+    finally:
+        spark.sparkContext.setJobGroup(None, None)
+    assert seen == {"a": "starload-test-group", "b": "starload-test-group"}
