@@ -21,10 +21,11 @@ from pyspark.sql import types as T
 
 from starload.functions.columns import hash_key_sql
 from starload.operators.conform import conform, select_in_schema_order
-from starload.operators.dimensional import build_star, dimension, run_star
+from starload.operators.dimensional import build_star, dimension
 from starload.operators.relational import relational
 from starload.plans.standin import (BANK_FROM_STANDIN, CUSTOMER_RELATIONAL, STANDIN_SCHEMA,
                                     STANDIN_STAR, bank_base, read_table, standin_base)
+from starload.plans.flows import extract_load, star_load
 from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table
 from starload.schemas import EXAMPLE, FDIC_BANKS
 from starload.session import scratch_path
@@ -96,12 +97,23 @@ def _bank_relational(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return q
 
 
+def q_ref_extract_load(spark, sf_dir):
+    """The bank-shaped stand-in written as a source table, then extracted
+    through the generic source reader, bound to the declared schema and
+    loaded as the single comprehensive table."""
+    source = scratch_path(spark, "bank_source")
+    write_parquet(bank_base(standin_base(spark, sf_dir)), source)
+    root = scratch_path(spark, "extract_load")
+    path = extract_load(spark, "parquet", FDIC_BANKS, parquet_sink(root), "fdic_banks", path=source)
+    return read_parquet(spark, path, FDIC_BANKS)
+
+
 def _written_star(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    """The whole bank star built over a staged base and written by
-    ``run_star``; one of its tables read back."""
+    """The whole bank star loaded by ``star_load`` (staged base, all five
+    tables written); one of its tables read back."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        star = build_star(bank_base(standin_base(spark, sf_dir)), BANK_STAR, share="stage")
-        paths = run_star(star, parquet_sink(scratch_path(spark, "bank_star")))
+        paths = star_load(bank_base(standin_base(spark, sf_dir)), BANK_STAR,
+                          parquet_sink(scratch_path(spark, "bank_star")))
         return read_parquet(spark, paths[name])
     return q
 
@@ -271,6 +283,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for name in BANK_STAR.tables():
         qs[f"ref_{name}"] = _bank_output(name)
     qs["ref_query_to_table"] = q_ref_query_to_table
+    qs["ref_extract_load"] = q_ref_extract_load
     qs["ref_written_fact_table"] = _written_star("fact_table")
     qs["ref_written_bank_dimension_table"] = _written_star("bank_dimension_table")
     for p in BANK_RELATIONAL.parents:
@@ -351,6 +364,7 @@ def oracle_sql() -> dict[str, str]:
     for name, cols in BANK_STAR.facts.items():
         sql[f"ref_{name}"] = f"{bank} select {_cols_sql(cols)} from b"
     sql["ref_query_to_table"] = sql["ref_state_dimension_table"]
+    sql["ref_extract_load"] = sql["ref_single_table"]
     sql["ref_written_fact_table"] = sql["ref_fact_table"]
     sql["ref_written_bank_dimension_table"] = sql["ref_bank_dimension_table"]
     for p in BANK_RELATIONAL.parents:

@@ -11,6 +11,7 @@ from starload.operators.dimensional import Star, StarSpec, build_star, dimension
 from starload.operators.relational import (Parent, RelationalSpec, build_relational, child_table,
                                           parent_table, relational)
 from starload.operators.sharing import SHARE_MODES, Outputs, share_base, write_outputs
+from starload.plans.flows import extract_load, star_load
 from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table, type_declared
 from starload.schemas import EXAMPLE, FDIC_BANKS, SCHEMAS, get_schema, register_schema, sql_types
 from starload.sinks.files import csv_sink, parquet_sink, write_csv, write_parquet
@@ -23,9 +24,9 @@ from starload.sources.jdbc import JdbcConnection, JdbcPartitioning, jdbc_partiti
 __all__ = [
     "BANK_RELATIONAL", "BANK_STAR", "EXAMPLE", "FDIC_BANKS", "JdbcConnection", "JdbcPartitioning", "Outputs", "Parent", "SHARE_MODES",
     "RelationalSpec", "SCHEMAS", "Star", "StarSpec", "build_relational", "build_star", "child_table", "conform",
-    "create_table_column_types", "create_table_sql", "csv_sink", "dimension", "fact", "get_schema",
+    "create_table_column_types", "create_table_sql", "csv_sink", "dimension", "extract_load", "fact", "get_schema",
     "jdbc_partitioning", "jdbc_sink", "load_base", "parent_table", "parquet_sink", "query_to_table", "read_csv",
     "read_jdbc", "read_parquet", "read_source", "register_schema", "relational", "run_star",
-    "select_in_schema_order", "share_base", "single_table", "sql_types", "subset_schema", "type_declared",
+    "select_in_schema_order", "share_base", "single_table", "star_load", "sql_types", "subset_schema", "type_declared",
     "write_csv", "write_jdbc", "write_parquet", "write_outputs", "write_tables",
 ]
