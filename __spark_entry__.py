@@ -322,7 +322,7 @@ def _quoted(cols) -> list[str]:
 
 
 def _cols_sql(cols) -> str:
-    return ", ".join(f'"{c}"' for c in cols)
+    return ", ".join(_quoted(cols))
 
 
 def oracle_sql() -> dict[str, str]:
