@@ -38,3 +38,36 @@ def test_staged_star_outputs_read_only_their_columns(spark):
     plan = _plan(star["dim_single"])
     assert "ReadSchema: struct<c_mktsegment:string>" in plan
     assert "BroadcastHashJoin" not in plan and "SortMergeJoin" not in plan
+
+
+def test_hot_customer_join_is_split_by_adaptive_execution(spark):
+    """A third of all orders re-keyed to one customer: with broadcast off,
+    the orders ⋈ customer sort-merge join splits the hot partition and
+    every order is still joined once."""
+    from pyspark.sql import functions as F
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.shuffle.partitions": "32"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        orders = read_table(spark, "/root/testdata/sf0.01", "orders")
+        hot = (orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(0))
+                                 .otherwise(F.col("o_custkey")))
+               .repartition(16))  # several map tasks, as many input splits give at scale
+        customer = read_table(spark, "/root/testdata/sf0.01", "customer")
+        joined = hot.join(customer, hot.o_custkey == customer.c_custkey)
+        rows = joined.collect()
+        plan = _plan(joined)  # the final adaptive plan of that run
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert len(rows) == len({r.o_orderkey for r in rows}) == orders.count()
+    assert "SortMergeJoin(skew=true)" in plan
