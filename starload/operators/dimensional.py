@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.columns import quoted
-from starload.operators.sharing import Outputs, share_base, write_outputs
+from starload.operators.sharing import Outputs, resolve_share, share_base, write_outputs
 from starload.sinks.tables import Sink
 
 
@@ -60,12 +60,13 @@ class StarSpec:
 Star = Outputs
 
 
-def build_star(base: DataFrame, spec: StarSpec, share: str = "stage") -> Star:
+def build_star(base: DataFrame, spec: StarSpec, share: str = "auto") -> Star:
     """All outputs of ``spec`` from one base, pruned to the columns they use.
 
-    ``share="stage"`` (default) suits a costly base; pass ``"none"`` when the
-    base is a plain Parquet/ORC table.
+    ``share="auto"`` (default) re-reads a plain Parquet/ORC base and stages
+    any costlier one (joins, JDBC, row formats) once; see ``sharing``.
     """
+    share = resolve_share(base, share)
     pruned = share_base(base, spec.columns(), share)
     frames = {name: dimension(pruned, cols) for name, cols in spec.dimensions.items()}
     frames.update({name: fact(pruned, cols) for name, cols in spec.facts.items()})

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.columns import hash_key, quoted
-from starload.operators.sharing import Outputs, share_base
+from starload.operators.sharing import Outputs, resolve_share, share_base
 
 
 @dataclass(frozen=True)
@@ -64,8 +64,9 @@ def spec_columns(spec: RelationalSpec) -> list[str]:
     return list(cols)
 
 
-def build_relational(base: DataFrame, spec: RelationalSpec, share: str = "stage") -> Outputs:
+def build_relational(base: DataFrame, spec: RelationalSpec, share: str = "auto") -> Outputs:
     """``relational`` over one shared base (see ``sharing``); write with
     ``write_outputs``."""
+    share = resolve_share(base, share)
     pruned = share_base(base, spec_columns(spec), share)
     return Outputs(frames=relational(pruned, spec), base=pruned, share=share)

@@ -13,6 +13,10 @@ shared copy, pruned to the columns they use:
   shared checkpoint folder and read back; outputs then read only their own
   columns of it. For costly bases (joins, remote or row-format sources).
 
+* ``"auto"``: ``"none"`` when the base's physical plan is only a Parquet or
+  ORC scan with projections and filters (cheap to re-read column by
+  column), else ``"stage"``.
+
 Checkpointed and staged data survive the loss of executors without
 recomputation; they stay in the checkpoint folder, whose clean-up belongs
 to the cluster's retention policy.
@@ -20,6 +24,9 @@ to the cluster's retention policy.
 
 from __future__ import annotations
 
+import contextlib
+import io
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -30,13 +37,51 @@ from starload.functions.columns import quoted
 from starload.session import scratch_path, shared_dir
 from starload.sinks.tables import Sink, write_tables
 
-SHARE_MODES = ("none", "persist", "checkpoint", "stage")
+SHARE_MODES = ("auto", "none", "persist", "checkpoint", "stage")
 
+# physical operators that only read, prune or filter a columnar file scan
+_CHEAP_NODES = {"AdaptiveSparkPlan", "Project", "Filter", "ColumnarToRow", "FileScan"}
+_COLUMNAR = {"parquet", "orc"}
 
-def share_base(base: DataFrame, columns: Sequence[str], share: str) -> DataFrame:
-    """``base`` pruned to ``columns`` and shared as ``share`` says."""
+
+def _physical_plan(df: DataFrame) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def is_plain_columnar_scan(df: DataFrame) -> bool:
+    """True when ``df`` is only a Parquet/ORC scan with projections and
+    filters (read from its ``explain()`` output; unknown shapes say False)."""
+    lines = [ln for ln in _physical_plan(df).splitlines() if ln.strip() and not ln.startswith("==")]
+    if not lines:
+        return False
+    for ln in lines:
+        node = re.sub(r"^[\s:+\-*()\d]*", "", ln)
+        name = node.split(" ", 1)[0].split("(", 1)[0]
+        if name == "InMemoryTableScan":
+            return True  # already cached by the caller: reading it again is cheap
+        if name not in _CHEAP_NODES:
+            return False
+        if name == "FileScan" and node.split(" ")[1].lower() not in _COLUMNAR:
+            return False
+    return True
+
+
+def resolve_share(base: DataFrame, share: str) -> str:
     if share not in SHARE_MODES:
         raise ValueError(f"share must be one of {SHARE_MODES}, not {share!r}")
+    if share == "auto":
+        return "none" if is_plain_columnar_scan(base) else "stage"
+    return share
+
+
+def share_base(base: DataFrame, columns: Sequence[str], share: str) -> DataFrame:
+    """``base`` pruned to ``columns`` and shared as ``share`` says (already
+    resolved: not ``"auto"``)."""
+    if share not in SHARE_MODES or share == "auto":
+        raise ValueError(f"share must be one of {SHARE_MODES[1:]}, not {share!r}")
     pruned = base.selectExpr(*[quoted(c) for c in columns])
     if share == "persist":
         return pruned.persist(StorageLevel.MEMORY_AND_DISK)

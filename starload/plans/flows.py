@@ -25,7 +25,7 @@ def extract_load(spark: SparkSession, fmt: str, schema: T.StructType, sink: Call
     return sink(load_base(src, schema, strict=strict), table)
 
 
-def star_load(base: DataFrame, spec: StarSpec, sink: Callable[..., object], share: str = "stage",
+def star_load(base: DataFrame, spec: StarSpec, sink: Callable[..., object], share: str = "auto",
               parallel: int | None = None) -> dict[str, object]:
     """Build every output of ``spec`` from ``base`` and write each one."""
     return run_star(build_star(base, spec, share=share), sink, parallel=parallel)

@@ -71,3 +71,21 @@ def test_hot_customer_join_is_split_by_adaptive_execution(spark):
                 spark.conf.set(k, v)
     assert len(rows) == len({r.o_orderkey for r in rows}) == orders.count()
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_auto_share_restages_only_costly_bases(spark, tmp_path):
+    from starload.operators.sharing import resolve_share
+    orders = read_table(spark, SF, "orders")
+    assert resolve_share(orders, "auto") == "none"
+    assert resolve_share(orders.where("o_totalprice > 10").select("o_orderkey"), "auto") == "none"
+    assert resolve_share(standin_base(spark, SF), "auto") == "stage"  # joins
+    assert resolve_share(orders.distinct(), "auto") == "stage"
+    path = str(tmp_path / "orders_csv")
+    orders.write.option("header", True).csv(path)
+    assert resolve_share(spark.read.option("header", True).csv(path), "auto") == "stage"  # row format
+    joined = standin_base(spark, SF).cache()
+    try:
+        assert resolve_share(joined, "auto") == "none"  # already cached by the caller
+    finally:
+        joined.unpersist()
+    assert resolve_share(orders, "persist") == "persist"
