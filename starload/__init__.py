@@ -6,27 +6,32 @@ tables -> sinks (Parquet, CSV, JDBC). Every function takes and returns
 DataFrames on the caller's session; only sinks run jobs.
 """
 
+from starload.functions.columns import hash_key, hash_key_sql
 from starload.operators.conform import conform, select_in_schema_order, subset_schema
 from starload.operators.dimensional import Star, StarSpec, build_star, dimension, fact, run_star
 from starload.operators.relational import (Parent, RelationalSpec, build_relational, child_table,
                                           parent_table, relational)
-from starload.operators.sharing import SHARE_MODES, Outputs, share_base, write_outputs
+from starload.operators.sharing import SHARE_MODES, Outputs, resolve_share, share_base, write_outputs
 from starload.plans.flows import extract_load, star_load
 from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table, type_declared
 from starload.schemas import EXAMPLE, FDIC_BANKS, SCHEMAS, get_schema, register_schema, sql_types
-from starload.sinks.files import csv_sink, parquet_sink, write_csv, write_parquet
+from starload.session import scratch_path, shared_dir
+from starload.sinks.files import assert_not_reading, csv_sink, parquet_sink, rebalance, write_csv, write_parquet
 from starload.sinks.tables import write_tables
 from starload.sinks.jdbc import create_table_column_types, create_table_sql, jdbc_sink, write_jdbc
-from starload.sources.files import read_csv, read_parquet
+from starload.sources.files import read_csv, read_parquet, table_path
 from starload.sources.generic import load_base, read_source
 from starload.sources.jdbc import JdbcConnection, JdbcPartitioning, jdbc_partitioning, read_jdbc
 
 __all__ = [
-    "BANK_RELATIONAL", "BANK_STAR", "EXAMPLE", "FDIC_BANKS", "JdbcConnection", "JdbcPartitioning", "Outputs", "Parent", "SHARE_MODES",
-    "RelationalSpec", "SCHEMAS", "Star", "StarSpec", "build_relational", "build_star", "child_table", "conform",
-    "create_table_column_types", "create_table_sql", "csv_sink", "dimension", "extract_load", "fact", "get_schema",
-    "jdbc_partitioning", "jdbc_sink", "load_base", "parent_table", "parquet_sink", "query_to_table", "read_csv",
-    "read_jdbc", "read_parquet", "read_source", "register_schema", "relational", "run_star",
-    "select_in_schema_order", "share_base", "single_table", "star_load", "sql_types", "subset_schema", "type_declared",
-    "write_csv", "write_jdbc", "write_parquet", "write_outputs", "write_tables",
+    "BANK_RELATIONAL", "BANK_STAR", "EXAMPLE", "FDIC_BANKS", "JdbcConnection", "JdbcPartitioning",
+    "Outputs", "Parent", "RelationalSpec", "SCHEMAS", "SHARE_MODES", "Star", "StarSpec",
+    "assert_not_reading", "build_relational", "build_star", "child_table", "conform",
+    "create_table_column_types", "create_table_sql", "csv_sink", "dimension", "extract_load",
+    "fact", "get_schema", "hash_key", "hash_key_sql", "jdbc_partitioning", "jdbc_sink", "load_base",
+    "parent_table", "parquet_sink", "query_to_table", "read_csv", "read_jdbc", "read_parquet",
+    "read_source", "rebalance", "register_schema", "relational", "resolve_share", "run_star",
+    "scratch_path", "select_in_schema_order", "share_base", "shared_dir", "single_table",
+    "sql_types", "star_load", "subset_schema", "table_path", "type_declared", "write_csv",
+    "write_jdbc", "write_outputs", "write_parquet", "write_tables",
 ]
