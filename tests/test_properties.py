@@ -30,3 +30,22 @@ def test_hash_key_is_injective_on_distinct_tuples(spark, rows):
     df = spark.createDataFrame(rows, "a string, b string")
     keys = [r.k for r in df.select(hash_key(["a", "b"]).alias("k")).collect()]
     assert len(set(keys)) == len(rows)
+
+
+names = st.sampled_from(["Country name", "Series name", "Value", "value_percentile", "extra", "Other col"])
+
+
+@SETTINGS
+@given(st.lists(names, min_size=1, max_size=6, unique=True), st.lists(text, min_size=6, max_size=6))
+def test_conform_gives_the_declared_schema_by_name_and_is_idempotent(spark, cols, values):
+    from starload import EXAMPLE, conform
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in cols])
+    row = tuple(values[: len(cols)])
+    df = spark.createDataFrame([row], schema)
+    once = conform(df, EXAMPLE)
+    assert once.schema == EXAMPLE
+    got = once.collect()[0].asDict()
+    given_by_name = dict(zip(cols, row))
+    assert got["Country name"] == given_by_name.get("Country name")
+    assert got["Series name"] == given_by_name.get("Series name")
+    assert repr(conform(once, EXAMPLE).collect()) == repr(once.collect())  # repr: NaN != NaN
