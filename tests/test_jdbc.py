@@ -36,3 +36,15 @@ def test_overwrite_truncates_and_caps_connections():
     assert o["truncate"] == "true" and o["numPartitions"] == "8"
     assert o["createTableColumnTypes"] == "`Series name` VARCHAR(40)"
     assert "truncate" not in jdbc_write_options(JdbcConnection("jdbc:x"), "t", mode="append")
+
+
+def test_column_types_parse_as_spark_ddl(spark):
+    """The writer parses createTableColumnTypes with Spark's DDL parser."""
+    from starload import FDIC_BANKS
+    lengths = {f.name: 64 for f in FDIC_BANKS.fields if f.dataType.typeName() == "string"}
+    ddl = create_table_column_types(FDIC_BANKS, lengths)
+    parsed = spark.createDataFrame([], ddl).schema
+    assert len(parsed.fields) == 101
+    assert [f.name for f in parsed.fields] == list(lengths)
+    weird = create_table_column_types(EXAMPLE, {"Country name": 80, "Series name": 10})
+    assert [f.name for f in spark.createDataFrame([], weird).schema.fields] == ["Country name", "Series name"]
