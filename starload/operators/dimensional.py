@@ -67,10 +67,10 @@ def build_star(base: DataFrame, spec: StarSpec, share: str = "auto") -> Star:
     any costlier one (joins, JDBC, row formats) once; see ``sharing``.
     """
     share = resolve_share(base, share)
-    pruned = share_base(base, spec.columns(), share)
+    pruned, staged = share_base(base, spec.columns(), share)
     frames = {name: dimension(pruned, cols) for name, cols in spec.dimensions.items()}
     frames.update({name: fact(pruned, cols) for name, cols in spec.facts.items()})
-    return Star(frames=frames, base=pruned, share=share)
+    return Star(frames=frames, base=pruned, share=share, staged_path=staged)
 
 
 def run_star(star: Star, sink: Sink, parallel: int | None = None) -> dict[str, object]:

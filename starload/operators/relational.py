@@ -68,5 +68,5 @@ def build_relational(base: DataFrame, spec: RelationalSpec, share: str = "auto")
     """``relational`` over one shared base (see ``sharing``); write with
     ``write_outputs``."""
     share = resolve_share(base, share)
-    pruned = share_base(base, spec_columns(spec), share)
-    return Outputs(frames=relational(pruned, spec), base=pruned, share=share)
+    pruned, staged = share_base(base, spec_columns(spec), share)
+    return Outputs(frames=relational(pruned, spec), base=pruned, share=share, staged_path=staged)

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import contextlib
 import io
+import logging
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -37,6 +38,8 @@ from starload.functions.columns import quoted
 from starload.session import scratch_path, shared_dir
 from starload.sinks.tables import Sink, write_tables
 
+log = logging.getLogger("starload")
+
 SHARE_MODES = ("auto", "none", "persist", "checkpoint", "stage")
 
 # physical operators that only read, prune or filter a columnar file scan
@@ -73,27 +76,29 @@ def resolve_share(base: DataFrame, share: str) -> str:
     if share not in SHARE_MODES:
         raise ValueError(f"share must be one of {SHARE_MODES}, not {share!r}")
     if share == "auto":
-        return "none" if is_plain_columnar_scan(base) else "stage"
+        share = "none" if is_plain_columnar_scan(base) else "stage"
+        log.info("share=auto resolved to %s", share)
     return share
 
 
-def share_base(base: DataFrame, columns: Sequence[str], share: str) -> DataFrame:
+def share_base(base: DataFrame, columns: Sequence[str], share: str) -> tuple[DataFrame, str | None]:
     """``base`` pruned to ``columns`` and shared as ``share`` says (already
-    resolved: not ``"auto"``)."""
+    resolved: not ``"auto"``), with the staged table's path for ``"stage"``."""
     if share not in SHARE_MODES or share == "auto":
         raise ValueError(f"share must be one of {SHARE_MODES[1:]}, not {share!r}")
     pruned = base.selectExpr(*[quoted(c) for c in columns])
     if share == "persist":
-        return pruned.persist(StorageLevel.MEMORY_AND_DISK)
+        return pruned.persist(StorageLevel.MEMORY_AND_DISK), None
     if share == "checkpoint":
         shared_dir(pruned.sparkSession)
-        return pruned.checkpoint(eager=True)
+        return pruned.checkpoint(eager=True), None
     if share == "stage":
         spark = pruned.sparkSession
         path = scratch_path(spark, "shared-base")
         pruned.write.parquet(path)
-        return spark.read.schema(pruned.schema).parquet(path)
-    return pruned
+        log.info("staged shared base (%d columns) at %s", len(columns), path)
+        return spark.read.schema(pruned.schema).parquet(path), path
+    return pruned, None
 
 
 @dataclass
@@ -103,6 +108,7 @@ class Outputs:
     frames: dict[str, DataFrame]
     base: DataFrame
     share: str
+    staged_path: str | None = None  # the staged table, for the caller's clean-up
     _released: bool = field(default=False, repr=False)
 
     def __getitem__(self, name: str) -> DataFrame:

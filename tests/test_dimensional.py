@@ -1,4 +1,4 @@
-from starload import BANK_STAR, build_star, dimension, fact, parquet_sink, read_parquet, run_star
+from starload import BANK_STAR, build_star, dimension, fact, parquet_sink, read_parquet, run_star, shared_dir
 from starload.plans.standin import STANDIN_STAR, bank_base, standin_base
 
 SF = "/root/testdata/sf0.001"
@@ -51,6 +51,9 @@ def test_star_invariants_and_share_modes(spark):
         finally:
             star.release()
     assert results["none"] == results["persist"] == results["checkpoint"] == results["stage"]
+    staged = build_star(base, STANDIN_STAR, share="stage")
+    assert staged.staged_path and staged.staged_path.startswith(shared_dir(spark))
+    assert build_star(base, STANDIN_STAR, share="none").staged_path is None
 
 
 def test_bank_star_keys_resolve(spark):
