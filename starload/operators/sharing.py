@@ -67,7 +67,7 @@ def is_plain_columnar_scan(df: DataFrame) -> bool:
             return True  # already cached by the caller: reading it again is cheap
         if name not in _CHEAP_NODES:
             return False
-        if name == "FileScan" and node.split(" ")[1].lower() not in _COLUMNAR:
+        if name == "FileScan" and (node.split(" ") + [""])[1].lower() not in _COLUMNAR:
             return False
     return True
 
