@@ -79,12 +79,18 @@ def rebalance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def write_parquet(df: DataFrame, path: str, schema: T.StructType | None = None,
                   mode: str = "overwrite", partition_by: Sequence[str] = (),
-                  strict: bool = False) -> None:
-    """Write Parquet; ``partition_by`` gives hive-style directories."""
+                  strict: bool = False, shuffle: bool = True) -> None:
+    """Write Parquet; ``partition_by`` gives hive-style directories.
+
+    A partitioned write shuffles the rows (REBALANCE) so each value is
+    written by few tasks. ``shuffle=False`` skips that for input already
+    clustered by the partition columns (each task then holds few values).
+    """
     df = _prepare(df, path, schema, mode, strict)
     writer = df.write
     if partition_by:
-        writer = rebalance(df, list(partition_by)).write.partitionBy(*partition_by)
+        src = rebalance(df, list(partition_by)) if shuffle else df
+        writer = src.write.partitionBy(*partition_by)
     writer.mode(mode).parquet(path)
 
 

@@ -26,6 +26,8 @@ def test_partition_value_keeps_leading_zero(spark, tmp_out):
     back = read_parquet(spark, path, schema)
     assert back.columns == ["code", "v"]
     assert sorted(r.code for r in back.collect()) == ["01", "10"]
+    write_parquet(df, path + "_noshuffle", partition_by=["code"], shuffle=False)
+    assert sorted(r.code for r in read_parquet(spark, path + "_noshuffle", schema).collect()) == ["01", "10"]
 
 
 def test_partitioned_write_plan_rebalances(spark):
