@@ -23,9 +23,7 @@ def _norm(v):
     if v is None:
         return None
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return float(f"{v:.9g}")
+        return None if math.isnan(v) else v  # exact: no rounding
     if hasattr(v, "isoformat"):
         return v.isoformat(sep=" ") if hasattr(v, "hour") else v.isoformat()
     if hasattr(v, "item"):
