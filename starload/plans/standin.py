@@ -36,6 +36,27 @@ STANDIN_SCHEMA = T.StructType([
     T.StructField("r_name", T.StringType()),
 ])
 
+# Declared schemas of the test tables the stand-in reads: reading with them
+# skips Parquet schema inference (one Spark job per table otherwise).
+TABLE_SCHEMAS = {
+    "orders": T.StructType([
+        T.StructField("o_orderkey", T.LongType()), T.StructField("o_custkey", T.LongType()),
+        T.StructField("o_orderstatus", T.StringType()), T.StructField("o_totalprice", T.DoubleType()),
+        T.StructField("o_orderdate", T.TimestampNTZType()), T.StructField("o_orderpriority", T.StringType())]),
+    "customer": T.StructType([
+        T.StructField("c_custkey", T.LongType()), T.StructField("c_name", T.StringType()),
+        T.StructField("c_nationkey", T.IntegerType()), T.StructField("c_acctbal", T.DoubleType()),
+        T.StructField("c_mktsegment", T.StringType())]),
+    "nation": T.StructType([
+        T.StructField("n_nationkey", T.IntegerType()), T.StructField("n_name", T.StringType()),
+        T.StructField("n_regionkey", T.IntegerType())]),
+    "region": T.StructType([
+        T.StructField("r_regionkey", T.IntegerType()), T.StructField("r_name", T.StringType())]),
+    "supplier": T.StructType([
+        T.StructField("s_suppkey", T.LongType()), T.StructField("s_name", T.StringType()),
+        T.StructField("s_nationkey", T.IntegerType()), T.StructField("s_acctbal", T.DoubleType())]),
+}
+
 STANDIN_STAR = StarSpec(
     dimensions={
         "dim_entity": ["c_custkey", "c_name", "c_mktsegment", "n_name", "r_name"],
@@ -74,7 +95,8 @@ CUSTOMER_RELATIONAL = RelationalSpec(
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, table_path(sf_dir, f"{name}.parquet"))
+    """A test table, read with its declared schema when there is one."""
+    return read_parquet(spark, table_path(sf_dir, f"{name}.parquet"), TABLE_SCHEMAS.get(name))
 
 
 def standin_base(spark: SparkSession, sf_dir: str) -> DataFrame:
