@@ -19,3 +19,17 @@ def test_queries_match_duckdb(spark):
     result = compare(spark, SF)
     bad = {k: v for k, v in result.items() if not v["ok"]}
     assert not bad, bad
+
+
+def test_queries_do_not_depend_on_ansi_mode_or_time_zone(spark):
+    conf = {"spark.sql.ansi.enabled": "false", "spark.sql.session.timeZone": "America/Los_Angeles"}
+    old = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        names = ["conform_cast", "typed_ingest", "example_csv_roundtrip", "ref_fact_table", "rel_parent"]
+        result = compare(spark, SF, names)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert all(v["ok"] for v in result.values()), result
