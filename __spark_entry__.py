@@ -25,7 +25,7 @@ from starload.operators.dimensional import build_star, dimension
 from starload.operators.relational import relational
 from starload.plans.standin import (BANK_FROM_STANDIN, CUSTOMER_RELATIONAL, STANDIN_SCHEMA,
                                     STANDIN_STAR, bank_base, read_table, standin_base)
-from starload.plans.flows import extract_load, star_load
+from starload.plans.flows import extract_load, load_all, star_load
 from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table
 from starload.schemas import EXAMPLE, FDIC_BANKS
 from starload.session import scratch_path
@@ -108,6 +108,17 @@ def q_ref_extract_load(spark, sf_dir):
     return read_parquet(spark, path, FDIC_BANKS)
 
 
+def _load_all(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Single table, star and relational tables loaded by ``load_all`` (the
+    outputs read back from the written single table); one table read back."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        paths = load_all(bank_base(standin_base(spark, sf_dir)), FDIC_BANKS,
+                         parquet_sink(scratch_path(spark, "load_all")), "fdic_banks",
+                         star=BANK_STAR, relational=BANK_RELATIONAL)
+        return read_parquet(spark, paths[name])
+    return q
+
+
 def _written_star(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """The whole bank star loaded by ``star_load`` (staged base, all five
     tables written); one of its tables read back."""
@@ -286,6 +297,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs["ref_extract_load"] = q_ref_extract_load
     qs["ref_written_fact_table"] = _written_star("fact_table")
     qs["ref_written_bank_dimension_table"] = _written_star("bank_dimension_table")
+    qs["ref_load_all_fact_table"] = _load_all("fact_table")
+    qs["ref_load_all_institution_table"] = _load_all("institution_table")
     for p in BANK_RELATIONAL.parents:
         qs[f"ref_rel_{p.name}"] = _bank_relational(p.name)
     qs[f"ref_rel_{BANK_RELATIONAL.child}"] = _bank_relational(BANK_RELATIONAL.child)
@@ -367,10 +380,12 @@ def oracle_sql() -> dict[str, str]:
     sql["ref_extract_load"] = sql["ref_single_table"]
     sql["ref_written_fact_table"] = sql["ref_fact_table"]
     sql["ref_written_bank_dimension_table"] = sql["ref_bank_dimension_table"]
+    sql["ref_load_all_fact_table"] = sql["ref_fact_table"]
     for p in BANK_RELATIONAL.parents:
         sql[f"ref_rel_{p.name}"] = (f"{bank} select distinct {hash_key_sql(_quoted(p.natural_key))} as {p.key}, "
                                     f"{_cols_sql(p.natural_key)} from b")
     fks = ", ".join(f"{hash_key_sql(_quoted(p.natural_key))} as {p.key}" for p in BANK_RELATIONAL.parents)
     sql[f"ref_rel_{BANK_RELATIONAL.child}"] = (f"{bank} select {_cols_sql(BANK_RELATIONAL.child_columns)}, "
                                                f"{fks} from b")
+    sql["ref_load_all_institution_table"] = sql[f"ref_rel_{BANK_RELATIONAL.child}"]
     return sql

@@ -12,7 +12,7 @@ from starload.operators.dimensional import Star, StarSpec, build_star, dimension
 from starload.operators.relational import (Parent, RelationalSpec, build_relational, child_table,
                                           parent_table, relational)
 from starload.operators.sharing import SHARE_MODES, Outputs, resolve_share, share_base, write_outputs
-from starload.plans.flows import extract_load, star_load
+from starload.plans.flows import extract_load, load_all, star_load
 from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table, type_declared
 from starload.schemas import EXAMPLE, FDIC_BANKS, SCHEMAS, get_schema, register_schema, sql_types
 from starload.session import scratch_path, shared_dir
@@ -28,7 +28,7 @@ __all__ = [
     "Outputs", "Parent", "RelationalSpec", "SCHEMAS", "SHARE_MODES", "Star", "StarSpec",
     "assert_not_reading", "build_relational", "build_star", "child_table", "conform",
     "create_table_column_types", "create_table_sql", "csv_sink", "dimension", "extract_load",
-    "fact", "get_schema", "hash_key", "hash_key_sql", "jdbc_partitioning", "jdbc_sink", "load_base",
+    "fact", "get_schema", "hash_key", "hash_key_sql", "jdbc_partitioning", "jdbc_sink", "load_all", "load_base",
     "parent_table", "parquet_sink", "query_to_table", "read_csv", "read_jdbc", "read_parquet",
     "read_source", "rebalance", "register_schema", "relational", "resolve_share", "run_star",
     "scratch_path", "select_in_schema_order", "share_base", "shared_dir", "single_table",

@@ -1,9 +1,11 @@
-"""The two loading flows of the original tool as plain compositions.
+"""The loading flows of the original tool as plain compositions.
 
 ``extract_load``: any Spark data source -> declared schema -> one table (the
 single comprehensive table). ``star_load``: base -> dimensions and facts ->
-one table each. Both run on the executors end to end; the driver only
-plans and commits.
+one table each. ``load_all``: both in the original order, with the star and
+the relational tables read back from the written single table, so the
+source is scanned once and nothing is staged twice. All run on the
+executors end to end; the driver only plans and commits.
 """
 
 from __future__ import annotations
@@ -14,6 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starload.operators.dimensional import StarSpec, build_star, run_star
+from starload.operators.relational import RelationalSpec, build_relational
+from starload.operators.sharing import write_outputs
+from starload.sources.files import read_parquet
 from starload.sources.generic import load_base, read_source
 
 
@@ -29,3 +34,25 @@ def star_load(base: DataFrame, spec: StarSpec, sink: Callable[..., object], shar
               parallel: int | None = None) -> dict[str, object]:
     """Build every output of ``spec`` from ``base`` and write each one."""
     return run_star(build_star(base, spec, share=share), sink, parallel=parallel)
+
+
+def load_all(base: DataFrame, schema: T.StructType, sink: Callable[..., object], single_table: str,
+             star: StarSpec | None = None, relational: RelationalSpec | None = None,
+             read_back: Callable[[object], DataFrame] | None = None,
+             parallel: int | None = None) -> dict[str, object]:
+    """Write the single comprehensive table, then every star and relational
+    table from what was written.
+
+    ``read_back(result_of_sink)`` reads the written table again (default:
+    Parquet at the path a file sink returns; a JDBC sink needs ``read_jdbc``).
+    The written table is a plain scan, so the outputs re-read only their own
+    columns of it (``share="auto"``).
+    """
+    spark = base.sparkSession
+    out = {single_table: sink(load_base(base, schema), single_table)}
+    written = (read_back or (lambda p: read_parquet(spark, p, schema)))(out[single_table])
+    if star is not None:
+        out.update(run_star(build_star(written, star, share="auto"), sink, parallel=parallel))
+    if relational is not None:
+        out.update(write_outputs(build_relational(written, relational, share="auto"), sink, parallel))
+    return out

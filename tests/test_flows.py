@@ -26,3 +26,20 @@ def test_extract_load_from_a_csv_source(spark, tmp_out):
                           options={"header": "true"}, path=src, row_cap=7)
     rows = read_parquet(spark, capped, SUPPLIER)
     assert rows.count() == 7 and rows.exceptAll(supplier).count() == 0
+
+
+def test_load_all_reads_the_written_single_table_without_staging(spark, tmp_out):
+    import glob
+
+    from starload import BANK_RELATIONAL, BANK_STAR, FDIC_BANKS, load_all, shared_dir
+    from starload.plans.standin import bank_base, standin_base
+    staged_before = set(glob.glob(shared_dir(spark) + "/starload/shared-base-*"))
+    base = bank_base(standin_base(spark, "/root/testdata/sf0.001"))
+    paths = load_all(base, FDIC_BANKS, parquet_sink(tmp_out), "fdic_banks",
+                     star=BANK_STAR, relational=BANK_RELATIONAL)
+    assert set(paths) == {"fdic_banks", *BANK_STAR.tables(), "institution_table",
+                          *[p.name for p in BANK_RELATIONAL.parents]}
+    assert set(glob.glob(shared_dir(spark) + "/starload/shared-base-*")) == staged_before
+    n = base.count()
+    assert read_parquet(spark, paths["fact_table"]).count() == n
+    assert read_parquet(spark, paths["institution_table"]).count() == n
