@@ -72,6 +72,12 @@ def jdbc_read_options(conn: JdbcConnection, table: str | None = None, query: str
     return opts
 
 
+def jdbc_properties(conn: JdbcConnection, fetch_size: int | None = 10_000) -> dict[str, str]:
+    """Connection properties for ``spark.read.jdbc`` (one task per predicate)."""
+    return {k: v for k, v in jdbc_read_options(conn, table="_", fetch_size=fetch_size).items()
+            if k not in ("url", "dbtable")}
+
+
 def read_jdbc(spark: SparkSession, conn: JdbcConnection, table: str | None = None,
               query: str | None = None, partitioning: JdbcPartitioning | None = None,
               predicates: Sequence[str] | None = None, fetch_size: int | None = 10_000) -> DataFrame:
@@ -79,9 +85,8 @@ def read_jdbc(spark: SparkSession, conn: JdbcConnection, table: str | None = Non
     if predicates:
         if table is None:
             raise ValueError("predicates need a table")
-        props = {k: v for k, v in jdbc_read_options(conn, table=table, fetch_size=fetch_size).items()
-                 if k not in ("url", "dbtable")}
-        return spark.read.jdbc(conn.url, table, predicates=list(predicates), properties=props)
+        return spark.read.jdbc(conn.url, table, predicates=list(predicates),
+                               properties=jdbc_properties(conn, fetch_size))
     opts = jdbc_read_options(conn, table=table, query=query, partitioning=partitioning,
                              fetch_size=fetch_size)
     return spark.read.format("jdbc").options(**opts).load()

@@ -50,3 +50,9 @@ def test_column_types_parse_as_spark_ddl(spark):
     assert all(f.dataType == T.VarcharType(64) for f in parsed.fields)
     weird = create_table_column_types(EXAMPLE, {"Country name": 80, "Series name": 10})
     assert [f.name for f in T.StructType.fromDDL(weird).fields] == ["Country name", "Series name"]
+
+
+def test_predicate_read_properties_carry_credentials_not_url():
+    from starload.sources.jdbc import jdbc_properties
+    props = jdbc_properties(JdbcConnection("jdbc:x", user="u", password="p", driver="d", properties={"ssl": "true"}), 500)
+    assert props == {"user": "u", "password": "p", "driver": "d", "ssl": "true", "fetchsize": "500"}
