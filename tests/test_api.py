@@ -40,3 +40,11 @@ def test_a_failing_write_is_reported(spark):
 
     with pytest.raises(RuntimeError):
         write_tables({"good": spark.range(1), "bad": spark.range(1)}, sink, parallel=2)
+
+
+def test_unknown_save_mode_is_refused(spark, tmp_out):
+    from starload import write_csv, write_parquet
+    with pytest.raises(ValueError):
+        write_parquet(spark.range(1), os.path.join(tmp_out, "p"), mode="upsert")
+    with pytest.raises(ValueError):
+        write_csv(spark.range(1), os.path.join(tmp_out, "c"), mode="merge")
