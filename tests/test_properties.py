@@ -11,7 +11,8 @@ from starload import read_csv, write_csv
 from starload.functions.columns import hash_key
 
 text = st.one_of(st.none(), st.text(alphabet=st.sampled_from(list('ab,"|~:\\N\n\r ;ü')), max_size=6))
-SETTINGS = settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SETTINGS = settings(max_examples=25, deadline=None, derandomize=True,
+                    suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 @SETTINGS
