@@ -33,6 +33,14 @@ from starload.sinks.files import parquet_sink, write_csv, write_parquet
 from starload.sources.files import read_csv, read_parquet, table_path
 from starload.sources.generic import load_base, read_source
 
+try:  # the training-data operators are a part that may be taken out
+    import corpus_pipeline
+    from starload.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("starload.llm", "corpus_pipeline")):
+        raise
+    corpus_pipeline = llm_queries = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 CUSTOMER_CONFORMED = T.StructType([
@@ -302,6 +310,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     for p in BANK_RELATIONAL.parents:
         qs[f"ref_rel_{p.name}"] = _bank_relational(p.name)
     qs[f"ref_rel_{BANK_RELATIONAL.child}"] = _bank_relational(BANK_RELATIONAL.child)
+    if llm_queries:
+        qs |= {"pipeline": corpus_pipeline.run, **llm_queries.QUERIES}
     return qs
 
 
@@ -388,4 +398,6 @@ def oracle_sql() -> dict[str, str]:
     sql[f"ref_rel_{BANK_RELATIONAL.child}"] = (f"{bank} select {_cols_sql(BANK_RELATIONAL.child_columns)}, "
                                                f"{fks} from b")
     sql["ref_load_all_institution_table"] = sql[f"ref_rel_{BANK_RELATIONAL.child}"]
+    if llm_queries:
+        sql |= llm_queries.ORACLES
     return sql
