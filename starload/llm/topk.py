@@ -111,9 +111,10 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = TOP, query_block: int
     n_q, n_c = queries.count(), vectors.count()
     q_blocks, c_blocks = max(1, -(-n_q // query_block)), max(1, -(-n_c // candidate_block))
     dim = F.size("x").alias("dim")
-    q = queries.select("vec_id", "x", dim, F.pmod(F.xxhash64("vec_id"), F.lit(q_blocks)).alias("qb"),
+    block = lambda n: F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int")  # noqa: E731  cogroups need equal types
+    q = queries.select("vec_id", "x", dim, block(q_blocks).alias("qb"),
                        F.explode(F.sequence(F.lit(0), F.lit(c_blocks - 1))).alias("cb"))
-    c = vectors.select("vec_id", "x", dim, F.pmod(F.xxhash64("vec_id"), F.lit(c_blocks)).alias("cb"),
+    c = vectors.select("vec_id", "x", dim, block(c_blocks).alias("cb"),
                        F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))).alias("qb"))
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
