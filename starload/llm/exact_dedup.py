@@ -125,7 +125,7 @@ def exact_dedup(docs: DataFrame, digest_sizes: tuple[int, ...] = DIGEST_BYTES) -
         raise ValueError(f"chunk digests of up to {max(digest_sizes)} bytes clash")
     rows = staged(recipes(docs, size), "recipes")
     best = F.min(F.struct((-F.col("n_chars")).alias("n"), F.col("doc_id").isNull().alias("z"), "doc_id", "row_id"))
-    groups = rows.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best"))
+    groups = staged(rows.groupBy("recipe").agg(F.count(F.lit(1)).alias("group_size"), best.alias("best")), "classes")
     return rows.join(groups, "recipe").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), "group_size",
         (F.col("row_id") == F.col("best.row_id")).alias("kept"), "text_sha256")
