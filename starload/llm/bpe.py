@@ -4,10 +4,11 @@ Texts are split into pre-tokens, and each word of the corpus is encoded once:
 
 1. A task numbers the distinct words of a block of documents and writes each
    document as its sequence of numbers, that is the words' positions. The
-   block's words are dealt into shards by a hash. This is staged once.
-2. The shards meet in a shuffle: all blocks' words with one hash are in one
-   task, which encodes each distinct word once and answers every block.
-3. The answers meet the block's documents again, which are put together by
+   block's words are dealt into shards by a hash. One shuffle takes sequences
+   to their block's partition and words to their shard's.
+2. A shard's task has all blocks' words with one hash: it encodes each distinct
+   word once and answers every block.
+3. The answers meet the block's documents, which are put together by
    position: a gather of ids by word number.
 
 Rows carry packed arrays, so the shuffles move a few bytes per occurrence and
@@ -25,6 +26,7 @@ from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import tiktoken
 import xxhash
@@ -32,13 +34,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import shuffle_partitions, slices, staged, text_or_empty
+from starload.llm.common import shuffle_partitions, slices, text_or_empty
 
 #: Occurrences of a block, at least; the last of a task may be smaller.
-BLOCK_TOKENS = 4_000_000
+BLOCK_TOKENS = 6_000_000
 #: Longer texts are matched one by one, so that no list of all matches stands in memory.
 LONG_TEXT = 1 << 22
-DOCUMENT = 2**31 - 1  # the shard number of document rows: they sort after all shards
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -99,28 +100,30 @@ class _Block:
         self.size += len(sequence) + 1
 
     def rows(self, block: int) -> Iterator[tuple]:
-        """(block, shard, doc_id, words, numbers); numbers are by frequency."""
+        """(key, block, doc_id, words, numbers): a shard's words have the key
+        -1 - shard, documents that of their block. Words are numbered by
+        falling frequency, then by their bytes."""
         counts = np.bincount(np.concatenate(self.sequences), minlength=len(self.numbers))
-        order = np.argsort(-counts, kind="stable")
+        words = [w.encode("utf-8") for w in self.numbers]
+        order = sorted(range(len(words)), key=lambda i: (-counts[i], words[i]))
         rank = np.empty(len(order), np.uint32)
         rank[order] = np.arange(len(order), dtype=np.uint32)
-        words = [w.encode("utf-8") for w in self.numbers]
         dealt: dict[int, list[int]] = defaultdict(list)
-        for i in order.tolist():
+        for i in order:
             dealt[xxhash.xxh32_intdigest(words[i]) % self.shards].append(i)
         for shard, members in dealt.items():
             steps = np.diff(rank[members].astype(np.int64), prepend=0).astype(np.uint32)
-            yield block, shard, None, pack_words([words[i] for i in members]), _pack(steps)
+            yield -1 - shard, block, None, pack_words([words[i] for i in members]), _pack(steps)
         for doc_id, sequence in zip(self.ids, self.sequences):
-            yield block, DOCUMENT, doc_id, None, pack_sequence(rank[sequence])
+            yield block, block, doc_id, None, pack_sequence(rank[sequence])
 
 
-BLOCKS = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("doc_id", pa.int64()),
+BLOCKS = pa.schema([("key", pa.int64()), ("block", pa.int64()), ("doc_id", pa.int64()),
                     ("words", pa.binary()), ("numbers", pa.binary())])
-BLOCKS_SQL = "block long, shard int, doc_id long, words binary, numbers binary"
+BLOCKS_SQL = "key long, block long, doc_id long, words binary, numbers binary"
 
 
-def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = 4096) -> Iterator[pa.RecordBatch]:
+def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int) -> Iterator[pa.RecordBatch]:
     held = []
     for row in rows:
         held.append(row)
@@ -146,11 +149,11 @@ def blocks(docs: DataFrame, pattern: str, shards: int, block_tokens: int = BLOCK
                 for doc_id, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     block.add(doc_id, text)
                     if block.size >= block_tokens:
-                        yield from _batches(block.rows((task << 32) + made), BLOCKS)
+                        yield from _batches(block.rows((task << 32) + made), BLOCKS, 1024)
                         block.clear()
                         made += 1
         if block.ids:
-            yield from _batches(block.rows((task << 32) + made), BLOCKS)
+            yield from _batches(block.rows((task << 32) + made), BLOCKS, 1024)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(run, BLOCKS_SQL)
@@ -166,38 +169,34 @@ def _encoder(name: str, ranks: dict[bytes, int]) -> tiktoken.Encoding:
     return _ENCODERS[name]
 
 
-def answers(shard_rows: DataFrame, ranks) -> DataFrame:
+def answers(rows: DataFrame, ranks) -> DataFrame:
     """Step 2: for every block's share of a shard, the ids of its words.
     ``ranks`` is a broadcast of the vocabulary."""
-    schema = pa.schema([("block", pa.int64()), ("shard", pa.int32()), ("numbers", pa.binary()), ("ids", pa.binary())])
+    schema = pa.schema([("key", pa.int64()), ("numbers", pa.binary()), ("ids", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _encoder(f"ranks{ranks.id if hasattr(ranks, 'id') else id(ranks)}", ranks.value).encode_ordinary
-        shard, known = None, {}
+        encode = _encoder(f"ranks{len(ranks.value)}-{hash(frozenset(ranks.value))}", ranks.value).encode_ordinary
+        known: dict[bytes, bytes] = {}
 
-        def rows():
-            nonlocal shard, known
+        def coded():
             for batch in batches:
+                batch = batch.filter(pc.field("words").is_valid())
                 for part in slices(batch, 4 << 20):
-                    for b, s, words, numbers in zip(*(part.column(c).to_pylist() for c in
-                                                      ("block", "shard", "words", "numbers"))):
-                        if s != shard:
-                            shard, known = s, {}
+                    for block, words, numbers in zip(*(part.column(c).to_pylist() for c in
+                                                       ("block", "words", "numbers"))):
                         ids = []
                         for w in unpack_words(words):
                             found = known.get(w)
                             if found is None:
-                                found = known[w] = np.array(encode(w.decode("utf-8")), np.uint32)
+                                found = known[w] = np.array(encode(w.decode("utf-8")), "<u4").tobytes()
                             ids.append(found)
-                        lengths = np.fromiter(map(len, ids), np.uint32, len(ids))
-                        packed = zstandard.ZstdCompressor(level=1).compress(
-                            np.uint32(len(ids)).tobytes() + lengths.tobytes() + np.concatenate(ids).tobytes())
-                        yield b, s, numbers, packed
+                        lengths = np.fromiter(map(len, ids), np.uint32, len(ids)) // 4
+                        yield block, numbers, zstandard.ZstdCompressor(level=1).compress(
+                            np.uint32(len(ids)).tobytes() + lengths.tobytes() + b"".join(ids))
 
-        yield from _batches(rows(), schema, 64)
+        yield from _batches(coded(), schema, 64)
 
-    rows = shard_rows.select("block", "shard", "words", "numbers").repartition("shard").sortWithinPartitions("shard")
-    return rows.mapInArrow(run, "block long, shard int, numbers binary, ids binary")
+    return rows.mapInArrow(run, "key long, numbers binary, ids binary")
 
 
 class _Words:
@@ -222,81 +221,64 @@ class _Words:
         self.table = np.concatenate(self.ids)
         self.numbers = self.lengths = self.ids = None
 
-    def encode(self, sequence: np.ndarray) -> np.ndarray:
+    def encode(self, sequence: np.ndarray) -> bytes:
         if not len(sequence):
-            return np.empty(0, np.int32)
+            return b""
         if self.table is None:
             self.ready()
         length = self.length[sequence]
         ends = np.cumsum(length)
         at = np.arange(ends[-1]) + np.repeat(self.start[sequence] - (ends - length), length)
-        return self.table[at].astype(np.int32)
-
-
-def _assembled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Step 3 over rows sorted by block and shard."""
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32()))])
-    block, words = None, None
-    for batch in batches:
-        for part in slices(batch, 2 << 20):
-            doc_ids, lists = [], []
-            for b, s, doc_id, numbers, ids in zip(*(part.column(c).to_pylist() for c in
-                                                    ("block", "shard", "doc_id", "numbers", "ids"))):
-                if b != block:
-                    block, words = b, _Words()
-                if s != DOCUMENT:
-                    words.add(numbers, ids)
-                else:
-                    doc_ids.append(doc_id)
-                    lists.append(words.encode(unpack_sequence(numbers)))
-            offsets = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
-            values = pa.array(np.concatenate(lists) if lists else np.empty(0, np.int32))
-            yield pa.RecordBatch.from_arrays([pa.array(doc_ids, pa.int64()),
-                                              pa.ListArray.from_arrays(pa.array(offsets), values)], schema=schema)
+        return self.table[at].tobytes()
+
+
+def _assembled(rows: pa.Table, coded: pa.Table) -> pa.Table:
+    """Step 3: one block's documents with the answers to its words."""
+    words = _Words()
+    for numbers, ids in zip(coded["numbers"].to_pylist(), coded["ids"].to_pylist()):
+        words.add(numbers, ids)
+    rows = rows.filter(pc.field("words").is_null())
+    ids = [words.encode(unpack_sequence(numbers)) for numbers in rows["numbers"].to_pylist()]
+    return pa.table({"doc_id": rows["doc_id"], "ids": pa.array(ids, pa.binary())})
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """Token ids of documents (doc_id, text): (doc_id, ids) per input row.
+    """Token ids of documents (doc_id, text): (doc_id, ids) per input row, ids
+    as little-endian unsigned 32-bit integers.
 
     ``ranks`` and ``pattern`` as for tiktoken; special tokens are not used. A
     null or empty text has no ids. Rows that repeat a doc_id are encoded each.
+    ``docs`` should be a table that a rerun task reads in the same order.
     """
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(ranks)
-    rows = staged(blocks(docs, pattern, 2 * shuffle_partitions(spark), block_tokens), "bpe_blocks")
-    shard = F.col("shard")
-    coded = answers(rows.filter(shard != DOCUMENT), shared).select(
-        "block", "shard", F.lit(None).cast("long").alias("doc_id"), "numbers", "ids")
-    texts = rows.filter(shard == DOCUMENT).select(
-        "block", "shard", "doc_id", "numbers", F.lit(None).cast("binary").alias("ids"))
-    together = coded.unionByName(texts).repartition("block").sortWithinPartitions("block", "shard")
-    return together.mapInArrow(_assembled, "doc_id long, ids array<int>")
-
+    n = shuffle_partitions(spark)
+    rows = blocks(docs, pattern, 2 * n, block_tokens).repartition(n, "key")  # one shuffle that both steps read
+    coded = answers(rows, shared)
+    return rows.groupBy("key").cogroup(coded.groupBy("key")).applyInArrow(_assembled, "doc_id long, ids binary")
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """Adds ``decoded``, the bytes of ``ids``, to (doc_id, ids): the token-byte
     table is joined in every task, in Arrow batches. An id that the
-    vocabulary lacks is an error; a null list decodes to nothing."""
-    table = [b""] * (max(ranks.values(), default=-1) + 1)
-    known = set(ranks.values())
+    vocabulary lacks is an error; null ids decode to nothing."""
+    table: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
     for b, i in ranks.items():
         table[i] = b
-    shared = encoded.sparkSession.sparkContext.broadcast((table, frozenset(range(len(table))) - known))
-    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.binary())])
+    shared = encoded.sparkSession.sparkContext.broadcast(table)
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, unknown = shared.value
+        tokens = shared.value
         for batch in batches:
-            for part in slices(batch, 4 << 20):
-                out = []
-                for ids in part.column(1).to_pylist():
-                    ids = ids or []
-                    if ids and (min(ids) < 0 or max(ids) >= len(tokens) or unknown and not unknown.isdisjoint(ids)):
-                        raise ValueError("an id is not in the vocabulary")
-                    out.append(b"".join(map(tokens.__getitem__, ids)))
+            for part in slices(batch, 2 << 20):
+                try:
+                    out = [b"".join(map(tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+                           for ids in part.column(1).to_pylist()]
+                except (IndexError, TypeError) as e:
+                    raise ValueError("an id is not in the vocabulary") from e
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), part.column(1).cast(pa.list_(pa.int32())),
-                     pa.array(out, pa.binary())], schema=schema)
+                    [part.column(0).cast(pa.int64()), part.column(1).cast(pa.binary()), pa.array(out, pa.binary())],
+                    schema=schema)
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
+    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")

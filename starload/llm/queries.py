@@ -2,18 +2,14 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.llm import bpe
 from starload.llm.chat import canonical_turns, format_chats, read_chats
-from starload.llm.common import slices
 from starload.llm.exact_dedup import exact_dedup
 from starload.llm.mixing import mix
 from starload.llm.secret_scan import scan_secrets
@@ -72,23 +68,8 @@ def token_digests(docs: DataFrame, rank_path: str | None = None) -> DataFrame:
     """Ids of every text, decoded again; both as digests."""
     ranks = bpe.read_ranks(rank_path or public_tokenizers.path(RANK_FILE))
     both = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
-    schema = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()),
-                        ("decoded_sha256", pa.string())])
-
-    def run(batches):
-        for batch in batches:
-            for part in slices(batch, 8 << 20):
-                lists = part.column(1)
-                ends = np.asarray(lists.offsets)
-                flat = np.asarray(lists.values).astype("<u4")
-                ids = [flat[a:b].tobytes() for a, b in zip(ends[:-1], ends[1:])]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.diff(ends).astype(np.int64)),
-                     pa.array([hashlib.sha256(x).hexdigest() for x in ids], pa.string()),
-                     pa.array([hashlib.sha256(x).hexdigest() for x in part.column(2).to_pylist()], pa.string())],
-                    schema=schema)
-
-    return both.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return both.select("doc_id", F.floor(F.length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
