@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import per_row, staged, text_or_empty
+from starload.llm.common import per_row, shuffle_partitions, staged, text_or_empty
 from starload.llm.components import SMALL_BUCKET, components, dense_links
 
 SEED = 42
@@ -101,7 +101,8 @@ def _near(x: list, y: list) -> np.ndarray:
 
 def links(fps: DataFrame) -> DataFrame:
     """Links (a, b) that connect all distinct fingerprints (fp) within MAX_BITS."""
-    rows = fps.select("fp", F.explode(_keys(F.col("fp"))).alias("k")).select("fp", "k.key", "k.side")
+    spread = fps.repartition(shuffle_partitions(fps.sparkSession), "fp")  # a row becomes 68
+    rows = spread.select("fp", F.explode(_keys(F.col("fp"))).alias("k")).select("fp", "k.key", "k.side")
     met = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("side").alias("lo"),
                                   F.max("side").alias("hi"))
     met = staged(met.filter("size > 1 and (lo < hi or lo = 2)").select("key", "size"), "simhash_buckets")
