@@ -34,10 +34,10 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import shuffle_partitions, slices, text_or_empty
+from starload.llm.common import gives_back, per_row, shuffle_partitions, slices, text_or_empty
 
 #: Occurrences of a block, at least; the last of a task may be smaller.
-BLOCK_TOKENS = 6_000_000
+BLOCK_TOKENS = 3_000_000
 #: Longer texts are matched one by one, so that no list of all matches stands in memory.
 LONG_TEXT = 1 << 22
 
@@ -140,6 +140,7 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 def blocks(docs: DataFrame, pattern: str, shards: int, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """Step 1: shard rows and document rows of every block."""
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         task = TaskContext.get().partitionId()
@@ -174,6 +175,7 @@ def answers(rows: DataFrame, ranks) -> DataFrame:
     ``ranks`` is a broadcast of the vocabulary."""
     schema = pa.schema([("key", pa.int64()), ("numbers", pa.binary()), ("ids", pa.binary())])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoder(f"ranks{len(ranks.value)}-{hash(frozenset(ranks.value))}", ranks.value).encode_ordinary
         known: dict[bytes, bytes] = {}
@@ -232,14 +234,21 @@ class _Words:
         return self.table[at].tobytes()
 
 
-def _assembled(rows: pa.Table, coded: pa.Table) -> pa.Table:
-    """Step 3: one block's documents with the answers to its words."""
+def _block_ids(rows: pa.Table, coded: pa.Table) -> tuple[pa.ChunkedArray, list[bytes]]:
+    """Step 3: doc_ids and ids of one block's documents, from the answers to its words."""
     words = _Words()
     for numbers, ids in zip(coded["numbers"].to_pylist(), coded["ids"].to_pylist()):
         words.add(numbers, ids)
     rows = rows.filter(pc.field("words").is_null())
-    ids = [words.encode(unpack_sequence(numbers)) for numbers in rows["numbers"].to_pylist()]
-    return pa.table({"doc_id": rows["doc_id"], "ids": pa.array(ids, pa.binary())})
+    return rows["doc_id"], [words.encode(unpack_sequence(numbers)) for numbers in rows["numbers"].to_pylist()]
+
+
+def _met(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_tokens: int):
+    """Cogroups of a block's documents and the answers to its words."""
+    spark = docs.sparkSession
+    n = shuffle_partitions(spark)
+    rows = blocks(docs, pattern, 2 * n, block_tokens).repartition(n, "key")  # one shuffle that both steps read
+    return rows.groupBy("key").cogroup(answers(rows, spark.sparkContext.broadcast(ranks)).groupBy("key"))
 
 
 def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -250,35 +259,47 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_tokens:
     null or empty text has no ids. Rows that repeat a doc_id are encoded each.
     ``docs`` should be a table that a rerun task reads in the same order.
     """
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast(ranks)
-    n = shuffle_partitions(spark)
-    rows = blocks(docs, pattern, 2 * n, block_tokens).repartition(n, "key")  # one shuffle that both steps read
-    coded = answers(rows, shared)
-    return rows.groupBy("key").cogroup(coded.groupBy("key")).applyInArrow(_assembled, "doc_id long, ids binary")
+    def assembled(rows: pa.Table, coded: pa.Table) -> pa.Table:
+        doc_ids, ids = _block_ids(rows, coded)
+        return pa.table({"doc_id": doc_ids, "ids": pa.array(ids, pa.binary())})
+
+    return _met(docs, ranks, pattern, block_tokens).applyInArrow(assembled, "doc_id long, ids binary")
+
+
+def token_table(ranks: dict[bytes, int]) -> list[bytes | None]:
+    """Bytes by token id."""
+    table: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for b, i in ranks.items():
+        table[i] = b
+    return table
+
+
+def decoded(ids: bytes | None, tokens: list[bytes | None]) -> bytes:
+    try:
+        return b"".join(map(tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
+    except (IndexError, TypeError) as e:
+        raise ValueError("an id is not in the vocabulary") from e
 
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int]) -> DataFrame:
     """Adds ``decoded``, the bytes of ``ids``, to (doc_id, ids): the token-byte
     table is joined in every task, in Arrow batches. An id that the
     vocabulary lacks is an error; null ids decode to nothing."""
-    table: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
-    for b, i in ranks.items():
-        table[i] = b
-    shared = encoded.sparkSession.sparkContext.broadcast(table)
+    shared = encoded.sparkSession.sparkContext.broadcast(token_table(ranks))
     schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("decoded", pa.binary())])
+    rows = encoded.select(F.col("doc_id").cast("long").alias("doc_id"), "ids", F.col("ids").alias("again"))
+    return rows.mapInArrow(per_row(lambda ids, again: (ids, decoded(again, shared.value)), ["doc_id", "ids", "again"],
+                                   schema, 2 << 20), "doc_id long, ids binary, decoded binary")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = shared.value
-        for batch in batches:
-            for part in slices(batch, 2 << 20):
-                try:
-                    out = [b"".join(map(tokens.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
-                           for ids in part.column(1).to_pylist()]
-                except (IndexError, TypeError) as e:
-                    raise ValueError("an id is not in the vocabulary") from e
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).cast(pa.int64()), part.column(1).cast(pa.binary()), pa.array(out, pa.binary())],
-                    schema=schema)
-
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, decoded binary")
+
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+    """``decode(encode(docs))`` in one pass over each block: the ids are
+    decoded where they are put together, so no second Python worker stands by."""
+    shared = docs.sparkSession.sparkContext.broadcast(token_table(ranks))
+
+    def both(rows: pa.Table, coded: pa.Table) -> pa.Table:
+        doc_ids, ids = _block_ids(rows, coded)
+        return pa.table({"doc_id": doc_ids, "ids": pa.array(ids, pa.binary()),
+                         "decoded": pa.array([decoded(x, shared.value) for x in ids], pa.binary())})
+
+    return _met(docs, ranks, pattern, block_tokens).applyInArrow(both, "doc_id long, ids binary, decoded binary")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
+import gc
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -37,12 +40,27 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def gives_back(run: Callable) -> Callable:
+    """A batch function whose worker, which Spark keeps for later tasks,
+    returns freed memory to the system when its task ends."""
+    @functools.wraps(run)
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+    return wrapped
+
+
 def per_row(fn: Callable[..., tuple], inputs: list[str], schema: pa.Schema,
             batch_bytes: int = 8 << 20) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """A ``mapInArrow`` function: the input's first column, the row's id, is
     copied; ``fn`` gets the others of ``inputs`` and gives the output's other
     columns. Input is taken in slices of bounded size, so that a run of long
     texts never stands in memory as Python objects at once."""
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, batch_bytes):

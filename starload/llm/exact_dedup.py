@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import per_row, slices, staged, text_or_empty
+from starload.llm.common import gives_back, per_row, slices, staged, text_or_empty
 
 WHITE = b" \t\n\x0b\x0c\r"
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
@@ -92,6 +92,7 @@ def chunk_contents(docs: DataFrame, digest_bytes: int) -> DataFrame:
     """The distinct (digest, content) pairs of the corpus."""
     schema = pa.schema([("digest", pa.binary()), ("content", pa.binary())])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, 8 << 20):

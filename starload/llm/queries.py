@@ -67,7 +67,7 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def token_digests(docs: DataFrame, rank_path: str | None = None) -> DataFrame:
     """Ids of every text, decoded again; both as digests."""
     ranks = bpe.read_ranks(rank_path or public_tokenizers.path(RANK_FILE))
-    both = bpe.decode(bpe.encode(docs, ranks, public_tokenizers.PATTERN), ranks)
+    both = bpe.round_trip(docs, ranks, public_tokenizers.PATTERN)
     return both.select("doc_id", F.floor(F.length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starload.llm.common import slices, staged, text_or_empty
+from starload.llm.common import gives_back, slices, staged, text_or_empty
 from starload.llm.components import SMALL_BUCKET, components, dense_links
 
 SHINGLE = 5
@@ -159,6 +159,7 @@ UNITS = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int
                    ("check", pa.int64()), ("bands", pa.list_(pa.int64()))])
 
 
+@gives_back
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, 4 << 20):
@@ -175,6 +176,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                  pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys))], schema=UNITS)
 
 
+@gives_back
 def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("sig", pa.int64()), ("grams", pa.list_(pa.int64()))])
     for batch in batches:

@@ -30,12 +30,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import per_row, shuffle_partitions, slices, staged, text_or_empty
+from starload.llm.common import gives_back, per_row, shuffle_partitions, slices, staged, text_or_empty
 
 EXAMPLES = 10_000        # of each class, at most
 FEATURES = 1024          # at most
@@ -185,6 +184,7 @@ def feature_counts(texts: DataFrame) -> DataFrame:
             [pa.array([f for f, _ in found], pa.string()), pa.array([n if t else 0 for (_, t), n in found.items()]),
              pa.array([0 if t else n for (_, t), n in found.items()])], schema=schema)
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         for batch in batches:
@@ -224,6 +224,7 @@ def document_frequencies(docs: DataFrame, features: list[str]) -> tuple[np.ndarr
     vectorizer = Vectorizer(features)
     schema = pa.schema([("feature", pa.int64()), ("n", pa.int64())])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: Counter = Counter()
         for batch in batches:
@@ -283,6 +284,7 @@ def calibrate(model: Model, rows: DataFrame) -> Model:
     shared = rows.sparkSession.sparkContext.broadcast(model)
     schema = pa.schema([("bin", pa.int32()), ("n", pa.float64()), ("y", pa.float64()), ("x", pa.float64())])
 
+    @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         number = {d: i for i, d in enumerate(m.ids.tolist())}
@@ -317,15 +319,18 @@ def scorer(docs: DataFrame, model: Model):
     """A column function: score and evidence (the three nearest examples) of a text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf(SCORE)
-    def score(texts: pd.Series) -> pd.DataFrame:
+    kind = pa.struct([("score", pa.float64()), ("evidence", pa.list_(pa.struct(
+        [("doc_id", pa.int64()), ("toxic", pa.int32()), ("cosine", pa.float64())])))])
+
+    @F.arrow_udf(SCORE)
+    def score(texts: pa.Array) -> pa.Array:
         m = shared.value
-        scores, evidence = [], []
-        for text in texts:
-            near = m.neighbours(text or "")
-            scores.append(m.calibrated(m.vote(near)))
-            evidence.append([{"doc_id": int(m.ids[i]), "toxic": int(m.labels[i]), "cosine": c} for c, i in near[:3]])
-        return pd.DataFrame({"score": scores, "evidence": evidence})
+        out = []
+        for text in texts:  # one text at a time is a Python object
+            near = m.neighbours(text.as_py() or "")
+            out.append({"score": m.calibrated(m.vote(near)), "evidence": [
+                {"doc_id": int(m.ids[i]), "toxic": int(m.labels[i]), "cosine": c} for c, i in near[:3]]})
+        return pa.array(out, kind)
     return score
 
 
