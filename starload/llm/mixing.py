@@ -52,7 +52,8 @@ def source_targets(sources: DataFrame, weights=SOURCE_WEIGHTS, share=MIX_SHARE,
 
     With sources by ascending cap per weight, a source is capped if its cap
     is no higher than the level that the words and weights not yet given
-    away make possible; the first that is not fixes the level for the rest.
+    away make possible; the first that is not fixes the level for the rest (the
+    levels computed after it are lower).
     """
     by_name = W.orderBy(F.col("source").asc_nulls_last())
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]),
@@ -66,7 +67,7 @@ def source_targets(sources: DataFrame, weights=SOURCE_WEIGHTS, share=MIX_SHARE,
     rest_weight = F.sum("w").over(everything) - F.coalesce(F.sum("w").over(before), F.lit(0.0))
     s = s.withColumn("level", rest_words / rest_weight)
     s = s.withColumn("capped", F.col("cap") / F.col("w") <= F.col("level"))
-    level = F.min(F.when(~F.col("capped"), F.col("level"))).over(everything)
+    level = F.max(F.when(~F.col("capped"), F.col("level"))).over(everything)
     return s.select("source", "source_size",
                     F.when(F.col("capped"), F.col("cap")).otherwise(F.col("w") * level).alias("target"))
 

@@ -116,7 +116,7 @@ MIX_SQL = r"""with d as (
   from c
 ), t as (
   select source, source_size, case when cap / w <= level then cap
-    else w * min(case when cap / w > level then level end) over () end as target
+    else w * max(case when cap / w > level then level end) over () end as target
   from l
 ), r as (
   select k.doc_id, k.size, k.source, t.source_size, t.target,
