@@ -19,17 +19,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.functions.columns import hash_key_sql
-from starload.operators.conform import conform, select_in_schema_order
+from starload.operators.conform import conform, select_in_schema_order, subset_schema
 from starload.operators.dimensional import build_star, dimension
 from starload.operators.relational import relational
-from starload.plans.standin import (BANK_FROM_STANDIN, CUSTOMER_RELATIONAL, STANDIN_SCHEMA,
-                                    STANDIN_STAR, bank_base, read_table, standin_base)
+from starload.plans.standin import (CUSTOMER_RELATIONAL, STANDIN_SCHEMA, STANDIN_STAR, bank_base,
+                                    read_table, standin_base)
 from starload.plans.flows import extract_load, load_all, star_load
 from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table
 from starload.schemas import EXAMPLE, FDIC_BANKS
 from starload.session import scratch_path
-from starload.sinks.files import parquet_sink, write_csv, write_parquet
+from starload.sinks.files import csv_sink, parquet_sink, write_csv, write_parquet
 from starload.sources.files import read_csv, read_parquet, table_path
 from starload.sources.generic import load_base, read_source
 
@@ -107,18 +106,18 @@ def _bank_relational(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def q_ref_extract_load(spark, sf_dir):
     """The bank-shaped stand-in written as a source table, then extracted
-    through the generic source reader, bound to the declared schema and
-    loaded as the single comprehensive table."""
+    through the generic source reader, bound to the schema declared under the
+    table's name and loaded as the single comprehensive table."""
     source = scratch_path(spark, "bank_source")
     write_parquet(bank_base(standin_base(spark, sf_dir)), source)
     root = scratch_path(spark, "extract_load")
-    path = extract_load(spark, "parquet", FDIC_BANKS, parquet_sink(root), "fdic_banks", path=source)
+    path = extract_load(spark, "parquet", None, parquet_sink(root), "fdic_banks", path=source, strict=True)
     return read_parquet(spark, path, FDIC_BANKS)
 
 
 def _load_all(name: str) -> Callable[[SparkSession, str], DataFrame]:
-    """Single table, star and relational tables loaded by ``load_all`` (the
-    outputs read back from the written single table); one table read back."""
+    """Single table, star and relational tables loaded by ``load_all``; one
+    table read back."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         paths = load_all(bank_base(standin_base(spark, sf_dir)), FDIC_BANKS,
                          parquet_sink(scratch_path(spark, "load_all")), "fdic_banks",
@@ -127,6 +126,34 @@ def _load_all(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return q
 
 
+def _load_all_twice(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Two loads of the same base, appended; one table read back."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        sink = parquet_sink(scratch_path(spark, "load_all_twice"), mode="append")
+        for _ in range(2):
+            paths = load_all(bank_base(standin_base(spark, sf_dir)), FDIC_BANKS, sink, "fdic_banks",
+                             star=BANK_STAR, relational=BANK_RELATIONAL)
+        return read_parquet(spark, paths[name])
+    return q
+
+
+def q_load_all_csv(spark, sf_dir):
+    paths = load_all(bank_base(standin_base(spark, sf_dir)), "fdic_banks",
+                     csv_sink(scratch_path(spark, "load_all_csv")), "fdic_banks", star=BANK_STAR)
+    name = "state_dimension_table"
+    return read_csv(spark, paths[name], subset_schema(FDIC_BANKS, BANK_STAR.dimensions[name]))
+
+
+def q_rel_joined_back(spark, sf_dir):
+    """The base again, from the child and its parents."""
+    tables = relational(bank_base(standin_base(spark, sf_dir)), BANK_RELATIONAL)
+    rows = tables[BANK_RELATIONAL.child]
+    for p in BANK_RELATIONAL.parents:
+        held = [c for c in p.natural_key if c not in rows.columns]
+        rows = rows.join(tables[p.name].select(p.key, *held), p.key)
+    return rows.select(*FDIC_BANKS.names)
+
+
 def _written_star(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """The whole bank star loaded by ``star_load`` (staged base, all five
     tables written); one of its tables read back."""
@@ -139,12 +166,8 @@ def _written_star(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def q_ref_query_to_table(spark, sf_dir):
     root = scratch_path(spark, "ref_query_to_table")
-    sql = """
-        SELECT DISTINCT
-            state_name,
-            state_fips_code
-        FROM {base};
-    """
+    columns = ", ".join(BANK_STAR.dimensions["state_dimension_table"])
+    sql = f"SELECT {columns} FROM {{base}} GROUP BY ALL"
     path = query_to_table(spark, sql, parquet_sink(root), "state_dimension_table", schema=FDIC_BANKS,
                           base=bank_base(standin_base(spark, sf_dir)))
     return read_parquet(spark, path)
@@ -209,6 +232,25 @@ def q_example_csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path, EXAMPLE)
 
 
+def q_example_partitioned(spark, sf_dir):
+    path = scratch_path(spark, "example_partitioned")
+    write_parquet(_customer_as_example(spark, sf_dir), path, schema=EXAMPLE, partition_by=["Country name"])
+    return read_parquet(spark, path, EXAMPLE)
+
+
+def q_csv_types_roundtrip(spark, sf_dir):
+    """Types whose text form could lose digits, written as CSV and read back."""
+    o = read_table(spark, sf_dir, "orders")
+    def micro(n):
+        return F.expr(f"o_orderdate + make_dt_interval(0, 0, 0, cast((o_orderkey % {n}) / 1000000 as decimal(18, 6)))")
+    df = o.select("o_orderkey", micro(1000003).alias("at_time"), micro(999983).cast("timestamp").alias("instant"),
+                  F.col("o_orderdate").cast("date").alias("day"), F.col("o_totalprice").cast("decimal(18,3)").alias("price"),
+                  (F.col("o_orderkey") % 2 == 0).alias("even"))
+    path = scratch_path(spark, "csv_types")
+    write_csv(df, path)
+    return read_csv(spark, path, df.schema).withColumn("instant", F.unix_micros("instant"))
+
+
 def q_schema_subset(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer").select("c_mktsegment", "c_custkey")
     return select_in_schema_order(c, CUSTOMER_DECLARED)
@@ -307,6 +349,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs["ref_written_bank_dimension_table"] = _written_star("bank_dimension_table")
     qs["ref_load_all_fact_table"] = _load_all("fact_table")
     qs["ref_load_all_institution_table"] = _load_all("institution_table")
+    qs["ref_load_all_twice_fact_table"] = _load_all_twice("fact_table")
+    qs["ref_load_all_twice_state_dimension_table"] = _load_all_twice("state_dimension_table")
+    qs["ref_load_all_csv_state_dimension_table"] = q_load_all_csv
+    qs["ref_rel_joined_back"] = q_rel_joined_back
+    qs["example_partitioned"] = q_example_partitioned
+    qs["csv_types_roundtrip"] = q_csv_types_roundtrip
     for p in BANK_RELATIONAL.parents:
         qs[f"ref_rel_{p.name}"] = _bank_relational(p.name)
     qs[f"ref_rel_{BANK_RELATIONAL.child}"] = _bank_relational(BANK_RELATIONAL.child)
@@ -327,29 +375,89 @@ W_CTE = """with w as (
   join region r on n.n_regionkey = r.r_regionkey
 )"""
 
-_SQL_TYPE = {"string": "varchar", "boolean": "boolean"}
+# The declared columns of the bank table, in order; booleans end in "?".
+BANK_COLUMNS = """
+    fdic_certificate_number institution_name state_name fdic_id docket active? address total_assets
+    bank_charter_class change_code_1 change_code_2 change_code_3 change_code_4 change_code_5 change_code_6
+    change_code_7 change_code_8 change_code_9 change_code_10 change_code_11 change_code_12 change_code_13
+    change_code_14 change_code_15 occ_charter chartering_agency conservatorship? city category_code
+    county_fips_code county_name established_date last_updated effective_date end_effective_date
+    denovo_institute total_deposits equity_capital fdic_geo_region fdic_supervisory_region
+    fdic_supervisory_region_code fed_reserve_district fed_reserve_district_id fed_reserve_unique_id
+    federal_charter? fdic_field_office iba? inactive_flag? insurance_fund_membership
+    secondary_insurance_fund deposit_insurance_date credit_card_institution bank_insurance_fund_member?
+    insured_commercial_bank? deposit_insurance_fund_member? fdic_insured? saif_insured?
+    insured_savings_institute? new_cert_number oakar_institute? ots_region last_structural_change qbp_region
+    regulator report_date reporting_period_end_date state_chartered? return_on_assets roa_quarterly
+    roa_pretax row_pretax_quarterly return_on_equity roe_quarterly run_date sasser_institute? law_sasser?
+    state state_fips_code trade_name_1 trade_name_2 trade_name_3 trade_name_4 trade_name_5 trade_name_6
+    zip_code occ_district ultimate_cert_number cfpb_supervisory_flag? cfpb_supervisory_start_date
+    cfpb_supervisory_end_date offices_count parent_fdic_cert parent_parcert high_holder_city
+    total_domestic_deposits ffiec_call_report_filer holding_company_flag ag_lending_flag ownership_type
+    top_holder net_income quarterly_net_income office_count_domestic office_count_foreign
+    office_count_us_territories rssd_id holding_company_state subchap_s_indicator trust_powers_status
+    asset_concentration_hierarchy primary_specialization csa_name csa_fips_code csa_indicator? cbsa_name
+    cbsa_fips_code cbsa_metro_flag? cbsa_micro_flag? cbsa_division_name cbsa_division_fips_code
+    cbsa_division_flag?
+""".split()
+
+BANK_SQL = {
+    "fdic_certificate_number": "c_custkey",
+    "institution_name": "c_name",
+    "fdic_id": "o_orderkey",
+    "state_name": "case when n_nationkey = 3 then null else n_name end",
+    "state_fips_code": "case when n_nationkey = 4 then null else n_nationkey end",
+    "city": "case when o_orderkey % 11 = 0 then null else o_orderpriority end",
+    "bank_charter_class": "o_orderstatus",
+    "chartering_agency": "case when c_custkey % 7 = 0 then null else c_mktsegment end",
+    "federal_charter": "case when o_orderkey % 5 = 0 then null else o_orderstatus = 'F' end",
+    "total_assets": "o_totalprice",
+    "equity_capital": "c_acctbal",
+    "effective_date": "o_orderdate",
+    "address": "concat(c_custkey % 97, ' ', r_name)",
+    "zip_code": "case when c_custkey % 13 = 0 then null else c_custkey % 1000 end",
+    "occ_charter": "case when c_custkey % 3 = 0 then null else c_custkey * 2 end",
+    "fdic_field_office": "r_name",
+    "total_deposits": "concat('D', o_orderkey % 1009)",
+    "net_income": "concat('N', o_orderkey % 499)",
+    "return_on_assets": "concat('A', o_orderkey % 251)",
+    "return_on_equity": "concat('E', o_orderkey % 241)",
+}
 
 
 def _bank_cte() -> str:
+    """The stand-in as the bank table, in SQL of its own."""
     cols = []
-    for f in FDIC_BANKS.fields:
-        sql_t = _SQL_TYPE[f.dataType.typeName()]
-        src = BANK_FROM_STANDIN.get(f.name)
-        expr = f"cast(({src}) as {sql_t})" if src else f"cast(null as {sql_t})"
-        cols.append(f'{expr} as "{f.name}"')
+    for i, column in enumerate(BANK_COLUMNS):
+        name = column.rstrip("?")
+        if column.endswith("?"):
+            rule = f"case when o_orderkey % {7 + i} < 2 then null else o_orderkey % {7 + i} % 2 = 0 end"
+        else:
+            rule = f"case when o_orderkey % {3 + i} = 0 then null else concat('{i}-', o_orderkey % {13 + i}) end"
+        kind = "boolean" if column.endswith("?") else "varchar"
+        cols.append(f'cast(({BANK_SQL.get(name, rule)}) as {kind}) as "{name}"')
     return W_CTE + ",\nb as (\n  select " + ",\n         ".join(cols) + "\n  from w\n)"
 
 
-def _quoted(cols) -> list[str]:
-    return [f'"{c}"' for c in cols]
+STAR_SQL = {
+    "bank_dimension_table": """select distinct fdic_certificate_number, institution_name, address, city, state_name,
+        zip_code, bank_charter_class, occ_charter, chartering_agency, federal_charter, fdic_field_office from b""",
+    "state_dimension_table": "select distinct state_name, state_fips_code from b",
+    "city_dimension_table": "select distinct city, state_name from b",
+    "chartering_agency_dimension_table": "select distinct chartering_agency from b",
+    "fact_table": """select fdic_certificate_number, total_assets, total_deposits, equity_capital, net_income,
+        return_on_assets, return_on_equity, state_fips_code, city, chartering_agency, effective_date from b""",
+}
 
 
-def _cols_sql(cols) -> str:
-    return ", ".join(_quoted(cols))
+def _key_sql(*columns: str) -> str:
+    """md5 over the parts of a key: the length and text of each, "~" for NULL."""
+    parts = [f"coalesce(length(cast({c} as varchar)) || ':' || cast({c} as varchar), '~')" for c in columns]
+    return "md5(" + " || '|' || ".join(parts) + ")"
 
 
 def oracle_sql() -> dict[str, str]:
-    key = hash_key_sql(["c_mktsegment", "c_nationkey"])
+    key = _key_sql("c_mktsegment", "c_nationkey")
     sql = {
         "single_table": f"{W_CTE} select * from w",
         "dim_entity": f"{W_CTE} select distinct c_custkey, c_name, c_mktsegment, n_name, r_name from w",
@@ -382,22 +490,34 @@ def oracle_sql() -> dict[str, str]:
         sql[q] = "select * from supplier"
     bank = _bank_cte()
     sql["ref_single_table"] = f"{bank} select * from b"
-    for name, cols in BANK_STAR.dimensions.items():
-        sql[f"ref_{name}"] = f"{bank} select distinct {_cols_sql(cols)} from b"
-    for name, cols in BANK_STAR.facts.items():
-        sql[f"ref_{name}"] = f"{bank} select {_cols_sql(cols)} from b"
+    for name, text in STAR_SQL.items():
+        sql[f"ref_{name}"] = f"{bank} {text}"
     sql["ref_query_to_table"] = sql["ref_state_dimension_table"]
     sql["ref_extract_load"] = sql["ref_single_table"]
+    sql["ref_rel_joined_back"] = sql["ref_single_table"]
     sql["ref_written_fact_table"] = sql["ref_fact_table"]
     sql["ref_written_bank_dimension_table"] = sql["ref_bank_dimension_table"]
     sql["ref_load_all_fact_table"] = sql["ref_fact_table"]
-    for p in BANK_RELATIONAL.parents:
-        sql[f"ref_rel_{p.name}"] = (f"{bank} select distinct {hash_key_sql(_quoted(p.natural_key))} as {p.key}, "
-                                    f"{_cols_sql(p.natural_key)} from b")
-    fks = ", ".join(f"{hash_key_sql(_quoted(p.natural_key))} as {p.key}" for p in BANK_RELATIONAL.parents)
-    sql[f"ref_rel_{BANK_RELATIONAL.child}"] = (f"{bank} select {_cols_sql(BANK_RELATIONAL.child_columns)}, "
-                                               f"{fks} from b")
-    sql["ref_load_all_institution_table"] = sql[f"ref_rel_{BANK_RELATIONAL.child}"]
+    sql["ref_load_all_csv_state_dimension_table"] = sql["ref_state_dimension_table"]
+    sql["ref_load_all_twice_state_dimension_table"] = sql["ref_state_dimension_table"]
+    fact_sql = STAR_SQL["fact_table"]
+    sql["ref_load_all_twice_fact_table"] = f"{bank} {fact_sql} union all {fact_sql}"
+    state, city = _key_sql("state_name", "state_fips_code"), _key_sql("city", "state_name")
+    agency = _key_sql("chartering_agency")
+    sql["ref_rel_state_table"] = f"{bank} select distinct {state} as state_key, state_name, state_fips_code from b"
+    sql["ref_rel_city_table"] = f"{bank} select distinct {city} as city_key, city, state_name from b"
+    sql["ref_rel_chartering_agency_table"] = (
+        f"{bank} select distinct {agency} as chartering_agency_key, chartering_agency from b")
+    sql["ref_rel_institution_table"] = (
+        f"{bank} select * exclude (state_name, state_fips_code, city, chartering_agency), {state} as state_key, "
+        f"{city} as city_key, {agency} as chartering_agency_key from b")
+    sql["ref_load_all_institution_table"] = sql["ref_rel_institution_table"]
+    sql["example_partitioned"] = example
+    sql["csv_types_roundtrip"] = """
+        select o_orderkey, o_orderdate + to_microseconds(o_orderkey % 1000003) as at_time,
+          epoch_us(o_orderdate + to_microseconds(o_orderkey % 999983)) as instant,
+          cast(o_orderdate as date) as day, cast(o_totalprice as decimal(18, 3)) as price, o_orderkey % 2 = 0 as even
+        from orders"""
     if llm_queries:
         sql |= llm_queries.ORACLES
     return sql

@@ -16,18 +16,18 @@ from starload.plans.flows import extract_load, load_all, star_load
 from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table, type_declared
 from starload.schemas import EXAMPLE, FDIC_BANKS, SCHEMAS, get_schema, register_schema, sql_types
 from starload.session import scratch_path, shared_dir
-from starload.sinks.files import assert_not_reading, csv_sink, parquet_sink, rebalance, write_csv, write_parquet
-from starload.sinks.tables import write_tables
-from starload.sinks.jdbc import create_table_column_types, create_table_sql, jdbc_sink, write_jdbc
+from starload.sinks.files import FileSink, assert_not_reading, csv_sink, parquet_sink, rebalance, write_csv, write_parquet
+from starload.sinks.tables import append_new_members, write_tables
+from starload.sinks.jdbc import create_table_column_types, jdbc_sink, write_jdbc
 from starload.sources.files import read_csv, read_parquet, table_path
 from starload.sources.generic import load_base, read_source
 from starload.sources.jdbc import JdbcConnection, JdbcPartitioning, jdbc_partitioning, read_jdbc
 
 __all__ = [
-    "BANK_RELATIONAL", "BANK_STAR", "EXAMPLE", "FDIC_BANKS", "JdbcConnection", "JdbcPartitioning",
+    "BANK_RELATIONAL", "BANK_STAR", "EXAMPLE", "FDIC_BANKS", "FileSink", "JdbcConnection", "JdbcPartitioning",
     "Outputs", "Parent", "RelationalSpec", "SCHEMAS", "SHARE_MODES", "Star", "StarSpec",
-    "assert_not_reading", "build_relational", "build_star", "child_table", "conform",
-    "create_table_column_types", "create_table_sql", "csv_sink", "dimension", "extract_load",
+    "append_new_members", "assert_not_reading", "build_relational", "build_star", "child_table", "conform",
+    "create_table_column_types", "csv_sink", "dimension", "extract_load",
     "fact", "get_schema", "hash_key", "hash_key_sql", "jdbc_partitioning", "jdbc_sink", "load_all", "load_base",
     "parent_table", "parquet_sink", "query_to_table", "read_csv", "read_jdbc", "read_parquet",
     "read_source", "rebalance", "register_schema", "relational", "resolve_share", "run_star",

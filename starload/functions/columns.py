@@ -1,5 +1,6 @@
 """Column expressions shared by the operators. All are built-in Spark
-functions, so they stay inside whole-stage code generation."""
+functions. Plans of up to ``spark.sql.codegen.maxFields`` columns compile to
+one loop; wider ones, such as the 121-column table, run operator by operator."""
 
 from __future__ import annotations
 

@@ -54,9 +54,9 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFr
 
 
 def subset_schema(schema: T.StructType, columns: Iterable[str]) -> T.StructType:
-    """Declared fields whose names are in ``columns``, in declared order."""
-    wanted = set(columns)
-    return T.StructType([f for f in schema.fields if f.name in wanted])
+    """Declared fields whose names are in ``columns`` (in any case), in declared order."""
+    wanted = {c.lower() for c in columns}
+    return T.StructType([f for f in schema.fields if f.name.lower() in wanted])
 
 
 def select_in_schema_order(df: DataFrame, schema: T.StructType) -> DataFrame:

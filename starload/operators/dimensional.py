@@ -60,6 +60,12 @@ class StarSpec:
 Star = Outputs
 
 
+def star_frames(base: DataFrame, spec: StarSpec) -> dict[str, DataFrame]:
+    """Every output of ``spec``, lazily."""
+    return {**{name: dimension(base, cols) for name, cols in spec.dimensions.items()},
+            **{name: fact(base, cols) for name, cols in spec.facts.items()}}
+
+
 def build_star(base: DataFrame, spec: StarSpec, share: str = "auto") -> Star:
     """All outputs of ``spec`` from one base, pruned to the columns they use.
 
@@ -68,9 +74,7 @@ def build_star(base: DataFrame, spec: StarSpec, share: str = "auto") -> Star:
     """
     share = resolve_share(base, share)
     pruned, staged = share_base(base, spec.columns(), share)
-    frames = {name: dimension(pruned, cols) for name, cols in spec.dimensions.items()}
-    frames.update({name: fact(pruned, cols) for name, cols in spec.facts.items()})
-    return Star(frames=frames, base=pruned, share=share, staged_path=staged)
+    return Star(frames=star_frames(pruned, spec), base=pruned, share=share, staged_path=staged)
 
 
 def run_star(star: Star, sink: Sink, parallel: int | None = None) -> dict[str, object]:

@@ -1,7 +1,7 @@
 """Normalised relational tables (R1).
 
 Each parent table holds the distinct natural-key (and attribute) rows of the
-base plus a deterministic hash key; the child table holds its own columns and
+base plus a deterministic hash key over all of them, so a key names one row; the child table holds its own columns and
 one foreign-key column per parent. Keys come from the row content alone
 (``hash_key``), so there is no global sort or sequence to number rows and
 nothing to coordinate between tasks: the child is a projection and each
@@ -40,14 +40,14 @@ def parent_table(base: DataFrame, parent: Parent) -> DataFrame:
     so only distinct rows are hashed and the shuffle carries no key column."""
     cols = [*parent.natural_key, *parent.attributes]
     distinct = base.select(*[F.col(quoted(c)) for c in cols]).distinct()
-    return distinct.select(hash_key(parent.natural_key).alias(parent.key),
+    return distinct.select(hash_key(cols).alias(parent.key),
                            *[F.col(quoted(c)) for c in cols])
 
 
 def child_table(base: DataFrame, spec: RelationalSpec) -> DataFrame:
     """Child rows with one foreign key per parent; one row per base row."""
     return base.select(*[F.col(quoted(c)) for c in spec.child_columns],
-                       *[hash_key(p.natural_key).alias(p.key) for p in spec.parents])
+                       *[hash_key([*p.natural_key, *p.attributes]).alias(p.key) for p in spec.parents])
 
 
 def relational(base: DataFrame, spec: RelationalSpec) -> dict[str, DataFrame]:

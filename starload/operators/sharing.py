@@ -18,14 +18,12 @@ shared copy, pruned to the columns they use:
   column), else ``"stage"``.
 
 Checkpointed and staged data survive the loss of executors without
-recomputation; they stay in the checkpoint folder, whose clean-up belongs
-to the cluster's retention policy.
+recomputation. ``write_outputs`` deletes a staged copy when all outputs are
+written; checkpoints are cleaned by Spark or the cluster's retention policy.
 """
 
 from __future__ import annotations
 
-import contextlib
-import io
 import logging
 import re
 from collections.abc import Sequence
@@ -35,7 +33,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from starload.functions.columns import quoted
-from starload.session import scratch_path, shared_dir
+from starload.session import drop_path, scratch_path, shared_dir
 from starload.sinks.tables import Sink, write_tables
 
 log = logging.getLogger("starload")
@@ -43,21 +41,21 @@ log = logging.getLogger("starload")
 SHARE_MODES = ("auto", "none", "persist", "checkpoint", "stage")
 
 # physical operators that only read, prune or filter a columnar file scan
-_CHEAP_NODES = {"AdaptiveSparkPlan", "Project", "Filter", "ColumnarToRow", "FileScan"}
+_CHEAP_NODES = {"Project", "Filter", "ColumnarToRow", "FileScan", "Union"}
 _COLUMNAR = {"parquet", "orc"}
 
 
 def _physical_plan(df: DataFrame) -> str:
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        df.explain()
-    return buf.getvalue()
+    """The physical plan's tree, from the plan object; empty where the driver's
+    JVM is out of reach (Spark Connect)."""
+    jdf = getattr(df, "_jdf", None)
+    return jdf.queryExecution().sparkPlan().treeString() if jdf is not None else ""
 
 
 def is_plain_columnar_scan(df: DataFrame) -> bool:
     """True when ``df`` is only a Parquet/ORC scan with projections and
-    filters (read from its ``explain()`` output; unknown shapes say False)."""
-    lines = [ln for ln in _physical_plan(df).splitlines() if ln.strip() and not ln.startswith("==")]
+    filters, or a union of such (unknown shapes say False)."""
+    lines = [ln for ln in _physical_plan(df).splitlines() if ln.strip()]
     if not lines:
         return False
     for ln in lines:
@@ -115,8 +113,11 @@ class Outputs:
         return self.frames[name]
 
     def release(self) -> None:
+        """Uncaches the base, or deletes its staged copy: its frames end here."""
         if not self._released and self.share == "persist":
             self.base.unpersist()
+        if not self._released and self.staged_path:
+            drop_path(self.base.sparkSession, self.staged_path)
         self._released = True
 
 

@@ -1,11 +1,13 @@
-"""The loading flows of the original tool as plain compositions.
+"""The loading flows as plain compositions.
 
 ``extract_load``: any Spark data source -> declared schema -> one table (the
 single comprehensive table). ``star_load``: base -> dimensions and facts ->
-one table each. ``load_all``: both in the original order, with the star and
-the relational tables read back from the written single table, so the
-source is scanned once and nothing is staged twice. All run on the
-executors end to end; the driver only plans and commits.
+one table each. ``load_all``: single table, star and relational tables of one
+load, written together. A base that is costly to read again is staged once
+for all of them, and the staged copy is dropped after the load. With an
+appending sink, facts, children and the single table get this load's rows,
+and dimensions and parents get the members they do not hold yet. All run on
+the executors end to end; the driver only plans and commits.
 """
 
 from __future__ import annotations
@@ -15,44 +17,59 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from starload.operators.dimensional import StarSpec, build_star, run_star
-from starload.operators.relational import RelationalSpec, build_relational
-from starload.operators.sharing import write_outputs
-from starload.sources.files import read_parquet
+from starload.operators.dimensional import StarSpec, build_star, star_frames
+from starload.operators.relational import RelationalSpec, relational as relational_frames
+from starload.operators.sharing import Outputs, resolve_share, share_base, write_outputs
+from starload.schemas import get_schema
+from starload.sinks.tables import Existing, append_new_members
 from starload.sources.generic import load_base, read_source
 
 
-def extract_load(spark: SparkSession, fmt: str, schema: T.StructType, sink: Callable[..., object],
+def extract_load(spark: SparkSession, fmt: str, schema: T.StructType | str | None, sink: Callable[..., object],
                  table: str, options: Mapping[str, str] | None = None, path: str | None = None,
                  row_cap: int | None = None, strict: bool = False) -> object:
-    """Read a source, bind the declared schema by name and write ``table``."""
+    """Read a source, bind the declared schema by name and write ``table``.
+
+    ``schema`` may be the name of a declared schema; None means the one
+    declared for ``table``.
+    """
     src = read_source(spark, fmt, options=options, path=path, row_cap=row_cap)
-    return sink(load_base(src, schema, strict=strict), table)
+    return sink(load_base(src, _declared(schema, table), strict=strict), table)
+
+
+def _declared(schema: T.StructType | str | None, table: str) -> T.StructType:
+    return schema if isinstance(schema, T.StructType) else get_schema(schema or table)
 
 
 def star_load(base: DataFrame, spec: StarSpec, sink: Callable[..., object], share: str = "auto",
-              parallel: int | None = None) -> dict[str, object]:
-    """Build every output of ``spec`` from ``base`` and write each one."""
-    return run_star(build_star(base, spec, share=share), sink, parallel=parallel)
+              parallel: int | None = None, existing: Existing | None = None) -> dict[str, object]:
+    """Build every output of ``spec`` from ``base`` and write each one;
+    appending, dimensions get only new members (see ``append_new_members``)."""
+    star = build_star(base, spec, share=share)
+    star.frames = append_new_members(star.frames, list(spec.dimensions), sink, existing)
+    return write_outputs(star, sink, parallel)
 
 
-def load_all(base: DataFrame, schema: T.StructType, sink: Callable[..., object], single_table: str,
+def load_all(base: DataFrame, schema: T.StructType | str | None, sink: Callable[..., object], single_table: str,
              star: StarSpec | None = None, relational: RelationalSpec | None = None,
-             read_back: Callable[[object], DataFrame] | None = None,
-             parallel: int | None = None) -> dict[str, object]:
-    """Write the single comprehensive table, then every star and relational
-    table from what was written.
-
-    ``read_back(result_of_sink)`` reads the written table again (default:
-    Parquet at the path a file sink returns; a JDBC sink needs ``read_jdbc``).
-    The written table is a plain scan, so the outputs re-read only their own
-    columns of it (``share="auto"``).
+             parallel: int | None = None, share: str = "auto", strict: bool = False,
+             existing: Existing | None = None) -> dict[str, object]:
+    """Write the single comprehensive table and every star and relational
+    table of this load's rows, ``parallel`` at a time (default: all at once).
+
+    Every output is derived from the conformed base, which ``share`` keeps for
+    all of them at once (see ``sharing``), so any sink will do and nothing is
+    read back from it.
     """
-    spark = base.sparkSession
-    out = {single_table: sink(load_base(base, schema), single_table)}
-    written = (read_back or (lambda p: read_parquet(spark, p, schema)))(out[single_table])
+    loaded = load_base(base, _declared(schema, single_table), strict=strict)
+    share = resolve_share(loaded, share)
+    rows, staged = share_base(loaded, loaded.columns, share)
+    frames, members = {single_table: rows}, []
     if star is not None:
-        out.update(run_star(build_star(written, star, share="auto"), sink, parallel=parallel))
+        frames |= star_frames(rows, star)
+        members += star.dimensions
     if relational is not None:
-        out.update(write_outputs(build_relational(written, relational, share="auto"), sink, parallel))
-    return out
+        frames |= relational_frames(rows, relational)
+        members += [p.name for p in relational.parents]
+    frames = append_new_members(frames, members, sink, existing)
+    return write_outputs(Outputs(frames=frames, base=rows, share=share, staged_path=staged), sink, parallel)

@@ -70,21 +70,42 @@ STANDIN_STAR = StarSpec(
     },
 )
 
-# Bank-schema column <- SQL expression over the stand-in base. Every other
-# declared column is absent and becomes NULL through ``conform``.
-BANK_FROM_STANDIN = {
+# Bank-schema column <- SQL expression over the stand-in base, for the columns
+# of the star. The i-th declared column follows ``_filler`` otherwise, so no two
+# columns are alike and none is NULL throughout.
+_STAR_COLUMNS = {
     "fdic_certificate_number": "c_custkey",
     "institution_name": "c_name",
     "fdic_id": "o_orderkey",
-    "state_name": "n_name",
-    "state_fips_code": "n_nationkey",
-    "city": "o_orderpriority",
+    "state_name": "CASE WHEN n_nationkey = 3 THEN NULL ELSE n_name END",
+    "state_fips_code": "CASE WHEN n_nationkey = 4 THEN NULL ELSE n_nationkey END",
+    "city": "CASE WHEN o_orderkey % 11 = 0 THEN NULL ELSE o_orderpriority END",
     "bank_charter_class": "o_orderstatus",
-    "chartering_agency": "c_mktsegment",
-    "federal_charter": "o_orderstatus = 'F'",
+    "chartering_agency": "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END",
+    "federal_charter": "CASE WHEN o_orderkey % 5 = 0 THEN NULL ELSE o_orderstatus = 'F' END",
     "total_assets": "o_totalprice",
     "equity_capital": "c_acctbal",
     "effective_date": "o_orderdate",
+    "address": "concat(c_custkey % 97, ' ', r_name)",
+    "zip_code": "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE c_custkey % 1000 END",
+    "occ_charter": "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_custkey * 2 END",
+    "fdic_field_office": "r_name",
+    "total_deposits": "concat('D', o_orderkey % 1009)",
+    "net_income": "concat('N', o_orderkey % 499)",
+    "return_on_assets": "concat('A', o_orderkey % 251)",
+    "return_on_equity": "concat('E', o_orderkey % 241)",
+}
+
+
+def _filler(i: int, kind: str) -> str:
+    if kind == "boolean":
+        return f"CASE WHEN o_orderkey % {7 + i} < 2 THEN NULL ELSE o_orderkey % {7 + i} % 2 = 0 END"
+    return f"CASE WHEN o_orderkey % {3 + i} = 0 THEN NULL ELSE concat('{i}-', o_orderkey % {13 + i}) END"
+
+
+BANK_FROM_STANDIN = {
+    f.name: _STAR_COLUMNS.get(f.name) or _filler(i, f.dataType.typeName())
+    for i, f in enumerate(FDIC_BANKS.fields)
 }
 
 CUSTOMER_RELATIONAL = RelationalSpec(

@@ -12,6 +12,7 @@ from starload.functions.columns import quoted, sql_type
 from starload.operators.conform import conform, subset_schema
 from starload.operators.dimensional import StarSpec
 from starload.operators.relational import Parent, RelationalSpec
+from starload.schemas import FDIC_BANKS
 
 # Output tables of the bank star and their columns, in the
 # order the original loader selects them. Natural keys only; the fact keeps
@@ -40,28 +41,27 @@ BANK_STAR = StarSpec(
 # Relational modelling of the same base (our design; the original names the
 # table kind only). Each parent is keyed by a hash over all of its columns,
 # so a key identifies exactly one parent row; the institution table keeps
-# its own columns and one foreign key per parent.
+# every column that no parent holds and one foreign key per parent, so that
+# joining the parents back gives the base.
+_PARENTS = [
+    Parent(name="state_table", key="state_key", natural_key=["state_name", "state_fips_code"]),
+    Parent(name="city_table", key="city_key", natural_key=["city", "state_name"]),
+    Parent(name="chartering_agency_table", key="chartering_agency_key",
+           natural_key=["chartering_agency"]),
+]
+_HELD = {c for p in _PARENTS for c in p.natural_key}
 BANK_RELATIONAL = RelationalSpec(
     child="institution_table",
-    child_columns=[
-        "fdic_certificate_number", "institution_name", "address", "zip_code",
-        "bank_charter_class", "occ_charter", "federal_charter", "fdic_field_office",
-        "total_assets", "total_deposits", "equity_capital", "net_income",
-        "return_on_assets", "return_on_equity", "effective_date",
-    ],
-    parents=[
-        Parent(name="state_table", key="state_key", natural_key=["state_name", "state_fips_code"]),
-        Parent(name="city_table", key="city_key", natural_key=["city", "state_name"]),
-        Parent(name="chartering_agency_table", key="chartering_agency_key",
-               natural_key=["chartering_agency"]),
-    ],
+    child_columns=[c for c in FDIC_BANKS.names if c not in _HELD],
+    parents=_PARENTS,
 )
 
 
 def type_declared(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
     """Cast the columns ``schema`` declares to their declared types, keeping
     the frame's own column order and any undeclared column as it is."""
-    declared = {f.name: f.dataType for f in subset_schema(schema, df.columns).fields}
+    declared = {c: f.dataType for f in subset_schema(schema, df.columns).fields
+                for c in df.columns if c.lower() == f.name.lower()}
     cast = "cast" if strict else "try_cast"
     exprs = []
     for f in df.schema.fields:
@@ -72,7 +72,7 @@ def type_declared(df: DataFrame, schema: T.StructType, strict: bool = False) ->
 
 
 def query_to_table(spark: SparkSession, sql: str, sink: Callable[..., object], table: str,
-                   schema: T.StructType | None = None, **frames: DataFrame) -> object:
+                   schema: T.StructType | None = None, strict: bool = False, **frames: DataFrame) -> object:
     """Run Spark SQL and hand the result to ``sink`` as ``table``.
 
     Frames are bound by name (``{base}`` in the text), so no global view is
@@ -81,7 +81,7 @@ def query_to_table(spark: SparkSession, sql: str, sink: Callable[..., object], t
     """
     df = spark.sql(sql.strip().rstrip(";"), **frames) if frames else spark.sql(sql.strip().rstrip(";"))
     if schema is not None:
-        df = type_declared(df, schema)
+        df = type_declared(df, schema, strict)
     return sink(df, table)
 
 

@@ -74,3 +74,13 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, never-reused path under the shared folder."""
     return f"{shared_dir(spark)}/starload/{label}-{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Deletes a scratch path through its Hadoop file system; False if the
+    driver's JVM is out of reach, and the path stays."""
+    sc = _context(spark)
+    if sc is None or "/starload/" not in path:
+        return False
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True))

@@ -8,19 +8,26 @@ Partitioned writes use Spark's REBALANCE on the partition columns: rows of
 one partition value are gathered, and adaptive execution splits any value
 too large for one task (a hot value holding a third of all rows is written
 by many tasks) and merges small ones, so there are neither huge tasks nor a
-file per value per input task. With adaptive execution off, the frame is
-written as partitioned, without a shuffle.
+file per value per input task. With adaptive execution off, each value is
+dealt into a fixed number of parts instead.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starload.functions.columns import quoted
 from starload.operators.conform import conform
-from starload.sources.files import CSV_OPTIONS, csv_escape_exprs
+from starload.session import _context
+from starload.sources.files import CSV_OPTIONS, csv_escape_exprs, read_csv, read_parquet
+
+log = logging.getLogger("starload")
 
 
 def _norm(path: str) -> str:
@@ -33,13 +40,13 @@ def _qualify(spark, path: str) -> tuple[str, bool | None]:
     """The path qualified by its Hadoop FileSystem (relative paths resolved
     as Spark resolves them) and whether it exists; unchanged and None when
     the JVM is not reachable (Spark Connect)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return str(fs.makeQualified(hpath).toString()), bool(fs.exists(hpath))
-    except Exception:
+    sc = _context(spark)
+    if sc is None:
+        log.warning("no JVM at hand: %s is compared with the inputs as it is written", path)
         return path, None
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+    return str(fs.makeQualified(hpath).toString()), bool(fs.exists(hpath))
 
 
 def assert_not_reading(df: DataFrame, path: str) -> None:
@@ -70,11 +77,25 @@ def _prepare(df: DataFrame, path: str, schema: T.StructType | None, mode: str,
     return df
 
 
+#: Parts of a partition value when adaptive execution, which splits by size, is off.
+SALTS = 8
+
+
 def rebalance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Co-locate rows by ``columns`` with skew splitting (needs adaptive execution)."""
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") != "true":
-        return df
-    return df.hint("rebalance", *columns)
+    """Co-locate rows by ``columns``, with large values split: by adaptive
+    execution as their size asks, without it into SALTS parts by a row hash."""
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true":
+        return df.hint("rebalance", *[F.col(quoted(c)) for c in columns])
+    salt = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(SALTS))
+    return df.repartition(*[F.col(quoted(c)) for c in columns], salt)
+
+
+def _no_empty_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Fails on an empty string in a partition column: a directory cannot tell it from NULL."""
+    text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)} & set(columns)
+    return df.select(*[
+        F.when(F.col(quoted(c)) == "", F.raise_error(F.lit(f"partition column {c} holds an empty string")).cast("string"))
+        .otherwise(F.col(quoted(c))).alias(c) if c in text else F.col(quoted(c)) for c in df.columns])
 
 
 def write_parquet(df: DataFrame, path: str, schema: T.StructType | None = None,
@@ -83,12 +104,14 @@ def write_parquet(df: DataFrame, path: str, schema: T.StructType | None = None,
     """Write Parquet; ``partition_by`` gives hive-style directories.
 
     A partitioned write shuffles the rows (REBALANCE) so each value is
-    written by few tasks. ``shuffle=False`` skips that for input already
+    written by few tasks. An empty string in a partition column is refused,
+    because it would be read as NULL. ``shuffle=False`` skips that for input already
     clustered by the partition columns (each task then holds few values).
     """
     df = _prepare(df, path, schema, mode, strict)
     writer = df.write
     if partition_by:
+        df = _no_empty_values(df, partition_by)
         src = rebalance(df, list(partition_by)) if shuffle else df
         writer = src.write.partitionBy(*partition_by)
     writer.mode(mode).parquet(path)
@@ -99,26 +122,51 @@ def write_csv(df: DataFrame, path: str, schema: T.StructType | None = None,
     """Write CSV with a header, one file per task, NULL written as ``\\N``
     (distinct from the empty string and from any text: text starting with a
     backslash gets one more, which ``read_csv`` removes) and quotes/line
-    breaks quoted."""
+    breaks quoted. Binary and nested columns are refused."""
     df = _prepare(df, path, schema, mode, strict)
+    unfit = [f.name for f in df.schema.fields
+             if isinstance(f.dataType, (T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+    if unfit:
+        raise ValueError(f"CSV has no exact form for the columns {unfit}")
     df.selectExpr(*csv_escape_exprs(df.schema)).write.options(**CSV_OPTIONS).mode(mode).csv(path)
 
 
-def parquet_sink(root: str, mode: str = "overwrite", partition_by: dict[str, Sequence[str]] | None = None,
-                 schemas: dict[str, T.StructType] | None = None):
+@dataclass(frozen=True)
+class FileSink:
     """A ``sink(frame, table)`` writing each table to ``<root>/<table>``."""
-    def sink(df: DataFrame, table: str, schema: T.StructType | None = None) -> str:
-        path = f"{root.rstrip('/')}/{table}"
-        write_parquet(df, path, schema=schema or (schemas or {}).get(table), mode=mode,
-                      partition_by=(partition_by or {}).get(table, ()))
-        return path
-    return sink
-
-
-def csv_sink(root: str, mode: str = "overwrite", schemas: dict[str, T.StructType] | None = None):
-    """A ``sink(frame, table)`` writing each table as CSV to ``<root>/<table>``."""
-    def sink(df: DataFrame, table: str, schema: T.StructType | None = None) -> str:
-        path = f"{root.rstrip('/')}/{table}"
-        write_csv(df, path, schema=schema or (schemas or {}).get(table), mode=mode)
-        return path
-    return sink
+
+    root: str
+    mode: str
+    write: Callable[..., None]
+    read: Callable[..., DataFrame]
+    schemas: Mapping[str, T.StructType] = field(default_factory=dict)
+    strict: bool = False
+
+    def path(self, table: str) -> str:
+        return f"{self.root.rstrip('/')}/{table}"
+
+    def __call__(self, df: DataFrame, table: str, schema: T.StructType | None = None) -> str:
+        self.write(df, table, self.path(table), schema or self.schemas.get(table))
+        return self.path(table)
+
+    def existing(self, df: DataFrame, table: str) -> DataFrame | None:
+        """The table as written so far, with the columns of ``df``; None if there is none."""
+        spark = df.sparkSession
+        return self.read(spark, self.path(table), df.schema) if _qualify(spark, self.path(table))[1] else None
+
+
+def parquet_sink(root: str, mode: str = "overwrite", partition_by: dict[str, Sequence[str]] | None = None,
+                 schemas: dict[str, T.StructType] | None = None, strict: bool = False) -> FileSink:
+    """A sink writing Parquet tables. ``schemas`` declares tables by name
+    (``starload.schemas.SCHEMAS`` for the registered ones)."""
+    def write(df: DataFrame, table: str, path: str, schema: T.StructType | None) -> None:
+        write_parquet(df, path, schema=schema, mode=mode, partition_by=(partition_by or {}).get(table, ()), strict=strict)
+    return FileSink(root, mode, write, read_parquet, schemas or {}, strict)
+
+
+def csv_sink(root: str, mode: str = "overwrite", schemas: dict[str, T.StructType] | None = None,
+             strict: bool = False) -> FileSink:
+    """A sink writing CSV tables."""
+    def write(df: DataFrame, table: str, path: str, schema: T.StructType | None) -> None:
+        write_csv(df, path, schema=schema, mode=mode, strict=strict)
+    return FileSink(root, mode, write, read_csv, schemas or {}, strict)

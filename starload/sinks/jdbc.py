@@ -33,16 +33,6 @@ def create_table_column_types(schema: T.StructType, lengths: Mapping[str, int] |
                      if t.startswith("VARCHAR(") and n in (lengths or {}))
 
 
-def create_table_sql(table: str, schema: T.StructType, lengths: Mapping[str, int] | None = None,
-                     quote: str = '"') -> str:
-    """``CREATE TABLE IF NOT EXISTS`` text with quoted identifiers (for DBAs
-    who create tables ahead of loading)."""
-    def q(name: str) -> str:
-        return quote + name.replace(quote, quote * 2) + quote
-    cols = ",\n    ".join(f"{q(n)} {t}" for n, t in sql_types(schema, lengths).items())
-    return f"CREATE TABLE IF NOT EXISTS {table} (\n    {cols}\n)"
-
-
 def jdbc_write_options(conn: JdbcConnection, table: str, schema: T.StructType | None = None,
                        lengths: Mapping[str, int] | None = None, mode: str = "overwrite",
                        num_partitions: int | None = None, batch_size: int = 10_000,
@@ -62,11 +52,11 @@ def jdbc_write_options(conn: JdbcConnection, table: str, schema: T.StructType |
 def write_jdbc(df: DataFrame, conn: JdbcConnection, table: str, mode: str = "overwrite",
                schema: T.StructType | None = None, lengths: Mapping[str, int] | None = None,
                num_partitions: int | None = None, batch_size: int = 10_000,
-               truncate: bool = True) -> None:
+               truncate: bool = True, strict: bool = False) -> None:
     """Write all rows of ``df`` to ``table``; with ``schema``, conform first
     and create the table with the declared column types."""
     if schema is not None:
-        df = conform(df, schema)
+        df = conform(df, schema, strict=strict)
     elif lengths:
         schema = df.schema
     opts = jdbc_write_options(conn, table, schema, lengths, mode, num_partitions, batch_size, truncate)
@@ -74,10 +64,12 @@ def write_jdbc(df: DataFrame, conn: JdbcConnection, table: str, mode: str = "ove
 
 
 def jdbc_sink(conn: JdbcConnection, mode: str = "overwrite", lengths: Mapping[str, int] | None = None,
-              num_partitions: int | None = None):
-    """A ``sink(frame, table, schema=None)`` writing to ``conn``."""
+              num_partitions: int | None = None, strict: bool = False):
+    """A ``sink(frame, table, schema=None)`` writing to ``conn``. Do not
+    overwrite a table that the frame reads: the database clears it first."""
     def sink(df: DataFrame, table: str, schema: T.StructType | None = None) -> str:
         write_jdbc(df, conn, table, mode=mode, schema=schema, lengths=lengths,
-                   num_partitions=num_partitions)
+                   num_partitions=num_partitions, strict=strict)
         return table
+    sink.mode = mode
     return sink

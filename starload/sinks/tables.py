@@ -2,13 +2,39 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 
+from starload.functions.columns import quoted
+
 Sink = Callable[[DataFrame, str], object]
+#: The table of that name as it is so far, or None; given the new frame too.
+Existing = Callable[[DataFrame, str], "DataFrame | None"]
+
+
+def append_new_members(frames: Mapping[str, DataFrame], members: Sequence[str], sink: Sink,
+                       existing: Existing | None = None) -> dict[str, DataFrame]:
+    """``frames`` as an appending sink should get them: those named in
+    ``members`` hold each row once, so rows that their table already has are
+    left out (NULL equals NULL). File sinks know their tables; for another
+    appending sink ``existing`` must read them. Other modes change nothing."""
+    if getattr(sink, "mode", "overwrite") != "append" and existing is None:
+        return dict(frames)
+    existing = existing or getattr(sink, "existing", None)
+    if existing is None and members:
+        raise ValueError("an appending sink needs existing= to read the members its tables hold")
+    out = dict(frames)
+    for name in members:
+        df = frames[name]
+        old = existing(df, name)
+        if old is not None:
+            same = reduce(lambda a, b: a & b, (df[quoted(c)].eqNullSafe(old[quoted(c)]) for c in df.columns))
+            out[name] = df.join(old, same, "left_anti")
+    return out
 
 
 def write_tables(frames: Mapping[str, DataFrame], sink: Sink, parallel: int | None = None) -> dict[str, object]:

@@ -26,6 +26,8 @@ CSV_OPTIONS = {
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
 }
 
 
@@ -70,16 +72,19 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return select_in_schema_order(spark.read.schema(schema).parquet(path), schema)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True,
+             strict: bool = True) -> DataFrame:
     """Read CSV written by ``write_csv`` with its declared schema.
 
     ``multi_line`` is needed for quoted line breaks; each file is then parsed
     by one task, which ``write_csv`` bounds by writing one file per task.
     Data known to hold no line breaks can pass ``multi_line=False`` so that
-    large files are split between tasks.
+    large files are split between tasks. A value that does not read as its
+    declared type fails the job; with ``strict=False`` it becomes NULL.
     """
     df = (spark.read.schema(schema).options(**CSV_OPTIONS)
           .option("multiLine", str(multi_line).lower())
+          .option("mode", "FAILFAST" if strict else "PERMISSIVE")
           .option("enforceSchema", "false")  # header must name the declared columns, in order
           .csv(path))
     return df.selectExpr(*csv_unescape_exprs(schema))

@@ -24,8 +24,8 @@ def read_source(spark: SparkSession, fmt: str, options: Mapping[str, str] | None
 
     ``row_cap`` keeps at most that many rows, with no order implied (the
     extract cap of the original tool, made explicit). Spark stops each task
-    after ``row_cap`` rows and keeps ``row_cap`` in a single final task, so
-    the cap bounds what that task sees.
+    after ``row_cap`` rows; a single final task gets those of all tasks, up
+    to tasks times ``row_cap`` rows, and keeps ``row_cap``.
     """
     reader = spark.read.format(fmt).options(**dict(options or {}))
     if schema is not None:

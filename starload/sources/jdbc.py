@@ -9,12 +9,16 @@ generated query by Catalyst.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starload.functions.columns import quoted
+
 
 @dataclass(frozen=True)
 class JdbcConnection:
@@ -103,8 +107,15 @@ def jdbc_partitioning(spark: SparkSession, conn: JdbcConnection, table: str, col
     """
     opts = {**jdbc_read_options(conn, table=table), "pushDownAggregate": "true"}
     row = (spark.read.format("jdbc").options(**opts).load()
-           .agg(F.min(column).alias("lo"), F.max(column).alias("hi")).first())
+           .agg(F.min(quoted(column)).alias("lo"), F.max(quoted(column)).alias("hi")).first())
     lo, hi = (row.lo, row.hi) if row is not None else (None, None)
     if lo is None:
         return JdbcPartitioning(column, 0, 1, 1)
-    return JdbcPartitioning(column, lo, hi, max(1, int(num_partitions)))
+    return JdbcPartitioning(column, *whole_bounds(lo, hi), max(1, int(num_partitions)))
+
+
+def whole_bounds(lo, hi):
+    """Bounds as Spark reads them: numeric ones are whole numbers."""
+    if isinstance(lo, (Decimal, float)):
+        return math.floor(lo), math.ceil(hi)
+    return lo, hi

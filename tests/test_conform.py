@@ -57,3 +57,11 @@ def test_conform_is_one_projection(spark):
                            T.StructField("missing", T.BooleanType())])
     plan = conform(df, schema)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<c_custkey:bigint>" in plan
+
+
+def test_subset_and_declared_types_ignore_case(spark):
+    from starload import FDIC_BANKS, subset_schema, type_declared
+    assert subset_schema(FDIC_BANKS, ["ACTIVE", "State_Name"]).names == [
+        n for n in FDIC_BANKS.names if n in ("active", "state_name")]
+    typed = type_declared(spark.sql("select 1 as State_Fips_Code, 'true' as ACTIVE"), FDIC_BANKS)
+    assert dict(typed.dtypes) == {"State_Fips_Code": "string", "ACTIVE": "boolean"}

@@ -28,18 +28,60 @@ def test_extract_load_from_a_csv_source(spark, tmp_out):
     assert rows.count() == 7 and rows.exceptAll(supplier).count() == 0
 
 
-def test_load_all_reads_the_written_single_table_without_staging(spark, tmp_out):
+def test_load_all_leaves_no_staged_copy(spark, tmp_out):
     import glob
 
-    from starload import BANK_RELATIONAL, BANK_STAR, FDIC_BANKS, load_all, shared_dir
+    from starload import BANK_RELATIONAL, BANK_STAR, load_all, shared_dir
     from starload.plans.standin import bank_base, standin_base
-    staged_before = set(glob.glob(shared_dir(spark) + "/starload/shared-base-*"))
+    folder = shared_dir(spark).removeprefix("file://") + "/starload/shared-base-*"
+    staged_before = set(glob.glob(folder))
     base = bank_base(standin_base(spark, "/root/testdata/sf0.001"))
-    paths = load_all(base, FDIC_BANKS, parquet_sink(tmp_out), "fdic_banks",
-                     star=BANK_STAR, relational=BANK_RELATIONAL)
+    paths = load_all(base, "fdic_banks", parquet_sink(tmp_out), "fdic_banks", star=BANK_STAR, relational=BANK_RELATIONAL)
     assert set(paths) == {"fdic_banks", *BANK_STAR.tables(), "institution_table",
                           *[p.name for p in BANK_RELATIONAL.parents]}
-    assert set(glob.glob(shared_dir(spark) + "/starload/shared-base-*")) == staged_before
+    assert set(glob.glob(folder)) == staged_before
     n = base.count()
     assert read_parquet(spark, paths["fact_table"]).count() == n
     assert read_parquet(spark, paths["institution_table"]).count() == n
+
+
+def test_appended_loads_add_facts_and_only_new_members(spark, tmp_out):
+    from starload import StarSpec, csv_sink, load_all, read_csv, star_load
+    schema = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.IntegerType())])
+    spec = StarSpec(dimensions={"dim": ["k"]}, facts={"f": ["v", "k"]})
+    first = spark.createDataFrame([("a", 1), (None, 2), ("a", 1)], schema)
+    second = spark.createDataFrame([("b", 3), (None, 4), ("a", 5)], schema)
+    for make, read in ((parquet_sink, read_parquet), (csv_sink, read_csv)):
+        sink = make(os.path.join(tmp_out, make.__name__), mode="append")
+        for rows in (first, second):
+            paths = load_all(rows, schema, sink, "single", star=spec)
+        assert sorted(str(r.k) for r in read(spark, paths["dim"], T.StructType([schema["k"]])).collect()) == ["None", "a", "b"]
+        assert read(spark, paths["f"], T.StructType([schema["v"], schema["k"]])).count() == 6
+        assert read(spark, paths["single"], schema).count() == 6
+    sink = parquet_sink(os.path.join(tmp_out, "star"), mode="append")
+    for rows in (first, first, second):
+        paths = star_load(rows, spec, sink, parallel=1)
+    assert read_parquet(spark, paths["dim"]).count() == 3 and read_parquet(spark, paths["f"]).count() == 9
+
+    def blind(df, name):
+        return name
+    blind.mode = "append"
+    import pytest
+    with pytest.raises(ValueError, match="existing"):
+        star_load(first, spec, blind)
+
+
+def test_share_decisions_are_right_under_threads(spark, tmp_out):
+    import sys
+    from concurrent.futures import ThreadPoolExecutor
+
+    from starload import resolve_share
+    path = os.path.join(tmp_out, "plain")
+    spark.range(10).write.parquet(path)
+    plain = spark.read.parquet(path)
+    out = sys.stdout
+    with ThreadPoolExecutor(6) as pool:
+        said = list(pool.map(lambda _: resolve_share(plain.filter("id > 1"), "auto"), range(48)))
+    assert set(said) == {"none"} and sys.stdout is out
+    assert resolve_share(plain.union(plain), "auto") == "none"
+    assert resolve_share(plain.join(plain, "id"), "auto") == "stage"

@@ -1,7 +1,7 @@
 """JDBC option building. No database is started in these tests, so the
 reads and writes themselves are not exercised here."""
 
-from starload import EXAMPLE, JdbcConnection, JdbcPartitioning, create_table_column_types, create_table_sql
+from starload import EXAMPLE, JdbcConnection, JdbcPartitioning, create_table_column_types
 from starload.sinks.jdbc import jdbc_write_options
 from starload.sources.jdbc import jdbc_read_options
 
@@ -25,10 +25,6 @@ def test_column_types_quote_and_skip_unbounded():
     assert create_table_column_types(EXAMPLE) == ""
 
 
-def test_create_table_sql_quotes_names():
-    sql = create_table_sql("example", EXAMPLE)
-    assert '"Country name" VARCHAR' in sql and '"Value" REAL' in sql
-    assert sql.startswith("CREATE TABLE IF NOT EXISTS example")
 
 
 def test_overwrite_truncates_and_caps_connections():
@@ -56,3 +52,11 @@ def test_predicate_read_properties_carry_credentials_not_url():
     from starload.sources.jdbc import jdbc_properties
     props = jdbc_properties(JdbcConnection("jdbc:x", user="u", password="p", driver="d", properties={"ssl": "true"}), 500)
     assert props == {"user": "u", "password": "p", "driver": "d", "ssl": "true", "fetchsize": "500"}
+
+
+def test_numeric_bounds_become_whole_numbers():
+    from decimal import Decimal
+
+    from starload.sources.jdbc import whole_bounds
+    assert whole_bounds(Decimal("-1.500000"), Decimal("9.000001")) == (-2, 10)
+    assert whole_bounds(0.5, 1.5) == (0, 2) and whole_bounds("2020-01-01", "2021-01-01") == ("2020-01-01", "2021-01-01")

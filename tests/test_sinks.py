@@ -107,3 +107,38 @@ def test_csv_read_refuses_a_header_that_does_not_match(spark, tmp_out):
     with pytest.raises(Exception):
         read_csv(spark, path, schema).collect()
     assert read_csv(spark, path, T.StructType(list(reversed(schema.fields)))).collect()[0].a == "2"
+
+
+def test_partitioned_write_keeps_odd_names_and_values(spark, tmp_out):
+    import pytest
+    from pyspark.sql import types as T
+
+    from starload import read_parquet, write_parquet
+    schema = T.StructType([T.StructField("v", T.IntegerType()), T.StructField("a.b", T.StringType()),
+                           T.StructField("Country name", T.StringType())])
+    rows = [(1, "01", "x y"), (2, None, "x/y"), (3, "1", None), (4, "01", "x y")]
+    for adaptive in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        try:
+            path = f"{tmp_out}/parts-{adaptive}"
+            write_parquet(spark.createDataFrame(rows, schema), path, partition_by=["a.b", "Country name"])
+            back = read_parquet(spark, path, schema)
+            assert sorted(map(tuple, back.collect())) == rows
+            with pytest.raises(Exception, match="empty string"):
+                write_parquet(spark.createDataFrame([(1, "", "z")], schema), path + "-bad", partition_by=["a.b"])
+        finally:
+            spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_csv_refuses_what_it_cannot_hold_and_bad_values(spark, tmp_out):
+    import pytest
+    from pyspark.sql import types as T
+
+    from starload import read_csv, write_csv
+    with pytest.raises(ValueError, match="no exact form"):
+        write_csv(spark.sql("select cast('x' as binary) as b"), f"{tmp_out}/b")
+    schema = T.StructType([T.StructField("v", T.FloatType())])
+    spark.createDataFrame([("abc",), ("1.5",)], "v string").write.option("header", True).csv(f"{tmp_out}/bad")
+    with pytest.raises(Exception, match="MALFORMED"):
+        read_csv(spark, f"{tmp_out}/bad", schema).collect()
+    assert sorted(map(str, read_csv(spark, f"{tmp_out}/bad", schema, strict=False).collect())) == ["Row(v=1.5)", "Row(v=None)"]
