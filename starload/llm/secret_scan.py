@@ -4,9 +4,10 @@ A text is the first layer. Each layer is scanned for secrets, and every
 encoded run found in it (percent escapes, Unicode escapes, base64, and the
 zlib, gzip or zstd streams that base64 holds) is decoded into a new layer that
 goes on the worklist. A layer whose content was met before is not scanned
-again for the same place, so cycles end; the list runs empty at the fixpoint. Each layer maps its
-positions to those of the text it came from, so that a secret found at any
-depth is reported as the span of the original text that holds it.
+again for the same place, so cycles end; the list runs empty at the fixpoint.
+Each layer maps its positions to those of the text it came from, so that a
+secret found at any depth is reported as the span of the original text that
+holds it.
 
 The scan is a map over rows: texts never move, and a lost executor costs only
 its own tasks.
@@ -17,9 +18,11 @@ from __future__ import annotations
 import base64
 import binascii
 import hashlib
+import io
 import re
 import zlib
 from bisect import bisect_right
+from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
@@ -37,8 +40,13 @@ HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
-#: A compressed stream is decoded up to this size, so that a bomb cannot fill a task's memory.
-LAYER_BYTES = 64 << 20
+GZIP, ZLIB, ZSTD = b"\x1f\x8b", b"\x78", b"\x28\xb5\x2f\xfd"
+DAMAGED = (zlib.error, zstandard.ZstdError, EOFError)
+#: Bytes that no pattern holds. A long stream is scanned in pieces that end at one.
+BREAKS = (b"\n", b"\t", b"\0", b",", b"<", b"(", b"{")
+PIECE_BYTES = 8 << 20
+#: A bomb is decoded so far; ``n_cut`` of the result tells of it.
+STREAM_BYTES = 1 << 30
 
 
 def find(text: str) -> list[tuple[int, int, int]]:
@@ -103,42 +111,116 @@ def _bytes_text(data: bytes) -> str | None:
     return text if text and sum(c < " " and c not in "\t\n\r" for c in text) * 10 <= len(text) else None
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """The content of a zlib, gzip or zstd stream."""
-    try:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78":
-            return zlib.decompressobj(47).decompress(data, LAYER_BYTES)
-        if data[:4] == b"\x28\xb5\x2f\xfd":
-            return zstandard.ZstdDecompressor().decompress(data, max_output_size=LAYER_BYTES)
-    except (zlib.error, zstandard.ZstdError):
-        return None
-    return None
-
-
-def _base64_text(run: str) -> str | None:
+class _Inflated(io.RawIOBase):
+    """The content of the zlib stream, or of the gzip members, that ``source`` holds."""
+
+    def __init__(self, source: io.BufferedReader):
+        self.source, self.stream, self.rest = source, zlib.decompressobj(47), b""
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, out) -> int:
+        while True:
+            if self.stream.eof:
+                self.rest = self.stream.unused_data
+                if len(self.rest) < 2:
+                    self.rest += self.source.read(1 << 16)
+                if self.rest[:2] != GZIP:
+                    return 0
+                self.stream = zlib.decompressobj(47)
+            feed = self.rest or self.source.read(1 << 16)
+            data = self.stream.decompress(feed, len(out))
+            self.rest = self.stream.unconsumed_tail
+            if data or not (feed or self.stream.eof):
+                out[:len(data)] = data
+                return len(data)
+
+
+def _opened(data: bytes, depth: int) -> io.BufferedReader:
+    """What ``data`` holds below ``depth`` compressed streams."""
+    source = io.BufferedReader(io.BytesIO(data))
+    for _ in range(depth):
+        if source.peek(4)[:4] == ZSTD:
+            source = io.BufferedReader(zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True))
+        else:
+            source = io.BufferedReader(_Inflated(source))
+    return source
+
+
+def _read(source: io.BufferedReader, most: int) -> Iterator[bytes]:
+    """The source bit by bit: up to its end, a damaged place or ``most`` bytes."""
+    while most > 0:
+        try:
+            data = source.read1(min(most, 1 << 20))
+        except DAMAGED:
+            return
+        if not data:
+            return
+        most -= len(data)
+        yield data
+
+
+def _depth(data: bytes) -> int:
+    """How many compressed streams lie around what ``data`` holds; a stream
+    that holds itself, also by way of others, ends the count."""
+    depth, met = 0, set()
+    while True:
+        if not _opened(data, depth).peek(4).startswith((GZIP, ZLIB, ZSTD)):
+            return depth
+        content = hashlib.sha256()
+        for part in _read(_opened(data, depth), STREAM_BYTES):
+            content.update(part)
+        try:
+            if content.digest() in met or not _opened(data, depth + 1).peek(1):
+                return depth
+        except DAMAGED:
+            return depth
+        met.add(content.digest())
+        depth += 1
+
+
+def _pieces(parts: Iterator[bytes]) -> Iterator[bytes]:
+    """A stream in pieces of PIECE_BYTES or more, which end where no pattern goes on."""
+    held = bytearray()
+    for part in parts:
+        held += part
+        if len(held) >= PIECE_BYTES and (cut := max(map(held.rfind, BREAKS)) + 1):
+            yield bytes(held[:cut])
+            del held[:cut]
+    yield bytes(held)
+
+
+def _base64_texts(run: str) -> tuple[Iterator[str], bool]:
+    """The texts that a base64 run stands for, and whether its stream was cut at STREAM_BYTES."""
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         body = body[:-1]
     try:
         data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except (binascii.Error, ValueError):
-        return None
-    while (inner := _unpacked(data)) is not None:
-        if inner == data:
-            break
-        data = inner
-    return _bytes_text(data)
-
-
-def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
-    """Base spans of the text, and all spans with those of its decoded layers."""
-    base = find(text)
+        return iter(()), False
+    depth = _depth(data)
+    if not depth:
+        return filter(None, [_bytes_text(data)]), False
+    rest = _opened(data, depth)
+    size = sum(map(len, _read(rest, STREAM_BYTES)))
+    cut = size == STREAM_BYTES and any(_read(rest, 1))
+    return filter(None, map(_bytes_text, _pieces(_read(_opened(data, depth), STREAM_BYTES)))), cut
+
+
+def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
+    """Base spans of the text, all spans with those of its decoded layers, and
+    how many streams were cut."""
+    base, n_cut = find(text), 0
     spans = set(base)
     seen = {(hashlib.sha256(text.encode("utf-8")).digest(), 0, len(text))}
     work = [(text, lambda a, b: (a, b))]  # a layer, and its map to the original text
     while work:
         layer, place = work.pop()
-        for child, inner in _children(layer):
+        for child, inner, cut in _children(layer):
+            n_cut += cut
+
             def where(a, b, inner=inner, place=place):
                 return place(*inner(a, b))
             name = (hashlib.sha256(child.encode("utf-8")).digest(), *where(0, len(child)))
@@ -149,19 +231,25 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
                 a, b = where(start, end)
                 spans.add((a, kind, b))
             work.append((child, where))
-    return base, sorted(spans)
+    return base, sorted(spans), n_cut
 
 
 def _children(layer: str):
-    """The layers that one layer unwraps to, with maps of their spans to its own."""
+    """The layers that one layer unwraps to, with maps of their spans to its
+    own, and whether a stream was cut (told by an empty layer)."""
     if "%" in layer and (found := _substituted(layer, PERCENT, _percent)):
-        yield found
+        yield *found, False
     if ("\\" in layer or "&#" in layer) and (found := _substituted(layer, ESCAPE, _escaped)):
-        yield found
+        yield *found, False
     for m in BASE64.finditer(layer):
-        child = _base64_text(m[0])
-        if child:
-            yield child, lambda a, b, s=m.start(), e=m.end(): (s, e)
+        texts, cut = _base64_texts(m[0])
+
+        def run(a, b, s=m.start(), e=m.end()):
+            return s, e
+        if cut:
+            yield "", run, True
+        for child in texts:
+            yield child, run, False
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:
@@ -177,14 +265,18 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     layers, of the same kinds. A secret below a base64 or compressed run takes
     the whole run as its span; below percent or Unicode escapes it takes the
     characters and escapes it came from. A null text has no spans.
+
+    Compressed streams of any size are decoded and scanned piece by piece, up to
+    the place where they are damaged; ``n_cut`` counts those that hold more
+    than STREAM_BYTES (bombs), which are scanned so far.
     """
-    schema = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()),
-                        ("n_hex", pa.int64()), ("base_spans", pa.string()), ("spans", pa.string())])
+    schema = pa.schema([("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()),
+                        ("base_spans", pa.string()), ("spans", pa.string()), ("n_cut", pa.int64())])
 
     def row(text):
-        base, spans = scan(text)
-        return (*(sum(k == kind for _, k, _ in base) for kind in range(3)), joined(base), joined(spans))
+        base, spans, n_cut = scan(text)
+        return (*(sum(k == kind for _, k, _ in base) for kind in range(3)), joined(base), joined(spans), n_cut)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(per_row(row, ["doc_id", "text"], schema),
-                           "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string")
+                           "doc_id long, n_assign long, n_access long, n_hex long, base_spans string, spans string, n_cut long")

@@ -1,7 +1,9 @@
 """Document operators against brute force, with nulls, ties, repeats, blanks and clashing columns."""
 
 import base64
+import gzip
 import hashlib
+import io
 import re
 import zlib
 
@@ -11,10 +13,11 @@ import public_tokenizers
 import pytest
 import tiktoken
 import xxhash
+import zstandard
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from starload.llm import bpe, toxicity
+from starload.llm import bpe, secret_scan, toxicity
 from starload.llm.components import components, dense_links, spanning
 from starload.llm.exact_dedup import chunks, exact_dedup
 from starload.llm.mixing import mix, source_targets
@@ -229,20 +232,50 @@ def test_secret_scan_layers():
     packed = base64.b64encode(zlib.compress(SECRET.encode())).decode()
     nested = base64.b64encode(("say " + packed).encode()).decode()
     for run in (packed, nested):
-        base, spans = scan(f"foo {run} bar {run}")
+        base, spans, _ = scan(f"foo {run} bar {run}")
         ends = [(4, 4 + len(run)), (9 + len(run), 9 + 2 * len(run))]
         assert base == [] and joined(spans) == ",".join(f"{k}:{a}:{b}" for a, b in ends for k in ("assign", "access", "hex"))
     escaped = "".join(f"\\u{ord(c):04x}" for c in "secret=abcdefghijklmnop")
     assert joined(scan(f"zz {escaped} k")[1]) == f"assign:3:{3 + len(escaped)}"
     assert joined(scan("q token%253A%2520abcdefghijklmnop")[1]) == "assign:2:33"
-    assert scan("%41%zz \\ud800 &#xffffff; %25%25 " + "A" * 100) == ([], [])
+    assert scan("%41%zz \\ud800 &#xffffff; %25%25 " + "A" * 100) == ([], [], 0)
     assert joined(scan("toKen=abcdefghijklmnop passwd:short token=abc")[1]) == ""
 
 
+def found_in(data):
+    """Kinds found in the layers of a base64 run, and how many streams were cut."""
+    base, spans, n_cut = scan("q " + base64.b64encode(data).decode())
+    assert base == []
+    return {secret_scan.KINDS[k] for _, k, _ in spans}, n_cut
+
+
+def test_secret_scan_streams(monkeypatch):
+    secret, all_kinds = SECRET.encode(), {"assign", "access", "hex"}
+    noise = np.random.default_rng(1).integers(97, 122, 20_000, dtype=np.uint8).tobytes()
+    long = b"word, \xc3\xa9 " * 900_000 + secret  # more than a piece
+    for packed in (zlib.compress(long), gzip.compress(b"first ") + gzip.compress(secret), zstandard.compress(long),
+                   zlib.compress(gzip.compress(zstandard.compress(base64.b64encode(zlib.compress(secret)))))):
+        assert found_in(packed) == (all_kinds, 0)
+    assert found_in(zlib.compress(secret + noise)[:-50]) == (all_kinds, 0)  # damaged behind the secrets
+    assert found_in(zlib.compress(noise + secret)[:-200]) == (set(), 0)  # damaged before them
+    assert found_in(b"x " + secret) == (all_kinds, 0)  # no stream, though it begins like one
+    huge = secret_scan.ZSTD + bytes([0xE0]) + (1 << 50).to_bytes(8, "little") + b"\1\0\0" + b"a" * 20
+    assert found_in(huge) == (set(), 0)  # a header that asks for 2^50 bytes
+    monkeypatch.setattr(secret_scan, "STREAM_BYTES", 10_000)
+    assert found_in(zlib.compress(secret + noise)) == (all_kinds, 1)
+    assert found_in(zlib.compress(secret + noise[:10_000 - len(secret)])) == (all_kinds, 0)
+
+
+def test_secret_scan_ends_on_streams_that_hold_themselves(monkeypatch):
+    opened = {0: b"\x78 one", 1: b"\x78 two"}  # a stream whose content's content is itself
+    monkeypatch.setattr(secret_scan, "_opened", lambda data, depth: io.BufferedReader(io.BytesIO(opened[depth % 2])))
+    assert secret_scan._depth(opened[0]) == 2
+
+
 def test_secret_scan_rows(docs, empty):
     rows = scan_secrets(docs.unionByName(docs.limit(1).withColumn("text", F.lit(SECRET)))).collect()
     assert len(rows) == len(ROWS) + 1 and sum(r.n_assign for r in rows) == 1
-    assert {(r.base_spans, r.spans) for r in rows if r.doc_id == 4} == {("", "")}
+    assert {(r.base_spans, r.spans, r.n_cut) for r in rows if r.doc_id == 4} == {("", "", 0)}
     assert scan_secrets(empty).collect() == []
 
 
