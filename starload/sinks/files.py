@@ -26,6 +26,7 @@ from starload.functions.columns import quoted
 from starload.operators.conform import conform
 from starload.session import _context
 from starload.sources.files import CSV_OPTIONS, csv_escape_exprs, read_csv, read_parquet
+from starload.sources.inputs import file_roots
 
 log = logging.getLogger("starload")
 
@@ -52,18 +53,20 @@ def _qualify(spark, path: str) -> tuple[str, bool | None]:
 def assert_not_reading(df: DataFrame, path: str) -> None:
     """Refuse to overwrite ``path`` when ``df`` reads files under it.
 
-    An absent target is settled by one ``exists`` call; otherwise the
-    frame's input file list is checked (driver metadata, of the same order
-    as Spark's own planning of those files).
+    An absent target is settled by one ``exists`` call; otherwise the roots of
+    the tables that the frame reads are compared with it. Only a target below
+    such a root has the table's files listed.
     """
     qualified, exists = _qualify(df.sparkSession, path)
     if exists is False:
         return  # nothing there yet, so nothing of it can be read
     target = _norm(qualified)
-    for f in df.inputFiles():
-        src = _norm(f)
+    read = set(df.inputFiles()) if exists is None else file_roots(df)
+    if any(target.startswith(_norm(r) + "/") for r in read):
+        read |= set(df.inputFiles())
+    for src in sorted(map(_norm, read)):
         if src == target or src.startswith(target + "/"):
-            raise ValueError(f"refusing to overwrite {path}: the frame reads from it ({f})")
+            raise ValueError(f"refusing to overwrite {path}: the frame reads from it ({src})")
 
 
 def _prepare(df: DataFrame, path: str, schema: T.StructType | None, mode: str,

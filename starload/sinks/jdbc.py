@@ -11,6 +11,7 @@ batches, nothing passes through the driver.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame
@@ -19,6 +20,8 @@ from pyspark.sql import types as T
 from starload.functions.columns import quoted
 from starload.operators.conform import conform
 from starload.schemas import sql_types
+from starload.session import _context
+from starload.sources.inputs import jdbc_tables
 from starload.sources.jdbc import JdbcConnection
 
 
@@ -49,12 +52,29 @@ def jdbc_write_options(conn: JdbcConnection, table: str, schema: T.StructType |
     return opts
 
 
+def assert_table_not_read(read: set[tuple[str, str]], url: str, table: str) -> None:
+    """Refuse to overwrite a table that is among those read as (url, table or
+    query): the database clears it before the first row is read. Names are
+    compared without quotes and case; a query that names the table counts."""
+    def bare(name: str) -> str:
+        return name.replace('"', "").replace("`", "").lower().strip()
+
+    for source_url, source in read:
+        text = bare(source)
+        named = text == bare(table) or (" " in text and bare(table) in re.split(r"[\s,()]+", text))
+        if source_url == url and named:
+            raise ValueError(f"refusing to overwrite {table}: the frame reads from it")
+
+
 def write_jdbc(df: DataFrame, conn: JdbcConnection, table: str, mode: str = "overwrite",
                schema: T.StructType | None = None, lengths: Mapping[str, int] | None = None,
                num_partitions: int | None = None, batch_size: int = 10_000,
                truncate: bool = True, strict: bool = False) -> None:
     """Write all rows of ``df`` to ``table``; with ``schema``, conform first
-    and create the table with the declared column types."""
+    and create the table with the declared column types. Overwriting a table
+    that the frame reads at the same url is refused."""
+    if mode == "overwrite" and _context(df.sparkSession) is not None:
+        assert_table_not_read(jdbc_tables(df), conn.url, table)
     if schema is not None:
         df = conform(df, schema, strict=strict)
     elif lengths:
@@ -65,8 +85,7 @@ def write_jdbc(df: DataFrame, conn: JdbcConnection, table: str, mode: str = "ove
 
 def jdbc_sink(conn: JdbcConnection, mode: str = "overwrite", lengths: Mapping[str, int] | None = None,
               num_partitions: int | None = None, strict: bool = False):
-    """A ``sink(frame, table, schema=None)`` writing to ``conn``. Do not
-    overwrite a table that the frame reads: the database clears it first."""
+    """A ``sink(frame, table, schema=None)`` writing to ``conn``."""
     def sink(df: DataFrame, table: str, schema: T.StructType | None = None) -> str:
         write_jdbc(df, conn, table, mode=mode, schema=schema, lengths=lengths,
                    num_partitions=num_partitions, strict=strict)

@@ -1,6 +1,8 @@
 """JDBC option building. No database is started in these tests, so the
 reads and writes themselves are not exercised here."""
 
+import pytest
+
 from starload import EXAMPLE, JdbcConnection, JdbcPartitioning, create_table_column_types
 from starload.sinks.jdbc import jdbc_write_options
 from starload.sources.jdbc import jdbc_read_options
@@ -60,3 +62,15 @@ def test_numeric_bounds_become_whole_numbers():
     from starload.sources.jdbc import whole_bounds
     assert whole_bounds(Decimal("-1.500000"), Decimal("9.000001")) == (-2, 10)
     assert whole_bounds(0.5, 1.5) == (0, 2) and whole_bounds("2020-01-01", "2021-01-01") == ("2020-01-01", "2021-01-01")
+
+
+def test_overwriting_a_table_that_is_read_is_refused(spark):
+    from starload.sinks.jdbc import assert_table_not_read
+    from starload.sources.inputs import jdbc_tables
+    url = "jdbc:postgresql://h:1/d"
+    for source in ("banks", '"Banks"', "(select * from banks) t", "(SELECT a FROM x, banks)"):
+        with pytest.raises(ValueError, match="refusing"):
+            assert_table_not_read({(url, source)}, url, "banks")
+        assert_table_not_read({(url + "2", source)}, url, "banks")
+    assert_table_not_read({(url, "banks_old"), (url, "(select * from banks_old) t")}, url, "banks")
+    assert jdbc_tables(spark.range(3).selectExpr("id")) == set()

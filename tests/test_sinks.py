@@ -49,6 +49,18 @@ def test_refuses_to_overwrite_its_own_input(spark, tmp_out):
         assert_not_reading(df, os.path.relpath(path))
     assert_not_reading(df, path + "_other")
     assert spark.read.parquet(path).count() == 5
+    df.createOrReplaceTempView("read_before")
+    for through in (spark.sql("select 1 as a where 3 in (select id from read_before)"), df.join(spark.range(2), "id"),
+                    df.groupBy("id").count(), df.unionAll(spark.range(1))):
+        with pytest.raises(ValueError):
+            assert_not_reading(through, path)
+        with pytest.raises(ValueError):
+            assert_not_reading(through, tmp_out)  # the folder above
+        assert_not_reading(through, tmp_out + "_other")
+    os.makedirs(path + "/_apart")
+    assert_not_reading(spark.read.parquet(path), path + "/_apart")  # below the root, but not of the table
+    kept = spark.range(3).checkpoint() if spark.sparkContext.getCheckpointDir() else spark.range(3)
+    assert_not_reading(kept, path)
 
 
 def test_csv_keeps_nulls_empty_strings_quotes_and_newlines(spark, tmp_out):
