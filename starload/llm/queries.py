@@ -78,7 +78,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan_secrets(table(spark, sf_dir, "documents"))
-    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans")
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans",
+                        "n_cut")
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -42,8 +42,14 @@ PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 GZIP, ZLIB, ZSTD = b"\x1f\x8b", b"\x78", b"\x28\xb5\x2f\xfd"
 DAMAGED = (zlib.error, zstandard.ZstdError, EOFError)
-#: Bytes that no pattern holds. A long stream is scanned in pieces that end at one.
-BREAKS = (b"\n", b"\t", b"\0", b",", b"<", b"(", b"{")
+#: Every secret, and every run that can hold one, has so many ASCII characters in a row.
+ASCII = re.compile(rb"[\t\n\r -~]{16}")
+WIDE = (("utf-16-le", re.compile(rb"(?:[\t\n\r -~]\0){16}")), ("utf-16-be", re.compile(rb"(?:\0[\t\n\r -~]){16}")))
+#: Where no pattern goes on, read as single bytes or as UTF-16: bytes that none
+#: holds, a null that stands apart or has two more about it, and a line's end
+#: that is not within wrapped base64. A long stream is scanned in pieces that end so.
+BREAK = re.compile(rb"[,<({>)}\[\]!?*|~^@$`]|(?<=[^\0].)\0(?=.[^\0])|(?<=\0)\0(?=\0)|\n\n|(?<=[^\0\sA-Za-z0-9+/_=-])\n",
+                   re.DOTALL)
 PIECE_BYTES = 8 << 20
 #: A bomb is decoded so far; ``n_cut`` of the result tells of it.
 STREAM_BYTES = 1 << 30
@@ -67,9 +73,9 @@ def _escaped(run: str) -> str | None:
     return chr(code) if code <= 0x10FFFF and not 0xD800 <= code < 0xE000 else None
 
 
-def _percent(run: str) -> str | None:
+def _percent(run: str) -> str:
     """The text that a run of percent escapes stands for."""
-    return _bytes_text(bytes.fromhex(run.replace("%", "")))
+    return _text(bytes.fromhex(run.replace("%", "")))
 
 
 def _substituted(layer: str, pattern: re.Pattern, decode):
@@ -102,13 +108,22 @@ def _substituted(layer: str, pattern: re.Pattern, decode):
     return "".join(pieces), inner
 
 
-def _bytes_text(data: bytes) -> str | None:
-    """Decoded bytes as text, if they are text."""
+def _text(data: bytes) -> str:
+    """Bytes as text: UTF-8, or one character for each byte (all patterns are ASCII)."""
     try:
-        text = data.decode("utf-8")
+        return data.decode("utf-8")
     except UnicodeDecodeError:
-        return None
-    return text if text and sum(c < " " and c not in "\t\n\r" for c in text) * 10 <= len(text) else None
+        return data.decode("latin-1")
+
+
+def _bytes_texts(data: bytes) -> Iterator[str]:
+    """Texts in which the secrets of decoded bytes are found, whatever the bytes
+    are; also those of UTF-16 inside them, at even and odd places."""
+    if ASCII.search(data):
+        yield _text(data)
+    for codec, pattern in WIDE:
+        for odd in sorted({m.start() % 2 for m in pattern.finditer(data)}):
+            yield data[odd:].decode(codec, "replace")
 
 
 class _Inflated(io.RawIOBase):
@@ -181,11 +196,16 @@ def _depth(data: bytes) -> int:
 
 
 def _pieces(parts: Iterator[bytes]) -> Iterator[bytes]:
-    """A stream in pieces of PIECE_BYTES or more, which end where no pattern goes on."""
-    held = bytearray()
+    """A stream in pieces of at least half of PIECE_BYTES, which end where no pattern goes on."""
+    held, tried = bytearray(), 0
     for part in parts:
         held += part
-        if len(held) >= PIECE_BYTES and (cut := max(map(held.rfind, BREAKS)) + 1):
+        while len(held) >= PIECE_BYTES:
+            if not (end := BREAK.search(held, max(tried - 4, PIECE_BYTES // 2))):
+                tried = len(held)
+                break
+            cut, tried = end.end(), 0
+            del end  # it holds the buffer
             yield bytes(held[:cut])
             del held[:cut]
     yield bytes(held)
@@ -202,11 +222,13 @@ def _base64_texts(run: str) -> tuple[Iterator[str], bool]:
         return iter(()), False
     depth = _depth(data)
     if not depth:
-        return filter(None, [_bytes_text(data)]), False
+        # what begins as zstd and cannot be opened is a damaged stream
+        return (iter(()) if data.startswith(ZSTD) else _bytes_texts(data)), False
     rest = _opened(data, depth)
     size = sum(map(len, _read(rest, STREAM_BYTES)))
     cut = size == STREAM_BYTES and any(_read(rest, 1))
-    return filter(None, map(_bytes_text, _pieces(_read(_opened(data, depth), STREAM_BYTES)))), cut
+    pieces = _pieces(_read(_opened(data, depth), STREAM_BYTES))
+    return (text for piece in pieces for text in _bytes_texts(piece)), cut
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
@@ -215,22 +237,25 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     base, n_cut = find(text), 0
     spans = set(base)
     seen = {(hashlib.sha256(text.encode("utf-8")).digest(), 0, len(text))}
-    work = [(text, lambda a, b: (a, b))]  # a layer, and its map to the original text
+    work = [(_children(text), lambda a, b: (a, b))]  # what is left of a layer, and the layer's map to the original text
     while work:
-        layer, place = work.pop()
-        for child, inner, cut in _children(layer):
-            n_cut += cut
-
-            def where(a, b, inner=inner, place=place):
-                return place(*inner(a, b))
-            name = (hashlib.sha256(child.encode("utf-8")).digest(), *where(0, len(child)))
-            if name in seen:
-                continue
-            seen.add(name)
-            for start, kind, end in find(child):
-                a, b = where(start, end)
-                spans.add((a, kind, b))
-            work.append((child, where))
+        children, place = work[-1]
+        if (unwrapped := next(children, None)) is None:
+            work.pop()
+            continue
+        child, inner, cut = unwrapped
+        n_cut += cut
+
+        def where(a, b, inner=inner, place=place):
+            return place(*inner(a, b))
+        name = (hashlib.sha256(child.encode("utf-8")).digest(), *where(0, len(child)))
+        if name in seen:
+            continue
+        seen.add(name)
+        for start, kind, end in find(child):
+            a, b = where(start, end)
+            spans.add((a, kind, b))
+        work.append((_children(child), where))
     return base, sorted(spans), n_cut
 
 
@@ -264,7 +289,9 @@ def scan_secrets(docs: DataFrame) -> DataFrame:
     commas (code points, end exclusive). ``spans`` adds the spans of decoded
     layers, of the same kinds. A secret below a base64 or compressed run takes
     the whole run as its span; below percent or Unicode escapes it takes the
-    characters and escapes it came from. A null text has no spans.
+    characters and escapes it came from. A null text has no spans. Decoded bytes
+    are scanned whatever they are: as UTF-8 or else byte by byte, and as UTF-16.
+    Only bytes that begin as a zstd stream and cannot be opened are left.
 
     Compressed streams of any size are decoded and scanned piece by piece, up to
     the place where they are damaged; ``n_cut`` counts those that hold more

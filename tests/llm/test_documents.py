@@ -266,6 +266,34 @@ def test_secret_scan_streams(monkeypatch):
     assert found_in(zlib.compress(secret + noise[:10_000 - len(secret)])) == (all_kinds, 0)
 
 
+def test_secret_scan_reads_bytes_that_are_not_text():
+    secret, all_kinds = SECRET.encode(), {"assign", "access", "hex"}
+    noise = np.random.default_rng(2).integers(0, 256, 300, dtype=np.uint8).tobytes()
+    padded = secret + b"\0" * 20_000  # as in a tar of small files
+    bodies = [("caf\xe9 " + SECRET).encode("latin-1"), b"\1\2\3" * 50 + secret, noise + secret + noise, padded]
+    bodies += [lead + ("\u4e2d\xe9 " + SECRET).encode(codec) for codec in ("utf-16", "utf-16-le", "utf-16-be") for lead in (b"", b"\7")]
+    for body in bodies:
+        assert found_in(body) == found_in(gzip.compress(body)) == (all_kinds, 0)
+    for one in (b"word, \xe9 ", "word z\u4e00 \u0101".encode("utf-16-le"), "word z\u4e00 \u0101\0".encode("utf-16-be"), b"key\0value\0"):
+        many = one * (9_000_000 // len(one))
+        wide = one.count(b"\0") and one[:3] != b"key"
+        body = SECRET.encode("utf-16-le" if one[1:2] == b"\0" else "utf-16-be") if wide else secret
+        assert found_in(zlib.compress(many + body + many)) == (all_kinds, 0)  # more than a piece on both sides
+    assert joined(scan("q %E9%20%FFtoken%3Dabcdefghijklmnop")[1]) == "assign:11:35"
+
+
+def test_secret_scan_pieces_do_not_cut_secrets(monkeypatch):
+    monkeypatch.setattr(secret_scan, "PIECE_BYTES", 64)
+    for codec in ("latin-1", "utf-16-le", "utf-16-be"):
+        for lead in range(70):
+            body = ("," * lead + SECRET + "\n" + SECRET).encode(codec)
+            parts = [body[i:i + 7] for i in range(0, len(body), 7)]
+            pieces = list(secret_scan._pieces(iter(parts)))
+            assert b"".join(pieces) == body
+            found = [k for p in pieces for t in set(secret_scan._bytes_texts(p)) for _, k, _ in secret_scan.find(t)]
+            assert all(found.count(k) >= 2 for k in range(3))
+
+
 def test_secret_scan_ends_on_streams_that_hold_themselves(monkeypatch):
     opened = {0: b"\x78 one", 1: b"\x78 two"}  # a stream whose content's content is itself
     monkeypatch.setattr(secret_scan, "_opened", lambda data, depth: io.BufferedReader(io.BytesIO(opened[depth % 2])))
