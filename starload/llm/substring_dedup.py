@@ -4,7 +4,13 @@ Units of a text are its paragraphs (lines of at least 20 words), and windows
 of 20 words that begin where the hash of three words is the smallest among 28
 neighbouring positions. Such windows do not depend on what surrounds a
 passage, so two documents that share 50 words or more share a window, also
-inside longer paragraphs.
+inside longer paragraphs. A unit that occurs again is extended to both sides
+over the words that are the same around the copy that stays. Shared words
+beyond the outermost common window, or between two of them, are fewer than 28
+(any 28 neighbouring positions inside a passage have their window in common),
+so that many words around a unit settle where its passage begins and ends. Where
+a window and the next one lie alike in the copy that stays, and all words
+between them are equal by hash, they join without a look at the words around.
 
 Units of equal content meet by two 64-bit hashes. Paragraphs also meet if they
 collide in one of 4 bands of 2 MinHashes of their 5-word shingles, which two of
@@ -33,6 +39,7 @@ SIMILAR = 0.8
 BANDS, PER_BAND = 4, 2
 WINDOW_WORDS, NEIGHBOURS, ANCHOR_WORDS = 20, 28, 3
 MIN_WORDS = 20
+AROUND = NEIGHBOURS - 1  # words on each side of a unit that are compared
 SLAB = 1 << 22
 
 _random = np.random.default_rng(20)
@@ -129,8 +136,14 @@ class Text:
                                   mixed((windows * WHOLE[i]).sum(axis=1, dtype=np.uint64))]) for i in (0, 1)]
         a = np.concatenate([first, at])
         b = np.concatenate([last, at + WINDOW_WORDS]) - 1
+        # from each window to the end of the next one
+        stretch = range_hashes(self.words, at[:-1], at[1:] + WINDOW_WORDS, POWERS[1])
+        none = len(a) - len(stretch)
+        stretch = np.concatenate([np.zeros(len(first), np.uint64), stretch, np.zeros(none - len(first), np.uint64)])
+        step = np.concatenate([np.full(len(first), -1), np.diff(at), np.zeros(none - len(first), np.int64)])
         return {"start": char[self.starts[a]], "end": char[self.ends[b]], "sig": hashes[0].view(np.int64),
-                "check": hashes[1].view(np.int64), "bands": self.bands(first, last)}
+                "check": hashes[1].view(np.int64), "bands": self.bands(first, last), "word": a, "n": b + 1 - a,
+                "step": step, "stretch": stretch.view(np.int64)}
 
     def bands(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Band keys of each paragraph, one row per paragraph."""
@@ -154,9 +167,32 @@ class Text:
         grams = self.grams(GRAM).view(np.int64)
         return [(s, np.unique(grams[a:b - SHINGLE + 1]).tolist()) for s, a, b in zip(sigs, first.tolist(), last.tolist())]
 
+    def around(self, start: np.ndarray, end: np.ndarray, sig: np.ndarray) -> list[tuple]:
+        """For the units of this text among those given: which one, and the
+        hashes and edges (code points) of the AROUND words before it, the
+        nearest first, and after it."""
+        if not self.n:
+            return []
+        char = self.characters()
+        starts, ends = char[self.starts], char[self.ends]
+        a, b = np.searchsorted(starts, start), np.searchsorted(ends, end)
+        at = np.flatnonzero((a < self.n) & (b < self.n) & (a <= b))
+        a, b = a[at], b[at]
+        window = self.words[np.minimum(a[:, None] + np.arange(WINDOW_WORDS), self.n - 1)]
+        same = (range_hashes(self.words, a, b + 1, POWERS[1]).view(np.int64) == sig[at]) | (
+            mixed((window * WHOLE[0]).sum(axis=1, dtype=np.uint64)).view(np.int64) == sig[at])
+        same &= (starts[a] == start[at]) & (ends[b] == end[at])
+        words = self.words.view(np.int64)
+        out = []
+        for i, x, y in zip(at[same].tolist(), a[same].tolist(), b[same].tolist()):
+            before, after = slice(max(x - AROUND, 0), x), slice(y + 1, y + 1 + AROUND)
+            out.append((i, words[before][::-1], starts[before][::-1], words[after], ends[after]))
+        return out
+
 
 UNITS = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("sig", pa.int64()),
-                   ("check", pa.int64()), ("bands", pa.list_(pa.int64()))])
+                   ("check", pa.int64()), ("bands", pa.list_(pa.int64())), ("word", pa.int32()), ("n", pa.int32()),
+                   ("step", pa.int32()), ("stretch", pa.int64())])
 
 
 @gives_back
@@ -165,7 +201,7 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batch, 4 << 20):
             found = [Text(t).units() for t in part.column(1).to_pylist()]
             ids = np.repeat(np.arange(part.num_rows), [len(u["sig"]) for u in found])
-            joined = {c: np.concatenate([u[c] for u in found]) for c in ("start", "end", "sig", "check")}
+            joined = {c: np.concatenate([u[c] for u in found]) for c in ("start", "end", "sig", "check", "word", "n", "step", "stretch")}
             # paragraphs come first in a text, and have bands; windows have none
             sizes = np.concatenate([np.where(np.arange(len(u["sig"])) < len(u["bands"]), BANDS, 0) for u in found])
             offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -173,18 +209,33 @@ def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [part.column(0).take(pa.array(ids)), pa.array(joined["start"].astype(np.int32)),
                  pa.array(joined["end"].astype(np.int32)), pa.array(joined["sig"]), pa.array(joined["check"]),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys))], schema=UNITS)
+                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
+                 *(pa.array(joined[c].astype(np.int32)) for c in ("word", "n", "step")), pa.array(joined["stretch"])],
+                schema=UNITS)
+
+
+READ = pa.schema([("sig", pa.int64()), ("check", pa.int64()), ("grams", pa.list_(pa.int64())), ("doc_id", pa.int64()),
+                  ("start", pa.int32()), ("end", pa.int32()), ("before", pa.list_(pa.int64())),
+                  ("starts", pa.list_(pa.int32())), ("after", pa.list_(pa.int64())), ("ends", pa.list_(pa.int32()))])
 
 
 @gives_back
-def _shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    schema = pa.schema([("sig", pa.int64()), ("grams", pa.list_(pa.int64()))])
+def _read_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles of the wanted paragraphs, and the words around the wanted units."""
     for batch in batches:
         for part in slices(batch, 2 << 20):
-            rows = [(s, g) for wanted, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist())
-                    for s, g in Text(t).shingles() if s in wanted]
-            yield pa.RecordBatch.from_arrays([pa.array([s for s, _ in rows], pa.int64()),
-                                              pa.array([g for _, g in rows], pa.list_(pa.int64()))], schema=schema)
+            rows = []
+            for i, doc_id in enumerate(part.column(0).to_pylist()):
+                text = Text(part.column(1)[i].as_py())
+                if wanted := set(part.column(2)[i].as_py() or ()):
+                    rows += [(s, None, g, *[None] * 7) for s, g in text.shingles() if s in wanted]
+                units = part.column(3)[i].values
+                if units is not None and len(units):
+                    start, end, sig, check = (units.field(c).to_numpy() for c in ("start", "end", "sig", "check"))
+                    rows += [(sig[j], check[j], None, doc_id, start[j], end[j], *around)
+                             for j, *around in text.around(start, end, sig)]
+            columns = zip(*rows) if rows else [[] for _ in READ]
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, READ)], schema=READ)
 
 
 def _similar(x: list, y: list) -> np.ndarray:
@@ -207,16 +258,97 @@ def _similar(x: list, y: list) -> np.ndarray:
     return out
 
 
-def paragraph_links(docs: DataFrame, units: DataFrame) -> DataFrame:
-    """Verified links (a, b) between the signatures of similar paragraphs."""
+def band_rows(units: DataFrame) -> DataFrame:
+    """Signatures in the bands where more than one meets, each with a document that holds it."""
     distinct = units.filter(F.size("bands") > 0).groupBy("sig", "bands").agg(F.min("doc_id").alias("doc_id"))
     rows = distinct.select("sig", "doc_id", F.explode("bands").alias("band"))
     crowd = rows.groupBy("band").agg(F.count(F.lit(1)).alias("size")).filter("size > 1")
-    rows = staged(rows.join(crowd, "band"), "bands")
-    wanted = rows.select("doc_id", "sig").distinct().groupBy("doc_id").agg(F.collect_list("sig").alias("wanted"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    grams = texts.join(wanted, "doc_id").select("wanted", "text").mapInArrow(_shingles, "sig long, grams array<long>")
-    grams = staged(grams.dropDuplicates(["sig"]), "shingles")
+    return staged(rows.join(crowd, "band"), "bands")
+
+
+def read_again(texts: DataFrame, rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The texts read once more: for shingles, and for the words around repeated units."""
+    wanted = rows.groupBy("doc_id").agg(F.collect_set("sig").alias("wanted"))
+    around = repeated.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end", "sig", "check")).alias("around"))
+    found = texts.join(wanted.join(around, "doc_id", "full"), "doc_id").select("doc_id", "text", "wanted", "around")
+    return staged(found.mapInArrow(_read_again, (
+        "sig long, check long, grams array<long>, doc_id long, start int, end int, before array<long>, "
+        "starts array<int>, after array<long>, ends array<int>")), "read_again")
+
+
+def _same_words(x: str, y: str):
+    """How many words two arrays of hashes have in common from their first on."""
+    equal = F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False)))
+    stop = F.array_position(equal, False)
+    return F.when(stop == 0, F.size(equal)).otherwise(stop - 1).cast("int")
+
+
+def chained(units: DataFrame, repeats: DataFrame) -> DataFrame:
+    """Repeated units other than the first of their content, with that first
+    one; ``after`` (end, first_end) tells of the next window if the passage goes
+    on to it, and ``open`` whether the words around have to be compared."""
+    rows = units.join(repeats.select("sig", "check", "first"), ["sig", "check"]).filter(
+        (F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start")))
+    is_window = F.col("step") >= 0
+    rows = rows.select("sig", "check", "doc_id", "start", "end", "word", "n", "step", "first", is_window.alias("is_window"),
+                       (F.col("word") - F.col("first.word")).alias("shift"),
+                       (F.col("stretch") == F.col("first.stretch")).alias("alike"))
+    alike = W.partitionBy("doc_id", "first.doc_id", "shift")
+    down = alike.orderBy(F.desc("word"), F.desc("is_window"), "start").rowsBetween(W.unboundedPreceding, -1)
+    up = alike.orderBy("word", "is_window", "start").rowsBetween(W.unboundedPreceding, -1)
+    window = F.when(F.col("is_window"), F.struct("word", "end", F.col("first.end").alias("first_end")))
+    rows = rows.withColumn("next", F.last(window, ignorenulls=True).over(down))
+    goes_on = F.col("is_window") & F.col("alike") & (F.col("step") > 0) & (F.col("next.word") == F.col("word") + F.col("step"))
+    rows = rows.withColumn("goes_on", F.coalesce(goes_on, F.lit(False)))
+    before = F.last(F.when(F.col("is_window"), F.struct("word", "step", "goes_on")), ignorenulls=True).over(up)
+    rows = rows.withColumn("last", before)
+    comes_on = F.coalesce(F.col("last.goes_on") & (F.col("last.word") + F.col("last.step") == F.col("word")), F.lit(False))
+    # a paragraph with a window of the same copy in it is inside that window's passage
+    held = F.coalesce(F.col("next.word") + WINDOW_WORDS <= F.col("word") + F.col("n"), F.lit(False))
+    is_open = F.when(F.col("is_window"), ~F.col("goes_on") | ~comes_on).otherwise(~held)
+    after = F.when(F.col("goes_on"), F.struct(F.col("next.end").alias("end"), F.col("next.first_end").alias("first_end")))
+    return staged(rows.select("sig", "check", "doc_id", "start", "end", "first", after.alias("after"),
+                              is_open.alias("open")).filter("open or after is not null"), "chained")
+
+
+def sought(chain: DataFrame) -> DataFrame:
+    """Units around which words are compared: the open ones, and their firsts."""
+    rows = chain.filter("open")
+    return rows.select("doc_id", "start", "end", "sig", "check").unionByName(
+        rows.select("first.doc_id", "first.start", "first.end", "sig", "check")).distinct()
+
+
+def extended(around: DataFrame, chain: DataFrame) -> DataFrame:
+    """Repeated units extended over the words they share with the first unit of
+    equal content: sig, check, doc_id, start, end, and first_start and
+    first_end, which the first unit gets from this one. Where both are in one
+    document, the later one does not go back into the first."""
+    opened = chain.filter("open").select("sig", "check", "first").distinct()
+    firsts = around.join(opened, ["sig", "check"]).filter(
+        (F.col("doc_id") == F.col("first.doc_id")) & (F.col("start") == F.col("first.start")))
+    columns = ("end", "before", "starts", "after", "ends")
+    firsts = firsts.groupBy("sig", "check").agg(F.min("first").alias("first"), F.min(F.struct(*columns)).alias("f")).select(
+        "sig", "check", "first", *[F.col(f"f.{c}").alias(f"f_{c}") for c in columns])
+    pairs = around.join(firsts, ["sig", "check"]).filter(
+        (F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start")))
+    pairs = pairs.withColumn("l", _same_words("before", "f_before")).withColumn("r", _same_words("after", "f_after"))
+
+    def edge(edges, n, otherwise):
+        return F.when(F.col(n) > 0, F.try_element_at(edges, F.col(n))).otherwise(F.col(otherwise))
+    start = edge(F.col("starts"), "l", "start")
+    clipped = F.when(F.col("doc_id") == F.col("first.doc_id"),
+                     F.least(F.col("start"), F.greatest(start, F.col("f_end")))).otherwise(start)
+    first_start = F.when(F.col("l") > 0, F.try_element_at(F.col("f_starts"), F.col("l"))).otherwise(F.col("first.start"))
+    joins = chain.filter("after is not null").select(
+        "sig", "check", "doc_id", "start", F.col("after.end").alias("end"), "first",
+        F.col("first.start").alias("first_start"), F.col("after.first_end").alias("first_end"))
+    return staged(pairs.select("sig", "check", "doc_id", clipped.alias("start"), edge(F.col("ends"), "r", "end").alias("end"),
+                               "first", first_start.alias("first_start"),
+                               edge(F.col("f_ends"), "r", "f_end").alias("first_end")).unionByName(joins), "extended")
+
+
+def paragraph_links(rows: DataFrame, grams: DataFrame) -> DataFrame:
+    """Verified links (a, b) between the signatures of similar paragraphs."""
     small = rows.filter(F.col("size") <= SMALL_BUCKET).select("band", "sig")
     pairs = small.alias("a").join(small.alias("b"), (F.col("a.band") == F.col("b.band")) & (F.col("a.sig") < F.col("b.sig")))
     pairs = pairs.select(F.col("a.sig").alias("a"), F.col("b.sig").alias("b")).distinct()
@@ -233,10 +365,11 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     """Repeated passages of documents (doc_id, text).
 
     One row per repeated passage of a document, that is each run of
-    overlapping units that occur again, here or elsewhere: doc_id, start, end
-    (code points, end exclusive), class_id (of the passage's components the
-    smallest number), keep_doc_ids (the documents whose copies stay) and
-    removed (false if all of its units are the ones that stay). Documents
+    overlapping units that occur again, here or elsewhere, extended over the
+    words that their copies share: doc_id, start, end (code points, end
+    exclusive), class_id (of the passage's components the smallest number),
+    keep_doc_ids (the documents whose copies stay) and removed (units that stay
+    and units that do not make separate runs, which may overlap). Documents
     without a repeated passage have no rows; nor have null and short texts.
     Letters differ, cases of A-Z do not. Rows that repeat a doc_id are one
     document, whose equal passages at equal places count once; rows without a
@@ -245,23 +378,43 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     docs = docs.filter(F.col("doc_id").isNotNull())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     units = staged(texts.mapInArrow(
-        _units, "doc_id long, start int, end int, sig long, check long, bands array<long>"), "units")
-    place = F.struct("doc_id", "start")
-    exact = units.groupBy("sig", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    links = components(paragraph_links(docs, units))
+        _units, "doc_id long, start int, end int, sig long, check long, bands array<long>, word int, n int, step int, "
+        "stretch long"), "units")
+    place = F.struct("doc_id", "start", "end", "word", "stretch")
+    exact = units.groupBy("sig", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"),
+                                              F.max(F.size("bands")).alias("bands"))
+    twice = (F.col("first.doc_id") != F.col("last.doc_id")) | (F.col("first.start") != F.col("last.start"))
+    exact = staged(exact.select("sig", "check", "first", twice.alias("twice"), "bands").filter("twice or bands > 0"), "contents")
+    repeats = exact.filter("twice")
+    rows = band_rows(units)
+    chain = chained(units, repeats)
+    again = read_again(texts, rows, sought(chain))
+    grams = staged(again.filter("grams is not null").select("sig", "grams").dropDuplicates(["sig"]), "shingles")
+    longer = extended(again.filter("grams is null").drop("grams"), chain)
+    links = components(paragraph_links(rows, grams))
     exact = exact.join(links, exact["sig"] == links["node"], "left").select(
         "sig", "check", "first", F.coalesce("root", "sig").alias("class_id"),
-        (F.col("root").isNotNull() | (F.col("first") < F.col("last"))).alias("again")).filter("again")
+        (F.col("root").isNotNull() | F.col("twice")).alias("again")).filter("again")
     exact = staged(exact.drop("again"), "unit_classes")
     keep = exact.groupBy("class_id").agg(F.min("first").alias("keep"))
     classes = exact.select("sig", "check", "class_id").join(keep, "class_id")
     found = units.select("doc_id", "start", "end", "sig", "check").join(classes, ["sig", "check"]).select(
         "doc_id", "start", "end", "class_id", F.col("keep.doc_id").alias("keep_doc_id"),
         ((F.col("doc_id") != F.col("keep.doc_id")) | (F.col("start") != F.col("keep.start"))).alias("removed"))
-    before = W.partitionBy("doc_id").orderBy("start", "end").rowsBetween(W.unboundedPreceding, -1)
-    cut = F.when(F.col("start") <= F.max("end").over(before), 0).otherwise(1)
-    runs = found.withColumn("cut", cut).withColumn("run", F.sum("cut").over(W.partitionBy("doc_id").orderBy(
-        "start", "end").rowsBetween(W.unboundedPreceding, 0)))
-    return runs.groupBy("doc_id", "run").agg(
+    # words around a unit are only sure to stay where the first of its content stays
+    longer = longer.join(classes, ["sig", "check"]).filter(F.col("first") == F.col("keep"))
+    firsts = longer.groupBy("sig", "check").agg(
+        F.min("keep").alias("keep"), F.min("first_start").alias("start"), F.max("first_end").alias("end"),
+        F.min("class_id").alias("class_id"))
+    found = found.unionByName(longer.select(
+        "doc_id", "start", "end", "class_id", F.col("keep.doc_id").alias("keep_doc_id"), F.lit(True).alias("removed")))
+    found = found.unionByName(firsts.select(
+        F.col("keep.doc_id").alias("doc_id"), "start", "end", "class_id", F.col("keep.doc_id").alias("keep_doc_id"),
+        F.lit(False).alias("removed")))
+    order = W.partitionBy("doc_id", "removed").orderBy("start", "end")
+    cut = F.when(F.col("start") <= F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1)), 0).otherwise(1)
+    runs = found.withColumn("cut", cut).withColumn("run", F.sum("cut").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    return runs.groupBy("doc_id", "removed", "run").agg(
         F.min("start").alias("start"), F.max("end").alias("end"), F.min("class_id").alias("class_id"),
-        F.array_sort(F.collect_set("keep_doc_id")).alias("keep_doc_ids"), F.max("removed").alias("removed")).drop("run")
+        F.array_sort(F.collect_set("keep_doc_id")).alias("keep_doc_ids")).select(
+        "doc_id", "start", "end", "class_id", "keep_doc_ids", "removed")

@@ -329,6 +329,25 @@ def test_substring_dedup_finds_embedded_and_similar_passages(spark, empty):
     assert substring_dedup(empty).collect() == []
 
 
+def test_substring_dedup_spans_are_the_whole_passages(spark):
+    texts, want = {}, set()
+    for i, n in enumerate((50, 51, 64, 130, 400)):
+        shared = passage(100 + i, n)
+        for j in range(3):
+            head, tail = passage(200 + 10 * i + j, 30 * j + i), passage(300 + 10 * i + j, 40 - 20 * j)
+            doc_id = 10 * i + j
+            texts[doc_id] = f"é {head} {shared if j < 2 else shared.upper()} {tail}"
+            at = texts[doc_id].lower().index(shared)
+            want.add((doc_id, at, at + len(shared), j > 0))
+    thrice = passage(99, 60)
+    texts[90] = " ".join([passage(98, 10), thrice, thrice, thrice])
+    found = substring_dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.start, r.end, r.removed) for r in found if r.doc_id < 90} == want
+    assert all(r.keep_doc_ids == [r.doc_id // 10 * 10] for r in found)
+    at = texts[90].index(thrice) + len(thrice) + 1
+    assert [(r.start, r.end) for r in found if r.doc_id == 90 and r.removed] == [(at, len(texts[90]))]
+
+
 def test_similar_is_exact_jaccard():
     rng = np.random.default_rng(3)
     sets = [sorted(set(rng.integers(0, 30, 25).tolist())) for _ in range(40)]
