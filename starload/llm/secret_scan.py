@@ -1,9 +1,9 @@
 """Secret scans by a recursive decoding worklist.
 
 A text is the first layer. Each layer is scanned for secrets, and every
-encoded run found in it (percent escapes, Unicode escapes, base64, and the
-zlib, gzip or zstd streams that base64 holds) is decoded into a new layer that
-goes on the worklist. A layer whose content was met before is not scanned
+encoded run found in it (percent escapes, Unicode escapes, base64 in one line
+or wrapped, and the zlib, gzip, zstd, bz2, xz or raw deflate streams that these
+hold) is decoded into a new layer that goes on the worklist. A layer whose content was met before is not scanned
 again for the same place, so cycles end; the list runs empty at the fixpoint.
 Each layer maps its positions to those of the text it came from, so that a
 secret found at any depth is reported as the span of the original text that
@@ -17,12 +17,15 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bz2
 import hashlib
 import io
+import lzma
 import re
 import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
+from urllib.parse import unquote_to_bytes
 
 import pyarrow as pa
 import zstandard
@@ -38,10 +41,28 @@ ASSIGN_WORD = re.compile(r"passw(?:or)?d|secret|token|api_?key", re.IGNORECASE |
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
+WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++(?:\r?\n[ \t]*+(?==))?={0,2}")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
-GZIP, ZLIB, ZSTD = b"\x1f\x8b", b"\x78", b"\x28\xb5\x2f\xfd"
-DAMAGED = (zlib.error, zstandard.ZstdError, EOFError)
+GZIP, ZLIB, ZSTD, BZ2, XZ = b"\x1f\x8b", b"\x78", b"\x28\xb5\x2f\xfd", b"BZh", b"\xfd7zXZ\0"
+STREAMS = (GZIP, ZLIB, ZSTD, BZ2, XZ)
+#: Beginnings that tell a stream inside other characters.
+HEADS = (GZIP, *(ZLIB + bytes([b]) for b in (0x01, 0x5E, 0x9C, 0xDA)), ZSTD, BZ2, XZ)
+DAMAGED = (zlib.error, zstandard.ZstdError, lzma.LZMAError, OSError, EOFError)
+
+
+def _begins(escapes: str) -> str:
+    """A pattern of HEADS whose bytes are escaped (``escapes`` has their codes
+    as x and d) or are characters that stand for themselves."""
+    def one(b):
+        return f"(?:(?i:{escapes.format(x=f'{b:02x}', d=b)}){'|' + re.escape(chr(b)) if 33 <= b < 127 and b != 92 else ''})"
+    return "(?:" + "|".join("".join(map(one, head)) for head in HEADS) + ")"
+
+
+PERCENT_STREAM = re.compile(_begins("%{x}") + r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~!*'()/:@$,;+-])*+")
+ESCAPED_STREAM = re.compile(_begins(r"\\x{x}|\\u00{x}|&\#0*{d};|&\#x0*{x};") + r"[ -~]*+")
+ESCAPED_BYTE = re.compile(rf"({ESCAPE.pattern})|\\([abfnrtv0\\'\"])|([ -~])")
+SHORT = dict(zip("abfnrtv0\\'\"", b"\a\b\f\n\r\t\v\0\\'\""))
 #: Every secret, and every run that can hold one, has so many ASCII characters in a row.
 ASCII = re.compile(rb"[\t\n\r -~]{16}")
 WIDE = (("utf-16-le", re.compile(rb"(?:[\t\n\r -~]\0){16}")), ("utf-16-be", re.compile(rb"(?:\0[\t\n\r -~]){16}")))
@@ -129,8 +150,8 @@ def _bytes_texts(data: bytes) -> Iterator[str]:
 class _Inflated(io.RawIOBase):
     """The content of the zlib stream, or of the gzip members, that ``source`` holds."""
 
-    def __init__(self, source: io.BufferedReader):
-        self.source, self.stream, self.rest = source, zlib.decompressobj(47), b""
+    def __init__(self, source: io.BufferedReader, bits: int = 47):
+        self.source, self.stream, self.rest = source, zlib.decompressobj(bits), b""
 
     def readable(self) -> bool:
         return True
@@ -152,11 +173,22 @@ class _Inflated(io.RawIOBase):
                 return len(data)
 
 
+class _Raw(bytes):
+    """Bytes that are read as a deflate stream without header."""
+
+
 def _opened(data: bytes, depth: int) -> io.BufferedReader:
     """What ``data`` holds below ``depth`` compressed streams."""
     source = io.BufferedReader(io.BytesIO(data))
+    if isinstance(data, _Raw):
+        source = io.BufferedReader(_Inflated(source, -15))
     for _ in range(depth):
-        if source.peek(4)[:4] == ZSTD:
+        head = source.peek(6)
+        if head.startswith(BZ2):
+            source = io.BufferedReader(bz2.BZ2File(source))
+        elif head.startswith(XZ):
+            source = io.BufferedReader(lzma.LZMAFile(source))
+        elif head.startswith(ZSTD):
             source = io.BufferedReader(zstandard.ZstdDecompressor().stream_reader(source, read_across_frames=True))
         else:
             source = io.BufferedReader(_Inflated(source))
@@ -181,7 +213,7 @@ def _depth(data: bytes) -> int:
     that holds itself, also by way of others, ends the count."""
     depth, met = 0, set()
     while True:
-        if not _opened(data, depth).peek(4).startswith((GZIP, ZLIB, ZSTD)):
+        if not _opened(data, depth).peek(6).startswith(STREAMS):
             return depth
         content = hashlib.sha256()
         for part in _read(_opened(data, depth), STREAM_BYTES):
@@ -211,24 +243,84 @@ def _pieces(parts: Iterator[bytes]) -> Iterator[bytes]:
     yield bytes(held)
 
 
-def _base64_texts(run: str) -> tuple[Iterator[str], bool]:
-    """The texts that a base64 run stands for, and whether its stream was cut at STREAM_BYTES."""
+def _base64_bytes(run: str) -> bytes:
     body = run.rstrip("=").replace("-", "+").replace("_", "/")
     if len(body) % 4 == 1:
         body = body[:-1]
     try:
-        data = base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
+        return base64.b64decode(body + "=" * (-len(body) % 4), validate=True)
     except (binascii.Error, ValueError):
-        return iter(()), False
-    depth = _depth(data)
-    if not depth:
-        # what begins as zstd and cannot be opened is a damaged stream
-        return (iter(()) if data.startswith(ZSTD) else _bytes_texts(data)), False
+        return b""
+
+
+def _stream_texts(data: bytes, depth: int) -> Iterator[str | None]:
+    """The texts of what lies below ``depth`` streams; None tells of a cut at STREAM_BYTES."""
     rest = _opened(data, depth)
     size = sum(map(len, _read(rest, STREAM_BYTES)))
-    cut = size == STREAM_BYTES and any(_read(rest, 1))
-    pieces = _pieces(_read(_opened(data, depth), STREAM_BYTES))
-    return (text for piece in pieces for text in _bytes_texts(piece)), cut
+    if size == STREAM_BYTES and any(_read(rest, 1)):
+        yield None
+    for piece in _pieces(_read(_opened(data, depth), STREAM_BYTES)):
+        yield from _bytes_texts(piece)
+
+
+def _data_texts(data: bytes) -> Iterator[str | None]:
+    """The texts that decoded bytes stand for; None tells of a cut."""
+    if depth := _depth(data):
+        yield from _stream_texts(data, depth)
+        return
+    if not data.startswith(ZSTD):  # else a damaged stream
+        yield from _bytes_texts(data)
+    raw = _Raw(data)
+    try:
+        if not _opened(raw, 0).peek(1):
+            return
+    except DAMAGED:
+        return
+    yield from _stream_texts(raw, _depth(raw))
+
+
+def _wrapped_texts(run: str) -> Iterator[str | None]:
+    """The texts of base64 over several lines. Other words may stand before it,
+    so it is read from each of four places, and streams from each line's start."""
+    lines = run.rstrip("=").split()
+    body = "".join(lines)
+    if len(body) < 20:
+        return
+    read = [_base64_bytes(body[k:]) for k in range(4)]
+    for data in read:
+        yield from _data_texts(data)
+    at = 0
+    for line in lines[:-1]:
+        at += len(line)
+        k = at % 4
+        if read[k].startswith(HEADS, (at - k) // 4 * 3) and at > k:
+            data = read[k][(at - k) // 4 * 3:]
+            if depth := _depth(data):
+                yield from _stream_texts(data, depth)
+
+
+def _escaped_streams(layer: str) -> Iterator[tuple[bytes, int, int]]:
+    """Streams written with escapes among characters that stand for themselves, and their spans."""
+    if "%" in layer:
+        for m in PERCENT_STREAM.finditer(layer):
+            yield unquote_to_bytes(m[0]), *m.span()
+            if "+" in m[0]:
+                yield unquote_to_bytes(m[0].replace("+", " ")), *m.span()
+        for m in PERCENT.finditer(layer):
+            if "%00" in m[0]:  # UTF-16
+                yield bytes.fromhex(m[0].replace("%", "")), *m.span()
+    if "\\" in layer or "&#" in layer:
+        for m in ESCAPED_STREAM.finditer(layer):
+            quote = layer[m.start() - 1:m.start()]
+            stops = quote if quote in ("'", '"') else "\"' "
+            data, end = bytearray(), m.start()
+            for token in ESCAPED_BYTE.finditer(layer, *m.span()):
+                code = ord(_escaped(token[1]) or "\uffff") if token[1] else SHORT[token[2]] if token[2] else ord(token[3])
+                if code > 255 or token[3] and token[3] in stops:
+                    break
+                data.append(code)
+                end = token.end()
+            yield bytes(data), m.start(), end
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]], int]:
@@ -266,15 +358,22 @@ def _children(layer: str):
         yield *found, False
     if ("\\" in layer or "&#" in layer) and (found := _substituted(layer, ESCAPE, _escaped)):
         yield *found, False
-    for m in BASE64.finditer(layer):
-        texts, cut = _base64_texts(m[0])
-
-        def run(a, b, s=m.start(), e=m.end()):
+    for texts, s, e in _runs(layer):
+        def run(a, b, s=s, e=e):
             return s, e
-        if cut:
-            yield "", run, True
         for child in texts:
-            yield child, run, False
+            yield child or "", run, child is None
+
+
+def _runs(layer: str) -> Iterator[tuple[Iterator[str | None], int, int]]:
+    """The texts of each run whose bytes are decoded as a whole, and the run's span."""
+    for m in BASE64.finditer(layer):
+        yield _data_texts(_base64_bytes(m[0])), *m.span()
+    if "\n" in layer:
+        for m in WRAPPED.finditer(layer):
+            yield _wrapped_texts(m[0]), *m.span()
+    for data, s, e in _escaped_streams(layer):
+        yield _data_texts(data), s, e
 
 
 def joined(spans: list[tuple[int, int, int]]) -> str:

@@ -1,11 +1,14 @@
 """Document operators against brute force, with nulls, ties, repeats, blanks and clashing columns."""
 
 import base64
+import bz2
 import gzip
 import hashlib
 import io
+import lzma
 import re
 import zlib
+from urllib.parse import quote, quote_plus
 
 import duckdb
 import numpy as np
@@ -282,6 +285,28 @@ def test_secret_scan_reads_bytes_that_are_not_text():
     assert joined(scan("q %E9%20%FFtoken%3Dabcdefghijklmnop")[1]) == "assign:11:35"
 
 
+def test_secret_scan_wrapped_and_escaped_streams():
+    secret, raw = SECRET.encode() * 9, zlib.compressobj(wbits=-15)
+    deflated = raw.compress(secret) + raw.flush()
+    noise = np.random.default_rng(3).integers(0, 256, 400, dtype=np.uint8).tobytes()
+    packed = [bz2.compress(secret), lzma.compress(secret), gzip.compress(secret), zlib.compress(secret),
+              zstandard.compress(secret), gzip.compress(noise + secret)]
+    kinds = lambda text: {k for _, k, _ in scan(text)[1]}
+    for data in (*packed, deflated, secret):
+        assert found_in(data) == ({"assign", "access", "hex"}, 0)
+    for data in (*packed, secret, noise + secret):
+        text = base64.b64encode(data).decode()
+        for width, end in ((64, "\n"), (76, "\r\n    "), (19, "\n\t")):
+            wrapped = end.join(text[i:i + width] for i in range(0, len(text), width))
+            for lead in ("see:\n\n", "-----BEGIN KEY-----\n", "some\ndata\n"):
+                assert kinds(f"{lead}{wrapped}\n-----END") == {0, 1, 2}
+    for data in packed:
+        assert kinds("u=" + quote(data) + "&v") == kinds("u=" + quote_plus(data)) == {0, 1, 2}
+        assert kinds("u=" + "".join(f"%{b:02X}" for b in data)) == {0, 1, 2}
+        assert kinds(f"x = {data!r} # end") == kinds("".join(f"\\u00{b:02x}" for b in data)) == {0, 1, 2}
+    assert kinds("u=" + "".join(f"%{b:02X}" for b in SECRET.encode("utf-16"))) == {0, 1, 2}
+
+
 def test_secret_scan_pieces_do_not_cut_secrets(monkeypatch):
     monkeypatch.setattr(secret_scan, "PIECE_BYTES", 64)
     for codec in ("latin-1", "utf-16-le", "utf-16-be"):
