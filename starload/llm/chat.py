@@ -4,7 +4,8 @@ The nested field paths of a layout (not their types or order) are hashed to a
 fingerprint, and the fingerprint selects a declarative mapping: where the
 turns are and what their roles and texts are called. A whole table is mapped
 by the fingerprint of its schema; a column of JSON records of mixed layouts by
-the fingerprint of each record. All layouts become the same canonical turns,
+the fingerprint of each record. Paths that a layout does not know take no part
+in its fingerprint. All layouts become the same canonical turns,
 which one template renders. Everything is built-in functions.
 
 Template, one piece per turn: ``<turn ROLE>``, a line feed, the text, a line
@@ -16,6 +17,7 @@ backslashes, ``>`` and line feeds are escaped; a null role is ``\\0``.
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -53,6 +55,9 @@ LAYOUTS: dict[tuple[str, ...], Mapping] = {
 }
 #: Roles by their names in other layouts.
 ROLE_NAMES = {"human": "user", "gpt": "assistant", "bot": "assistant"}
+#: The layout whose roles are canonical as they are.
+NATIVE = ("role", "text", "turn")
+LONGEST_FIRST = sorted(LAYOUTS, key=len, reverse=True)
 
 
 def field_paths(data_type: T.DataType, at: str = "") -> list[str]:
@@ -72,9 +77,19 @@ def path_text(paths) -> str:
     return "\n".join(sorted(set(paths)))
 
 
-def fingerprint(paths: Column) -> Column:
-    """Hash of a layout's sorted field paths, one per line."""
-    return F.xxhash64(paths)
+def path_hash(paths) -> str:
+    """Fingerprint of field paths: a hash of them, sorted, one per line."""
+    return hashlib.sha256(path_text(paths).encode()).hexdigest()
+
+
+def fingerprint(paths: Column, layout: tuple[str, ...]) -> Column:
+    """Like ``path_hash``, of those of an array of paths that the layout knows."""
+    known = F.array_intersect(paths, F.array(*map(F.lit, layout)))
+    return F.sha2(F.array_join(F.array_sort(known), "\n"), 256)
+
+
+def canonical_role(role: Column) -> Column:
+    return F.coalesce(*[F.when(role == a, F.lit(b)) for a, b in ROLE_NAMES.items()], role)
 
 
 def record_paths(variant: Column) -> Column:
@@ -88,7 +103,7 @@ def record_paths(variant: Column) -> Column:
             F.coalesce(F.from_json(F.element_at(top, k), "array<map<string,string>>"), F.array()),
             lambda m: F.map_keys(m)))), lambda f: F.concat(k, F.lit("[]."), f))
     ).otherwise(F.array().cast("array<string>"))))
-    return F.array_join(F.array_sort(F.array_distinct(F.concat(names, inner))), "\n")
+    return F.array_distinct(F.concat(names, inner))
 
 
 def turns_of(mapping: Mapping, value) -> Column:
@@ -114,24 +129,46 @@ def canonical_turns(df: DataFrame, record_id: str, *, order: str | None = None)
     """
     columns = T.StructType([f for f in df.schema.fields if f.name != record_id])
     present = set(field_paths(columns))
-    known = {path_text(p): m for p, m in LAYOUTS.items()}
-    layout = next((path_text(p) for p in sorted(LAYOUTS, key=len, reverse=True) if present.issuperset(p)), None)
+    layout = next((p for p in LONGEST_FIRST if path_hash(present.intersection(p)) == path_hash(p)), None)
     if layout is None:
         raise ValueError(f"no layout has only fields of {sorted(present)}")
-    turns = turns_of(known[layout], lambda f: F.col(f))
+    turns = turns_of(LAYOUTS[layout], lambda f: F.col(f))
     position = F.col(order) if order else F.lit(0)
     rows = df.select(F.col(record_id).alias("conv_id"), position.cast("long").alias("at"),
                      F.posexplode(turns).alias("n", "t"))
+    role = F.col("t.role")
     return rows.select("conv_id", (F.col("at") if order else F.col("n").cast("long")).alias("turn"),
-                       F.col("t.role").alias("role"), F.col("t.text").alias("text"))
+                       (role if layout == NATIVE else canonical_role(role)).alias("role"), F.col("t.text").alias("text"))
+
+
+def _layouts(df: DataFrame, record_id: str, json: str) -> DataFrame:
+    """conv_id, v (the parsed record) and layout (its fingerprint, null if none is known)."""
+    v = F.try_parse_json(F.col(json))
+    rows = df.select(F.col(record_id).alias("conv_id"), v.alias("v")).withColumn("paths", record_paths(F.col("v")))
+    return rows.withColumn("layout", F.coalesce(*[
+        F.when(fingerprint(F.col("paths"), p) == path_hash(p), F.lit(path_hash(p))) for p in LONGEST_FIRST])).drop("paths")
+
+
+def unmapped_records(df: DataFrame, record_id: str, json: str) -> DataFrame:
+    """Records that ``canonical_turns_json`` gives no turns: conv_id and reason
+    (``malformed``, also of null records, ``layout`` or ``empty``)."""
+    rows = _layouts(df, record_id, json).withColumn("turns", _turns_by_layout())
+    reason = F.when(F.col("v").isNull(), "malformed").when(F.col("layout").isNull(), "layout").when(
+        F.coalesce(F.size("turns"), F.lit(0)) <= 0, "empty")
+    return rows.select("conv_id", reason.alias("reason")).filter("reason is not null")
 
 
 def canonical_turns_json(df: DataFrame, record_id: str, json: str) -> DataFrame:
     """Turns of JSON records of mixed layouts, each mapped by its own
-    fingerprint. A record that is null, malformed or of no known layout has no turns."""
-    v = F.try_parse_json(F.col(json))
-    rows = df.select(F.col(record_id).alias("conv_id"), v.alias("v"))
-    rows = rows.withColumn("layout", fingerprint(record_paths(F.col("v"))))
+    fingerprint. A record that is null, malformed or of no known layout has no
+    turns; ``unmapped_records`` gives those."""
+    rows = _layouts(df, record_id, json).select("conv_id", F.posexplode(_turns_by_layout()).alias("turn", "t"))
+    return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), canonical_role(F.col("t.role")).alias("role"),
+                       F.col("t.text").alias("text"))
+
+
+def _turns_by_layout() -> Column:
+    """Turns of ``v`` by the mapping that ``layout`` selects."""
     turns = F.lit(None).cast("array<struct<role:string,text:string>>")
     for paths, mapping in LAYOUTS.items():
         if mapping.items is not None:
@@ -140,12 +177,8 @@ def canonical_turns_json(df: DataFrame, record_id: str, json: str) -> DataFrame:
         else:
             def get(path):
                 return F.try_variant_get("v", f"$.{path}", "string")
-        turns = F.when(F.col("layout") == fingerprint(F.lit(path_text(paths))), turns_of(mapping, get)).otherwise(turns)
-    rows = rows.select("conv_id", F.posexplode(turns).alias("turn", "t"))
-    role = F.col("t.role")
-    named = F.coalesce(*[F.when(role == a, F.lit(b)) for a, b in ROLE_NAMES.items()], role)
-    return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), named.alias("role"),
-                       F.col("t.text").alias("text"))
+        turns = F.when(F.col("layout") == path_hash(paths), turns_of(mapping, get)).otherwise(turns)
+    return turns
 
 
 def escaped(text: Column) -> Column:

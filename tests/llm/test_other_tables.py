@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from starload.llm.chat import canonical_turns, canonical_turns_json, format_chats, read_chats
+from starload.llm.chat import canonical_turns, canonical_turns_json, format_chats, read_chats, unmapped_records
 from starload.llm.queries import ORACLES, QUERIES
 from starload.llm.topk import _dtype, best_of_block, integer_vectors, search_embeddings, top_k
 from starload.llm.url_filter import cascade, filter_urls
@@ -141,6 +141,19 @@ def test_mixed_records_become_the_same_turns(spark):
     assert got == {i: pair if i != 5 else [("user", "q"), ("user", "more"), ("assistant", "a")] for i in range(7)}
 
 
+def test_records_with_extra_fields_keep_their_turns(spark):
+    extra = [{"id": i, "source": "s", **r} for i, r in enumerate(RECORDS[:5])]
+    extra[0]["messages"] = [{"name": "n", **m} for m in extra[0]["messages"]]
+    texts = [*map(json.dumps, extra), None, "{broken", '{"other": 1}', '{"messages": []}']
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, json string")
+    got = sorted((r.conv_id, r.turn, r.role, r.text) for r in canonical_turns_json(df, "id", "json").collect())
+    assert got == [t for i in range(5) for t in ((i, 0, "user", "q"), (i, 1, "assistant", "a"))]
+    assert {(r.conv_id, r.reason) for r in unmapped_records(df, "id", "json").collect()} == {
+        (5, "malformed"), (6, "malformed"), (7, "layout"), (8, "layout")}
+    typed = spark.read.json(spark.sparkContext.parallelize([json.dumps({"id": 9, **RECORDS[1]})]))
+    assert {r.role for r in canonical_turns(typed, "id").collect()} == {"user", "assistant"}
+
+
 def test_tables_of_other_layouts(spark):
     for i, record in enumerate(RECORDS):
         if i in (5, 6):
