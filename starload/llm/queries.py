@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starload.llm import bpe
+from starload.llm.centroids import CLUSTERS, ROUNDS, cluster_vectors
 from starload.llm.chat import canonical_turns, format_chats, read_chats
+from starload.llm.divergence import audit_sources
 from starload.llm.exact_dedup import exact_dedup
+from starload.llm.minhash import minhash_dedup
 from starload.llm.mixing import mix
 from starload.llm.secret_scan import scan_secrets
 from starload.llm.simhash import simhash_dedup
@@ -86,9 +89,22 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup(table(spark, sf_dir, "documents"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_sources(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_simhash_dedup, op2_source_mix, op3_url_filter, op4_exact_dedup, op5_exact_top_k,
-                            op6_chat_format, op7_substring_dedup, op8_byte_bpe, op9_secret_scan, op10_toxicity)}
+                            op6_chat_format, op7_substring_dedup, op8_byte_bpe, op9_secret_scan, op10_toxicity,
+                            op11_minhash_dedup, op12_centroid_clustering, op13_source_divergence)}
 
 # ---------------------------------------------------------------- SQL
 
@@ -190,7 +206,107 @@ select conv_id, count(*) as n_turns,
     as formatted_chars
 from f group by conv_id"""
 
+MINHASH_SQL = r"""with recursive d as (
+  select row_number() over () as row, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), s as (
+  select row, doc_id, list_sort(list_distinct(case when len(w) > 1
+    then list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) else w end)) as shingles from d
+), m as materialized (
+  select row_number() over () as node, shingles, len(shingles) as n, min(doc_id) as least
+  from s where len(shingles) > 0 group by shingles
+), i as materialized (
+  select node, n, unnest(shingles) as shingle from m
+), e as materialized (
+  select a.node as x, b.node as y from i a join i b
+    on a.shingle = b.shingle and a.node < b.node and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  group by a.node, a.n, b.node, b.n having 100 * count(*) >= 80 * (a.n + b.n - count(*))
+), both_ways as (
+  select x, y from e union all select y, x from e
+), reach as (
+  select node, node as other from m
+  union
+  select r.node, b.y from reach r join both_ways b on r.other = b.x
+), c as (
+  select r.node, min(m.least) as component_id from reach r join m on r.other = m.node group by r.node
+)
+select s.doc_id, cast(len(s.shingles) as bigint) as n_shingles,
+  case when m.node is null then s.doc_id else c.component_id end as component_id,
+  s.doc_id is not distinct from (case when m.node is null then s.doc_id else c.component_id end) as kept
+from s left join m on s.shingles = m.shingles left join c on c.node = m.node"""
+
+
+def _cluster_sql() -> str:
+    """Rounds of nearest centroid and componentwise floor of the mean. Products
+    of whole components are exact as doubles."""
+    parts = [f"""with v as materialized (
+  select row_number() over () as row, vec_id,
+    list_transform(embedding, lambda e: cast(floor(256 * cast(e as double)) as bigint)) as x
+  from embeddings where len(embedding) = 64
+    and list_count(list_filter(embedding, lambda e: e is not null and isfinite(cast(e as double)))) = 64
+), c0 as materialized (
+  select cast(row_number() over (order by sha256('2:' || vec_id) nulls last, x) - 1 as integer) as cluster, x
+  from v qualify cluster < {CLUSTERS}
+)"""]
+    for r in range(ROUNDS + 1):
+        parts.append(f"""a{r} as materialized (
+  select v.row, v.vec_id, v.x, c.cluster, cast(list_inner_product(
+    list_transform(list_zip(v.x, c.x), lambda p: cast(p[1] - p[2] as double)),
+    list_transform(list_zip(v.x, c.x), lambda p: cast(p[1] - p[2] as double))) as bigint) as distance
+  from v, c{r} c
+  qualify row_number() over (partition by v.row order by distance, c.cluster) = 1
+)""")
+        if r < ROUNDS:
+            parts.append(f"""c{r + 1} as materialized (
+  select c.cluster, coalesce(m.x, c.x) as x from c{r} c left join (
+    select cluster, list(mean order by dim) as x from (
+      select cluster, dim, cast(floor(sum(part) / count(*)::double) as bigint) as mean
+      from (select cluster, unnest(x) as part, generate_subscripts(x, 1) as dim from a{r})
+      group by cluster, dim) group by cluster) m on m.cluster = c.cluster
+)""")
+    return ",\n".join(parts) + f"""
+select a.vec_id, a.cluster, a.distance, cast(sum(a.distance) over (partition by a.cluster) as bigint) as cluster_inertia,
+  cast(sum(a.distance) over () as bigint) as inertia, sha256(array_to_string(c.x, ',')) as centroid_sha256
+from a{ROUNDS} a join c{ROUNDS} c on a.cluster = c.cluster"""
+
+
+DIVERGENCE_SQL = r"""with d as (
+  select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as t
+  from documents
+), w as (
+  select row, lang, source, unnest(regexp_extract_all(
+    translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) as term from d
+), k as materialized (
+  select lang, term, count(*) as n from w group by lang, term having count(distinct row) >= 30
+), g as materialized (
+  select distinct lang, source from d
+), n as materialized (
+  select lang, source, term, count(*) as n from w join k using (lang, term) group by lang, source, term
+), v as (
+  select g.lang, g.source, (select count(*) from k where k.lang = g.lang) as v,
+    coalesce((select sum(n) from n where n.lang = g.lang and n.source = g.source), 0) as total,
+    coalesce((select sum(n) from k where k.lang = g.lang), 0) as lang_total from g
+), p as materialized (
+  select v.lang, v.source, k.term, coalesce(n.n, 0) as n,
+    cast(1 + (1000000000::hugeint * (coalesce(n.n, 0) + 5)) // (v.total + 5 * v.v)::hugeint as bigint) as p,
+    cast(1 + (1000000000::hugeint * (k.n + 5)) // (v.lang_total + 5 * v.v)::hugeint as bigint) as q
+  from v join k on k.lang = v.lang left join n on n.lang = v.lang and n.source = v.source and n.term = k.term
+), f as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce((
+    select sum(abs(x.p - y.p)) from p x join p y on x.lang = y.lang and x.term = y.term
+    where x.lang = a.lang and x.source = a.source and y.source = b.source), 0) as value
+  from g a join g b on a.lang = b.lang and a.source <> b.source
+  union all
+  select lang, source, 'term', term, p - q from p where n > 0 and p > q
+), r as (
+  select lang, source, part, item, cast(value as bigint) as value,
+    cast(row_number() over (partition by lang, source, part order by value desc, item) as integer) as rank from f
+)
+select * from r where part = 'pair' or rank <= 50"""
+
 ORACLES: dict[str, str] = {
     "op2_source_mix": MIX_SQL, "op3_url_filter": URL_SQL, "op4_exact_dedup": EXACT_SQL,
     "op5_exact_top_k": TOP_SQL, "op6_chat_format": CHAT_SQL,
+    "op11_minhash_dedup": MINHASH_SQL, "op12_centroid_clustering": _cluster_sql(), "op13_source_divergence": DIVERGENCE_SQL,
 }
