@@ -18,7 +18,9 @@ paired off. First every member is compared with its bucket's smallest node
 only. Where a bucket then still holds several components, its members of
 different components are compared: pair by pair in small buckets; in large
 ones block by block, each pair of blocks being a group of its own that tests
-the bounds in place. So no pair of different components is left out.
+the bounds in place and names an open pair only in the first table that both
+its nodes share. So no pair of different components is left out, and none is
+named once for each table.
 """
 
 from __future__ import annotations
@@ -41,6 +43,8 @@ SIDE, ROWS = 12, 3
 PARITIES = 512
 BLOCK = 4096
 SLAB = 4096
+#: Wanted documents are picked from the table by a bitmap of 16 bits for each of them, of at most 16 MB.
+PAGE_BITS, MOST_PAGES = 32_768, 4096
 
 _NUMBERS = np.random.default_rng(11).integers(0, 1 << 63, (2, 2 * SIDE * ROWS), dtype=np.uint64)
 TURN, FACTOR = _NUMBERS[0][:, None], (_NUMBERS[1] | np.uint64(1))[:, None]
@@ -102,10 +106,11 @@ def sketches(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
 
 
 def _members(nodes: DataFrame) -> DataFrame:
-    """(key, node, pivot, size) of every node in every bucket of two nodes or more; pivot is its smallest node."""
+    """(key, table, node, pivot, size) of every node in every bucket of two nodes or more; pivot is its smallest node."""
     spread = nodes.repartition(shuffle_partitions(nodes.sparkSession), "node")  # a row becomes SIDE x SIDE
-    one = spread.select("node", "right", F.explode("left").alias("l"))
-    rows = one.select("node", "l", F.explode("right").alias("r")).select("node", F.xxhash64("l", "r").alias("key"))
+    one = spread.select("node", "right", F.posexplode("left").alias("i", "l"))
+    rows = one.select("node", "i", "l", F.posexplode("right").alias("j", "r")).select(
+        "node", F.xxhash64("l", "r").alias("key"), (F.col("i") * SIDE + F.col("j")).cast("short").alias("table"))
     met = rows.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("pivot"))
     return rows.join(met.filter("size > 1"), "key")
 
@@ -128,22 +133,29 @@ def _may_be_similar(x: pd.DataFrame, y: pd.DataFrame) -> np.ndarray:
 
 def _open_pairs(rows: DataFrame) -> DataFrame:
     """Pairs (a, b) of crowded buckets that the bounds leave open. ``rows``:
-    key, node, size, root, n, parity. A bucket's members are dealt into blocks
-    by a hash; each pair of blocks is compared in a group of its own."""
+    key, table, node, size, root, n, parity, left, right. A bucket's members
+    are dealt into blocks by a hash; each pair of blocks is compared in a
+    group of its own. A pair leaves only the first of the tables it shares."""
+    payload = ["table", "node", "root", "n", "parity", "left", "right"]
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    dealt = rows.select("key", "node", "root", "n", "parity", blocks.alias("k"),
-                        F.pmod(F.xxhash64("node"), blocks).cast("int").alias("s"))
+    dealt = rows.select("key", *payload, blocks.alias("k"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("s"))
     dealt = dealt.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
-        "key", "node", "root", "n", "parity", "s", F.least("s", "t").alias("x"), F.greatest("s", "t").alias("y"))
+        "key", *payload, "s", F.least("s", "t").alias("x"), F.greatest("s", "t").alias("y"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         same = group["x"].iloc[0] == group["y"].iloc[0]
         left = group if same else group[group["s"] == group["x"]]
         right = left if same else group[group["s"] == group["y"]]
+        table = int(group["table"].iloc[0])
+        here = {"left": table // SIDE, "right": table % SIDE}
         found = [(np.empty(0, np.int64),) * 2]
-        for lo in range(0, len(left), 256):
+        for lo in range(0, len(left) if len(right) else 0, 256):
             part = left.iloc[lo:lo + 256]
-            i, j = np.nonzero(_may_be_similar(part, right)) if len(right) else ([], [])
+            i, j = np.nonzero(_may_be_similar(part, right))
+            for side, own in here.items():
+                shared = np.stack(part[side].to_numpy())[i] == np.stack(right[side].to_numpy())[j]
+                at = shared.argmax(axis=1) == own
+                i, j = i[at], j[at]
             found.append((part["node"].to_numpy(np.int64)[i], right["node"].to_numpy(np.int64)[j]))
         a, b = (np.concatenate(c) for c in zip(*found))
         return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)}).drop_duplicates()
@@ -161,6 +173,26 @@ def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return near.filter(apart * (SHARED + OF) <= (F.col("na") + F.col("nb")) * (OF - SHARED)).select("a", "b")
 
 
+def _picked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``rows`` whose doc_id the bitmap of ``wanted`` (first) holds: all that are
+    wanted, and few others while the bitmap's bound is not reached. So the
+    join that follows moves hardly any other text."""
+    pages = max(1, min(MOST_PAGES, -(-16 * wanted.count() // PAGE_BITS)))
+
+    def spot(name: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.lit(pages * PAGE_BITS))
+
+    def page(c: Column) -> Column:
+        return F.floor(c / PAGE_BITS).cast("int")
+
+    bits = wanted.select(spot("first").alias("spot")).groupBy(page(F.col("spot")).alias("page")).agg(
+        F.bitmap_construct_agg(F.pmod(F.col("spot"), F.lit(PAGE_BITS))).alias("bits"))
+    at = F.pmod(F.col("spot"), F.lit(PAGE_BITS)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    met = rows.withColumn("spot", spot("doc_id")).withColumn("page", page(F.col("spot"))).join(F.broadcast(bits), "page")
+    return met.filter(F.call_function("getbit", byte, F.pmod(at, F.lit(8))) == 1).select(*rows.columns)
+
+
 def _full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
     """(node, shingles) of the nodes of ``wanted`` (node, first, h1, h2), made again from one document each."""
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
@@ -169,7 +201,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFr
         s = shingle_set(text, shingle_words)
         return (s.view(np.int64) if _names(s) == (h1, h2) else None,)  # another text of a repeated doc_id
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    rows = _picked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), wanted)
     rows = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["first"])).select("node", "text", "h1", "h2")
     sets = rows.mapInArrow(per_row(row, ["node", "text", "h1", "h2"], schema), "node long, shingles array<long>")
     return sets.filter("shingles is not null").dropDuplicates(["node"])
@@ -213,9 +245,10 @@ def minhash_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFr
     links = staged(_linked(docs, _bounded(first, nodes), nodes, shingle_words), "minhash_links")
     classes = staged(components(links), "minhash_classes")
     rooted = members.join(classes, "node", "left").select(
-        "key", "node", "pivot", "size", F.coalesce("root", "node").alias("root"))
+        "key", "table", "node", "pivot", "size", F.coalesce("root", "node").alias("root"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
-    rest = staged(rooted.join(mixed, "key").join(nodes.select("node", "n", "parity"), "node"), "minhash_rest")
+    facts = nodes.select("node", "n", "parity", "left", "right")
+    rest = staged(rooted.join(mixed, "key").join(facts, "node"), "minhash_rest")
     small = rest.filter(F.col("size") <= SMALL_BUCKET)
     x, y = small.alias("x"), small.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
