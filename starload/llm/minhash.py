@@ -139,7 +139,8 @@ def _open_pairs(rows: DataFrame) -> DataFrame:
     payload = ["table", "node", "root", "n", "parity", "left", "right"]
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     dealt = rows.select("key", *payload, blocks.alias("k"), F.pmod(F.xxhash64("node"), blocks).cast("int").alias("s"))
-    dealt = dealt.withColumn("t", F.explode(F.sequence(F.lit(0), F.col("k") - 1))).select(
+    copied = dealt.filter("k > 1").withColumn("t", F.explode(F.sequence(F.lit(0), F.col("k") - 1)))
+    dealt = dealt.filter("k = 1").withColumn("t", F.lit(0)).unionByName(copied).select(
         "key", *payload, "s", F.least("s", "t").alias("x"), F.greatest("s", "t").alias("y"))
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
