@@ -29,6 +29,7 @@ from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, sing
 from starload.schemas import EXAMPLE, FDIC_BANKS
 from starload.session import scratch_path
 from starload.sinks.files import csv_sink, parquet_sink, write_csv, write_parquet
+from starload.sinks.store import TableStore
 from starload.sources.files import read_csv, read_parquet, table_path
 from starload.sources.generic import load_base, read_source
 
@@ -137,6 +138,54 @@ def _load_all_twice(name: str) -> Callable[[SparkSession, str], DataFrame]:
     return q
 
 
+def _store_load(store: TableStore, load_id: str, base: DataFrame, breaks_at: str | None = None) -> None:
+    """One appended load of all bank tables; with ``breaks_at`` it dies when it comes to that table."""
+    def write(sink):
+        def until(df, table):
+            if table == breaks_at:
+                raise InterruptedError(f"stopped at {table}")
+            return sink(df, table)
+        until.mode, until.existing = sink.mode, sink.existing
+        load_all(base, FDIC_BANKS, until if breaks_at else sink, "fdic_banks", star=BANK_STAR, relational=BANK_RELATIONAL)
+    store.load(load_id, write, mode="append")
+
+
+def _rerun(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The same load three times: done, then again under its id, then again by
+    a store opened anew. It counts once."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch_path(spark, "rerun")
+        base = bank_base(standin_base(spark, sf_dir))
+        for store in [TableStore(spark, root)] * 2 + [TableStore(spark, root)]:
+            _store_load(store, "day 1", base)
+        return store.read(name)
+    return q
+
+
+def _killed(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """A load, and a second one that dies half-way: readers see the first."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = TableStore(spark, scratch_path(spark, "killed"))
+        base = bank_base(standin_base(spark, sf_dir))
+        _store_load(store, "day 1", base)
+        try:
+            _store_load(store, "day 2", base, breaks_at="city_dimension_table")
+        except InterruptedError:
+            pass
+        return store.read(name)
+    return q
+
+
+def _appended(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """Two loads of the same rows under ids of their own, appended to a store."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = TableStore(spark, scratch_path(spark, "appended"))
+        for day in ("day 1", "day 2"):
+            _store_load(store, day, bank_base(standin_base(spark, sf_dir)))
+        return store.read(name)
+    return q
+
+
 def q_load_all_csv(spark, sf_dir):
     paths = load_all(bank_base(standin_base(spark, sf_dir)), "fdic_banks",
                      csv_sink(scratch_path(spark, "load_all_csv")), "fdic_banks", star=BANK_STAR)
@@ -347,6 +396,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs["ref_extract_load"] = q_ref_extract_load
     qs["ref_written_fact_table"] = _written_star("fact_table")
     qs["ref_written_bank_dimension_table"] = _written_star("bank_dimension_table")
+    for name in ("city_dimension_table", "chartering_agency_dimension_table"):  # derived from the bank dimension
+        qs[f"ref_written_{name}"] = _written_star(name)
+    qs["ref_load_all_city_table"] = _load_all("city_table")
+    qs["ref_load_all_rerun_fact_table"] = _rerun("fact_table")
+    qs["ref_load_all_killed_fact_table"] = _killed("fact_table")
+    qs["ref_load_all_appended_fact_table"] = _appended("fact_table")
+    qs["ref_load_all_appended_city_dimension_table"] = _appended("city_dimension_table")
     qs["ref_load_all_fact_table"] = _load_all("fact_table")
     qs["ref_load_all_institution_table"] = _load_all("institution_table")
     qs["ref_load_all_twice_fact_table"] = _load_all_twice("fact_table")
@@ -512,6 +568,12 @@ def oracle_sql() -> dict[str, str]:
         f"{bank} select * exclude (state_name, state_fips_code, city, chartering_agency), {state} as state_key, "
         f"{city} as city_key, {agency} as chartering_agency_key from b")
     sql["ref_load_all_institution_table"] = sql["ref_rel_institution_table"]
+    sql["ref_load_all_city_table"] = sql["ref_rel_city_table"]
+    for name in ("city_dimension_table", "chartering_agency_dimension_table"):
+        sql[f"ref_written_{name}"] = sql[f"ref_{name}"]
+    sql["ref_load_all_rerun_fact_table"] = sql["ref_load_all_killed_fact_table"] = sql["ref_fact_table"]
+    sql["ref_load_all_appended_fact_table"] = sql["ref_load_all_twice_fact_table"]
+    sql["ref_load_all_appended_city_dimension_table"] = sql["ref_city_dimension_table"]
     sql["example_partitioned"] = example
     sql["csv_types_roundtrip"] = """
         select o_orderkey, o_orderdate + to_microseconds(o_orderkey % 1000003) as at_time,

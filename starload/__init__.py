@@ -17,19 +17,21 @@ from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, sing
 from starload.schemas import EXAMPLE, FDIC_BANKS, SCHEMAS, get_schema, register_schema, sql_types
 from starload.session import scratch_path, shared_dir
 from starload.sinks.files import FileSink, assert_not_reading, csv_sink, parquet_sink, rebalance, write_csv, write_parquet
-from starload.sinks.tables import append_new_members, write_tables
+from starload.sinks.store import CommitConflict, Snapshot, StoreSink, TableStore
+from starload.sinks.tables import new_members, write_tables
 from starload.sinks.jdbc import create_table_column_types, jdbc_sink, write_jdbc
 from starload.sources.files import read_csv, read_parquet, table_path
 from starload.sources.generic import load_base, read_source
 from starload.sources.jdbc import JdbcConnection, JdbcPartitioning, jdbc_partitioning, read_jdbc
 
 __all__ = [
-    "BANK_RELATIONAL", "BANK_STAR", "EXAMPLE", "FDIC_BANKS", "FileSink", "JdbcConnection", "JdbcPartitioning",
-    "Outputs", "Parent", "RelationalSpec", "SCHEMAS", "SHARE_MODES", "Star", "StarSpec",
-    "append_new_members", "assert_not_reading", "build_relational", "build_star", "child_table", "conform",
+    "BANK_RELATIONAL", "BANK_STAR", "CommitConflict", "EXAMPLE", "FDIC_BANKS", "FileSink", "JdbcConnection", "JdbcPartitioning",
+    "Outputs", "Parent", "RelationalSpec", "SCHEMAS", "SHARE_MODES", "Snapshot", "Star", "StarSpec",
+    "StoreSink", "TableStore",
+    "assert_not_reading", "build_relational", "build_star", "child_table", "conform",
     "create_table_column_types", "csv_sink", "dimension", "extract_load",
     "fact", "get_schema", "hash_key", "hash_key_sql", "jdbc_partitioning", "jdbc_sink", "load_all", "load_base",
-    "parent_table", "parquet_sink", "query_to_table", "read_csv", "read_jdbc", "read_parquet",
+    "new_members", "parent_table", "parquet_sink", "query_to_table", "read_csv", "read_jdbc", "read_parquet",
     "read_source", "rebalance", "register_schema", "relational", "resolve_share", "run_star",
     "scratch_path", "select_in_schema_order", "share_base", "shared_dir", "single_table",
     "sql_types", "star_load", "subset_schema", "table_path", "type_declared", "write_csv",

@@ -7,7 +7,9 @@ is shuffled. NULLs compare equal, so a NULL member is kept. A fact is a plain
 projection: no shuffle, duplicates kept, one output row per base row.
 
 ``build_star`` derives every output of a ``StarSpec`` from one base, pruned
-to the columns they use and shared as ``share`` says (see ``sharing``).
+to the columns they use and shared as ``share`` says (see ``sharing``). When a
+star is written, a dimension whose columns another one holds is derived from
+that one in place of the base (see ``lattice``).
 """
 
 from __future__ import annotations
@@ -19,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.columns import quoted
+from starload.operators.lattice import Member, distinct_rows
 from starload.operators.sharing import Outputs, resolve_share, share_base, write_outputs
 from starload.sinks.tables import Sink
 
@@ -30,7 +33,7 @@ def _cols(columns: Sequence[str]):
 def dimension(base: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Distinct combinations of ``columns`` (several rows per business key
     when its attributes vary)."""
-    return base.select(*_cols(columns)).distinct()
+    return distinct_rows(base, columns)
 
 
 def fact(base: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -56,6 +59,9 @@ class StarSpec:
     def tables(self) -> list[str]:
         return [*self.dimensions, *self.facts]
 
+    def members(self) -> dict[str, Member]:
+        return {name: Member(cols) for name, cols in self.dimensions.items()}
+
 
 Star = Outputs
 
@@ -74,7 +80,7 @@ def build_star(base: DataFrame, spec: StarSpec, share: str = "auto") -> Star:
     """
     share = resolve_share(base, share)
     pruned, staged = share_base(base, spec.columns(), share)
-    return Star(frames=star_frames(pruned, spec), base=pruned, share=share, staged_path=staged)
+    return Star(frames=star_frames(pruned, spec), base=pruned, share=share, staged_path=staged, members=spec.members())
 
 
 def run_star(star: Star, sink: Sink, parallel: int | None = None) -> dict[str, object]:

@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starload.functions.columns import hash_key, quoted
+from starload.operators.lattice import Member
 from starload.operators.sharing import Outputs, resolve_share, share_base
 
 
@@ -35,13 +36,20 @@ class RelationalSpec:
     parents: Sequence[Parent]
 
 
-def parent_table(base: DataFrame, parent: Parent) -> DataFrame:
-    """Distinct parent rows, keyed. The key is computed after the distinct,
-    so only distinct rows are hashed and the shuffle carries no key column."""
+def _member(parent: Parent) -> Member:
+    """The key is computed after the distinct, so only distinct rows are
+    hashed and the shuffle carries no key column."""
     cols = [*parent.natural_key, *parent.attributes]
-    distinct = base.select(*[F.col(quoted(c)) for c in cols]).distinct()
-    return distinct.select(hash_key(cols).alias(parent.key),
-                           *[F.col(quoted(c)) for c in cols])
+    return Member(cols, lambda rows: rows.select(hash_key(cols).alias(parent.key), *[F.col(quoted(c)) for c in cols]))
+
+
+def parent_table(base: DataFrame, parent: Parent) -> DataFrame:
+    """Distinct parent rows, keyed."""
+    return _member(parent).table(base)
+
+
+def parent_members(spec: RelationalSpec) -> dict[str, Member]:
+    return {p.name: _member(p) for p in spec.parents}
 
 
 def child_table(base: DataFrame, spec: RelationalSpec) -> DataFrame:
@@ -69,4 +77,5 @@ def build_relational(base: DataFrame, spec: RelationalSpec, share: str = "auto")
     ``write_outputs``."""
     share = resolve_share(base, share)
     pruned, staged = share_base(base, spec_columns(spec), share)
-    return Outputs(frames=relational(pruned, spec), base=pruned, share=share, staged_path=staged)
+    return Outputs(frames=relational(pruned, spec), base=pruned, share=share, staged_path=staged,
+                   members=parent_members(spec))

@@ -26,15 +26,16 @@ from __future__ import annotations
 
 import logging
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from starload.functions.columns import quoted
+from starload.operators.lattice import Member
 from starload.session import drop_path, scratch_path, shared_dir
-from starload.sinks.tables import Sink, write_tables
+from starload.sinks.tables import Existing, Sink, write_lattice
 
 log = logging.getLogger("starload")
 
@@ -101,12 +102,15 @@ def share_base(base: DataFrame, columns: Sequence[str], share: str) -> tuple[Dat
 
 @dataclass
 class Outputs:
-    """Lazy output frames plus the handle on the base they share."""
+    """Lazy output frames plus the handle on the base they share. ``members``
+    names the frames that hold each row once, so that those of fewer columns
+    can be derived from the others when they are written."""
 
     frames: dict[str, DataFrame]
     base: DataFrame
     share: str
     staged_path: str | None = None  # the staged table, for the caller's clean-up
+    members: Mapping[str, Member] = field(default_factory=dict)
     _released: bool = field(default=False, repr=False)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -121,11 +125,14 @@ class Outputs:
         self._released = True
 
 
-def write_outputs(outputs: Outputs, sink: Sink, parallel: int | None = None) -> dict[str, object]:
+def write_outputs(outputs: Outputs, sink: Sink, parallel: int | None = None,
+                  existing: Existing | None = None) -> dict[str, object]:
     """Write every output with ``sink(frame, table_name)``, then release the
     shared base. Writes are submitted ``parallel`` at a time (default: all at
-    once), so small jobs fill the slots a long one leaves idle."""
+    once), so small jobs fill the slots a long one leaves idle. Members are
+    written as ``write_lattice`` says: from the smallest member that holds
+    their columns, and with an appending sink only what is new."""
     try:
-        return write_tables(outputs.frames, sink, parallel)
+        return write_lattice(outputs.frames, outputs.members, sink, parallel, existing)
     finally:
         outputs.release()

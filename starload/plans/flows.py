@@ -18,10 +18,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starload.operators.dimensional import StarSpec, build_star, star_frames
-from starload.operators.relational import RelationalSpec, relational as relational_frames
+from starload.operators.relational import RelationalSpec, parent_members, relational as relational_frames
 from starload.operators.sharing import Outputs, resolve_share, share_base, write_outputs
 from starload.schemas import get_schema
-from starload.sinks.tables import Existing, append_new_members
+from starload.sinks.tables import Existing
 from starload.sources.generic import load_base, read_source
 
 
@@ -44,10 +44,8 @@ def _declared(schema: T.StructType | str | None, table: str) -> T.StructType:
 def star_load(base: DataFrame, spec: StarSpec, sink: Callable[..., object], share: str = "auto",
               parallel: int | None = None, existing: Existing | None = None) -> dict[str, object]:
     """Build every output of ``spec`` from ``base`` and write each one;
-    appending, dimensions get only new members (see ``append_new_members``)."""
-    star = build_star(base, spec, share=share)
-    star.frames = append_new_members(star.frames, list(spec.dimensions), sink, existing)
-    return write_outputs(star, sink, parallel)
+    appending, dimensions get only new members (see ``new_members``)."""
+    return write_outputs(build_star(base, spec, share=share), sink, parallel, existing)
 
 
 def load_all(base: DataFrame, schema: T.StructType | str | None, sink: Callable[..., object], single_table: str,
@@ -58,18 +56,25 @@ def load_all(base: DataFrame, schema: T.StructType | str | None, sink: Callable[
     table of this load's rows, ``parallel`` at a time (default: all at once).
 
     Every output is derived from the conformed base, which ``share`` keeps for
-    all of them at once (see ``sharing``), so any sink will do and nothing is
-    read back from it.
+    all of them at once (see ``sharing``). Where a base has to be staged and
+    the sink can give back the single table it has just written, that table is
+    the staged copy, so the wide rows are not encoded a further time.
+    Dimensions and parents are derived from one another (see ``lattice``).
     """
     loaded = load_base(base, _declared(schema, single_table), strict=strict)
     share = resolve_share(loaded, share)
-    rows, staged = share_base(loaded, loaded.columns, share)
-    frames, members = {single_table: rows}, []
+    done: dict[str, object] = {}
+    if share == "stage" and hasattr(sink, "reread") and sink.rereads(loaded, single_table):
+        done[single_table] = sink(loaded, single_table)
+        rows, staged, share = sink.reread(loaded, single_table), None, "none"
+    else:
+        rows, staged = share_base(loaded, loaded.columns, share)
+    frames, members = {} if done else {single_table: rows}, {}
     if star is not None:
         frames |= star_frames(rows, star)
-        members += star.dimensions
+        members |= star.members()
     if relational is not None:
         frames |= relational_frames(rows, relational)
-        members += [p.name for p in relational.parents]
-    frames = append_new_members(frames, members, sink, existing)
-    return write_outputs(Outputs(frames=frames, base=rows, share=share, staged_path=staged), sink, parallel)
+        members |= parent_members(relational)
+    outputs = Outputs(frames=frames, base=rows, share=share, staged_path=staged, members=members)
+    return done | write_outputs(outputs, sink, parallel, existing)

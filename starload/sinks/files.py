@@ -18,6 +18,7 @@ import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -152,10 +153,38 @@ class FileSink:
         self.write(df, table, self.path(table), schema or self.schemas.get(table))
         return self.path(table)
 
+    def shaped(self, df: DataFrame, table: str) -> DataFrame:
+        """A frame of distinct rows as the table holds them: conformed to its
+        declared schema, with rows that became equal in it merged."""
+        declared = self.schemas.get(table)
+        if declared is None or declared == df.schema:
+            return df
+        return conform(df, declared, strict=self.strict).distinct()
+
     def existing(self, df: DataFrame, table: str) -> DataFrame | None:
-        """The table as written so far, with the columns of ``df``; None if there is none."""
+        """The table as written so far, read as it was declared, with the
+        columns of ``df``; None if there is none."""
         spark = df.sparkSession
-        return self.read(spark, self.path(table), df.schema) if _qualify(spark, self.path(table))[1] else None
+        exists = _qualify(spark, self.path(table))[1]
+        if exists is False:
+            return None
+        try:
+            old = self.read(spark, self.path(table), self.schemas.get(table) or df.schema)
+            old.schema  # under Spark Connect the path is met only here
+        except AnalysisException as e:
+            if exists is None and e.getCondition() == "PATH_NOT_FOUND":
+                return None
+            raise
+        return old
+
+    def rereads(self, df: DataFrame, table: str) -> bool:
+        """Whether ``reread`` gives the rows of ``df`` once they are written:
+        Parquet, replaced as a whole, in the frame's own types."""
+        return (self.mode == "overwrite" and self.read is read_parquet
+                and (self.schemas.get(table) or df.schema) == df.schema)
+
+    def reread(self, df: DataFrame, table: str) -> DataFrame:
+        return self.read(df.sparkSession, self.path(table), df.schema)
 
 
 def parquet_sink(root: str, mode: str = "overwrite", partition_by: dict[str, Sequence[str]] | None = None,

@@ -92,3 +92,65 @@ def test_concurrent_writes_inherit_the_callers_job_group(spark, tmp_out):
     finally:
         spark.sparkContext.setJobGroup(None, None)
     assert seen == {"a": "starload-test-group", "b": "starload-test-group"}
+
+
+def test_dimensions_are_derived_from_the_smallest_that_holds_them(spark, tmp_out):
+    from starload.operators.lattice import containment, depth
+    dims = {"wide": ["a", "b", "c", "d"], "mid": ["c", "a", "b"], "pair": ["a", "b"], "same": ["b", "a"], "one": ["a"], "other": ["e"]}
+    parents = containment(dims)
+    assert parents == {"wide": None, "mid": "wide", "pair": "mid", "same": "pair", "one": "pair", "other": None}
+    assert [depth(parents, n) for n in dims] == [0, 1, 2, 3, 3, 0]
+    assert containment({"x": ["A"], "y": ["a", "b"]}) == {"x": None, "y": None}  # names as they are written
+
+
+def test_written_dimensions_read_the_base_only_where_no_other_holds_them(spark, tmp_out):
+    import os
+
+    from starload import write_parquet
+    base_path = os.path.join(tmp_out, "base")
+    write_parquet(bank_base(standin_base(spark, SF)).select(*BANK_STAR.columns()), base_path)
+    for make, reads in ((parquet_sink, "/out/bank_dimension_table/"), (lambda root: _Plain(root), "/member-bank_dimension_table")):
+        sink = make(os.path.join(tmp_out, "out"))
+        seen = {}
+
+        def watched(df, name):
+            seen[name] = {f.removeprefix("file://") for f in df.inputFiles()}
+            return sink(df, name)
+        for attr in ("reread", "rereads", "mode"):
+            if hasattr(sink, attr):
+                setattr(watched, attr, getattr(sink, attr))
+        for parallel in (1, 2, None):
+            star = build_star(spark.read.parquet(base_path), BANK_STAR)
+            paths = run_star(star, watched, parallel=parallel)
+            assert list(paths) == BANK_STAR.tables()
+            from_base = {n for n, files in seen.items() if any(f.startswith(base_path) for f in files)}
+            derived = {"city_dimension_table", "chartering_agency_dimension_table"}
+            staged = set() if make is parquet_sink else {"bank_dimension_table"}
+            assert from_base == {"state_dimension_table", "fact_table", "bank_dimension_table"} - staged
+            assert all(reads in f for n in derived for f in seen[n])
+            for name, cols in BANK_STAR.dimensions.items():
+                want = spark.read.parquet(base_path).select(*cols).distinct()
+                got = read_parquet(spark, paths[name], want.schema)
+                assert got.count() == want.count() and got.exceptAll(want).isEmpty()
+
+
+class _Plain:
+    """A sink that cannot give back what it wrote."""
+
+    def __init__(self, root):
+        self.inner = parquet_sink(root)
+
+    def __call__(self, df, name):
+        return self.inner(df, name)
+
+
+def test_a_dimension_that_fails_fails_those_derived_from_it(spark):
+    import pytest
+
+    def sink(df, name):
+        if name == "bank_dimension_table":
+            raise OSError("no room")
+        return name
+    for parallel in (1, 2, None):
+        with pytest.raises(OSError, match="no room"):
+            run_star(build_star(bank_base(standin_base(spark, SF)), BANK_STAR, share="none"), sink, parallel=parallel)
