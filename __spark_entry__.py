@@ -14,12 +14,13 @@ may be started here (see README).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.operators.conform import conform, select_in_schema_order, subset_schema
+from starload.operators.conform import Rejects, conform, select_in_schema_order, subset_schema
 from starload.operators.dimensional import build_star, dimension
 from starload.operators.relational import relational
 from starload.plans.standin import (CUSTOMER_RELATIONAL, STANDIN_SCHEMA, STANDIN_STAR, bank_base,
@@ -259,6 +260,36 @@ def q_conform_cast(spark, sf_dir):
                                     T.StructField("v", T.IntegerType())]))
 
 
+CASTS = T.StructType([T.StructField("c_custkey", T.LongType()), T.StructField("v", T.IntegerType()),
+                      T.StructField("w", T.BooleanType()), T.StructField("absent", T.DateType())])
+
+
+def _customer_texts(spark, sf_dir):
+    """Texts of which some are whole numbers and some are not, some NULL."""
+    return read_table(spark, sf_dir, "customer").select(
+        "c_custkey", F.expr("CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN c_name "
+                            "ELSE CAST(c_custkey AS string) END").alias("v"),
+        F.col("c_mktsegment").alias("w"))
+
+
+def q_conform_cast_rejects(spark, sf_dir):
+    """Values that the lenient casts lose, counted by the pass that writes the rows."""
+    rejects = Rejects()
+    write_parquet(conform(_customer_texts(spark, sf_dir), CASTS, rejects=rejects), scratch_path(spark, "rejects"))
+    return rejects.frame(spark)
+
+
+def q_conform_cast_rejected_rows(spark, sf_dir):
+    """The rows that lose a value, as an extract writes them beside its table."""
+    source = scratch_path(spark, "rejected_source")
+    write_parquet(_customer_texts(spark, sf_dir), source)
+    root = scratch_path(spark, "rejected")
+    extract_load(spark, "parquet", CASTS, parquet_sink(root), "customers", path=source, rejects=Rejects(),
+                 reject_table="customers_rejected")
+    rows = read_parquet(spark, table_path(root, "customers_rejected"))
+    return rows.select("c_custkey", "v", "w", F.array_join("rejected", ",").alias("rejected"))
+
+
 def q_typed_ingest(spark, sf_dir):
     src = read_source(spark, "parquet", path=table_path(sf_dir, "orders.parquet"))
     return load_base(src, ORDERS_INGEST)
@@ -315,6 +346,31 @@ def q_source_scan(spark, sf_dir):
     return read_source(spark, "parquet", path=table_path(sf_dir, "supplier.parquet"))
 
 
+def _source_format(fmt: str, options: dict[str, str] | None = None) -> Callable[[SparkSession, str], DataFrame]:
+    """A source of another format, extracted and bound to its declared schema."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        source = scratch_path(spark, f"source_{fmt}")
+        read_table(spark, sf_dir, "supplier").write.format(fmt).options(**(options or {})).save(source)
+        path = extract_load(spark, fmt, SUPPLIER_DECLARED, parquet_sink(scratch_path(spark, f"from_{fmt}")), "supplier",
+                            options=options, path=source, strict=True)
+        return read_parquet(spark, path, SUPPLIER_DECLARED)
+    return q
+
+
+def q_row_cap_formats(spark, sf_dir):
+    """Rows kept and rows of the source, for caps below, at and beyond its size, in several formats and files."""
+    orders = read_table(spark, sf_dir, "orders").repartition(7)
+    total, parts = orders.count(), []
+    for fmt in ("parquet", "orc", "json", "csv"):
+        path = scratch_path(spark, f"row_cap_{fmt}")
+        orders.write.format(fmt).save(path)
+        for cap in (0, 1, ROW_CAP, total // 2, total, total + 1):
+            kept = read_source(spark, fmt, path=path, row_cap=cap)
+            parts.append(kept.agg(F.count(F.struct(*kept.columns)).alias("kept")).select(
+                F.lit(fmt).alias("format"), F.lit(cap).cast("long").alias("cap"), "kept"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_parquet_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "parquet_roundtrip")
     write_parquet(read_table(spark, sf_dir, "supplier"), path, schema=SUPPLIER_DECLARED)
@@ -375,6 +431,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "conform_missing": q_conform_missing,
         "conform_drop": q_conform_drop,
         "conform_cast": q_conform_cast,
+        "conform_cast_rejects": q_conform_cast_rejects,
+        "conform_cast_rejected_rows": q_conform_cast_rejected_rows,
+        "source_scan_orc": _source_format("orc"),
+        "source_scan_json": _source_format("json"),
+        "source_scan_csv": _source_format("csv", {"header": "true"}),
+        "row_cap_formats": q_row_cap_formats,
         "typed_ingest": q_typed_ingest,
         "schema_subset": q_schema_subset,
         "example_conform": q_example_conform,
@@ -534,6 +596,23 @@ def oracle_sql() -> dict[str, str]:
         "rel_parent": f"select distinct {key} as k, c_mktsegment, c_nationkey from customer",
         "rel_child": f"select c_custkey, {key} as k from customer",
     }
+    texts = """with t as (
+      select c_custkey, c_mktsegment as w,
+        case when c_custkey % 11 = 0 then null when c_custkey % 7 = 0 then c_name else cast(c_custkey as varchar) end as v
+      from customer
+    ), l as (
+      select *, v is not null and try_cast(v as integer) is null as lost_v,
+        w is not null and try_cast(w as boolean) is null as lost_w from t
+    )"""
+    sql["conform_cast_rejects"] = f"""{texts}
+      select 'c_custkey' as "column", 0::bigint as lost union all select 'absent', 0
+      union all select 'v', count(*) filter (where lost_v) from l union all select 'w', count(*) filter (where lost_w) from l"""
+    sql["conform_cast_rejected_rows"] = f"""{texts}
+      select c_custkey, v, w, concat_ws(',', case when lost_v then 'v' end, case when lost_w then 'w' end) as rejected
+      from l where lost_v or lost_w"""
+    sql["row_cap_formats"] = f"""
+      select f as format, c.cap, least(c.cap, n) as kept from (select count(*) as n from orders) t,
+        unnest([0, 1, {ROW_CAP}, n // 2, n, n + 1]) as c(cap), unnest(['parquet', 'orc', 'json', 'csv']) as f(f)"""
     example = ('select c_mktsegment as "Country name", c_name as "Series name", '
                'cast(c_acctbal as float) as "Value", cast(null as float) as "value_percentile" from customer')
     sql["example_conform"] = example
@@ -542,7 +621,8 @@ def oracle_sql() -> dict[str, str]:
                  "cast(c_acctbal as float) as c_acctbal from customer")
     for q in ("conform", "conform_missing", "conform_drop"):
         sql[q] = conformed
-    for q in ("parquet_scan", "source_scan", "parquet_roundtrip", "csv_roundtrip"):
+    for q in ("parquet_scan", "source_scan", "parquet_roundtrip", "csv_roundtrip", "source_scan_orc", "source_scan_json",
+              "source_scan_csv"):
         sql[q] = "select * from supplier"
     bank = _bank_cte()
     sql["ref_single_table"] = f"{bank} select * from b"

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,12 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def scratch_column(df: DataFrame) -> str:
+    """A column name that the frame does not have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (f"__c{i}" for i in range(len(taken) + 1)) if n not in taken)
+
+
 def sql_type(data_type: T.DataType) -> str:
     """Spark SQL text of a data type, with nested field names quoted."""
     if isinstance(data_type, T.StructType):
@@ -52,7 +58,7 @@ def hash_key(columns: Sequence[str | Column]) -> Column:
 
 
 def hash_key_sql(columns: Sequence[str]) -> str:
-    """The same key as ANSI SQL text (used by the oracle queries)."""
+    """The same key as ANSI SQL text, for databases that hold such tables."""
     parts = []
     for c in columns:
         t = f"cast({c} as varchar)"

@@ -17,6 +17,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from starload.operators.conform import Rejects, rejected_rows
 from starload.operators.dimensional import StarSpec, build_star, star_frames
 from starload.operators.relational import RelationalSpec, parent_members, relational as relational_frames
 from starload.operators.sharing import Outputs, resolve_share, share_base, write_outputs
@@ -27,14 +28,21 @@ from starload.sources.generic import load_base, read_source
 
 def extract_load(spark: SparkSession, fmt: str, schema: T.StructType | str | None, sink: Callable[..., object],
                  table: str, options: Mapping[str, str] | None = None, path: str | None = None,
-                 row_cap: int | None = None, strict: bool = False) -> object:
+                 row_cap: int | None = None, strict: bool = False, rejects: Rejects | None = None,
+                 reject_table: str | None = None) -> object:
     """Read a source, bind the declared schema by name and write ``table``.
 
     ``schema`` may be the name of a declared schema; None means the one
-    declared for ``table``.
+    declared for ``table``. ``rejects`` counts the values that the lenient
+    casts lose, in the pass that writes; with ``reject_table`` the source rows
+    that lose one are written too, as they were, by a scan of their own.
     """
     src = read_source(spark, fmt, options=options, path=path, row_cap=row_cap)
-    return sink(load_base(src, _declared(schema, table), strict=strict), table)
+    declared = _declared(schema, table)
+    written = sink(load_base(src, declared, strict=strict, rejects=rejects), table)
+    if reject_table and not strict:
+        sink(rejected_rows(src, declared), reject_table)
+    return written
 
 
 def _declared(schema: T.StructType | str | None, table: str) -> T.StructType:
@@ -51,7 +59,7 @@ def star_load(base: DataFrame, spec: StarSpec, sink: Callable[..., object], shar
 def load_all(base: DataFrame, schema: T.StructType | str | None, sink: Callable[..., object], single_table: str,
              star: StarSpec | None = None, relational: RelationalSpec | None = None,
              parallel: int | None = None, share: str = "auto", strict: bool = False,
-             existing: Existing | None = None) -> dict[str, object]:
+             existing: Existing | None = None, rejects: Rejects | None = None) -> dict[str, object]:
     """Write the single comprehensive table and every star and relational
     table of this load's rows, ``parallel`` at a time (default: all at once).
 
@@ -60,16 +68,20 @@ def load_all(base: DataFrame, schema: T.StructType | str | None, sink: Callable[
     the sink can give back the single table it has just written, that table is
     the staged copy, so the wide rows are not encoded a further time.
     Dimensions and parents are derived from one another (see ``lattice``).
+    ``rejects`` counts the values that the lenient casts lose, in the pass
+    that writes all columns anyway.
     """
-    loaded = load_base(base, _declared(schema, single_table), strict=strict)
+    declared = _declared(schema, single_table)
+    loaded = load_base(base, declared, strict=strict)
+    counted = loaded if rejects is None else load_base(base, declared, strict=strict, rejects=rejects)
     share = resolve_share(loaded, share)
     done: dict[str, object] = {}
     if share == "stage" and hasattr(sink, "reread") and sink.rereads(loaded, single_table):
-        done[single_table] = sink(loaded, single_table)
+        done[single_table] = sink(counted, single_table)
         rows, staged, share = sink.reread(loaded, single_table), None, "none"
     else:
-        rows, staged = share_base(loaded, loaded.columns, share)
-    frames, members = {} if done else {single_table: rows}, {}
+        rows, staged = share_base(counted if share == "stage" else loaded, loaded.columns, share)
+    frames, members = {} if done else {single_table: counted if share == "none" else rows}, {}
     if star is not None:
         frames |= star_frames(rows, star)
         members |= star.members()

@@ -65,3 +65,49 @@ def test_subset_and_declared_types_ignore_case(spark):
         n for n in FDIC_BANKS.names if n in ("active", "state_name")]
     typed = type_declared(spark.sql("select 1 as State_Fips_Code, 'true' as ACTIVE"), FDIC_BANKS)
     assert dict(typed.dtypes) == {"State_Fips_Code": "string", "ACTIVE": "boolean"}
+
+
+CASTS = T.StructType([T.StructField("n", T.IntegerType()), T.StructField("Day", T.DateType()), T.StructField("s", T.StringType()),
+                      T.StructField("absent", T.IntegerType())])
+TEXTS = [("1", "2024-01-01", "a", 1), ("x", "2024-13-01", "b", 2), (None, None, None, 3), ("", "never", "c", 4), ("9" * 12, "2024-02-29", "d", 5)]
+
+
+def test_rejects_are_counted_by_the_pass_that_writes(spark, tmp_out):
+    from starload import Rejects, rejected_rows, write_parquet
+    df = spark.createDataFrame(TEXTS, "n string, day string, s string, `my id` int")
+    rejects = Rejects()
+    out = conform(df, CASTS, rejects=rejects)
+    assert "CollectMetrics" in out._jdf.queryExecution().executedPlan().toString()
+    write_parquet(out, tmp_out)
+    assert rejects.counts() == {"n": 3, "Day": 2, "s": 0, "absent": 0} and rejects.total() == 5
+    assert sorted(map(tuple, rejects.frame(spark).collect())) == [("Day", 2), ("absent", 0), ("n", 3), ("s", 0)]
+    assert {(r["my id"], *r.rejected) for r in rejected_rows(df, CASTS).collect()} == {(2, "n", "Day"), (4, "n", "Day"), (5, "n")}
+    with pytest.raises(ValueError, match="another frame"):
+        conform(df, CASTS, rejects=rejects)
+    same, strict = Rejects(), Rejects()
+    conform(df, df.schema, rejects=same)
+    conform(df, CASTS, strict=True, rejects=strict)
+    assert set(same.counts().values()) == {0} and set(strict.counts().values()) == {0}
+    assert rejected_rows(df, df.schema).count() == 0
+
+
+@pytest.mark.parametrize("share", ["none", "stage", "auto"])
+def test_a_load_counts_its_rejects_once(spark, tmp_out, share):
+    """Whatever number of tables reads the rows."""
+    from starload import Rejects, StarSpec, load_all, parquet_sink
+    rejects = Rejects()
+    df = spark.createDataFrame(TEXTS, "n string, day string, s string, `my id` int")
+    load_all(df, CASTS, parquet_sink(tmp_out), "single", star=StarSpec({"d": ["n", "s"], "e": ["s"]}, {"f": ["Day", "n"]}),
+             share=share, rejects=rejects)
+    assert rejects.counts() == {"n": 3, "Day": 2, "s": 0, "absent": 0}
+
+
+def test_an_extract_writes_the_rows_it_rejects(spark, tmp_out):
+    from starload import Rejects, extract_load, parquet_sink
+    source = f"{tmp_out}/source"
+    spark.createDataFrame(TEXTS, "n string, day string, s string, `my id` int").write.parquet(source)
+    rejects = Rejects()
+    extract_load(spark, "parquet", CASTS, parquet_sink(tmp_out), "t", path=source, rejects=rejects, reject_table="t_rejected")
+    bad = spark.read.parquet(f"{tmp_out}/t_rejected")
+    assert sorted(r["my id"] for r in bad.collect()) == [2, 4, 5] and rejects.total() == 5
+    assert spark.read.parquet(f"{tmp_out}/t").count() == 5

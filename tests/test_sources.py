@@ -41,3 +41,40 @@ def test_load_base_binds_by_position(spark):
     import pytest
     with pytest.raises(ValueError):
         load_base(df.select("_c0"), EXAMPLE, by_position=True)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_row_cap_is_exact_and_gathers_nothing(spark, tmp_out):
+    rows = spark.range(1000).selectExpr("id", "concat('t', id) AS t", "id AS _metadata")
+    for fmt in ("parquet", "orc", "json", "csv"):
+        path = os.path.join(tmp_out, fmt)
+        rows.repartition(9).write.format(fmt).option("header", True).save(path)
+        whole = {tuple(map(str, r)) for r in read_source(spark, fmt, {"header": "true"}, path=path).collect()}
+        for cap in (1, 111, 112, 999, 1000, 5000):
+            kept = read_source(spark, fmt, {"header": "true"}, path=path, row_cap=cap)
+            assert kept.columns == read_source(spark, fmt, {"header": "true"}, path=path).columns
+            got = [tuple(map(str, r)) for r in kept.collect()]
+            assert len(got) == len(set(got)) == min(cap, 1000) and set(got) <= whole
+            assert "Exchange" not in _plan(kept) and "Limit" not in _plan(kept)
+        assert read_source(spark, fmt, path=path, row_cap=0).count() == 0
+    import pytest
+    with pytest.raises(ValueError):
+        read_source(spark, "orc", path=os.path.join(tmp_out, "orc"), row_cap=-1)
+
+
+def test_row_cap_of_parquet_leaves_the_files_behind_it_unread(spark, tmp_out):
+    spark.range(0, 1000, numPartitions=10).write.parquet(tmp_out + "/p")
+    kept = read_source(spark, "parquet", path=tmp_out + "/p", row_cap=250)
+    assert sorted(r.id for r in kept.collect()) == list(range(250))  # the same files, the same rows
+    scan = kept._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert "number of files read), value: 3)" in scan.metrics().toString()
+
+
+def test_row_cap_of_an_empty_source(spark, tmp_out):
+    for fmt in ("parquet", "csv"):
+        spark.range(0).selectExpr("id", "id AS v").write.format(fmt).save(f"{tmp_out}/{fmt}")
+        assert read_source(spark, fmt, path=f"{tmp_out}/{fmt}", schema=T.StructType([T.StructField("id", T.LongType())]),
+                           row_cap=5).count() == 0
