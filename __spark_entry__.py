@@ -22,11 +22,11 @@ from pyspark.sql import types as T
 
 from starload.operators.conform import Rejects, conform, select_in_schema_order, subset_schema
 from starload.operators.dimensional import build_star, dimension
-from starload.operators.relational import relational
+from starload.operators.relational import joined_back, relational
 from starload.plans.standin import (CUSTOMER_RELATIONAL, STANDIN_SCHEMA, STANDIN_STAR, bank_base,
                                     read_table, standin_base)
 from starload.plans.flows import extract_load, load_all, star_load
-from starload.plans.star import BANK_RELATIONAL, BANK_STAR, query_to_table, single_table
+from starload.plans.star import BANK_RELATIONAL, BANK_SNOWFLAKE, BANK_STAR, query_to_table, single_table
 from starload.schemas import EXAMPLE, FDIC_BANKS
 from starload.session import scratch_path
 from starload.sinks.files import csv_sink, parquet_sink, write_csv, write_parquet
@@ -194,6 +194,22 @@ def q_load_all_csv(spark, sf_dir):
     return read_csv(spark, paths[name], subset_schema(FDIC_BANKS, BANK_STAR.dimensions[name]))
 
 
+def _snowflake(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    """The snowflake written by ``load_all``; one table read back."""
+    def q(spark: SparkSession, sf_dir: str) -> DataFrame:
+        paths = load_all(bank_base(standin_base(spark, sf_dir)), FDIC_BANKS,
+                         parquet_sink(scratch_path(spark, "snowflake")), "fdic_banks", star=BANK_STAR,
+                         relational=BANK_SNOWFLAKE)
+        return read_parquet(spark, paths[name])
+    return q
+
+
+def q_snow_joined_back(spark, sf_dir):
+    """The base again, along the chain of keys: institution, city, state."""
+    tables = relational(bank_base(standin_base(spark, sf_dir)), BANK_SNOWFLAKE)
+    return joined_back(tables, BANK_SNOWFLAKE).select(*FDIC_BANKS.names)
+
+
 def q_rel_joined_back(spark, sf_dir):
     """The base again, from the child and its parents."""
     tables = relational(bank_base(standin_base(spark, sf_dir)), BANK_RELATIONAL)
@@ -331,6 +347,17 @@ def q_csv_types_roundtrip(spark, sf_dir):
     return read_csv(spark, path, df.schema).withColumn("instant", F.unix_micros("instant"))
 
 
+def q_csv_lines_roundtrip(spark, sf_dir):
+    """Texts full of line breaks and backslashes, one line a record, read by as many tasks as the file asks for."""
+    c = read_table(spark, sf_dir, "customer")
+    text = F.concat("c_name", F.lit("\r\n"), F.repeat(F.lit("\\"), (F.col("c_custkey") % 5).cast("int")), F.lit("n\n\\N,\""),
+                    F.when(F.col("c_custkey") % 13 != 0, F.col("c_mktsegment")))
+    path = scratch_path(spark, "csv_lines")
+    df = c.select("c_custkey", text.alias("text"), F.when(F.col("c_custkey") % 3 == 0, F.lit("\\N")).otherwise("").alias("mark"))
+    write_csv(df, path, line_breaks="escaped")
+    return read_csv(spark, path, df.schema, line_breaks="escaped")
+
+
 def q_schema_subset(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer").select("c_mktsegment", "c_custkey")
     return select_in_schema_order(c, CUSTOMER_DECLARED)
@@ -471,6 +498,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     qs["ref_load_all_twice_state_dimension_table"] = _load_all_twice("state_dimension_table")
     qs["ref_load_all_csv_state_dimension_table"] = q_load_all_csv
     qs["ref_rel_joined_back"] = q_rel_joined_back
+    qs["ref_snow_joined_back"] = q_snow_joined_back
+    for name in ("city_table", "institution_table"):
+        qs[f"ref_snow_{name}"] = _snowflake(name)
+    qs["csv_lines_roundtrip"] = q_csv_lines_roundtrip
     qs["example_partitioned"] = q_example_partitioned
     qs["csv_types_roundtrip"] = q_csv_types_roundtrip
     for p in BANK_RELATIONAL.parents:
@@ -647,6 +678,15 @@ def oracle_sql() -> dict[str, str]:
     sql["ref_rel_institution_table"] = (
         f"{bank} select * exclude (state_name, state_fips_code, city, chartering_agency), {state} as state_key, "
         f"{city} as city_key, {agency} as chartering_agency_key from b")
+    sql["ref_snow_joined_back"] = sql["ref_single_table"]
+    sql["ref_snow_city_table"] = (f"{bank} select distinct {city} as city_key, city, state_name, {state} as state_key from b")
+    sql["ref_snow_institution_table"] = (
+        f"{bank} select * exclude (state_name, state_fips_code, city, chartering_agency), "
+        f"{city} as city_key, {agency} as chartering_agency_key from b")
+    sql["csv_lines_roundtrip"] = r"""
+        select c_custkey, c_name || chr(13) || chr(10) || repeat('\', c_custkey % 5) || 'n' || chr(10) || '\N,"'
+          || case when c_custkey % 13 <> 0 then c_mktsegment end as text,
+          case when c_custkey % 3 = 0 then '\N' else '' end as mark from customer"""
     sql["ref_load_all_institution_table"] = sql["ref_rel_institution_table"]
     sql["ref_load_all_city_table"] = sql["ref_rel_city_table"]
     for name in ("city_dimension_table", "chartering_agency_dimension_table"):

@@ -23,30 +23,33 @@ Columns = Sequence[str]
 @dataclass(frozen=True)
 class Member:
     """A table that holds each combination of ``columns`` once; ``finish``
-    makes the table of the distinct rows (adds a key, say) and keeps them."""
+    makes the table of the distinct rows (adds a key, say). ``holds`` are the
+    columns whose combinations the finished table still has, if not all."""
 
     columns: Columns
     finish: Callable[[DataFrame], DataFrame] | None = None
+    holds: Columns | None = None
 
     def table(self, source: DataFrame) -> DataFrame:
         rows = distinct_rows(source, self.columns)
         return self.finish(rows) if self.finish else rows
 
 
-def containment(dimensions: Mapping[str, Columns]) -> dict[str, str | None]:
-    """For every dimension the one to derive it from, None for a root.
+def containment(members: Mapping[str, Member]) -> dict[str, str | None]:
+    """For every member the one to derive it from, None for a root.
 
     That is the smallest one, by number of columns and then in declared order,
-    whose columns hold all of its own. Of dimensions with the same columns the
+    that holds all the columns it needs. Of members with the same columns the
     first is the parent of the others.
     """
-    sets = {name: set(cols) for name, cols in dimensions.items()}
-    order = list(dimensions)
+    needs = {name: set(m.columns) for name, m in members.items()}
+    holds = {name: set(m.columns if m.holds is None else m.holds) for name, m in members.items()}
+    order = list(members)
     out: dict[str, str | None] = {}
-    for name in order:
-        holds = [o for o in order if sets[o] > sets[name]
-                 or (sets[o] == sets[name] and order.index(o) < order.index(name))]
-        out[name] = min(holds, key=lambda o: (len(sets[o]), order.index(o)), default=None)
+    for i, name in enumerate(order):
+        able = [o for j, o in enumerate(order) if o != name and holds[o] >= needs[name]
+                and (j < i or not holds[name] >= needs[o])]
+        out[name] = min(able, key=lambda o: (len(holds[o]), order.index(o)), default=None)
     return out
 
 

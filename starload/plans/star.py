@@ -4,6 +4,7 @@ the query-to-table step (M7) and the single comprehensive table (M8)."""
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -56,6 +57,14 @@ BANK_RELATIONAL = RelationalSpec(
     parents=_PARENTS,
 )
 
+# The same as a snowflake: a city's row holds its state's key, and an
+# institution's row the city's alone.
+BANK_SNOWFLAKE = RelationalSpec(
+    child=BANK_RELATIONAL.child,
+    child_columns=BANK_RELATIONAL.child_columns,
+    parents=[replace(p, references="state_table") if p.name == "city_table" else p for p in _PARENTS],
+)
+
 
 def type_declared(df: DataFrame, schema: T.StructType, strict: bool = False) -> DataFrame:
     """Cast the columns ``schema`` declares to their declared types, keeping

@@ -8,8 +8,9 @@ Partitioned writes use Spark's REBALANCE on the partition columns: rows of
 one partition value are gathered, and adaptive execution splits any value
 too large for one task (a hot value holding a third of all rows is written
 by many tasks) and merges small ones, so there are neither huge tasks nor a
-file per value per input task. With adaptive execution off, each value is
-dealt into a fixed number of parts instead.
+file per value per input task. With adaptive execution off, values are counted
+first: one that holds more rows than a task's share is dealt into as many parts
+as shares, all others stay whole.
 """
 
 from __future__ import annotations
@@ -17,13 +18,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starload.functions.columns import quoted
+from starload.functions.columns import quoted, scratch_column
 from starload.operators.conform import conform
 from starload.session import _context
 from starload.sources.files import CSV_OPTIONS, csv_escape_exprs, read_csv, read_parquet
@@ -81,17 +83,35 @@ def _prepare(df: DataFrame, path: str, schema: T.StructType | None, mode: str,
     return df
 
 
-#: Parts of a partition value when adaptive execution, which splits by size, is off.
-SALTS = 8
-
-
-def rebalance(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Co-locate rows by ``columns``, with large values split: by adaptive
-    execution as their size asks, without it into SALTS parts by a row hash."""
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true") == "true":
+def heavy_values(df: DataFrame, columns: Sequence[str], tasks: int) -> DataFrame:
+    """Values of ``columns`` that hold more than one of ``tasks`` equal shares
+    of all rows, and the number of such shares (``parts``): fewer than
+    ``tasks`` rows, however many values there are."""
+    share = max(1, -(-df.count() // tasks))
+    counts = df.groupBy(*[F.col(quoted(c)) for c in columns]).agg(F.count(F.lit(1)).alias("n"))
+    kept = counts.filter(F.col("n") > share)
+    return kept.select(*[F.col(quoted(c)).alias(f"v{i}") for i, c in enumerate(columns)],
+                       F.ceil(F.col("n") / share).cast("int").alias("parts"))
+
+
+def rebalance(df: DataFrame, columns: Sequence[str], tasks: int | None = None) -> DataFrame:
+    """Co-locate rows by ``columns``, with large values split as their size
+    asks: by adaptive execution, or, where that is off, by counting the values
+    first (two more scans of the columns). Which part a row goes to follows
+    from its contents, so that a task that is run again writes the same rows."""
+    spark = df.sparkSession
+    if spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
         return df.hint("rebalance", *[F.col(quoted(c)) for c in columns])
-    salt = F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in df.columns]), F.lit(SALTS))
-    return df.repartition(*[F.col(quoted(c)) for c in columns], salt)
+    tasks = tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    def own(c: str):
+        return F.col(f"rows.{quoted(c)}")
+
+    heavy = F.broadcast(heavy_values(df, columns, tasks)).alias("heavy")  # fewer rows than tasks
+    same = reduce(lambda a, b: a & b, (own(c).eqNullSafe(F.col(f"heavy.v{i}")) for i, c in enumerate(columns)))
+    part = scratch_column(df)
+    salt = F.pmod(F.xxhash64(*map(own, df.columns)), F.coalesce("heavy.parts", F.lit(1)))
+    dealt = df.alias("rows").join(heavy, same, "left").select(*map(own, df.columns), salt.alias(part))
+    return dealt.repartition(tasks, *[F.col(quoted(c)) for c in columns], part).drop(part)
 
 
 def _no_empty_values(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -122,17 +142,23 @@ def write_parquet(df: DataFrame, path: str, schema: T.StructType | None = None,
 
 
 def write_csv(df: DataFrame, path: str, schema: T.StructType | None = None,
-              mode: str = "overwrite", strict: bool = False) -> None:
+              mode: str = "overwrite", strict: bool = False, line_breaks: str = "quoted") -> None:
     """Write CSV with a header, one file per task, NULL written as ``\\N``
     (distinct from the empty string and from any text: text starting with a
     backslash gets one more, which ``read_csv`` removes) and quotes/line
-    breaks quoted. Binary and nested columns are refused."""
+    breaks quoted. Binary and nested columns are refused.
+
+    ``line_breaks="escaped"`` writes them as ``\\n`` and ``\\r`` and every
+    backslash of a text twice, so that a record is always one line and
+    ``read_csv`` with the same setting can split a file between tasks."""
     df = _prepare(df, path, schema, mode, strict)
+    if line_breaks == "escaped" and any(b in n for n in df.columns for b in "\r\n"):
+        raise ValueError("a header whose names hold line breaks is not one line")
     unfit = [f.name for f in df.schema.fields
              if isinstance(f.dataType, (T.BinaryType, T.ArrayType, T.MapType, T.StructType, T.VariantType))]
     if unfit:
         raise ValueError(f"CSV has no exact form for the columns {unfit}")
-    df.selectExpr(*csv_escape_exprs(df.schema)).write.options(**CSV_OPTIONS).mode(mode).csv(path)
+    df.selectExpr(*csv_escape_exprs(df.schema, line_breaks)).write.options(**CSV_OPTIONS).mode(mode).csv(path)
 
 
 @dataclass(frozen=True)
@@ -197,8 +223,8 @@ def parquet_sink(root: str, mode: str = "overwrite", partition_by: dict[str, Seq
 
 
 def csv_sink(root: str, mode: str = "overwrite", schemas: dict[str, T.StructType] | None = None,
-             strict: bool = False) -> FileSink:
-    """A sink writing CSV tables."""
+             strict: bool = False, line_breaks: str = "quoted") -> FileSink:
+    """A sink writing CSV tables; ``line_breaks`` as in ``write_csv``."""
     def write(df: DataFrame, table: str, path: str, schema: T.StructType | None) -> None:
-        write_csv(df, path, schema=schema, mode=mode, strict=strict)
-    return FileSink(root, mode, write, read_csv, schemas or {}, strict)
+        write_csv(df, path, schema=schema, mode=mode, strict=strict, line_breaks=line_breaks)
+    return FileSink(root, mode, write, partial(read_csv, line_breaks=line_breaks), schemas or {}, strict)

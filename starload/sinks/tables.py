@@ -87,7 +87,7 @@ def write_lattice(frames: Mapping[str, DataFrame], members: Mapping[str, Member]
     if not frames:
         return {}
     spark = next(iter(frames.values())).sparkSession
-    parents = containment({name: members[name].columns for name in frames if name in members})
+    parents = containment({name: members[name] for name in frames if name in members})
     held: dict[str, Future] = {p: Future() for p in parents.values() if p is not None}
     appends = getattr(sink, "mode", "overwrite") == "append" or existing is not None
     copies: list[str] = []

@@ -40,15 +40,32 @@ def _text_exprs(schema: T.StructType, text_expr) -> list[str]:
     return out
 
 
-def csv_escape_exprs(schema: T.StructType) -> list[str]:
+#: How line breaks in texts are written: inside quotes, as they are, or as two characters.
+LINE_BREAKS = ("quoted", "escaped")
+
+
+def _known(line_breaks: str) -> bool:
+    if line_breaks not in LINE_BREAKS:
+        raise ValueError(f"line_breaks must be one of {LINE_BREAKS}, not {line_breaks!r}")
+    return line_breaks == "escaped"
+
+
+def csv_escape_exprs(schema: T.StructType, line_breaks: str = "quoted") -> list[str]:
     """Select list that escapes text columns before a CSV write."""
     esc = CSV_ESCAPE.replace("\\", "\\\\")
+    if _known(line_breaks):
+        return _text_exprs(schema, lambda c: f"replace(replace(replace({c}, '{esc}', '{esc}{esc}'), '\\n', '{esc}n'), '\\r', '{esc}r')")
     return _text_exprs(schema, lambda c: f"CASE WHEN startswith({c}, '{esc}') THEN concat('{esc}', {c}) ELSE {c} END")
 
 
-def csv_unescape_exprs(schema: T.StructType) -> list[str]:
+def csv_unescape_exprs(schema: T.StructType, line_breaks: str = "quoted") -> list[str]:
     """Select list that undoes ``csv_escape_exprs`` after a CSV read."""
     esc = CSV_ESCAPE.replace("\\", "\\\\")
+    if _known(line_breaks):  # cut at the doubled ones, so that what follows one is not taken for an escape
+        def whole(c: str) -> str:
+            breaks = f"replace(replace(x, '{esc}n', '\\n'), '{esc}r', '\\r')"
+            return f"array_join(transform(split({c}, '{esc * 4}', -1), x -> {breaks}), '{esc}')"
+        return _text_exprs(schema, lambda c: f"CASE WHEN contains({c}, '{esc}') THEN {whole(c)} ELSE {c} END")
     n = len(CSV_ESCAPE) + 1
     return _text_exprs(schema, lambda c: f"CASE WHEN startswith({c}, '{esc}') THEN substr({c}, {n}) ELSE {c} END")
 
@@ -72,19 +89,25 @@ def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = N
     return select_in_schema_order(spark.read.schema(schema).parquet(path), schema)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = True,
-             strict: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool | None = None,
+             strict: bool = True, line_breaks: str = "quoted") -> DataFrame:
     """Read CSV written by ``write_csv`` with its declared schema.
 
+    Files written with ``line_breaks="escaped"`` are read with the same
+    setting: a record is one line, and large files are split between tasks.
+    Otherwise:
+
     ``multi_line`` is needed for quoted line breaks; each file is then parsed
     by one task, which ``write_csv`` bounds by writing one file per task.
     Data known to hold no line breaks can pass ``multi_line=False`` so that
     large files are split between tasks. A value that does not read as its
     declared type fails the job; with ``strict=False`` it becomes NULL.
     """
+    if multi_line is None:
+        multi_line = not _known(line_breaks)
     df = (spark.read.schema(schema).options(**CSV_OPTIONS)
           .option("multiLine", str(multi_line).lower())
           .option("mode", "FAILFAST" if strict else "PERMISSIVE")
           .option("enforceSchema", "false")  # header must name the declared columns, in order
           .csv(path))
-    return df.selectExpr(*csv_unescape_exprs(schema))
+    return df.selectExpr(*csv_unescape_exprs(schema, line_breaks))

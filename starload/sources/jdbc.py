@@ -1,17 +1,20 @@
 """JDBC source (S2) and the connection description shared with the sink.
 
 Reads run on the executors. Without partition options Spark reads a table
-in one task; ``JdbcPartitioning`` splits it into ``num_partitions`` range
-queries on a numeric, date or timestamp column, and ``predicates`` gives one
-task per WHERE clause. Column pruning and filters are pushed into the
+in one task; ``JdbcPartitioning`` splits it into ``num_partitions`` ranges of
+equal width on a numeric, date or timestamp column, and ``predicates`` gives
+one task per WHERE clause. ``jdbc_quantiles`` makes predicates of about equal
+numbers of rows, whatever the values' distribution. Column pruning and filters are pushed into the
 generated query by Catalyst.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
 from decimal import Decimal
 
 from pyspark.sql import DataFrame, SparkSession
@@ -119,3 +122,66 @@ def whole_bounds(lo, hi):
     if isinstance(lo, (Decimal, float)):
         return math.floor(lo), math.ceil(hi)
     return lo, hi
+
+
+def quantile_query(table: str, column: str, parts: int) -> str:
+    """SQL that gives the first value of each of ``parts`` equal shares of a
+    table's rows, in order of a column. The database sorts; one row per share
+    comes back. ``column`` is written as the database wants it (quoted, say)."""
+    return (f"SELECT MIN(v) AS bound FROM (SELECT {column} AS v, NTILE({int(parts)}) OVER (ORDER BY {column}) AS part "
+            f"FROM {table} WHERE {column} IS NOT NULL) shares GROUP BY part")
+
+
+def literal(value) -> str:
+    """A value as SQL text that databases agree on."""
+    if isinstance(value, bool) or value is None:
+        raise TypeError("no bounds over booleans or NULL")
+    if isinstance(value, (int, Decimal)):
+        return str(value)
+    if isinstance(value, float):
+        if not math.isfinite(value):
+            raise TypeError(f"no bound at {value}")
+        return repr(value)
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    raise TypeError(f"no bounds over values of type {type(value).__name__}")
+
+
+def quantile_predicates(column: str, bounds: Sequence[object]) -> list[str]:
+    """WHERE clauses, one per task, that hold every row exactly once.
+
+    ``bounds`` are the first values of equal shares, in any order. A value that
+    fills several shares comes several times; it gets a task of its own, so
+    that a hot value and the range behind it do not meet in one task. NULL
+    goes with the first range, and so do values below the smallest bound, as
+    rows may have come since.
+    """
+    times = Counter(bounds)
+    cuts = sorted(times)
+    if not cuts:
+        return ["1 = 1"]
+    out = []
+    for i, cut in enumerate(cuts):
+        upper = [f"{column} < {literal(cuts[i + 1])}"] if i + 1 < len(cuts) else []
+        if times[cut] > 1:
+            out.append(f"{column} = {literal(cut)}")
+            out.append(" AND ".join([f"{column} > {literal(cut)}", *upper]))
+        else:
+            out.append(" AND ".join([f"{column} >= {literal(cut)}", *upper]))
+    first = f"{column} < {literal(cuts[0])} OR {column} IS NULL"
+    if times[cuts[0]] > 1:
+        return [first, *out]
+    rest = [f"({out[0]})"] if len(cuts) > 1 else [f"{column} >= {literal(cuts[0])}"]
+    return [" OR ".join([first, *rest]), *out[1:]]
+
+
+def jdbc_quantiles(spark: SparkSession, conn: JdbcConnection, table: str, column: str, parts: int) -> list[str]:
+    """``predicates`` for ``read_jdbc`` that give each task about the same
+    number of rows. The database finds the bounds in one query; ``parts``
+    values come back to the driver."""
+    rows = read_jdbc(spark, conn, query=quantile_query(table, column, parts)).collect()
+    return quantile_predicates(column, [r[0] for r in rows])

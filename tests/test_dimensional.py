@@ -95,12 +95,14 @@ def test_concurrent_writes_inherit_the_callers_job_group(spark, tmp_out):
 
 
 def test_dimensions_are_derived_from_the_smallest_that_holds_them(spark, tmp_out):
-    from starload.operators.lattice import containment, depth
+    from starload.operators.lattice import Member, containment, depth
     dims = {"wide": ["a", "b", "c", "d"], "mid": ["c", "a", "b"], "pair": ["a", "b"], "same": ["b", "a"], "one": ["a"], "other": ["e"]}
-    parents = containment(dims)
+    parents = containment({n: Member(c) for n, c in dims.items()})
     assert parents == {"wide": None, "mid": "wide", "pair": "mid", "same": "pair", "one": "pair", "other": None}
     assert [depth(parents, n) for n in dims] == [0, 1, 2, 3, 3, 0]
-    assert containment({"x": ["A"], "y": ["a", "b"]}) == {"x": None, "y": None}  # names as they are written
+    assert set(containment({"x": Member(["A"]), "y": Member(["a", "b"])}).values()) == {None}  # names as they are written
+    less = {"keyed": Member(["a", "b"], holds=["a"]), "b": Member(["b"]), "a": Member(["a"])}
+    assert containment(less) == {"keyed": None, "b": None, "a": "keyed"}  # what a table holds, not what made it
 
 
 def test_written_dimensions_read_the_base_only_where_no_other_holds_them(spark, tmp_out):

@@ -74,3 +74,54 @@ def test_overwriting_a_table_that_is_read_is_refused(spark):
         assert_table_not_read({(url + "2", source)}, url, "banks")
     assert_table_not_read({(url, "banks_old"), (url, "(select * from banks_old) t")}, url, "banks")
     assert jdbc_tables(spark.range(3).selectExpr("id")) == set()
+
+
+def _quantiles(con, table, column, parts):
+    """The query and the predicates, run by a database in this process."""
+    from starload.sources.jdbc import quantile_predicates, quantile_query
+    bounds = [r[0] for r in con.execute(quantile_query(table, column, parts)).fetchall()]
+    preds = quantile_predicates(column, bounds)
+    return preds, [con.execute(f"select count(*) from {table} where {p}").fetchone()[0] for p in preds]
+
+
+@pytest.mark.parametrize("value", [
+    "i * i * i",  # equal widths would put nearly all rows in the first of them
+    "(i * i)::decimal(18, 3) / 7", "i::double / 3", "timestamp '2020-01-01' + to_seconds(i * i)", "date '2020-01-01' + i::integer",
+    "'o''k ' || lpad(i::varchar, 9, '0')"])
+def test_quantile_predicates_share_skewed_keys_evenly(value):
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"create table t as select {value} as k from range(10000) r(i) union all select null from range(100)")
+    preds, counts = _quantiles(con, "t", "k", 16)
+    assert len(preds) == 16 and sum(counts) == 10100
+    assert max(counts) <= 1.3 * 10000 / 16  # NULL goes with the first
+
+
+def test_a_hot_key_gets_a_task_of_its_own():
+    import duckdb
+    con = duckdb.connect()
+    con.execute("create table t as select case when i % 3 = 0 then 500 else i end as k from range(9000) r(i)")
+    preds, counts = _quantiles(con, "t", "k", 12)
+    assert sum(counts) == 9000 and "k = 500" in preds
+    rest = [n for p, n in zip(preds, counts) if p != "k = 500"]
+    assert counts[preds.index("k = 500")] == 3000 + 1 and max(rest) <= 800
+    con.execute("create or replace table t as select 7 as k from range(50)")
+    preds, counts = _quantiles(con, "t", "k", 4)
+    assert sum(counts) == 50 and max(counts) == 50 and len(preds) == 3
+
+
+def test_quantile_predicates_hold_rows_that_come_later():
+    import duckdb
+
+    from starload.sources.jdbc import literal, quantile_predicates
+    con = duckdb.connect()
+    con.execute("create table t(k integer)")
+    assert _quantiles(con, "t", "k", 5) == (["1 = 1"], [0])
+    for bounds in ([10], [10, 20, 30], [10, 10, 30], [10, 30, 30], [10, 10], [10, 10, 10, 20]):
+        preds = quantile_predicates("k", bounds)
+        for k in (None, -5, 10, 11, 20, 29, 30, 99):
+            hits = [p for p in preds if con.execute(f"select count(*) from (select {'null' if k is None else k} as k) where {p}").fetchone()[0]]
+            assert len(hits) == 1, (bounds, k, preds)
+    for bad in (None, True, float("nan"), b"x"):
+        with pytest.raises(TypeError):
+            literal(bad)

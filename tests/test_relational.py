@@ -1,4 +1,5 @@
 import duckdb
+import pytest
 
 from starload import Parent, RelationalSpec, relational
 from starload.functions.columns import hash_key, hash_key_sql
@@ -64,3 +65,47 @@ def test_build_relational_share_modes_agree(spark):
         finally:
             out.release()
     assert got["none"] == got["stage"] == got["persist"]
+
+
+CITY = Parent(name="city", key="ck", natural_key=["city", "state"], references="state")
+STATE = Parent(name="state", key="sk", natural_key=["state", "fips"])
+CHAIN = RelationalSpec(child="c", child_columns=["id"], parents=[CITY, STATE])
+
+
+def test_a_parent_holds_the_key_of_the_one_it_references(spark):
+    from starload import joined_back
+    rows = [(1, "A", "X", "1"), (2, "A", "X", "1"), (3, None, "X", "1"), (4, "A", None, None), (5, "B", "Y", None), (6, "A|NULL", "Z", "9")]
+    df = spark.createDataFrame(rows, "id int, city string, state string, fips string")
+    out = relational(df, CHAIN)
+    assert out["c"].columns == ["id", "ck"] and out["city"].columns == ["ck", "city", "state", "sk"]
+    assert out["city"].count() == 5 and out["state"].count() == 4
+    assert out["city"].join(out["state"], "sk", "left_anti").count() == 0
+    assert sorted(map(tuple, joined_back(out, CHAIN).select(*df.columns).collect())) == rows
+
+
+def test_a_parent_with_two_of_the_one_it_references_is_refused(spark, tmp_out):
+    from starload import load_all, parquet_sink
+    for rows in ([(1, "A", "X", "1"), (2, "A", "X", "2")], [(1, "A", "X", None), (2, "A", "X", "2")]):
+        df = spark.createDataFrame(rows, "id int, city string, state string, fips string")
+        with pytest.raises(Exception, match=r"city: more than one row of state for A\|X"):
+            relational(df, CHAIN)["city"].collect()
+        with pytest.raises(Exception, match="more than one row of state"):
+            load_all(df, df.schema, parquet_sink(tmp_out), "single", relational=CHAIN)
+
+
+def test_references_lead_somewhere():
+    for parents in ([Parent("a", "k", ["x"], references="nowhere")],
+                    [Parent("a", "k", ["x"], references="b"), Parent("b", "l", ["y"], references="a")]):
+        with pytest.raises(ValueError, match="references"):
+            RelationalSpec(child="c", child_columns=[], parents=parents)
+
+
+def test_the_snowflake_is_derived_from_written_members(spark, tmp_out):
+    from starload import BANK_SNOWFLAKE, BANK_STAR, FDIC_BANKS, joined_back, load_all, parquet_sink, read_parquet
+    from starload.plans.standin import bank_base, standin_base
+    base = bank_base(standin_base(spark, "/root/testdata/sf0.001"))
+    paths = load_all(base, "fdic_banks", parquet_sink(tmp_out), "fdic_banks", star=BANK_STAR, relational=BANK_SNOWFLAKE)
+    tables = {name: read_parquet(spark, p) for name, p in paths.items()}
+    assert "state_key" not in tables["institution_table"].columns
+    back = joined_back(tables, BANK_SNOWFLAKE).select(*FDIC_BANKS.names)
+    assert back.exceptAll(base).isEmpty() and base.exceptAll(back).isEmpty()

@@ -154,3 +154,68 @@ def test_csv_refuses_what_it_cannot_hold_and_bad_values(spark, tmp_out):
     with pytest.raises(Exception, match="MALFORMED"):
         read_csv(spark, f"{tmp_out}/bad", schema).collect()
     assert sorted(map(str, read_csv(spark, f"{tmp_out}/bad", schema, strict=False).collect())) == ["Row(v=1.5)", "Row(v=None)"]
+
+
+def test_without_adaptive_execution_values_are_split_by_their_size(spark, tmp_out):
+    """A third of all rows on one value makes a third of the tasks write it;
+    every other value, NULL too, stays in one file."""
+    import glob
+
+    from pyspark.sql import functions as F
+
+    from starload.sinks.files import heavy_values
+    df = spark.range(0, 60000, numPartitions=16).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 50 < 49, (F.col("id") % 50).cast("string")).alias("k 1"),
+        (F.col("id") % 2 == 0).alias("even"), "id", F.lit("x").alias("parts"), F.lit("y").alias("v0"))
+    heavy = {r.v0: r.parts for r in heavy_values(df, ["k 1"], 30).collect()}
+    assert heavy == {"hot": 10}
+    assert {(r.v0, r.v1): r.parts for r in heavy_values(df, ["k 1", "even"], 30).collect()} == {("hot", True): 5, ("hot", False): 5}
+    path = os.path.join(tmp_out, "skewed")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "30")
+    try:
+        write_parquet(df, path, partition_by=["k 1"])
+        write_parquet(df.limit(0), path + "-empty", partition_by=["k 1"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    files = {os.path.basename(d): len(glob.glob(d + "/*.parquet")) for d in glob.glob(path + "/k 1=*")}
+    assert 5 <= files.pop("k 1=hot") <= 10  # ten parts, some of which a task writes together
+    assert len(files) == 50 and set(files.values()) == {1}
+    back = read_parquet(spark, path, df.schema)
+    assert back.exceptAll(df).isEmpty() and df.exceptAll(back).isEmpty()
+
+
+LINES = ["", None, "\\", "\\n", "\\N", "\\\\N", "\n", "\r\n", "a\\\nb", "\\\\n\\r\r", 'q"\n"', " \n ", ",\n,", "\\\\\\", "é \x85\n", "x" * 9 + "\n"]
+
+
+def test_escaped_line_breaks_round_trip_and_split(spark, tmp_out):
+    schema = T.StructType([T.StructField("i", T.LongType()), T.StructField("a b", T.StringType()), T.StructField("c", T.StringType())])
+    rows = [(i, a, c) for i, (a, c) in enumerate((a, c) for a in LINES for c in LINES)]
+    path = os.path.join(tmp_out, "lines")
+    df = spark.createDataFrame(rows * 20, schema).coalesce(1)
+    write_csv(df, path, line_breaks="escaped")
+    key = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(key, "20000")
+    try:
+        back = read_csv(spark, path, schema, line_breaks="escaped")
+        assert back.rdd.getNumPartitions() > 3  # one file, several tasks
+        assert sorted(map(repr, map(tuple, back.collect()))) == sorted(map(repr, rows * 20))
+    finally:
+        spark.conf.unset(key)
+    with pytest.raises(ValueError, match="line_breaks"):
+        read_csv(spark, path, schema, line_breaks="other")
+    with pytest.raises(ValueError, match="header"):
+        write_csv(spark.range(1).toDF("a\nb"), path + "2", line_breaks="escaped")
+
+
+def test_a_csv_sink_reads_its_escaped_tables_back(spark, tmp_out):
+    from starload import StarSpec, csv_sink, star_load
+    sink = csv_sink(tmp_out, mode="append", line_breaks="escaped")
+    df = spark.createDataFrame([(t,) for t in LINES], "t string")
+    for _ in range(2):
+        paths = star_load(df, StarSpec({"d": ["t"]}, {"f": ["t"]}), sink)
+    back = read_csv(spark, paths["d"], df.schema, line_breaks="escaped")
+    assert sorted(repr(r.t) for r in back.collect()) == sorted(map(repr, LINES))
+    assert read_csv(spark, paths["f"], df.schema, line_breaks="escaped").count() == 2 * len(LINES)
