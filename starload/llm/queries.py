@@ -176,17 +176,18 @@ EXACT_SQL = r"""with n as (
 )
 select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from g"""
 
-TOP_SQL = """with v as (
-  select vec_id, list_transform(embedding, lambda e: cast(floor(64 * cast(e as double)) as bigint)) as x
+TOP_SQL = """with v as materialized (
+  select row_number() over () as row, vec_id,
+    list_transform(embedding, lambda e: cast(floor(64 * cast(e as double)) as bigint)) as x
   from embeddings
   where vec_id is not null and embedding is not null
     and list_count(list_filter(embedding, lambda e: e is not null and isfinite(e))) = len(embedding)
 ), s as (
-  select q.vec_id as query_id, c.vec_id as vec_id,
+  select q.row as query, q.vec_id as query_id, c.vec_id as vec_id,
     cast(list_dot_product(cast(q.x as double[]), cast(c.x as double[])) as bigint) as score
-  from v q join v c on q.vec_id % 20 = 0 and c.vec_id <> q.vec_id
+  from v q join v c on q.vec_id % 20 = 0 and c.row <> q.row
 ), r as (
-  select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+  select query_id, cast(row_number() over (partition by query order by score desc, vec_id) as integer) as rank,
     vec_id, score from s
 )
 select * from r where rank <= 20"""

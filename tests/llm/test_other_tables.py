@@ -62,47 +62,75 @@ def test_cascade_is_exact_over_its_universe(spark):
     assert said.exceptAll(listed).isEmpty() and listed.exceptAll(said).isEmpty()
 
 
-def brute_top(x, ids, q, own, k):
-    scores = sorted((-int(x[i] @ q), int(ids[i])) for i in range(len(ids)) if ids[i] != own)[:k]
+def brute_top(x, ids, row, k):
+    """Of the query in one row: every other row is a candidate, whatever its id."""
+    scores = sorted((-int(x[i] @ x[row]), int(ids[i])) for i in range(len(ids)) if i != row)[:k]
     return [(i, -s) for s, i in scores]
 
 
-@pytest.mark.parametrize("scale,n", [(5, 900), (3000, 300), (2**30, 60), (1, 15)])
+@pytest.mark.parametrize("scale,n", [(5, 900), (3000, 300), (2**30, 60), (1, 15), (2**40, 30)])
 def test_block_search_equals_brute_force(scale, n):
     rng = np.random.default_rng(n)
     x = rng.integers(-scale, scale + 1, (n, 12))
+    if scale == 2**40:
+        x = x.astype(object)  # scores beyond a long are refused by pandas; bounds are not
+        x[:, 1:] = 0
+        x[:, 0] >>= 12
     x[n // 3:2 * n // 3] = x[0]  # a third of the vectors are one
-    ids = rng.permutation(5 * n)[:n]
-    got = best_of_block(ids[:40], x[:40], ids, x, 20, depths=(0.5, 0.9, 1.0))
+    ids = rng.permutation(n) // 2  # ids repeat
+    rows = rng.permutation(9 * n)[:n]
+    asked, found, scores, read = best_of_block(rows[:40], x[:40], rows, ids, x, 20, depths=(0.1, 0.5, 0.9, 1.0))
     for q in range(min(n, 40)):
-        mine = [(int(v), int(s)) for a, v, s in zip(*got) if a == ids[q]]
-        assert sorted(mine, key=lambda t: (-t[1], t[0])) == brute_top(x, ids, x[q], ids[q], 20)
-    assert _dtype(x, x) in (np.float32, np.float64, object)
+        mine = [(int(v), int(s)) for a, v, s in zip(asked, found, scores) if a == q]
+        assert sorted(mine, key=lambda t: (-t[1], t[0])) == brute_top(x, ids, q, 20)
+    assert _dtype(x, x) in (np.float32, np.float64, object) and set(read) <= {0.1, 0.5, 0.9, 1.0}
+
+
+def test_search_stops_before_the_lists_end_where_scores_are_spread():
+    """A few candidates stand out in the dimensions that a query asks for."""
+    rng = np.random.default_rng(7)
+    x = np.sort(rng.geometric(0.002, (3000, 1)), axis=0) * rng.integers(8, 11, (1, 6)) + rng.integers(0, 3, (3000, 6))
+    read = best_of_block(np.arange(50), x[:50], np.arange(3000), np.arange(3000), x, 20)[3]
+    assert read.max() <= 0.5
 
 
 def test_search_meets_all_blocks(spark):
     rng = np.random.default_rng(2)
     x = rng.integers(-9, 10, (300, 6))
-    rows = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, x array<long>")
+    rows = spark.createDataFrame([(i, i, v.tolist()) for i, v in enumerate(x)], "row long, vec_id long, x array<long>")
     got = {}
     for r in top_k(rows, rows.filter("vec_id % 3 = 0"), 5, query_block=20, candidate_block=40).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     assert len(got) == 100
     for q, found in got.items():
-        assert [(v, s) for _, v, s in sorted(found)] == brute_top(x, np.arange(300), x[q], q, 5)
+        assert [(v, s) for _, v, s in sorted(found)] == brute_top(x, np.arange(300), q, 5)
 
 
 def test_search_with_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.5]), (20, [0.0, nan]), (1, [0.1, inf]), (2, None), (3, [None, 1.0]), (4, [0.01, -0.01]),
             (4, [0.01, -0.01]), (None, [1.0, 1.0]), (5, [1.0]), (40, []), (41, [])]
-    e = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<float>, label int, score int")
+    e = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<float>, label int, row int")
     assert {r.vec_id: r.x for r in integer_vectors(e).collect()} == {0: [64, 32], 4: [0, -1], 5: [64], 40: [], 41: []}
-    got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in search_embeddings(e).collect()}
-    assert got == {(0, 1, 4, -32), (40, 1, 41, 0)}
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in search_embeddings(e).collect())
+    assert got == [(0, 1, 4, -32), (0, 2, 4, -32), (40, 1, 41, 0)]
     assert search_embeddings(e.limit(0)).collect() == []
 
 
+def test_rows_that_share_an_id_are_all_candidates(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = [(0, [1.0, 1.0]), (1, [1.0, 1.0]), (1, [0.25, 0.25]), (2, [0.1, 0.0]), (0, [2.0, 2.0])]
+    rows += [(int(i), [float(v) for v in rng.normal(0, 1, 2)]) for i in rng.integers(0, 60, 300)]
+    path = str(tmp_path / "e.parquet")
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(path)
+    got = [tuple(r) for r in search_embeddings(spark.read.parquet(path)).select("query_id", "rank", "vec_id", "score").collect()]
+    con = duckdb.connect()
+    con.sql(f"create view embeddings as from '{path}/*.parquet'")
+    assert sorted(got) == sorted(con.sql(f"select query_id, rank, vec_id, score from ({ORACLES['op5_exact_top_k']})").fetchall())
+    few = spark.createDataFrame(rows[:4], "vec_id long, embedding array<float>")
+    assert [r.score for r in search_embeddings(few).orderBy("rank").collect()] == [8192, 2048, 384]
+
+
 HARD = ["", "\\", "</turn>", "\\</turn>\n", "<turn user>\nx\n</turn>\n", "a\\\\<turn", "\n</turn>\n\\", "$1 \\1 é\U0001f600",
         "\\### Assistant: </turn> ok", "x" * 100_000]
 
