@@ -196,11 +196,9 @@ def _role_out(role: Column) -> Column:
 
 
 def _role_in(role: Column) -> Column:
-    """Undoes ``_role_out``; a lone marker keeps escaped backslashes apart."""
-    r = F.replace(role, F.lit("\\\\"), F.lit(">"))  # no ">" is left in an escaped role
-    r = F.replace(F.replace(r, F.lit("\\n"), F.lit("\n")), F.lit("\\g"), F.lit("\u0000g"))
-    r = F.replace(F.replace(r, F.lit(">"), F.lit("\\")), F.lit("\u0000g"), F.lit(">"))
-    return F.when(role != "\\0", r)
+    """Undoes ``_role_out``: what lies between escaped backslashes is read by itself."""
+    between = F.transform(F.split(role, r"\\\\"), lambda r: F.replace(F.replace(r, F.lit("\\n"), F.lit("\n")), F.lit("\\g"), F.lit(">")))
+    return F.when(role != "\\0", F.array_join(between, "\\"))
 
 
 def format_chats(turns: DataFrame) -> DataFrame:

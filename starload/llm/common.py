@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starload.session import scratch_path
+from starload.session import drop_path, scratch_path
 
 #: ASCII white space of the contracts, as a regular-expression class body.
 SPACE = r"\x20\x09-\x0D"
@@ -27,6 +27,41 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes staged tables that nothing reads any more (see ``staged``)."""
+    for t in tables:
+        for root in {f.rsplit("/", 1)[0] for f in t.inputFiles()[:1]}:
+            drop_path(t.sparkSession, root)
+
+
+#: A bitmap's pages of 32768 bits; it has 16 bits for each key and at most 16 MB in all.
+PAGE_BITS, MOST_PAGES = 32_768, 4096
+
+
+def picked(rows: DataFrame, key: str, wanted: DataFrame, name: str, keep: Column | None = None) -> DataFrame:
+    """``rows`` whose ``key`` the bitmap of ``wanted``'s column ``name`` holds:
+    all that are wanted and few others, as long as the bitmap's bound is not
+    reached, and rows for which ``keep`` is true. Nothing is shuffled but the
+    bitmap, which is broadcast; what must be exact is joined afterwards, when
+    hardly anything else is left to move. NULL is a key."""
+    pages = max(1, min(MOST_PAGES, -(-16 * wanted.count() // PAGE_BITS)))
+
+    def spot(c: str) -> Column:
+        return F.pmod(F.xxhash64(c), F.lit(pages * PAGE_BITS))
+
+    def page(c: Column) -> Column:
+        return F.floor(c / PAGE_BITS).cast("int")
+
+    bits = wanted.select(spot(name).alias("__spot")).groupBy(page(F.col("__spot")).alias("__page")).agg(
+        F.bitmap_construct_agg(F.pmod(F.col("__spot"), F.lit(PAGE_BITS))).alias("__bits"))
+    at = F.pmod(F.col("__spot"), F.lit(PAGE_BITS)).cast("int")
+    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    found = F.coalesce(F.call_function("getbit", byte, F.pmod(at, F.lit(8))) == 1, F.lit(False))
+    met = rows.withColumn("__spot", spot(key)).withColumn("__page", page(F.col("__spot"))).join(
+        F.broadcast(bits), "__page", "inner" if keep is None else "left")  # at most MOST_PAGES pages of 4 KB
+    return met.filter(found if keep is None else found | keep).select(*rows.columns)
+
+
 def text_or_empty(name: str = "text") -> Column:
     return F.coalesce(F.col(name), F.lit(""))
 

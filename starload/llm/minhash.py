@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import per_row, shuffle_partitions, staged, text_or_empty
+from starload.llm.common import per_row, picked, shuffle_partitions, staged, text_or_empty
 from starload.llm.components import SMALL_BUCKET, components
 
 SHINGLE_WORDS = 2
@@ -43,8 +43,6 @@ SIDE, ROWS = 12, 3
 PARITIES = 512
 BLOCK = 4096
 SLAB = 4096
-#: Wanted documents are picked from the table by a bitmap of 16 bits for each of them, of at most 16 MB.
-PAGE_BITS, MOST_PAGES = 32_768, 4096
 
 _NUMBERS = np.random.default_rng(11).integers(0, 1 << 63, (2, 2 * SIDE * ROWS), dtype=np.uint64)
 TURN, FACTOR = _NUMBERS[0][:, None], (_NUMBERS[1] | np.uint64(1))[:, None]
@@ -174,26 +172,6 @@ def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return near.filter(apart * (SHARED + OF) <= (F.col("na") + F.col("nb")) * (OF - SHARED)).select("a", "b")
 
 
-def _picked(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``rows`` whose doc_id the bitmap of ``wanted`` (first) holds: all that are
-    wanted, and few others while the bitmap's bound is not reached. So the
-    join that follows moves hardly any other text."""
-    pages = max(1, min(MOST_PAGES, -(-16 * wanted.count() // PAGE_BITS)))
-
-    def spot(name: str) -> Column:
-        return F.pmod(F.xxhash64(name), F.lit(pages * PAGE_BITS))
-
-    def page(c: Column) -> Column:
-        return F.floor(c / PAGE_BITS).cast("int")
-
-    bits = wanted.select(spot("first").alias("spot")).groupBy(page(F.col("spot")).alias("page")).agg(
-        F.bitmap_construct_agg(F.pmod(F.col("spot"), F.lit(PAGE_BITS))).alias("bits"))
-    at = F.pmod(F.col("spot"), F.lit(PAGE_BITS)).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("bits"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
-    met = rows.withColumn("spot", spot("doc_id")).withColumn("page", page(F.col("spot"))).join(F.broadcast(bits), "page")
-    return met.filter(F.call_function("getbit", byte, F.pmod(at, F.lit(8))) == 1).select(*rows.columns)
-
-
 def _full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFrame:
     """(node, shingles) of the nodes of ``wanted`` (node, first, h1, h2), made again from one document each."""
     schema = pa.schema([("node", pa.int64()), ("shingles", pa.list_(pa.int64()))])
@@ -202,7 +180,8 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, shingle_words: int) -> DataFr
         s = shingle_set(text, shingle_words)
         return (s.view(np.int64) if _names(s) == (h1, h2) else None,)  # another text of a repeated doc_id
 
-    rows = _picked(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text")), wanted)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    rows = picked(rows, "doc_id", wanted, "first")  # before texts move
     rows = rows.join(wanted, rows["doc_id"].eqNullSafe(wanted["first"])).select("node", "text", "h1", "h2")
     sets = rows.mapInArrow(per_row(row, ["node", "text", "h1", "h2"], schema), "node long, shingles array<long>")
     return sets.filter("shingles is not null").dropDuplicates(["node"])

@@ -42,8 +42,11 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{16,}")
 BASE64 = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
 WRAPPED = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]++(?:[ \t]*+\r?\n[ \t]*+[A-Za-z0-9+/_-]++)++(?:\r?\n[ \t]*+(?==))?={0,2}")
+#: Letters of base64 that also part the words of paths and ids.
+SEPARATOR = re.compile(r"[+/_-]")
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
+ESCAPE = re.compile(r"\\u[0-9A-Fa-f]{4}|\\u\{[0-9A-Fa-f]{1,6}\}|\\U[0-9A-Fa-f]{8}|\\x[0-9A-Fa-f]{2}|\\[0-3][0-7]{2}"
+                    r"|&#[0-9]{1,7};|&#[xX][0-9A-Fa-f]{1,6};")
 GZIP, ZLIB, ZSTD, BZ2, XZ = b"\x1f\x8b", b"\x78", b"\x28\xb5\x2f\xfd", b"BZh", b"\xfd7zXZ\0"
 STREAMS = (GZIP, ZLIB, ZSTD, BZ2, XZ)
 #: Beginnings that tell a stream inside other characters.
@@ -53,14 +56,14 @@ DAMAGED = (zlib.error, zstandard.ZstdError, lzma.LZMAError, OSError, EOFError)
 
 def _begins(escapes: str) -> str:
     """A pattern of HEADS whose bytes are escaped (``escapes`` has their codes
-    as x and d) or are characters that stand for themselves."""
+    as x, d and o) or are characters that stand for themselves."""
     def one(b):
-        return f"(?:(?i:{escapes.format(x=f'{b:02x}', d=b)}){'|' + re.escape(chr(b)) if 33 <= b < 127 and b != 92 else ''})"
+        return f"(?:(?i:{escapes.format(x=f'{b:02x}', d=b, o=f'{b:03o}')}){'|' + re.escape(chr(b)) if 33 <= b < 127 and b != 92 else ''})"
     return "(?:" + "|".join("".join(map(one, head)) for head in HEADS) + ")"
 
 
 PERCENT_STREAM = re.compile(_begins("%{x}") + r"(?:%[0-9A-Fa-f]{2}|[A-Za-z0-9_.~!*'()/:@$,;+-])*+")
-ESCAPED_STREAM = re.compile(_begins(r"\\x{x}|\\u00{x}|&\#0*{d};|&\#x0*{x};") + r"[ -~]*+")
+ESCAPED_STREAM = re.compile(_begins(r"\\x{x}|\\u00{x}|\\u\{{0*{x}\}}|\\{o}|&\#0*{d};|&\#x0*{x};") + r"[ -~]*+")
 ESCAPED_BYTE = re.compile(rf"({ESCAPE.pattern})|\\([abfnrtv0\\'\"])|([ -~])")
 SHORT = dict(zip("abfnrtv0\\'\"", b"\a\b\f\n\r\t\v\0\\'\""))
 #: Every secret, and every run that can hold one, has so many ASCII characters in a row.
@@ -89,8 +92,13 @@ def find(text: str) -> list[tuple[int, int, int]]:
 
 def _escaped(run: str) -> str | None:
     """The character that a Unicode escape stands for."""
-    digits = run[2:].rstrip(";")
-    code = int(digits) if run[0] == "&" and digits[0] not in "xX" else int(digits.lstrip("xX"), 16)
+    digits = run[2:].strip("{};")
+    if run[0] == "\\" and run[1].isdigit():
+        code = int(run[1:], 8)
+    elif run[0] == "&" and digits[0] not in "xX":
+        code = int(digits)
+    else:
+        code = int(digits.lstrip("xX"), 16)
     return chr(code) if code <= 0x10FFFF and not 0xD800 <= code < 0xE000 else None
 
 
@@ -279,9 +287,10 @@ def _data_texts(data: bytes) -> Iterator[str | None]:
     yield from _stream_texts(raw, _depth(raw))
 
 
-def _wrapped_texts(run: str) -> Iterator[str | None]:
-    """The texts of base64 over several lines. Other words may stand before it,
-    so it is read from each of four places, and streams from each line's start."""
+def _run_texts(run: str) -> Iterator[str | None]:
+    """The texts of a run of base64, over several lines or on one. Other words
+    of the same letters may stand before it (a path, an id), so it is read from
+    each of four places, and streams from wherever a word or a line begins."""
     lines = run.rstrip("=").split()
     body = "".join(lines)
     if len(body) < 20:
@@ -289,14 +298,14 @@ def _wrapped_texts(run: str) -> Iterator[str | None]:
     read = [_base64_bytes(body[k:]) for k in range(4)]
     for data in read:
         yield from _data_texts(data)
-    at = 0
+    begins, at = {m.end() for m in SEPARATOR.finditer(body)}, 0
     for line in lines[:-1]:
         at += len(line)
-        k = at % 4
-        if read[k].startswith(HEADS, (at - k) // 4 * 3) and at > k:
-            data = read[k][(at - k) // 4 * 3:]
-            if depth := _depth(data):
-                yield from _stream_texts(data, depth)
+        begins.add(at)
+    for at in sorted(begins):
+        k, data = at % 4, read[at % 4][(at - at % 4) // 4 * 3:]
+        if at > k and data.startswith(HEADS) and (depth := _depth(data)):
+            yield from _stream_texts(data, depth)
 
 
 def _escaped_streams(layer: str) -> Iterator[tuple[bytes, int, int]]:
@@ -368,10 +377,10 @@ def _children(layer: str):
 def _runs(layer: str) -> Iterator[tuple[Iterator[str | None], int, int]]:
     """The texts of each run whose bytes are decoded as a whole, and the run's span."""
     for m in BASE64.finditer(layer):
-        yield _data_texts(_base64_bytes(m[0])), *m.span()
+        yield _run_texts(m[0]), *m.span()
     if "\n" in layer:
         for m in WRAPPED.finditer(layer):
-            yield _wrapped_texts(m[0]), *m.span()
+            yield _run_texts(m[0]), *m.span()
     for data, s, e in _escaped_streams(layer):
         yield _data_texts(data), s, e
 

@@ -1,6 +1,6 @@
 """Substring deduplication: repeated paragraphs by MinHash banding.
 
-Units of a text are its paragraphs (lines of at least 20 words), and windows
+Units of a text are its paragraphs (lines of at least five words, a shingle), and windows
 of 20 words that begin where the hash of three words is the smallest among 28
 neighbouring positions. Such windows do not depend on what surrounds a
 passage, so two documents that share 50 words or more share a window, also
@@ -19,6 +19,10 @@ Jaccard similarity of the shingle sets. Links make components, and of each
 component the first unit (smallest doc_id, then position) stays. Crowded bands
 are verified block by block, and only a spanning forest of links leaves
 (``components.dense_links``).
+
+Most windows occur once. Their signatures alone are counted first, and a bitmap
+of the repeated ones keeps the others from ever being shuffled with their
+places (``common.picked``); each staged table is dropped after its last use.
 """
 
 from __future__ import annotations
@@ -31,14 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from starload.llm.common import gives_back, slices, staged, text_or_empty
+from starload.llm.common import dropped, gives_back, picked, slices, staged, text_or_empty
 from starload.llm.components import SMALL_BUCKET, components, dense_links
 
 SHINGLE = 5
 SIMILAR = 0.8
 BANDS, PER_BAND = 4, 2
 WINDOW_WORDS, NEIGHBOURS, ANCHOR_WORDS = 20, 28, 3
-MIN_WORDS = 20
+MIN_WORDS = SHINGLE
 AROUND = NEIGHBOURS - 1  # words on each side of a unit that are compared
 SLAB = 1 << 22
 
@@ -377,9 +381,12 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     """
     docs = docs.filter(F.col("doc_id").isNotNull())
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    units = staged(texts.mapInArrow(
+    everything = staged(texts.mapInArrow(
         _units, "doc_id long, start int, end int, sig long, check long, bands array<long>, word int, n int, step int, "
         "stretch long"), "units")
+    repeated = staged(everything.groupBy("sig").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("sig"), "signatures")
+    units = staged(picked(everything, "sig", repeated, "sig", keep=F.size("bands") > 0), "repeated_units")
+    dropped(everything, repeated)
     place = F.struct("doc_id", "start", "end", "word", "stretch")
     exact = units.groupBy("sig", "check").agg(F.min(place).alias("first"), F.max(place).alias("last"),
                                               F.max(F.size("bands")).alias("bands"))
@@ -391,7 +398,9 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     again = read_again(texts, rows, sought(chain))
     grams = staged(again.filter("grams is not null").select("sig", "grams").dropDuplicates(["sig"]), "shingles")
     longer = extended(again.filter("grams is null").drop("grams"), chain)
-    links = components(paragraph_links(rows, grams))
+    dropped(again, chain)
+    links = staged(components(paragraph_links(rows, grams)), "paragraph_classes")
+    dropped(rows, grams)
     exact = exact.join(links, exact["sig"] == links["node"], "left").select(
         "sig", "check", "first", F.coalesce("root", "sig").alias("class_id"),
         (F.col("root").isNotNull() | F.col("twice")).alias("again")).filter("again")

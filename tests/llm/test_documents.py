@@ -285,6 +285,84 @@ def test_secret_scan_reads_bytes_that_are_not_text():
     assert joined(scan("q %E9%20%FFtoken%3Dabcdefghijklmnop")[1]) == "assign:11:35"
 
 
+def test_secret_scan_base64_behind_other_words():
+    """Paths and ids whose letters belong to base64 too, at every offset; other escapes."""
+    plain = base64.b64encode(b"xx password=abcdefghijklmnop yy").decode()
+    stream = base64.b64encode(zlib.compress(SECRET.encode())).decode().rstrip("=")
+    kinds = lambda text: {k for _, k, _ in scan(text)[1]}
+    for before in ("https://x.com/login/", "https://x.com/a/", "https://x.com/ab/", "sess-", "id-", "k_", "x.com/v1/", "a+b/c-"):
+        assert kinds(f"q {before}{plain} r") == {0}, before
+        assert kinds(f"q {before}{stream} r") == {0, 1, 2}, before
+        run = scan(f"q {before}{plain} r")[1][0]
+        assert run[2] == len(f"q {before}{plain}")
+    word = "password=abcdefghijklmnop"
+    assert kinds("".join(f"\\{ord(c):03o}" for c in word)) == kinds("".join(f"\\u{{{ord(c):x}}}" for c in word)) == {0}
+    for form in ("\\{:03o}", "\\u{{{:x}}}", "\\x{:02x}"):
+        assert kinds("'" + "".join(form.format(b) for b in zlib.compress(SECRET.encode())) + "'") == {0, 1, 2}, form
+
+
+def brute_base(text):
+    """Base spans by walking the text, without patterns."""
+    names, out = ("password", "passwd", "secret", "token", "api_key", "apikey"), []
+    value = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-")
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text)
+    i = 0
+    while i < len(text):
+        name = next((n for n in names if low.startswith(n, i)), None)
+        if name is None:
+            i += 1
+            continue
+        ends = []  # the quote before the blanks is taken or not
+        for quote in ((1, 0) if text[i + len(name):i + len(name) + 1] in ('"', "'") and i + len(name) < len(text) else (0,)):
+            j = i + len(name) + quote
+            while text[j:j + 1] == " ":
+                j += 1
+            if text[j:j + 1] not in (":", "=") or j >= len(text):
+                continue
+            j += 1
+            while text[j:j + 1] == " ":
+                j += 1
+            if j < len(text) and text[j] in "\"'":
+                j += 1
+            k = j
+            while k < len(text) and text[k] in value:
+                k += 1
+            if k > j:
+                ends.append((j, k))
+                break
+        if not ends:
+            i += 1
+            continue
+        (j, k), = ends
+        if k - j >= 12:
+            out.append((i, 0, k))
+        i = k
+    for kind, first, letters, least in ((1, "AKIA", set("ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"), 18), (2, "", set("0123456789abcdef"), 16)):
+        i = 0
+        while i < len(text):
+            k = i + len(first)
+            if text.startswith(first, i):
+                while k < len(text) and text[k] in letters:
+                    k += 1
+            if not text.startswith(first, i) or k == i + len(first):
+                i += 1
+                continue
+            if k - i >= least:
+                out.append((i, kind, k))
+            i = k
+    return sorted(out)
+
+
+def test_secret_scan_base_spans_equal_brute_force(spark):
+    rng = np.random.default_rng(12)
+    bits = ["password", "PassWd", "secret", "token", "api_key", "ApiKey", '"', "'", " ", "  ", ":", "=", "abcdef012345", "x", "é",
+            "AKIA", "AKIAABCDEFGHIJKLMN", "0123456789abcdef", "f", "Z9", "-", ".", "\n", "\t", "ſecret", "toKen"]  # two letters fold to ASCII
+    texts = ["".join(rng.choice(bits, rng.integers(1, 14))) for _ in range(4000)]
+    texts += [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    for text in texts:
+        assert secret_scan.find(text) == brute_base(text), text
+
+
 def test_secret_scan_wrapped_and_escaped_streams():
     secret, raw = SECRET.encode() * 9, zlib.compressobj(wbits=-15)
     deflated = raw.compress(secret) + raw.flush()
@@ -345,10 +423,10 @@ def test_substring_dedup_finds_embedded_and_similar_passages(spark, empty):
              3: passage(13, 200), 4: passage(14, 40) + "\n" + near + "\n" + passage(15, 40), 5: " ".join(words),
              6: "", 7: None, 8: "short", 9: passage(16, 19), 10: passage(16, 19)}
     found = substring_dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
-    assert {r.doc_id for r in found} == {1, 2, 4, 5}
-    assert {r.doc_id for r in found if r.removed} == {2, 5}
+    assert {r.doc_id for r in found} == {1, 2, 4, 5, 9, 10}
+    assert {r.doc_id for r in found if r.removed} == {2, 5, 10}
     for r in found:
-        assert r.keep_doc_ids == ([1] if r.doc_id < 3 else [4])
+        assert r.keep_doc_ids == ([1] if r.doc_id < 3 else [4] if r.doc_id < 9 else [9])
     mine = next(r for r in found if r.doc_id == 1)
     assert len(set(texts[1][mine.start:mine.end].split()) & set(shared.split())) >= 20
     assert substring_dedup(empty).collect() == []
@@ -373,6 +451,33 @@ def test_substring_dedup_spans_are_the_whole_passages(spark):
     assert [(r.start, r.end) for r in found if r.doc_id == 90 and r.removed] == [(at, len(texts[90]))]
 
 
+def test_substring_dedup_finds_short_paragraphs(spark):
+    """Lines of five words and more: one among others, a whole document, a near copy, and odd rows."""
+    line, five, near = passage(400, 15), passage(401, 5), passage(402, 19).split()
+    texts = [(1, f"{passage(410, 9)}\n{line}\n{passage(411, 9)}"), (2, line.upper() + "\n" + passage(412, 8)), (3, five), (4, five),
+             (5, passage(403, 4)), (6, passage(403, 4)), (7, " ".join(near)), (8, " ".join([*near, "more"])),
+             (9, None), (None, line), (11, "x" * 300_000 + "\n" + passage(404, 12)), (12, passage(404, 12)), (12, passage(404, 12))]
+    df = spark.createDataFrame([(*r, "a", 3) for r in texts], "doc_id long, text string, sig string, start int")
+    found = {(r.doc_id, r.start, r.end, r.removed, tuple(r.keep_doc_ids)) for r in substring_dedup(df).collect()}
+    at = texts[0][1].index(line)
+    assert found == {(1, at, at + len(line), False, (1,)), (2, 0, len(line), True, (1,)),
+                     (3, 0, len(five), False, (3,)), (4, 0, len(five), True, (3,)),
+                     (7, 0, len(texts[6][1]), False, (7,)), (8, 0, len(texts[7][1]), True, (7,)),
+                     (11, 300_001, len(texts[10][1]), False, (11,)), (12, 0, len(texts[11][1]), True, (11,))}
+
+
+def test_picked_rows_are_all_that_are_wanted(spark):
+    from starload.llm.common import picked
+    rows = spark.range(50_000).selectExpr("if(id = 7, null, id) as k", "id % 3 as v", "'x' as bits", "1 as page")
+    wanted = rows.filter("k % 50 = 0 or k is null").selectExpr("k as w")
+    got = picked(rows, "k", wanted, "w")
+    assert got.columns == rows.columns and got.count() < 4 * 1001
+    assert got.filter("k % 50 = 0 or k is null").count() == 1001
+    kept = picked(rows, "k", wanted, "w", keep=F.col("v") == 1)
+    assert kept.filter("v = 1").count() == rows.filter("v = 1").count() and kept.filter("k % 50 = 0 or k is null").count() == 1001
+    assert picked(rows, "k", wanted.limit(0), "w").count() == 0
+
+
 def test_similar_is_exact_jaccard():
     rng = np.random.default_rng(3)
     sets = [sorted(set(rng.integers(0, 30, 25).tolist())) for _ in range(40)]

@@ -152,6 +152,14 @@ def test_chats_read_back_exactly(spark):
     assert format_chats(canonical_turns(df.limit(0), "conv_id", order="turn")).collect() == []
 
 
+def test_roles_of_any_characters_read_back(spark):
+    controls = [chr(i) for i in range(128)] + ["\u0080", "\u2028", "é"]
+    roles = [f"a{c}gb" for c in controls] + [f"{c}\\{c}n\\g\\\\{c}>" for c in controls] + ["", "\\", "\\0", "\\\\0", "\\\\g>", None, "\x00\\g"]
+    df = spark.createDataFrame([(i, 0, r, "t") for i, r in enumerate(roles)], "conv_id long, turn long, role string, text string")
+    out = {r.conv_id: r.turns[0].role for r in read_chats(format_chats(canonical_turns(df, "conv_id", order="turn"))).collect()}
+    assert [out[i] for i in range(len(roles))] == roles
+
+
 RECORDS = [
     {"messages": [{"role": "user", "content": "q"}, {"content": "a", "role": "assistant"}]},
     {"conversations": [{"from": "human", "value": "q"}, {"from": "gpt", "value": "a"}]},
