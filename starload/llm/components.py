@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import staged
+from starload.llm.common import dropped, staged
 
 #: Buckets up to this size are joined pair by pair; larger ones go by blocks.
 SMALL_BUCKET = 32
@@ -20,22 +20,28 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) for every node of ``edges`` (a, b: long): root is the
     smallest node reachable.
 
-    Alternates two contractions until nothing changes: every neighbour of a
+    Alternates two contractions until the links are stars: every neighbour of a
     node is linked to the smallest one, first the larger neighbours, then the
     smaller ones. Each is a partial aggregate and a join, so a hub's edges are
     never gathered; rounds grow as the logarithm of a component's diameter.
-    Each round is written to the shared folder.
+    Each round is written to the shared folder, and the one before is dropped.
     """
     pairs = edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi"))
     pairs = staged(pairs.filter("lo < hi").distinct(), "edges")
-    seen = None
-    while True:
-        mark = pairs.agg(F.count(F.lit(1)), F.sum(F.hash("lo", "hi").cast("decimal(20,0)"))).first()
-        if mark == seen:
-            return pairs.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
-                pairs.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
-        seen = mark
-        pairs = staged(_small_star(_large_star(pairs)), "edges")
+    while not _are_stars(pairs):
+        before, pairs = pairs, staged(_small_star(_large_star(pairs)), "edges")
+        dropped(before)
+    return pairs.select(F.col("hi").alias("node"), F.col("lo").alias("root")).unionByName(
+        pairs.select(F.col("lo").alias("node"), F.col("lo").alias("root")).distinct())
+
+
+def _are_stars(pairs: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and that one none.
+    Then the smaller one is the smallest node that can be reached."""
+    upper = pairs.groupBy("hi").agg(F.count(F.lit(1)).alias("n"))
+    if not upper.filter("n > 1").isEmpty():
+        return False
+    return pairs.join(upper.select(F.col("hi").alias("lo")), "lo", "left_semi").isEmpty()
 
 
 def _large_star(pairs: DataFrame) -> DataFrame:

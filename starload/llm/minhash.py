@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from starload.llm.common import per_row, picked, shuffle_partitions, staged, text_or_empty
+from starload.llm.common import dropped, per_row, picked, shuffle_partitions, staged, text_or_empty
 from starload.llm.components import SMALL_BUCKET, components
 
 SHINGLE_WORDS = 2
@@ -199,7 +199,10 @@ def _linked(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, shingle_words:
     hubs = pairs.select("a", "salt").distinct().join(sets.toDF("a", "sa"), "a")
     met = pairs.join(sets.toDF("b", "sb"), "b").join(hubs, ["a", "salt"])
     both = F.size(F.array_intersect("sa", "sb"))
-    return met.filter(both * OF >= (F.size("sa") + F.size("sb") - both) * SHARED).select("a", "b")
+    near = met.filter(both * OF >= (F.size("sa") + F.size("sb") - both) * SHARED)
+    links = staged(near.select("a", "b"), "minhash_links")
+    dropped(pairs, wanted, sets)
+    return links
 
 
 def minhash_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFrame:
@@ -222,13 +225,14 @@ def minhash_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFr
     members = staged(_members(nodes.filter(F.col("n") >= LEAST).select("node", "left", "right")), "minhash_members")
 
     first = members.filter("node > pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b"))
-    links = staged(_linked(docs, _bounded(first, nodes), nodes, shingle_words), "minhash_links")
+    links = _linked(docs, _bounded(first, nodes), nodes, shingle_words)
     classes = staged(components(links), "minhash_classes")
     rooted = members.join(classes, "node", "left").select(
         "key", "table", "node", "pivot", "size", F.coalesce("root", "node").alias("root"))
     mixed = rooted.groupBy("key").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("key")
     facts = nodes.select("node", "n", "parity", "left", "right")
     rest = staged(rooted.join(mixed, "key").join(facts, "node"), "minhash_rest")
+    dropped(members, classes)
     small = rest.filter(F.col("size") <= SMALL_BUCKET)
     x, y = small.alias("x"), small.alias("y")
     pairs = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.node") < F.col("y.node"))
@@ -236,6 +240,7 @@ def minhash_dedup(docs: DataFrame, shingle_words: int = SHINGLE_WORDS) -> DataFr
                    & (F.col("x.node") != F.col("x.pivot"))).select(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
     pairs = pairs.unionByName(_open_pairs(rest.filter(F.col("size") > SMALL_BUCKET)))
     more = _linked(docs, _bounded(pairs, nodes), nodes, shingle_words)
+    dropped(rest)
     classes = components(links.unionByName(more))
 
     named = nodes.join(classes, "node", "left").select("h1", "h2", "first", F.coalesce("root", "node").alias("root"))
