@@ -36,7 +36,7 @@ from starload.llm.common import staged
 SCALE = 64
 TOP = 20
 #: Shares of the lists that have been read after each stretch.
-DEPTHS = (0.25, 0.5, 0.75, 0.875, 0.9375, 0.97, 1.0)
+DEPTHS = (0.5, 0.875, 0.95, 1.0)
 QUERY_BLOCK, CANDIDATE_BLOCK = 8192, 8192
 #: Queries of a block that are bounded together: so many rows of the bound matrices.
 ABREAST = 256
