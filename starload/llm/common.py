@@ -18,12 +18,22 @@ SPACE = r"\x20\x09-\x0D"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Whether the shuffle files of a query go when it ends (they may be made again).
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the cluster's shared folder and read back: it is
-    computed once, its lineage ends here, and lost executors cost only a reread."""
+    computed once, its lineage ends here, and lost executors cost only a reread.
+    The shuffle files of the write, which nothing reads again, go as it ends."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -44,6 +44,8 @@ BANDS, PER_BAND = 4, 2
 WINDOW_WORDS, NEIGHBOURS, ANCHOR_WORDS = 20, 28, 3
 MIN_WORDS = SHINGLE
 AROUND = NEIGHBOURS - 1  # words on each side of a unit that are compared
+HASH_BYTES = 3           # of each of them
+RUN = 1 << 20            # bytes of text that are read in one pass
 SLAB = 1 << 22
 
 _random = np.random.default_rng(20)
@@ -85,16 +87,26 @@ def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, power
     return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
-class Text:
-    """Word hashes, paragraphs and windows of one text (A-Z as a-z)."""
+class Texts:
+    """Word hashes, lines and windows of some texts (A-Z as a-z), laid end to
+    end with a line break between them, so that one pass serves them all."""
 
-    def __init__(self, text: str):
-        self.raw = np.frombuffer(text.encode("utf-8").lower(), np.uint8)
+    def __init__(self, texts: list[str]):
+        data = [t.encode("utf-8").lower() for t in texts]
+        self.raw = np.frombuffer(b"\n".join(data), np.uint8)
+        begins = np.cumsum([0] + [len(d) + 1 for d in data])[:len(data)]
         space = np.concatenate([[True], IS_SPACE[self.raw], [True]])
         edges = np.flatnonzero(space[1:] != space[:-1])
         self.starts, self.ends = edges[::2], edges[1::2]
         self.n = len(self.starts)
         self.words = range_hashes(self.raw.astype(np.uint64) + np.uint64(1), self.starts, self.ends, POWERS[0])
+        # the text of each word, each text's first word and the one past its last
+        self.text = np.searchsorted(begins, self.starts, side="right") - 1
+        self.first = np.searchsorted(self.starts, begins)
+        self.last = np.append(self.first[1:], self.n)[:len(data)]
+        # code points that begin before each byte, and before each text
+        self.char = np.concatenate([[0], np.cumsum((self.raw & 0xC0) != 0x80)])
+        self.base = self.char[begins]
 
     def grams(self, factors: np.ndarray) -> np.ndarray:
         """A hash of the len(factors) words from each position."""
@@ -110,44 +122,56 @@ class Text:
         return first[long], last[long]
 
     def anchors(self) -> np.ndarray:
-        """First words of the windows: minima of the 3-word hashes."""
+        """First words of the windows: minima of the 3-word hashes among
+        NEIGHBOURS positions of a text, or among all that it has."""
         m = self.n - WINDOW_WORDS + 1
         if m <= 0:
             return np.empty(0, np.int64)
         h = self.grams(ANCHOR)[:m]
+        low_bits = np.uint64(0xFFFFFF)
+        stop = self.last[self.text[:m]] - WINDOW_WORDS + 1
         found = []
         for lo in range(0, m, SLAB):
             part = h[lo:lo + SLAB + NEIGHBOURS - 1]
-            low = (part & ~np.uint64(0xFFFFFF)) | np.arange(len(part), dtype=np.uint64)
-            width, span = 1, min(NEIGHBOURS, len(part))
-            while width < span:
-                step = min(width, span - width)
+            if len(part) < NEIGHBOURS:
+                break
+            low = (part & ~low_bits) | np.arange(len(part), dtype=np.uint64)
+            width = 1
+            while width < NEIGHBOURS:
+                step = min(width, NEIGHBOURS - width)
                 low = np.minimum(low[:-step], low[step:])
                 width += step
-            found.append(np.unique((low & np.uint64(0xFFFFFF)).astype(np.int64)) + lo)
-        return np.unique(np.concatenate(found))
-
-    def characters(self) -> np.ndarray:
-        """Code points that begin before each byte."""
-        return np.concatenate([[0], np.cumsum((self.raw & 0xC0) != 0x80)])
+            at = np.arange(lo, lo + len(low))
+            found.append(np.unique(low[at + NEIGHBOURS <= stop[at]] & low_bits).astype(np.int64) + lo)
+        n = self.last - self.first - WINDOW_WORDS + 1
+        few = self.first[(n > 0) & (n < NEIGHBOURS)]
+        if len(few):
+            edges = np.stack([few, few + n[(n > 0) & (n < NEIGHBOURS)]], axis=1).ravel()
+            low = np.append((h & ~low_bits) | (np.arange(m, dtype=np.uint64) & low_bits), NOT_HASHED)
+            least = np.minimum.reduceat(low, edges)[::2]
+            found.append(few + ((least - few.astype(np.uint64)) & low_bits).astype(np.int64))
+        return np.unique(np.concatenate(found)) if found else np.empty(0, np.int64)
 
     def units(self) -> dict[str, np.ndarray]:
+        """All lines, which have ``bands``, and then all windows."""
         first, last = self.paragraphs()
         at = self.anchors()
-        char = self.characters()
         windows = self.words[at[:, None] + np.arange(WINDOW_WORDS)]
         hashes = [np.concatenate([range_hashes(self.words, first, last, POWERS[1 + i]),
                                   mixed((windows * WHOLE[i]).sum(axis=1, dtype=np.uint64))]) for i in (0, 1)]
         a = np.concatenate([first, at])
         b = np.concatenate([last, at + WINDOW_WORDS]) - 1
-        # from each window to the end of the next one
+        # from each window to the end of the text's next one
+        goes_on = self.text[at[:-1]] == self.text[at[1:]]
         stretch = range_hashes(self.words, at[:-1], at[1:] + WINDOW_WORDS, POWERS[1])
-        none = len(a) - len(stretch)
-        stretch = np.concatenate([np.zeros(len(first), np.uint64), stretch, np.zeros(none - len(first), np.uint64)])
-        step = np.concatenate([np.full(len(first), -1), np.diff(at), np.zeros(none - len(first), np.int64)])
-        return {"start": char[self.starts[a]], "end": char[self.ends[b]], "sig": hashes[0].view(np.int64),
-                "check": hashes[1].view(np.int64), "bands": self.bands(first, last), "word": a, "n": b + 1 - a,
-                "step": step, "stretch": stretch.view(np.int64)}
+        none = np.zeros(min(1, len(at)), np.int64)
+        stretch = np.concatenate([np.zeros(len(first), np.uint64), np.where(goes_on, stretch, np.uint64(0)), none.astype(np.uint64)])
+        step = np.concatenate([np.full(len(first), -1), np.where(goes_on, np.diff(at), 0), none])
+        text = self.text[a]
+        return {"text": text, "start": self.char[self.starts[a]] - self.base[text],
+                "end": self.char[self.ends[b]] - self.base[text], "sig": hashes[0].view(np.int64),
+                "check": hashes[1].view(np.int64), "bands": self.bands(first, last), "word": a - self.first[text],
+                "n": b + 1 - a, "step": step, "stretch": stretch.view(np.int64)}
 
     def bands(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
         """Band keys of each paragraph, one row per paragraph."""
@@ -164,36 +188,80 @@ class Text:
         keys = [mixed(least[PER_BAND * i] * PERMUTE[0] + least[PER_BAND * i + 1] + np.uint64(i)) for i in range(BANDS)]
         return np.stack(keys, axis=1).view(np.int64)
 
-    def shingles(self) -> list[tuple[int, list[int]]]:
-        """(signature, sorted distinct shingle hashes) of each paragraph."""
+    def shingles(self, wanted: list[list[int] | None]) -> list[tuple[int, list[int]]]:
+        """(signature, sorted distinct shingle hashes) of each text's wanted lines."""
+        sets = [set(w or ()) for w in wanted]
         first, last = self.paragraphs()
         sigs = range_hashes(self.words, first, last, POWERS[1]).view(np.int64).tolist()
         grams = self.grams(GRAM).view(np.int64)
-        return [(s, np.unique(grams[a:b - SHINGLE + 1]).tolist()) for s, a, b in zip(sigs, first.tolist(), last.tolist())]
-
-    def around(self, start: np.ndarray, end: np.ndarray, sig: np.ndarray) -> list[tuple]:
-        """For the units of this text among those given: which one, and the
-        hashes and edges (code points) of the AROUND words before it, the
-        nearest first, and after it."""
+        found = {}
+        for s, t, a, b in zip(sigs, self.text[first].tolist(), first.tolist(), last.tolist()):
+            if s in sets[t] and s not in found:
+                found[s] = np.unique(grams[a:b - SHINGLE + 1]).tolist()
+        return list(found.items())
+
+    def around(self, text: np.ndarray, start: np.ndarray, end: np.ndarray, sig: np.ndarray,
+               left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, list[bytes | None], list[bytes | None]]:
+        """For the units given (text, code points, signature): which of them the
+        texts have, and the packed words before (``left``) and after them."""
         if not self.n:
-            return []
-        char = self.characters()
-        starts, ends = char[self.starts], char[self.ends]
-        a, b = np.searchsorted(starts, start), np.searchsorted(ends, end)
+            return np.empty(0, np.int64), [], []
+        starts, ends = self.char[self.starts], self.char[self.ends]
+        a, b = np.searchsorted(starts, start + self.base[text]), np.searchsorted(ends, end + self.base[text])
         at = np.flatnonzero((a < self.n) & (b < self.n) & (a <= b))
         a, b = a[at], b[at]
         window = self.words[np.minimum(a[:, None] + np.arange(WINDOW_WORDS), self.n - 1)]
         same = (range_hashes(self.words, a, b + 1, POWERS[1]).view(np.int64) == sig[at]) | (
             mixed((window * WHOLE[0]).sum(axis=1, dtype=np.uint64)).view(np.int64) == sig[at])
-        same &= (starts[a] == start[at]) & (ends[b] == end[at])
-        words = self.words.view(np.int64)
-        out = []
-        for i, x, y in zip(at[same].tolist(), a[same].tolist(), b[same].tolist()):
-            before, after = slice(max(x - AROUND, 0), x), slice(y + 1, y + 1 + AROUND)
-            out.append((i, words[before][::-1], starts[before][::-1], words[after], ends[after]))
+        same &= (starts[a] - self.base[text[at]] == start[at]) & (ends[b] - self.base[text[at]] == end[at])
+        at, a, b = at[same], a[same], b[same]
+        return (at, self.packed(a, -1, starts, left[at]), self.packed(b, 1, ends, right[at]))
+
+    def packed(self, word: np.ndarray, way: int, edges: np.ndarray, asked: np.ndarray) -> list[bytes | None]:
+        """Of the AROUND words beyond each ``word``, the nearest first: HASH_BYTES
+        bytes of each hash and the code points to its edge from the one before (0:
+        no such word), as one byte each, or four where one does not fit."""
+        out: list[bytes | None] = [None] * len(word)
+        rows = np.flatnonzero(asked)
+        x = word[rows, None]
+        at = x + way * np.arange(1, AROUND + 1)
+        inside = (at >= self.first[self.text[x]]) & (at < self.last[self.text[x]])
+        at = np.where(inside, at, x)
+        hashes = self.words[at].view(np.uint8).reshape(len(rows), AROUND, 8)[:, :, 8 - HASH_BYTES:]
+        hashes = np.where(inside[:, :, None], hashes, 0).astype(np.uint8).reshape(len(rows), -1)
+        gaps = np.where(inside, np.abs(np.diff(np.concatenate([edges[x], edges[at]], axis=1), axis=1)), 0)
+        wide = gaps.max(axis=1, initial=0) > 255
+        for pick, kind in ((~wide, np.uint8), (wide, "<u4")):
+            data = np.concatenate([hashes[pick], np.ascontiguousarray(gaps[pick].astype(kind)).view(np.uint8)], axis=1)
+            size, blob = data.shape[1], data.tobytes()
+            for i, j in enumerate(rows[pick].tolist()):
+                out[j] = blob[i * size:(i + 1) * size]
         return out
 
 
+def unpacked(sides: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hash bytes and gaps of packed words, one row each; null has none."""
+    values = sides.to_pylist()
+    hashes = np.zeros((len(values), AROUND, HASH_BYTES), np.uint8)
+    gaps = np.zeros((len(values), AROUND), np.int64)
+    for kind in (np.dtype(np.uint8), np.dtype("<u4")):
+        size = AROUND * (HASH_BYTES + kind.itemsize)
+        rows = [i for i, v in enumerate(values) if v is not None and len(v) == size]
+        data = np.frombuffer(b"".join(values[i] for i in rows), np.uint8).reshape(len(rows), size)
+        hashes[rows] = data[:, :AROUND * HASH_BYTES].reshape(-1, AROUND, HASH_BYTES)
+        gaps[rows] = np.ascontiguousarray(data[:, AROUND * HASH_BYTES:]).view(kind)
+    return hashes, gaps
+
+
+def reaches(own: pa.Array, other: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Code points from a unit's edge, on its own side and on the other copy's,
+    over the words that both have in common."""
+    (h, gaps), (other_h, other_gaps) = unpacked(own), unpacked(other)
+    equal = (h == other_h).all(axis=2) & (gaps > 0) & (other_gaps > 0)
+    shared = np.cumprod(equal, axis=1)
+    return (gaps * shared).sum(axis=1), (other_gaps * shared).sum(axis=1)
+
+
 UNITS = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int32()), ("sig", pa.int64()),
                    ("check", pa.int64()), ("bands", pa.list_(pa.int64())), ("word", pa.int32()), ("n", pa.int32()),
                    ("step", pa.int32()), ("stretch", pa.int64())])
@@ -202,44 +270,68 @@ UNITS = pa.schema([("doc_id", pa.int64()), ("start", pa.int32()), ("end", pa.int
 @gives_back
 def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, 4 << 20):
-            found = [Text(t).units() for t in part.column(1).to_pylist()]
-            ids = np.repeat(np.arange(part.num_rows), [len(u["sig"]) for u in found])
-            joined = {c: np.concatenate([u[c] for u in found]) for c in ("start", "end", "sig", "check", "word", "n", "step", "stretch")}
-            # paragraphs come first in a text, and have bands; windows have none
-            sizes = np.concatenate([np.where(np.arange(len(u["sig"])) < len(u["bands"]), BANDS, 0) for u in found])
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            keys = np.concatenate([u["bands"].ravel() for u in found])
+        for part in slices(batch, RUN):
+            u = Texts(part.column(1).to_pylist()).units()
+            offsets = np.minimum(np.arange(len(u["sig"]) + 1), len(u["bands"])).astype(np.int32) * BANDS
             yield pa.RecordBatch.from_arrays(
-                [part.column(0).take(pa.array(ids)), pa.array(joined["start"].astype(np.int32)),
-                 pa.array(joined["end"].astype(np.int32)), pa.array(joined["sig"]), pa.array(joined["check"]),
-                 pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys)),
-                 *(pa.array(joined[c].astype(np.int32)) for c in ("word", "n", "step")), pa.array(joined["stretch"])],
+                [part.column(0).take(pa.array(u["text"])), pa.array(u["start"].astype(np.int32)),
+                 pa.array(u["end"].astype(np.int32)), pa.array(u["sig"]), pa.array(u["check"]),
+                 pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(u["bands"].ravel())),
+                 *(pa.array(u[c].astype(np.int32)) for c in ("word", "n", "step")), pa.array(u["stretch"])],
                 schema=UNITS)
 
 
 READ = pa.schema([("sig", pa.int64()), ("check", pa.int64()), ("grams", pa.list_(pa.int64())), ("doc_id", pa.int64()),
-                  ("start", pa.int32()), ("end", pa.int32()), ("before", pa.list_(pa.int64())),
-                  ("starts", pa.list_(pa.int32())), ("after", pa.list_(pa.int64())), ("ends", pa.list_(pa.int32()))])
+                  ("start", pa.int32()), ("end", pa.int32()), ("is_first", pa.bool_()), ("before", pa.binary()),
+                  ("after", pa.binary())])
+READ_SQL = ("sig long, check long, grams array<long>, doc_id long, start int, end int, is_first boolean, "
+            "before binary, after binary")
 
 
 @gives_back
 def _read_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shingles of the wanted paragraphs, and the words around the wanted units."""
+    """Shingles of the wanted lines, and the words around the wanted units."""
     for batch in batches:
-        for part in slices(batch, 2 << 20):
-            rows = []
-            for i, doc_id in enumerate(part.column(0).to_pylist()):
-                text = Text(part.column(1)[i].as_py())
-                if wanted := set(part.column(2)[i].as_py() or ()):
-                    rows += [(s, None, g, *[None] * 7) for s, g in text.shingles() if s in wanted]
-                units = part.column(3)[i].values
-                if units is not None and len(units):
-                    start, end, sig, check = (units.field(c).to_numpy() for c in ("start", "end", "sig", "check"))
-                    rows += [(sig[j], check[j], None, doc_id, start[j], end[j], *around)
-                             for j, *around in text.around(start, end, sig)]
-            columns = zip(*rows) if rows else [[] for _ in READ]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), f.type) for c, f in zip(columns, READ)], schema=READ)
+        for part in slices(batch, RUN):
+            texts = Texts(part.column(1).to_pylist())
+            if lines := texts.shingles(part.column(2).to_pylist()):
+                sigs, grams = zip(*lines)
+                columns = {"sig": pa.array(sigs, pa.int64()), "grams": pa.array(grams, pa.list_(pa.int64()))}
+                yield pa.RecordBatch.from_arrays([columns.get(f.name, pa.nulls(len(sigs), f.type)) for f in READ], schema=READ)
+            units = part.column(3).flatten()
+            if not len(units):
+                continue
+            text = part.column(3).value_parent_indices().to_numpy()
+            u = {f.name: units.field(f.name) for f in units.type}
+            at, before, after = texts.around(text, *(u[c].to_numpy(zero_copy_only=False) for c in (
+                "start", "end", "sig", "left", "right")))
+            rows = pa.array(at)
+            columns = {c: u[c].take(rows) for c in ("sig", "check", "start", "end", "is_first")}
+            columns |= {"doc_id": part.column(0).take(pa.array(text[at])), "before": pa.array(before, pa.binary()),
+                        "after": pa.array(after, pa.binary()), "grams": pa.nulls(len(at), pa.list_(pa.int64()))}
+            yield pa.RecordBatch.from_arrays([columns[f.name] for f in READ], schema=READ)
+
+
+LONGER = pa.schema([("sig", pa.int64()), ("check", pa.int64()), ("doc_id", pa.int64()), ("start", pa.int32()),
+                    ("end", pa.int32()), ("first_start", pa.int32()), ("first_end", pa.int32())])
+
+
+@gives_back
+def _longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Units and their firsts over the words that both have around them."""
+    for batch in batches:
+        for part in slices(batch, 1 << 22):
+            get = {c: part.column(c) for c in part.schema.names}
+            n = {c: get[c].to_numpy() for c in ("doc_id", "start", "end", "f_doc_id", "f_start", "f_end")}
+            left, f_left = reaches(get["before"], get["f_before"])
+            right, f_right = reaches(get["after"], get["f_after"])
+            start = n["start"] - left
+            # in one document, the later copy does not go back into the first
+            clipped = np.minimum(n["start"], np.maximum(start, n["f_end"]))
+            start = np.where(n["doc_id"] == n["f_doc_id"], clipped, start)
+            spans = (start, n["end"] + right, n["f_start"] - f_left, n["f_end"] + f_right)
+            yield pa.RecordBatch.from_arrays([get["sig"], get["check"], get["doc_id"],
+                                              *(pa.array(x.astype(np.int32)) for x in spans)], schema=LONGER)
 
 
 def _similar(x: list, y: list) -> np.ndarray:
@@ -273,24 +365,16 @@ def band_rows(units: DataFrame) -> DataFrame:
 def read_again(texts: DataFrame, rows: DataFrame, repeated: DataFrame) -> DataFrame:
     """The texts read once more: for shingles, and for the words around repeated units."""
     wanted = rows.groupBy("doc_id").agg(F.collect_set("sig").alias("wanted"))
-    around = repeated.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end", "sig", "check")).alias("around"))
+    around = repeated.groupBy("doc_id").agg(F.collect_list(
+        F.struct("start", "end", "sig", "check", "left", "right", "is_first")).alias("around"))
     found = texts.join(wanted.join(around, "doc_id", "full"), "doc_id").select("doc_id", "text", "wanted", "around")
-    return staged(found.mapInArrow(_read_again, (
-        "sig long, check long, grams array<long>, doc_id long, start int, end int, before array<long>, "
-        "starts array<int>, after array<long>, ends array<int>")), "read_again")
-
-
-def _same_words(x: str, y: str):
-    """How many words two arrays of hashes have in common from their first on."""
-    equal = F.zip_with(x, y, lambda p, q: F.coalesce(p == q, F.lit(False)))
-    stop = F.array_position(equal, False)
-    return F.when(stop == 0, F.size(equal)).otherwise(stop - 1).cast("int")
+    return staged(found.mapInArrow(_read_again, READ_SQL), "read_again")
 
 
 def chained(units: DataFrame, repeats: DataFrame) -> DataFrame:
     """Repeated units other than the first of their content, with that first
     one; ``after`` (end, first_end) tells of the next window if the passage goes
-    on to it, and ``open`` whether the words around have to be compared."""
+    on to it, ``left`` and ``right`` on which side words have to be compared."""
     rows = units.join(repeats.select("sig", "check", "first"), ["sig", "check"]).filter(
         (F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start")))
     is_window = F.col("step") >= 0
@@ -309,46 +393,34 @@ def chained(units: DataFrame, repeats: DataFrame) -> DataFrame:
     comes_on = F.coalesce(F.col("last.goes_on") & (F.col("last.word") + F.col("last.step") == F.col("word")), F.lit(False))
     # a paragraph with a window of the same copy in it is inside that window's passage
     held = F.coalesce(F.col("next.word") + WINDOW_WORDS <= F.col("word") + F.col("n"), F.lit(False))
-    is_open = F.when(F.col("is_window"), ~F.col("goes_on") | ~comes_on).otherwise(~held)
+    left = F.when(F.col("is_window"), ~comes_on).otherwise(~held)
+    right = F.when(F.col("is_window"), ~F.col("goes_on")).otherwise(~held)
     after = F.when(F.col("goes_on"), F.struct(F.col("next.end").alias("end"), F.col("next.first_end").alias("first_end")))
-    return staged(rows.select("sig", "check", "doc_id", "start", "end", "first", after.alias("after"),
-                              is_open.alias("open")).filter("open or after is not null"), "chained")
+    first = F.struct("first.doc_id", "first.start", "first.end")
+    return staged(rows.select("sig", "check", "doc_id", "start", "end", first.alias("first"), after.alias("after"),
+                              left.alias("left"), right.alias("right")).filter("left or right or after is not null"), "chained")
 
 
 def sought(chain: DataFrame) -> DataFrame:
     """Units around which words are compared: the open ones, and their firsts."""
-    rows = chain.filter("open")
-    return rows.select("doc_id", "start", "end", "sig", "check").unionByName(
-        rows.select("first.doc_id", "first.start", "first.end", "sig", "check")).distinct()
+    rows = chain.filter("left or right").select("sig", "check", "doc_id", "start", "end", "first", "left", "right")
+    firsts = rows.groupBy("sig", "check", "first").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    return rows.drop("first").withColumn("is_first", F.lit(False)).unionByName(firsts.select(
+        "sig", "check", "first.doc_id", "first.start", "first.end", "left", "right", F.lit(True).alias("is_first")))
 
 
 def extended(around: DataFrame, chain: DataFrame) -> DataFrame:
     """Repeated units extended over the words they share with the first unit of
     equal content: sig, check, doc_id, start, end, and first_start and
-    first_end, which the first unit gets from this one. Where both are in one
-    document, the later one does not go back into the first."""
-    opened = chain.filter("open").select("sig", "check", "first").distinct()
-    firsts = around.join(opened, ["sig", "check"]).filter(
-        (F.col("doc_id") == F.col("first.doc_id")) & (F.col("start") == F.col("first.start")))
-    columns = ("end", "before", "starts", "after", "ends")
-    firsts = firsts.groupBy("sig", "check").agg(F.min("first").alias("first"), F.min(F.struct(*columns)).alias("f")).select(
-        "sig", "check", "first", *[F.col(f"f.{c}").alias(f"f_{c}") for c in columns])
-    pairs = around.join(firsts, ["sig", "check"]).filter(
-        (F.col("doc_id") != F.col("first.doc_id")) | (F.col("start") != F.col("first.start")))
-    pairs = pairs.withColumn("l", _same_words("before", "f_before")).withColumn("r", _same_words("after", "f_after"))
-
-    def edge(edges, n, otherwise):
-        return F.when(F.col(n) > 0, F.try_element_at(edges, F.col(n))).otherwise(F.col(otherwise))
-    start = edge(F.col("starts"), "l", "start")
-    clipped = F.when(F.col("doc_id") == F.col("first.doc_id"),
-                     F.least(F.col("start"), F.greatest(start, F.col("f_end")))).otherwise(start)
-    first_start = F.when(F.col("l") > 0, F.try_element_at(F.col("f_starts"), F.col("l"))).otherwise(F.col("first.start"))
+    first_end, which the first unit gets from this one."""
+    columns = ("doc_id", "start", "end", "before", "after")
+    firsts = around.filter("is_first").select("sig", "check", *[F.col(c).alias(f"f_{c}") for c in columns])
+    pairs = around.filter("not is_first").select("sig", "check", *columns).join(firsts, ["sig", "check"])
+    longer = pairs.mapInArrow(_longer, "sig long, check long, doc_id long, start int, end int, first_start int, first_end int")
     joins = chain.filter("after is not null").select(
-        "sig", "check", "doc_id", "start", F.col("after.end").alias("end"), "first",
+        "sig", "check", "doc_id", "start", F.col("after.end").alias("end"),
         F.col("first.start").alias("first_start"), F.col("after.first_end").alias("first_end"))
-    return staged(pairs.select("sig", "check", "doc_id", clipped.alias("start"), edge(F.col("ends"), "r", "end").alias("end"),
-                               "first", first_start.alias("first_start"),
-                               edge(F.col("f_ends"), "r", "f_end").alias("first_end")).unionByName(joins), "extended")
+    return staged(longer.unionByName(joins), "extended")
 
 
 def paragraph_links(rows: DataFrame, grams: DataFrame) -> DataFrame:
@@ -397,7 +469,7 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
     chain = chained(units, repeats)
     again = read_again(texts, rows, sought(chain))
     grams = staged(again.filter("grams is not null").select("sig", "grams").dropDuplicates(["sig"]), "shingles")
-    longer = extended(again.filter("grams is null").drop("grams"), chain)
+    longer = extended(again.filter("grams is null"), chain)
     dropped(again, chain)
     links = staged(components(paragraph_links(rows, grams)), "paragraph_classes")
     dropped(rows, grams)
@@ -406,12 +478,13 @@ def substring_dedup(docs: DataFrame) -> DataFrame:
         (F.col("root").isNotNull() | F.col("twice")).alias("again")).filter("again")
     exact = staged(exact.drop("again"), "unit_classes")
     keep = exact.groupBy("class_id").agg(F.min("first").alias("keep"))
-    classes = exact.select("sig", "check", "class_id").join(keep, "class_id")
+    classes = exact.join(keep, "class_id").select("sig", "check", "class_id", F.struct("keep.doc_id", "keep.start").alias(
+        "keep"), (F.col("first") == F.col("keep")).alias("stays"))
     found = units.select("doc_id", "start", "end", "sig", "check").join(classes, ["sig", "check"]).select(
         "doc_id", "start", "end", "class_id", F.col("keep.doc_id").alias("keep_doc_id"),
         ((F.col("doc_id") != F.col("keep.doc_id")) | (F.col("start") != F.col("keep.start"))).alias("removed"))
     # words around a unit are only sure to stay where the first of its content stays
-    longer = longer.join(classes, ["sig", "check"]).filter(F.col("first") == F.col("keep"))
+    longer = longer.join(classes.filter("stays"), ["sig", "check"])
     firsts = longer.groupBy("sig", "check").agg(
         F.min("keep").alias("keep"), F.min("first_start").alias("start"), F.max("first_end").alias("end"),
         F.min("class_id").alias("class_id"))

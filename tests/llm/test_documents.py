@@ -27,7 +27,7 @@ from starload.llm.mixing import mix, source_targets
 from starload.llm.queries import ORACLES, op2_source_mix, op4_exact_dedup, token_digests
 from starload.llm.secret_scan import joined, scan, scan_secrets
 from starload.llm.simhash import fingerprint, fingerprints, links, simhash_dedup
-from starload.llm.substring_dedup import Text, _similar, substring_dedup
+from starload.llm.substring_dedup import Texts, _similar, substring_dedup
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, kept string, fp string"
 LONG = " ".join(f"w{i * 7919 % 3001}" for i in range(30_000))
@@ -486,12 +486,12 @@ def test_similar_is_exact_jaccard():
 
 
 def test_every_fifty_words_hold_a_window():
-    text = Text(passage(5, 4000))
+    text = Texts([passage(5, 4000)])
     at = text.anchors()
     starts = np.arange(4000 - 50 + 1)
     first = at[np.searchsorted(at, starts)]
     assert (first + 20 <= starts + 50).all()
-    assert Text("").units()["sig"].size == 0
+    assert Texts([""]).units()["sig"].size == Texts([]).units()["sig"].size == 0
 
 
 def toxic_docs(spark, n=600):
