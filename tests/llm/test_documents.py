@@ -466,6 +466,67 @@ def test_substring_dedup_finds_short_paragraphs(spark):
                      (11, 300_001, len(texts[10][1]), False, (11,)), (12, 0, len(texts[11][1]), True, (11,))}
 
 
+def word_spans(text):
+    return [m.span() for m in re.finditer(r"[^\x20\x09-\x0D]+", text)]
+
+
+def repeated_words(texts, n):
+    """(doc_id, word number) of all words in runs of ``n`` words that occur at two places."""
+    places = {}
+    for d, t in texts.items():
+        words = t.lower().split()
+        for i in range(len(words) - n + 1):
+            places.setdefault(tuple(words[i:i + n]), []).append((d, i))
+    return {(d, i + k) for found in places.values() if len(found) > 1 for d, i in found for k in range(n)}
+
+
+def similar_lines(texts):
+    """Word numbers of the lines that have a near copy (not an equal one), by comparing all pairs."""
+    lines = []
+    for d, t in texts.items():
+        at = 0
+        for line in t.lower().split("\n"):
+            words = line.split()
+            if len(words) >= 5:
+                lines.append((d, at, len(words), {tuple(words[i:i + 5]) for i in range(len(words) - 4)}, words))
+            at += len(words)
+    return [a[:3] for a in lines if any(
+        a[4] != b[4] and len(a[3] & b[3]) >= 0.8 * len(a[3] | b[3]) for b in lines)]
+
+
+def test_substring_dedup_against_brute_force(spark):
+    """Every word in a repeat of 50 words is covered and nothing else than
+    repeats and near copies is; near copies are found by 95 % and more."""
+    rng = np.random.default_rng(77)
+    vocabulary = ["".join(rng.choice(list("abcdefghé"), int(rng.integers(2, 9)))) + str(i) for i in range(3000)]
+
+    def some(n):
+        return [str(w) for w in rng.choice(vocabulary, n)]
+    docs = {i: [" ".join(some(int(rng.integers(0, 90))))] for i in range(120)}
+    for i in range(25):  # within lines, with words so long that a byte does not hold the gap
+        shared = some(int(rng.integers(50, 130)))
+        shared[1], shared[-2] = "x" * 300 + str(i), "y" * 70_000 + str(i)
+        for d in rng.choice(120, int(rng.integers(2, 5)), replace=False).tolist():
+            copy = [w.upper() if rng.random() < 0.1 and w.isascii() else w for w in shared]
+            docs[d][-1] += " " + " ".join(copy) + " " + " ".join(some(int(rng.integers(0, 40))))
+    for i in range(60):  # near copies of lines
+        line = some(int(rng.integers(25, 80)))
+        other = [*line[:-1], "changed"] if i % 2 else [*line, *some(2)]
+        for d, words in zip(rng.choice(120, 2, replace=False).tolist(), (line, other)):
+            docs[d].append(" ".join(words))
+    texts = {d: "\n".join(parts) for d, parts in docs.items()}
+    rows = substring_dedup(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+    spans = {d: word_spans(t) for d, t in texts.items()}
+    covered = {(r.doc_id, i) for r in rows for i, (a, b) in enumerate(spans[r.doc_id]) if r.start <= a and b <= r.end}
+    edges = {d: ({a for a, _ in s}, {b for _, b in s}) for d, s in spans.items()}
+    assert all(r.start in edges[r.doc_id][0] and r.end in edges[r.doc_id][1] for r in rows)
+    assert repeated_words(texts, 50) <= covered
+    near = similar_lines(texts)
+    assert len(near) >= 100
+    assert sum((d, at) in covered and (d, at + n - 1) in covered for d, at, n in near) >= 0.95 * len(near)
+    assert covered <= repeated_words(texts, 5) | {(d, at + k) for d, at, n in near for k in range(n)}
+
+
 def test_picked_rows_are_all_that_are_wanted(spark):
     from starload.llm.common import picked
     rows = spark.range(50_000).selectExpr("if(id = 7, null, id) as k", "id % 3 as v", "'x' as bits", "1 as page")
@@ -494,6 +555,43 @@ def test_every_fifty_words_hold_a_window():
     assert Texts([""]).units()["sig"].size == Texts([]).units()["sig"].size == 0
 
 
+def plain_base_spans(text):
+    """The base patterns of op9, tried at every place in turn."""
+    kinds = [(r"""(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"""
+              r"""[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?(?P<v>[A-Za-z0-9+/_.=-]+)""", 12),
+             (r"(?P<v>AKIA[A-Z0-9]+)", 18), (r"(?P<v>[0-9a-f]+)", 16)]
+    out = []
+    for k, (pattern, least) in enumerate(kinds):
+        at, compiled = 0, re.compile(pattern)
+        while at < len(text):
+            m = compiled.match(text, at)
+            if m and len(m["v"]) >= least:
+                out.append((m.start(), k, m.end()))
+            at = m.end() if m else at + 1
+    return [(("assign", "access", "hex")[k], a, b) for a, k, b in sorted(out)]
+
+
+def test_base_secrets_equal_a_plain_search(spark):
+    """Over all of the smallest table and over odd texts made of the patterns' own pieces."""
+    from starload.llm.queries import op9_secret_scan
+    rng = np.random.default_rng(5)
+    pieces = ["password", "Passwd", "SECRET", "token", "api_key", "apikey", "\u017fecret", "to\u212aen", '"', "'", " ", ":", "=", "AKIA",
+              "AKIAAKIA", "0123456789abcdef", "DEADBEEF0123", "abcdef", "é", "\n", "x" * 12, "-", "_", "."]
+    odd = ["".join(rng.choice(pieces, int(rng.integers(0, 25)))) for _ in range(1500)]
+    frame = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    want = {i: ",".join(f"{k}:{a}:{b}" for k, a, b in plain_base_spans(t)) for i, t in enumerate(odd)}
+    got = {r.doc_id: r.base_spans for r in scan_secrets(frame).collect()}
+    assert got == want
+    given = duckdb.sql("select doc_id, text from '/root/testdata/sf0.001/documents.parquet'").fetchall()
+    rows = {r.doc_id: r for r in op9_secret_scan(spark, "/root/testdata/sf0.001").collect()}
+    assert len(rows) == len(given)
+    for doc_id, text in given:
+        spans = plain_base_spans(text or "")
+        r, kinds = rows[doc_id], [k for k, *_ in spans]
+        assert (r.n_assign, r.n_access, r.n_hex) == tuple(map(kinds.count, ("assign", "access", "hex")))
+        assert r.base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+
+
 def toxic_docs(spark, n=600):
     rng = np.random.default_rng(8)
     rows, labels = [], []
