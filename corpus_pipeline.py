@@ -3,7 +3,7 @@
 Each stage takes (spark, docs, sf_dir), judges all documents it gets by one
 operator and returns what the decision leaves; all but the last return the
 columns of ``documents``. A document is named by its doc_id. Extra columns of
-the input are kept; names that begin with ``__`` are the stages' own.
+the input are kept, whatever their names: the stages' own are made to differ.
 """
 
 from __future__ import annotations
@@ -23,40 +23,54 @@ from starload.llm.toxicity import fit, scorer
 ORACLE_SQL = None
 
 
+def own(docs: DataFrame, *names: str) -> list[str]:
+    """Names for columns of a stage's own: longer than any that the frame has."""
+    width = 1 + max(map(len, docs.columns))
+    return [n.ljust(width, "_") for n in names]
+
+
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below 0.5; a null text scores as an
     empty one. The score is a function of the text, so no text is shuffled."""
     score = scorer(docs, fit(docs, table(spark, sf_dir, "labels")))
-    return docs.withColumn("__score", score(text_or_empty())).filter("__score.score < 0.5").drop("__score")
+    found, = own(docs, "score")
+    return docs.withColumn(found, score(text_or_empty())).filter(F.col(found)["score"] < 0.5).drop(found)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each class of equal texts: the one that the operator keeps.
-    Rows that repeat a doc_id and its text are one class, so one row stays."""
-    kept = exact_dedup(docs).filter("kept").select(F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"))
-    squeezed = F.translate(text_or_empty(), " \t\n\u000b\f\r", "")
-    rows = docs.withColumn("__key", F.sha2(squeezed, 256))
-    met = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__sha")), "left_semi")
-    one = W.partitionBy("doc_id", "__key").orderBy(F.length(text_or_empty()).desc())
-    return met.withColumn("__n", F.row_number().over(one)).filter("__n = 1").drop("__n", "__key")
+    Rows that repeat a doc_id and its text are one class, so one row stays. Rows
+    meet the kept ones and each other by the same keys, so texts move once."""
+    id_, no_id, key, n = own(docs, "id", "no_id", "key", "n")
+    keys = [id_, no_id, key]
+
+    def keyed(df: DataFrame, sha) -> DataFrame:
+        doc_id = F.col("doc_id").cast("long")
+        return df.withColumns({id_: F.coalesce(doc_id, F.lit(0)), no_id: doc_id.isNull(), key: sha})
+    kept = keyed(exact_dedup(docs).filter("kept"), F.col("text_sha256")).select(*keys)
+    rows = keyed(docs, F.sha2(F.translate(text_or_empty(), " \t\n\u000b\f\r", ""), 256))
+    one = W.partitionBy(*keys).orderBy(F.length(text_or_empty()).desc())
+    met = rows.join(kept, keys, "left_semi").withColumn(n, F.row_number().over(one))
+    return met.filter(F.col(n) == 1).select(*docs.columns)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest doc_id of each near-duplicate class. Rows that
     share a doc_id stay if one of them does; rows without one stay if no
     member of their class has one."""
-    classes = simhash_dedup(docs)
-    kept = classes.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    id_, = own(docs, "id")
+    kept = simhash_dedup(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
+        F.col("doc_id").alias(id_)).distinct()
+    return docs.join(kept, F.col("doc_id").eqNullSafe(F.col(id_)), "left_semi")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix holds it. Rows that share a doc_id
     are taken as often as the one taken most."""
-    copies = mix(docs).groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
-    rows = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__id"))).filter("__copies > 0")
-    return rows.withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).drop(
-        "__i", "__id", "__copies")
+    id_, copies, i = own(docs, "id", "copies", "i")
+    taken = mix(docs).groupBy(F.col("doc_id").alias(id_)).agg(F.max("copies").alias(copies))
+    rows = docs.join(taken, F.col("doc_id").eqNullSafe(F.col(id_))).filter(F.col(copies) > 0)
+    return rows.withColumn(i, F.explode(F.sequence(F.lit(1).cast("long"), F.col(copies)))).select(*docs.columns)
 
 
 def bpe_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
