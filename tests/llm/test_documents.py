@@ -660,3 +660,14 @@ def test_pipeline_stages_on_odd_rows(spark, docs, tmp_path):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, rows.limit(0), str(tmp_path)).collect() == []
     assert fingerprints(rows.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("stage", [corpus_pipeline.exact_stage, corpus_pipeline.simhash_stage, corpus_pipeline.mixing_stage])
+def test_stages_keep_columns_named_like_their_own(spark, docs, stage):
+    names = ["__key", "__n", "__i", "__id", "__copies", "key", "n", "id", "no_id", "copies", "KEY______"]
+    odd = docs.withColumns({c: F.lit(c + "!") for c in names})
+    rows = stage(spark, odd, "").collect()
+    assert rows and all([r[c] for c in names] == [c + "!" for c in names] for r in rows)
+    assert stage(spark, odd, "").columns == odd.columns
+    plain = stage(spark, docs, "").collect()
+    assert sorted(str(tuple(r)[:len(docs.columns)]) for r in rows) == sorted(str(tuple(r)) for r in plain)
