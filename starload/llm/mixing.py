@@ -7,6 +7,12 @@ without replacement: a document's key is an exponential variate divided by its
 quality weight, and documents are taken by ascending key until their prefix
 sum of words reaches the budget (the last one if at least half of it fits).
 
+A document that is long beside the budget would end its source far from it. Such
+documents are drawn first, in strata of sizes up to twice one another, each to
+its share of the budget and again by key and prefix sum; the short ones then
+fill up what the long ones leave. The quality weight is a function of the text
+alone (labels of quality are few, and the mix must not depend on having them).
+
 Prefix sums are built from buckets: keys are cut into about sqrt(rows) ranges,
 words are summed per source and range, running totals over ranges give each
 range its offset, and rows are summed only within their own range. No task
@@ -27,6 +33,8 @@ from starload.llm.common import SPACE, staged, text_or_empty
 SOURCE_WEIGHTS = (5, 2, 1)
 MIX_SHARE = 1.5
 MOST_EPOCHS = 2
+#: Documents above this part of their source's budget are drawn before the others.
+LONG_SHARE = 200
 #: ASCII digits and punctuation, which lower a text's quality weight.
 SYMBOLS = r"[!-@\[-`{-~]"
 
@@ -72,14 +80,16 @@ def source_targets(sources: DataFrame, weights=SOURCE_WEIGHTS, share=MIX_SHARE,
                     F.when(F.col("capped"), F.col("cap")).otherwise(F.col("w") * level).alias("target"))
 
 
-def mix(docs: DataFrame, weights=SOURCE_WEIGHTS, share=MIX_SHARE, most=MOST_EPOCHS) -> DataFrame:
+def mix(docs: DataFrame, weights=SOURCE_WEIGHTS, share=MIX_SHARE, most=MOST_EPOCHS,
+        long_share: int = LONG_SHARE) -> DataFrame:
     """The mix of documents (doc_id, text, source).
 
     One row per input row: doc_id, size (words), source, source_size, target,
     copies (how often the mix holds the document) and taken (its words in the
     mix). A null source is a source of its own, the last one; a null or blank
     text has size 0 and is taken with the complete epochs only. Rows that
-    repeat a doc_id share a key and are taken one after the other.
+    repeat a doc_id share a key and are taken one after the other. A document
+    of more words than a source's budget over ``long_share`` is long there.
     """
     text = text_or_empty()
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", n_words(text).alias("size"),
@@ -89,18 +99,29 @@ def mix(docs: DataFrame, weights=SOURCE_WEIGHTS, share=MIX_SHARE, most=MOST_EPOC
     cut = F.least(F.floor((1 - F.exp(-F.col("key"))) * ranges), F.lit(ranges - 1))
     # a null source gets a key of its own for joins and windows
     src = F.struct(F.col("source").isNull().alias("z"), F.coalesce("source", F.lit("")).alias("s"))
-    rows = rows.withColumn("cut", cut).withColumn("src", src)
-    totals = rows.groupBy("src", "source", "cut").agg(F.sum("size").alias("words"))
-    totals = totals.withColumn("offset", F.coalesce(F.sum("words").over(
-        W.partitionBy("src").orderBy("cut").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
-    targets = targets.withColumn("src", src).drop("source")
-    totals = totals.join(targets, "src").select("src", "cut", "offset", "source_size", "target")
-    within = W.partitionBy("src", "cut").orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-    rows = rows.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0))).join(totals, ["src", "cut"])
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(1)
-    budget = F.col("target") - epochs * F.col("source_size")
-    extra = (F.col("size") > 0) & (F.col("offset") + F.col("before") + F.col("size") / 2 <= budget)
-    copies = (epochs + F.when(extra, 1).otherwise(0)).cast("long")
+    targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
+    targets = targets.withColumns({"src": src, "epochs": epochs}).withColumn(
+        "budget", F.col("target") - F.col("epochs") * F.col("source_size")).drop("source")
+    rows = rows.withColumns({"cut": cut, "src": src}).join(targets.select("src", "budget"), "src")
+    # documents longer than their source's budget allows for form strata by their number of binary digits
+    stratum = F.when(F.col("size") * F.lit(float(long_share)) > F.col("budget"), F.length(F.bin("size"))).otherwise(0)
+    rows = rows.withColumn("stratum", stratum).drop("budget")
+    cell = ["src", "stratum", "cut"]
+    totals = rows.groupBy(*cell).agg(F.sum("size").alias("words"))
+    by_cut = W.partitionBy("src", "stratum").orderBy("cut").rowsBetween(W.unboundedPreceding, -1)
+    totals = totals.withColumns({
+        "offset": F.coalesce(F.sum("words").over(by_cut), F.lit(0)),
+        "stratum_words": F.sum("words").over(W.partitionBy("src", "stratum"))}).join(targets, "src")
+    within = W.partitionBy(*cell).orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    rows = rows.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0))).join(totals, cell)
+    middle = F.col("offset") + F.col("before") + F.col("size") / 2
+    stratum_budget = F.col("budget") * F.col("stratum_words") / F.col("source_size")
+    long_extra = (F.col("stratum") > 0) & (F.col("size") > 0) & (middle <= stratum_budget)
+    spent = rows.filter(long_extra).groupBy("src").agg(F.sum("size").alias("spent"))  # one row per source
+    rows = rows.join(spent, "src", "left")
+    short_extra = (F.col("stratum") == 0) & (F.col("size") > 0) & (
+        middle <= F.col("budget") - F.coalesce("spent", F.lit(0)))
+    copies = (F.col("epochs") + F.when(long_extra | short_extra, 1).otherwise(0)).cast("long")
     return rows.select("doc_id", "size", "source", "source_size", "target", copies.alias("copies"),
                        (copies * F.col("size")).alias("taken"))

@@ -135,17 +135,28 @@ MIX_SQL = r"""with d as (
   select source, source_size, case when cap / w <= level then cap
     else w * max(case when cap / w > level then level end) over () end as target
   from l
+), e as (
+  select *, case when source_size > 0 then floor(target / source_size) else 1 end as epochs from t
+), b as (
+  select *, target - epochs * source_size as budget from e
+), p as (
+  select k.*, b.source_size, b.target, b.epochs, b.budget,
+    case when k.size * 200.0::double > b.budget then length(bin(k.size)) else 0 end as stratum
+  from k join b on k.source is not distinct from b.source
 ), r as (
-  select k.doc_id, k.size, k.source, t.source_size, t.target,
-    coalesce(sum(k.size) over (partition by k.source order by k.key, k.doc_id, k.size
-                               rows between unbounded preceding and 1 preceding), 0) as before,
-    case when t.source_size > 0 then floor(t.target / t.source_size) else 1 end as epochs
-  from k join t on k.source is not distinct from t.source
+  select *, coalesce(sum(size) over (partition by source, stratum order by key, doc_id, size
+                                     rows between unbounded preceding and 1 preceding), 0) + size / 2.0::double as middle,
+    sum(size) over (partition by source, stratum) as stratum_words
+  from p
+), x as (
+  select *, stratum > 0 and size > 0 and middle <= budget * stratum_words::bigint / source_size as long_extra from r
+), y as (
+  select *, coalesce(sum(size) filter (where long_extra) over (partition by source), 0) as spent from x
 )
 select doc_id, cast(size as bigint) as size, source, source_size, target,
-  cast(size * (epochs + case when size > 0 and before + size / 2.0::double <= target - epochs * source_size
+  cast(size * (epochs + case when long_extra or (stratum = 0 and size > 0 and middle <= budget - spent)
                              then 1 else 0 end) as bigint) as taken
-from r"""
+from y"""
 
 URL_SQL = r"""with u as (
   select page_id, case when strpos(coalesce(url, ''), '://') > 0

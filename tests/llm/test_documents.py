@@ -183,6 +183,21 @@ def test_mix_prefix_sums_follow_the_keys(spark):
     assert sorted(str((r.doc_id, r.taken, r.target)) for r in mix(more).collect()) == want
 
 
+@pytest.mark.parametrize("most,sizes", [(4000, [10] * 600), (3000, [10] * 600 + [1500, 900, 700, 300]),
+                                        (5000, [7] * 900 + [64, 65, 127, 128] * 5)])
+def test_mix_meets_targets_beside_long_documents(spark, most, sizes):
+    other = [(10_000 + i, "b", "w " * 10) for i in range(100)]
+    rows = [(i, "a", "w " * n) for i, n in enumerate([most, *sizes])] + other + [(99_999, None, None), (1, "a", "")]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(3)
+    got = mix(frame).collect()
+    assert all(r.taken <= 2 * r.size for r in got) and len(got) == len(rows)
+    for source in "ab":
+        mine = [r for r in got if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 0.01 * mine[0].target
+    want = oracle({"documents": frame}, f"select doc_id, size, taken, target from ({ORACLES['op2_source_mix']})")
+    assert sorted(str((r.doc_id, r.size, r.taken, r.target)) for r in got) == want
+
+
 @pytest.mark.parametrize("name,query", [("op2_source_mix", op2_source_mix), ("op4_exact_dedup", op4_exact_dedup)])
 def test_document_queries_equal_their_sql(spark, name, query):
     rows = query(spark, "/root/testdata/sf0.001")
