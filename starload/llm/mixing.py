@@ -103,7 +103,10 @@ def mix(docs: DataFrame, weights=SOURCE_WEIGHTS, share=MIX_SHARE, most=MOST_EPOC
     targets = source_targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, most)
     targets = targets.withColumns({"src": src, "epochs": epochs}).withColumn(
         "budget", F.col("target") - F.col("epochs") * F.col("source_size")).drop("source")
-    rows = rows.withColumns({"cut": cut, "src": src}).join(targets.select("src", "budget"), "src")
+    rows = rows.withColumns({"cut": cut, "src": src})
+    # rows meet what holds for their source by source and range, so that no task gets a whole source
+    budgets = rows.groupBy("src", "cut").agg(F.count(F.lit(1)).alias("n")).join(targets, "src")
+    rows = rows.join(budgets.select("src", "cut", "budget"), ["src", "cut"])
     # documents longer than their source's budget allows for form strata by their number of binary digits
     stratum = F.when(F.col("size") * F.lit(float(long_share)) > F.col("budget"), F.length(F.bin("size"))).otherwise(0)
     rows = rows.withColumn("stratum", stratum).drop("budget")
@@ -114,12 +117,13 @@ def mix(docs: DataFrame, weights=SOURCE_WEIGHTS, share=MIX_SHARE, most=MOST_EPOC
         "offset": F.coalesce(F.sum("words").over(by_cut), F.lit(0)),
         "stratum_words": F.sum("words").over(W.partitionBy("src", "stratum"))}).join(targets, "src")
     within = W.partitionBy(*cell).orderBy("key", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-    rows = rows.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0))).join(totals, cell)
+    rows = rows.withColumn("before", F.coalesce(F.sum("size").over(within), F.lit(0)))
     middle = F.col("offset") + F.col("before") + F.col("size") / 2
     stratum_budget = F.col("budget") * F.col("stratum_words") / F.col("source_size")
     long_extra = (F.col("stratum") > 0) & (F.col("size") > 0) & (middle <= stratum_budget)
-    spent = rows.filter(long_extra).groupBy("src").agg(F.sum("size").alias("spent"))  # one row per source
-    rows = rows.join(spent, "src", "left")
+    spent = rows.filter("stratum > 0").join(totals, cell).filter(long_extra).groupBy("src").agg(
+        F.sum("size").alias("spent"))  # one row per source
+    rows = rows.join(totals.join(spent, "src", "left"), cell)
     short_extra = (F.col("stratum") == 0) & (F.col("size") > 0) & (
         middle <= F.col("budget") - F.coalesce("spent", F.lit(0)))
     copies = (F.col("epochs") + F.when(long_extra | short_extra, 1).otherwise(0)).cast("long")
