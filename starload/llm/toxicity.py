@@ -1,9 +1,9 @@
 """Toxicity by nearest labelled examples under exact TF-IDF cosine.
 
 Learning. A bounded sample of labelled rows of each class (``examples``) gives
-the features: words and word beginnings whose presence tells the classes
-apart beyond chance, at most ``features`` of them. Document frequencies count
-all documents. The examples' TF-IDF vectors over these features, normed, form
+the features: whole words of any length and word beginnings whose presence
+tells the classes apart beyond chance, at most ``features`` of them. Document
+frequencies count all documents. The examples' TF-IDF vectors over these features, normed, form
 a block-max inverted index: per feature a posting list of (example, weight),
 and per feature and block of examples the largest weight.
 
@@ -37,12 +37,12 @@ from pyspark.sql import functions as F
 from starload.llm.common import gives_back, per_row, shuffle_partitions, slices, staged, text_or_empty
 
 EXAMPLES = 10_000        # of each class, at most
-FEATURES = 1024          # at most
+FEATURES = 4096          # at most
 NEIGHBOURS = 15
 BLOCK = 64
 BINS = 20
 FOLDS = 5                # rows of fold 0 are held out
-SHORTEST, LONGEST = 3, 6
+SHORTEST, LONGEST = 3, 8  # letters of a beginning
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -56,11 +56,8 @@ def word_counts(text: str) -> Counter:
 
 
 def beginnings(word: str) -> list[str]:
-    """Features of one word: its beginnings, and short words as a whole."""
-    out = [word[:n] for n in range(SHORTEST, LONGEST + 1) if len(word) > n]
-    if SHORTEST <= len(word) <= LONGEST:
-        out.append(word + "$")
-    return out
+    """Features of one word: its beginnings, and the word as a whole."""
+    return [word[:n] for n in range(SHORTEST, min(LONGEST + 1, len(word)))] + [word + "$"]
 
 
 class Vectorizer:
@@ -68,7 +65,7 @@ class Vectorizer:
 
     def __init__(self, features: list[str]):
         self.number = {f: i for i, f in enumerate(features)}
-        self.heads = {f[:SHORTEST] for f in features}
+        self.heads = {f.removesuffix("$")[:SHORTEST] for f in features}
 
     def counts(self, text: str) -> dict[int, int]:
         out: dict[int, int] = {}
@@ -104,9 +101,10 @@ class Index:
         cells = cols[order] * self.n_blocks + rows[order] // block
         self.starts = np.searchsorted(cells, np.arange(n_features * self.n_blocks + 1))
 
-    def nearest(self, at: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
+    def nearest(self, at: np.ndarray, weights: np.ndarray, k: int,
+                skip: frozenset[int] = frozenset()) -> list[tuple[float, int]]:
         """The k examples of highest cosine above 0 as (cosine, example), ties to
-        the smaller number; ``skip`` is left out."""
+        the smaller number; those of ``skip`` are left out."""
         if not len(at):
             return []
         bounds = weights @ self.most[at]
@@ -120,10 +118,10 @@ class Index:
                 if lo < hi:
                     total[self.example[lo:hi] - b * self.block] += w * self.weight[lo:hi]
             hits = np.flatnonzero(total > 0)
-            if len(hits) > k + 1:
-                hits = hits[np.argsort(-total[hits], kind="stable")[:k + 1]]
+            if len(hits) > k + len(skip):
+                hits = hits[np.argsort(-total[hits], kind="stable")[:k + len(skip)]]
             found = [(-round(float(total[h]), 12), b * self.block + h) for h in hits.tolist()]
-            best = sorted(best + [x for x in found if x[1] != skip])[:k]
+            best = sorted(best + [x for x in found if x[1] not in skip])[:k]
         return [(-c, int(i)) for c, i in best]
 
 
@@ -245,7 +243,8 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, features:
 
     ``examples`` bounds the sampled rows of each class, ``features`` the
     features. Labels that are null or neither 0 nor 1 are ignored; of rows that
-    repeat a doc_id in ``labels`` the larger label counts. Without labels of
+    repeat a doc_id in ``labels`` the larger label counts; rows that repeat one in
+    ``docs`` are an example each, and none votes on another. Without labels of
     both classes every score is the share of toxic labels, or 0.
     """
     sample, totals = sample_examples(docs, labels, examples)
@@ -287,12 +286,14 @@ def calibrate(model: Model, rows: DataFrame) -> Model:
     @gives_back
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        number = {d: i for i, d in enumerate(m.ids.tolist())}
+        numbers: dict[int, list[int]] = {}
+        for i, d in enumerate(m.ids.tolist()):
+            numbers.setdefault(d, []).append(i)
         out = []
         for batch in batches:
             for r in batch.to_pylist():
                 u = unit(dict(zip(r["at"], r["n"])), m.idf)
-                v = m.vote(m.index.nearest(*u, NEIGHBOURS, skip=number[r["doc_id"]]))
+                v = m.vote(m.index.nearest(*u, NEIGHBOURS, skip=frozenset(numbers[r["doc_id"]])))
                 w = m.class_weight[r["toxic"]]
                 out.append((min(BINS - 1, int(v * BINS)), w, w * r["toxic"], w * v))
         columns = list(zip(*out)) or [[]] * 4

@@ -6,8 +6,10 @@ import gzip
 import hashlib
 import io
 import lzma
+import math
 import re
 import zlib
+from collections import Counter
 from urllib.parse import quote, quote_plus
 
 import duckdb
@@ -638,6 +640,99 @@ def test_toxicity_scores_held_out_rows(spark, empty):
     assert {r.score for r in none.collect()} == {0.0}
 
 
+def plain_toxicity(docs, labels):
+    """Scores by doc_id and text: features, idf, cosines with all examples, votes and calibration, without blocks."""
+    truth = {}
+    for d, y in labels:
+        if d is not None and y in (0, 1):
+            truth[d] = max(y, truth.get(d, 0))
+    truth = {d: y for d, y in truth.items() if zlib.crc32(str(d).encode()) % 5 and d in {i for i, _ in docs}}
+
+    def features(text):
+        out = Counter()
+        for w in re.findall(r"[^\W\d_]+", (text or "").lower()):
+            out.update([w[:n] for n in range(3, 9) if n < len(w)] + [w + "$"])
+        return out
+    bags = [(d, t, features(t)) for d, t in docs]
+    shown = [(truth[d], d, bag) for d, _, bag in bags if d in truth]
+    n = [sum(1 for y, *_ in shown if y == c) for c in (0, 1)]
+    n_ids = [sum(1 for y in truth.values() if y == c) for c in (0, 1)]
+    seen = [Counter(f for y, _, bag in shown if y == c for f in bag) for c in (0, 1)]
+    every = set(seen[0]) | set(seen[1])
+
+    def g2(f):
+        table = [[seen[c][f], n_ids[c] - seen[c][f]] for c in (0, 1)]
+        total = sum(map(sum, table))
+        return 2 * sum(x * math.log(x * total / sum(table[c]) / (table[0][j] + table[1][j]))
+                       for c in (0, 1) for j, x in enumerate(table[c]) if x > 0)
+    marks = sorted(((-g2(f), f) for f in every if seen[1][f] / n_ids[1] > 5 * seen[0][f] / n_ids[0]))
+    marks = [f for g, f in marks if -g > 2 * math.log(len(every))]
+    idf = {f: math.log((1 + len(bags)) / (1 + sum(f in bag for *_, bag in bags))) + 1 for f in marks}
+
+    def vector(bag):
+        v = {f: (1 + math.log(bag[f])) * idf[f] for f in marks if bag[f]}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {f: x / norm for f, x in v.items()}
+    examples = sorted(((y, [marks.index(f) for f in marks if bag[f]], d, vector(bag)) for y, d, bag in shown),
+                      key=lambda e: e[:3])
+    prior = n_ids[1] / sum(n_ids)
+    weight = [n_ids[c] / len([y for y in truth.values() if y == c]) for c in (0, 1)]
+
+    def vote(v, but=None):
+        near = sorted((-round(sum(x * e[3].get(f, 0) for f, x in v.items()), 12), i) for i, e in enumerate(examples)
+                      if e[2] != but)
+        total, toxic = 1 / 2.05, prior / 2.05
+        for c, i in [x for x in near if x[0] < 0][:15]:
+            w = weight[examples[i][0]] / (2 - 2 * min(-c, 1.0) + 0.05)
+            total, toxic = total + w, toxic + w * examples[i][0]
+        return toxic / total
+    bins = {}
+    for y, _, d, v in examples:
+        x = vote(v, d)
+        held = bins.setdefault(min(19, int(x * 20)), [0, 0, 0])
+        held[:] = held[0] + 1, held[1] + y, held[2] + x
+    pools = []
+    for b in sorted(bins):
+        pools.append(bins[b])
+        while len(pools) > 1 and pools[-2][1] / pools[-2][0] >= pools[-1][1] / pools[-1][0]:
+            last = pools.pop()
+            pools[-1] = [a + c for a, c in zip(pools[-1], last)]
+    xs, ys = [p[2] / p[0] for p in pools], [p[1] / p[0] for p in pools]
+    return {(d, t): float(np.interp(vote(vector(bag)), xs, ys)) for d, t, bag in bags}
+
+
+def test_toxicity_equals_brute_force(spark):
+    docs, labels = toxic_docs(spark, 240)
+    wrong = [(i, 1) for i in range(1, 240, 14)]  # clean texts, and some with one of the words
+    labels = labels.unionByName(spark.createDataFrame(wrong, labels.schema))
+    docs = docs.withColumn("text", F.when(F.pmod("doc_id", F.lit(9)) == 1, F.concat("text", F.lit(" zzvile"))).otherwise(F.col("text")))
+    more = [(2000, ("zzvileness qqnasty " * 3 + "calm words ") * 40_000), (2001, "no word of 12 345 !"), (2002, "a b c"),
+            (10, docs.filter("doc_id = 10").first().text)]  # an example that is there twice
+    docs = docs.unionByName(spark.createDataFrame(more, docs.schema))
+    frame = docs.withColumns({"score": F.lit("x"), "s": F.lit(1), "toxic": F.lit(1), "held_out": F.lit(True)})
+    got = toxicity.score_toxicity(frame, labels).collect()
+    want = plain_toxicity([tuple(r) for r in docs.collect()], [tuple(r) for r in labels.collect()])
+    by_id = {}
+    for (d, _), x in want.items():
+        by_id.setdefault(d, []).append(round(x, 9))
+    assert len(got) == docs.count() and len({round(r.score, 9) for r in got}) > 2
+    for r in got:
+        assert round(r.score, 9) in by_id[r.doc_id]
+
+
+def test_toxicity_reads_long_words_whole(spark):
+    """Long words that begin like clean ones tell by their ends."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for i in range(500):
+        words = passage(5000 + i, 40).split()
+        words[int(rng.integers(0, 40))] = "understandingly" if i % 8 == 0 else "understandably"
+        rows.append((i, " ".join(words), int(i % 8 == 0)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = toxicity.score_toxicity(frame.drop("toxic"), frame.drop("text")).filter("held_out").collect()
+    assert len(got) > 50 and all(r.predicted == (r.doc_id % 8 == 0) for r in got)
+
+
 def test_toxicity_neighbours_are_exact():
     rng = np.random.default_rng(4)
     idf = rng.random(40) + 0.5
