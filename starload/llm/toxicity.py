@@ -43,6 +43,7 @@ BLOCK = 64
 BINS = 20
 FOLDS = 5                # rows of fold 0 are held out
 SHORTEST, LONGEST = 3, 8  # letters of a beginning
+KNOWN = 1 << 17          # words whose features a worker remembers
 WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -66,15 +67,25 @@ class Vectorizer:
     def __init__(self, features: list[str]):
         self.number = {f: i for i, f in enumerate(features)}
         self.heads = {f.removesuffix("$")[:SHORTEST] for f in features}
+        self.known: dict[str, tuple[int, ...]] = {}  # of words met, KNOWN at most
+
+    def numbers(self, word: str) -> tuple[int, ...]:
+        found = self.known.get(word)
+        if found is None:
+            found = ()
+            if word[:SHORTEST] in self.heads:
+                found = tuple(self.number[f] for f in beginnings(word) if f in self.number)
+            if len(word) <= 32:
+                if len(self.known) >= KNOWN:
+                    self.known.clear()
+                self.known[word] = found
+        return found
 
     def counts(self, text: str) -> dict[int, int]:
         out: dict[int, int] = {}
         for word, n in word_counts(text).items():
-            if word[:SHORTEST] in self.heads:
-                for f in beginnings(word):
-                    i = self.number.get(f)
-                    if i is not None:
-                        out[i] = out.get(i, 0) + n
+            for i in self.numbers(word):
+                out[i] = out.get(i, 0) + n
         return out
 
 
