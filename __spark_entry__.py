@@ -22,7 +22,7 @@ from pyspark.sql import types as T
 
 from starload.operators.conform import Rejects, conform, select_in_schema_order, subset_schema
 from starload.operators.dimensional import build_star, dimension
-from starload.operators.relational import joined_back, relational
+from starload.operators.relational import joined_back, parents_kept, relational
 from starload.plans.standin import (CUSTOMER_RELATIONAL, STANDIN_SCHEMA, STANDIN_STAR, bank_base,
                                     read_table, standin_base)
 from starload.plans.flows import extract_load, load_all, star_load
@@ -111,7 +111,7 @@ def q_ref_extract_load(spark, sf_dir):
     through the generic source reader, bound to the schema declared under the
     table's name and loaded as the single comprehensive table."""
     source = scratch_path(spark, "bank_source")
-    write_parquet(bank_base(standin_base(spark, sf_dir)), source)
+    write_parquet(bank_base(standin_base(spark, sf_dir), dealt=True), source)
     root = scratch_path(spark, "extract_load")
     path = extract_load(spark, "parquet", None, parquet_sink(root), "fdic_banks", path=source, strict=True)
     return read_parquet(spark, path, FDIC_BANKS)
@@ -121,7 +121,7 @@ def _load_all(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """Single table, star and relational tables loaded by ``load_all``; one
     table read back."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        paths = load_all(bank_base(standin_base(spark, sf_dir)), FDIC_BANKS,
+        paths = load_all(bank_base(standin_base(spark, sf_dir), dealt=True), FDIC_BANKS,
                          parquet_sink(scratch_path(spark, "load_all")), "fdic_banks",
                          star=BANK_STAR, relational=BANK_RELATIONAL)
         return read_parquet(spark, paths[name])
@@ -133,7 +133,7 @@ def _load_all_twice(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         sink = parquet_sink(scratch_path(spark, "load_all_twice"), mode="append")
         for _ in range(2):
-            paths = load_all(bank_base(standin_base(spark, sf_dir)), FDIC_BANKS, sink, "fdic_banks",
+            paths = load_all(bank_base(standin_base(spark, sf_dir), dealt=True), FDIC_BANKS, sink, "fdic_banks",
                              star=BANK_STAR, relational=BANK_RELATIONAL)
         return read_parquet(spark, paths[name])
     return q
@@ -146,7 +146,8 @@ def _store_load(store: TableStore, load_id: str, base: DataFrame, breaks_at: str
             if table == breaks_at:
                 raise InterruptedError(f"stopped at {table}")
             return sink(df, table)
-        until.mode, until.existing = sink.mode, sink.existing
+        for attr in ("mode", "existing", "shaped", "rereads", "reread"):
+            setattr(until, attr, getattr(sink, attr))
         load_all(base, FDIC_BANKS, until if breaks_at else sink, "fdic_banks", star=BANK_STAR, relational=BANK_RELATIONAL)
     store.load(load_id, write, mode="append")
 
@@ -156,7 +157,7 @@ def _rerun(name: str) -> Callable[[SparkSession, str], DataFrame]:
     a store opened anew. It counts once."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         root = scratch_path(spark, "rerun")
-        base = bank_base(standin_base(spark, sf_dir))
+        base = bank_base(standin_base(spark, sf_dir), dealt=True)
         for store in [TableStore(spark, root)] * 2 + [TableStore(spark, root)]:
             _store_load(store, "day 1", base)
         return store.read(name)
@@ -167,7 +168,7 @@ def _killed(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """A load, and a second one that dies half-way: readers see the first."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         store = TableStore(spark, scratch_path(spark, "killed"))
-        base = bank_base(standin_base(spark, sf_dir))
+        base = bank_base(standin_base(spark, sf_dir), dealt=True)
         _store_load(store, "day 1", base)
         try:
             _store_load(store, "day 2", base, breaks_at="city_dimension_table")
@@ -182,13 +183,13 @@ def _appended(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
         store = TableStore(spark, scratch_path(spark, "appended"))
         for day in ("day 1", "day 2"):
-            _store_load(store, day, bank_base(standin_base(spark, sf_dir)))
+            _store_load(store, day, bank_base(standin_base(spark, sf_dir), dealt=True))
         return store.read(name)
     return q
 
 
 def q_load_all_csv(spark, sf_dir):
-    paths = load_all(bank_base(standin_base(spark, sf_dir)), "fdic_banks",
+    paths = load_all(bank_base(standin_base(spark, sf_dir), dealt=True), "fdic_banks",
                      csv_sink(scratch_path(spark, "load_all_csv")), "fdic_banks", star=BANK_STAR)
     name = "state_dimension_table"
     return read_csv(spark, paths[name], subset_schema(FDIC_BANKS, BANK_STAR.dimensions[name]))
@@ -197,7 +198,7 @@ def q_load_all_csv(spark, sf_dir):
 def _snowflake(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """The snowflake written by ``load_all``; one table read back."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        paths = load_all(bank_base(standin_base(spark, sf_dir)), FDIC_BANKS,
+        paths = load_all(bank_base(standin_base(spark, sf_dir), dealt=True), FDIC_BANKS,
                          parquet_sink(scratch_path(spark, "snowflake")), "fdic_banks", star=BANK_STAR,
                          relational=BANK_SNOWFLAKE)
         return read_parquet(spark, paths[name])
@@ -206,13 +207,13 @@ def _snowflake(name: str) -> Callable[[SparkSession, str], DataFrame]:
 
 def q_snow_joined_back(spark, sf_dir):
     """The base again, along the chain of keys: institution, city, state."""
-    tables = relational(bank_base(standin_base(spark, sf_dir)), BANK_SNOWFLAKE)
+    tables = parents_kept(relational(bank_base(standin_base(spark, sf_dir), dealt=True), BANK_SNOWFLAKE), BANK_SNOWFLAKE)
     return joined_back(tables, BANK_SNOWFLAKE).select(*FDIC_BANKS.names)
 
 
 def q_rel_joined_back(spark, sf_dir):
     """The base again, from the child and its parents."""
-    tables = relational(bank_base(standin_base(spark, sf_dir)), BANK_RELATIONAL)
+    tables = parents_kept(relational(bank_base(standin_base(spark, sf_dir), dealt=True), BANK_RELATIONAL), BANK_RELATIONAL)
     rows = tables[BANK_RELATIONAL.child]
     for p in BANK_RELATIONAL.parents:
         held = [c for c in p.natural_key if c not in rows.columns]
@@ -224,7 +225,7 @@ def _written_star(name: str) -> Callable[[SparkSession, str], DataFrame]:
     """The whole bank star loaded by ``star_load`` (staged base, all five
     tables written); one of its tables read back."""
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        paths = star_load(bank_base(standin_base(spark, sf_dir)), BANK_STAR,
+        paths = star_load(bank_base(standin_base(spark, sf_dir), dealt=True), BANK_STAR,
                           parquet_sink(scratch_path(spark, "bank_star")))
         return read_parquet(spark, paths[name])
     return q

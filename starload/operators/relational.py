@@ -16,6 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from starload.functions.columns import hash_key, quoted
 from starload.operators.lattice import Member
 from starload.operators.sharing import Outputs, resolve_share, share_base
+from starload.session import scratch_path
+from starload.sinks.tables import run_jobs
 
 
 @dataclass(frozen=True)
@@ -110,6 +113,20 @@ def relational(base: DataFrame, spec: RelationalSpec) -> dict[str, DataFrame]:
     return out
 
 
+def parents_kept(tables: Mapping[str, DataFrame], spec: RelationalSpec) -> dict[str, DataFrame]:
+    """The tables with every parent written to the shared folder and read back.
+    Their sizes are then known before a join is planned, so the child's wide
+    rows are shuffled only to a parent that is too large to be broadcast."""
+    def kept(name: str) -> DataFrame:
+        df = tables[name]
+        path = scratch_path(df.sparkSession, f"parent-{name}")
+        df.write.parquet(path)
+        return df.sparkSession.read.schema(df.schema).parquet(path)
+
+    spark = tables[spec.child].sparkSession
+    return {**tables, **run_jobs(spark, {p.name: partial(kept, p.name) for p in spec.parents})}
+
+
 def joined_back(tables: Mapping[str, DataFrame], spec: RelationalSpec) -> DataFrame:
     """The base's rows again: the child with its parents, along their keys.
     Columns that several of them hold are taken once."""

@@ -19,6 +19,7 @@ from starload.operators.conform import conform
 from starload.operators.dimensional import StarSpec
 from starload.operators.relational import Parent, RelationalSpec
 from starload.schemas import FDIC_BANKS
+from starload.session import _context
 from starload.sources.files import read_parquet, table_path
 
 STANDIN_SCHEMA = T.StructType([
@@ -70,6 +71,9 @@ STANDIN_STAR = StarSpec(
     },
 )
 
+#: Tasks for each slot, over which wide rows are dealt.
+WAVES = 3
+
 # Bank-schema column <- SQL expression over the stand-in base, for the columns
 # of the star. The i-th declared column follows ``_filler`` otherwise, so no two
 # columns are alike and none is NULL throughout.
@@ -100,7 +104,14 @@ _STAR_COLUMNS = {
 def _filler(i: int, kind: str) -> str:
     if kind == "boolean":
         return f"CASE WHEN o_orderkey % {7 + i} < 2 THEN NULL ELSE o_orderkey % {7 + i} % 2 = 0 END"
-    return f"CASE WHEN o_orderkey % {3 + i} = 0 THEN NULL ELSE concat('{i}-', o_orderkey % {13 + i}) END"
+    return f"CASE WHEN o_orderkey % {3 + i} = 0 THEN NULL ELSE {_numbered(f'{i}-', 13 + i)} END"
+
+
+def _numbered(prefix: str, modulus: int) -> str:
+    """``concat(prefix, o_orderkey % modulus)``, whose few texts are made once
+    for the plan and not for each row: remainders run from 1 - modulus."""
+    texts = " ".join(f"{prefix}{r}" for r in range(1 - modulus, modulus))
+    return f"get(split('{texts}', ' '), CAST(o_orderkey % {modulus} AS INT) + {modulus - 1})"
 
 
 BANK_FROM_STANDIN = {
@@ -115,6 +126,13 @@ CUSTOMER_RELATIONAL = RelationalSpec(
 )
 
 
+def _slots(df: DataFrame) -> int:
+    """Tasks that the cluster runs at once, or the shuffle's partitions where
+    the driver's context is out of reach (Spark Connect)."""
+    sc = _context(df.sparkSession)
+    return sc.defaultParallelism if sc is not None else int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A test table, read with its declared schema when there is one."""
     return read_parquet(spark, table_path(sf_dir, f"{name}.parquet"), TABLE_SCHEMAS.get(name))
@@ -132,7 +150,14 @@ def standin_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select(*[f.name for f in STANDIN_SCHEMA.fields])
 
 
-def bank_base(standin: DataFrame) -> DataFrame:
-    """The stand-in base as a 121-column bank table (strings and booleans)."""
+def bank_base(standin: DataFrame, dealt: bool = False) -> DataFrame:
+    """The stand-in base as a 121-column bank table (strings and booleans).
+
+    ``dealt`` is for uses of all columns: the narrow rows are dealt evenly
+    among the tasks first, so that the work of making, hashing and encoding
+    the wide ones does not hang on how few splits or join partitions the
+    narrow ones come in."""
+    if dealt:
+        standin = standin.repartition(WAVES * _slots(standin))
     mapped = standin.select(*[F.expr(e).alias(n) for n, e in BANK_FROM_STANDIN.items()])
     return conform(mapped, FDIC_BANKS)

@@ -89,3 +89,19 @@ def test_auto_share_restages_only_costly_bases(spark, tmp_path):
     finally:
         joined.unpersist()
     assert resolve_share(orders, "persist") == "persist"
+
+
+def test_bank_rows_are_dealt_while_they_are_narrow(spark):
+    from pyspark.sql import functions as F
+    from starload.plans.standin import BANK_FROM_STANDIN, bank_base
+    row = standin_base(spark, SF).limit(1)
+    keys = spark.range(-300, 300).selectExpr("id AS o_orderkey").union(spark.sql("SELECT CAST(NULL AS BIGINT)"))
+    rows = keys.join(row.drop("o_orderkey")).select(*STANDIN_SCHEMA.names)
+    dealt = bank_base(rows.coalesce(1), dealt=True)
+    sizes = dealt.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > spark.sparkContext.defaultParallelism and max(r["count"] for r in sizes) < 100
+    name = next(n for n, e in BANK_FROM_STANDIN.items() if "split('9-" in e or "split('10-" in e)
+    i = list(BANK_FROM_STANDIN).index(name)
+    plain = f"CASE WHEN o_orderkey % {3 + i} = 0 THEN NULL ELSE concat('{i}-', o_orderkey % {13 + i}) END"
+    got, want = dealt.select("fdic_id", name), rows.selectExpr("CAST(o_orderkey AS STRING) AS fdic_id", f"{plain} AS {name}")
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()

@@ -109,3 +109,15 @@ def test_the_snowflake_is_derived_from_written_members(spark, tmp_out):
     assert "state_key" not in tables["institution_table"].columns
     back = joined_back(tables, BANK_SNOWFLAKE).select(*FDIC_BANKS.names)
     assert back.exceptAll(base).isEmpty() and base.exceptAll(back).isEmpty()
+
+
+def test_wide_rows_stay_where_they_are_when_joined_back(spark):
+    from starload import BANK_SNOWFLAKE, joined_back
+    from starload.operators.relational import parents_kept
+    from starload.plans.standin import bank_base, standin_base
+    base = bank_base(standin_base(spark, "/root/testdata/sf0.001"), dealt=True)
+    tables = parents_kept(relational(base, BANK_SNOWFLAKE), BANK_SNOWFLAKE)
+    back = joined_back(tables, BANK_SNOWFLAKE)
+    plan = back._jdf.queryExecution().sparkPlan().toString()
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin") >= 3
+    assert back.count() == base.count()
