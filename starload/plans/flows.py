@@ -22,7 +22,7 @@ from starload.operators.dimensional import StarSpec, build_star, star_frames
 from starload.operators.relational import RelationalSpec, parent_members, relational as relational_frames
 from starload.operators.sharing import Outputs, resolve_share, share_base, write_outputs
 from starload.schemas import get_schema
-from starload.sinks.tables import Existing
+from starload.sinks.tables import Existing, write_and_reread
 from starload.sources.generic import load_base, read_source
 
 
@@ -76,9 +76,10 @@ def load_all(base: DataFrame, schema: T.StructType | str | None, sink: Callable[
     counted = loaded if rejects is None else load_base(base, declared, strict=strict, rejects=rejects)
     share = resolve_share(loaded, share)
     done: dict[str, object] = {}
-    if share == "stage" and hasattr(sink, "reread") and sink.rereads(loaded, single_table):
-        done[single_table] = sink(counted, single_table)
-        rows, staged, share = sink.reread(loaded, single_table), None, "none"
+    written = write_and_reread(sink, loaded, single_table, counted) if share == "stage" else None
+    if written is not None:
+        done[single_table], rows = written
+        staged, share = None, "none"
     else:
         rows, staged = share_base(counted if share == "stage" else loaded, loaded.columns, share)
     frames, members = {} if done else {single_table: counted if share == "none" else rows}, {}

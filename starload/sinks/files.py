@@ -16,7 +16,8 @@ as shares, all others stay whole.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping, Sequence
+import uuid
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import partial, reduce
 
@@ -171,6 +172,7 @@ class FileSink:
     read: Callable[..., DataFrame]
     schemas: Mapping[str, T.StructType] = field(default_factory=dict)
     strict: bool = False
+    partitioned: Collection[str] = ()
 
     def path(self, table: str) -> str:
         return f"{self.root.rstrip('/')}/{table}"
@@ -206,12 +208,48 @@ class FileSink:
     def rereads(self, df: DataFrame, table: str) -> bool:
         """Whether ``reread`` gives the rows of ``df`` once they are written:
         Parquet, replaced as a whole, in the frame's own types."""
-        return (self.mode == "overwrite" and self.read is read_parquet
-                and (self.schemas.get(table) or df.schema) == df.schema)
+        return self.mode == "overwrite" and self._as_is(df, table)
 
     def reread(self, df: DataFrame, table: str) -> DataFrame:
         return self.read(df.sparkSession, self.path(table), df.schema)
 
+    def _as_is(self, df: DataFrame, table: str) -> bool:
+        return self.read is read_parquet and (self.schemas.get(table) or df.schema) == df.schema
+
+    def appends_apart(self, df: DataFrame, table: str) -> bool:
+        """Whether ``appended`` can tell the rows of ``df`` from older ones."""
+        return (self.mode == "append" and table not in self.partitioned and self._as_is(df, table)
+                and _context(df.sparkSession) is not None)
+
+    def appended(self, df: DataFrame, table: str) -> tuple[str, DataFrame]:
+        """Appends ``df`` and reads back its rows and no others: they are
+        written to a hidden folder of the table, and the files are moved in
+        when all are whole."""
+        spark, path = df.sparkSession, self.path(table)
+        apart = f"{path}/_load-{uuid.uuid4().hex}"
+        self.write(df, table, apart, self.schemas.get(table))
+        return path, spark.read.schema(df.schema).parquet(*_moved(spark, apart, path))
+
+
+def _moved(spark, source: str, target: str) -> list[str]:
+    """Moves the data files of a folder, whose names Spark makes unique, and
+    drops the folder; the files' paths after that."""
+    sc = _context(spark)
+    new = sc._jvm.org.apache.hadoop.fs.Path
+    fs = new(source).getFileSystem(sc._jsc.hadoopConfiguration())
+    out = []
+    for status in fs.listStatus(new(source)):
+        name = status.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        to = new(f"{target}/{name}")
+        if not fs.rename(status.getPath(), to):
+            raise OSError(f"could not move {status.getPath().toString()} to {target}")
+        out.append(to.toString())
+    fs.createNewFile(new(f"{target}/_SUCCESS"))
+    fs.delete(new(source), True)
+    return out
+
 
 def parquet_sink(root: str, mode: str = "overwrite", partition_by: dict[str, Sequence[str]] | None = None,
                  schemas: dict[str, T.StructType] | None = None, strict: bool = False) -> FileSink:
@@ -219,7 +257,7 @@ def parquet_sink(root: str, mode: str = "overwrite", partition_by: dict[str, Seq
     (``starload.schemas.SCHEMAS`` for the registered ones)."""
     def write(df: DataFrame, table: str, path: str, schema: T.StructType | None) -> None:
         write_parquet(df, path, schema=schema, mode=mode, partition_by=(partition_by or {}).get(table, ()), strict=strict)
-    return FileSink(root, mode, write, read_parquet, schemas or {}, strict)
+    return FileSink(root, mode, write, read_parquet, schemas or {}, strict, frozenset(t for t, by in (partition_by or {}).items() if by))
 
 
 def csv_sink(root: str, mode: str = "overwrite", schemas: dict[str, T.StructType] | None = None,

@@ -38,6 +38,18 @@ def new_members(df: DataFrame, name: str, sink: Sink, existing: Existing | None
     return df.join(old, same, "left_anti")
 
 
+def write_and_reread(sink: Sink, df: DataFrame, name: str, counted: DataFrame | None = None) -> tuple[object, DataFrame] | None:
+    """Writes ``df`` (or ``counted``, the same rows) and gives what the sink
+    returns and the rows as they lie in the table; None, with nothing written,
+    if the sink cannot tell them from older ones."""
+    frame = df if counted is None else counted
+    if hasattr(sink, "rereads") and sink.rereads(df, name):
+        return sink(frame, name), sink.reread(df, name)
+    if hasattr(sink, "appends_apart") and sink.appends_apart(df, name):
+        return sink.appended(frame, name)
+    return None
+
+
 def _described(spark: SparkSession, name: str) -> None:
     try:  # name the jobs in the event log; thread-local, absent under Spark Connect
         spark.sparkContext.setJobDescription(f"starload: write {name}")
@@ -80,9 +92,10 @@ def write_lattice(frames: Mapping[str, DataFrame], members: Mapping[str, Member]
     A member whose columns another one holds waits for the smallest such
     member and is derived from that one's rows in this load, so the base is
     read only by the members that no other holds. The rows are read back from
-    the table just written where the sink can tell them from older ones
-    (``reread``), else from a scratch copy that is dropped at the end. With an
-    appending sink, members get only rows that their tables do not hold yet.
+    the table just written where it holds them all and the sink can tell them
+    from older ones (``write_and_reread``), else from a scratch copy that is dropped at
+    the end. With an appending sink, members get only rows that their tables do
+    not hold yet.
     """
     if not frames:
         return {}
@@ -104,14 +117,15 @@ def write_lattice(frames: Mapping[str, DataFrame], members: Mapping[str, Member]
             rows = frames[name] if parent is None else members[name].table(held[parent].result())
             if name not in held:
                 return sink(new_members(rows, name, sink, existing), name)
-            reread = None if appends else getattr(sink, "reread", None)
-            if reread is None or not sink.rereads(rows, name):
-                rows = staged(rows, name)
-                held[name].set_result(rows)
-                return sink(new_members(rows, name, sink, existing), name)
-            written = sink(rows, name)
-            held[name].set_result(reread(rows, name))
-            return written
+            # into a table that is not there yet go all rows, also when appending
+            whole = not appends or (existing is None and hasattr(sink, "existing") and sink.existing(rows, name) is None)
+            written = write_and_reread(sink, rows, name) if whole else None
+            if written is not None:
+                held[name].set_result(written[1])
+                return written[0]
+            rows = staged(rows, name)
+            held[name].set_result(rows)
+            return sink(new_members(rows, name, sink, existing), name)
         except BaseException as e:  # the members that wait for this one must not wait for ever
             if name in held and not held[name].done():
                 held[name].set_exception(e)

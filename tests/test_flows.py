@@ -85,3 +85,50 @@ def test_share_decisions_are_right_under_threads(spark, tmp_out):
     assert set(said) == {"none"} and sys.stdout is out
     assert resolve_share(plain.union(plain), "auto") == "none"
     assert resolve_share(plain.join(plain, "id"), "auto") == "stage"
+
+
+def test_an_appended_load_reads_its_costly_base_once(spark, tmp_out, monkeypatch):
+    from starload import StarSpec, TableStore, load_all, star_load
+    from starload.plans import flows
+    from starload.sinks import tables
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ("k", "g", "v")])
+    spec = StarSpec(dimensions={"dim": ["k", "g"], "group": ["g"]}, facts={"f": ["v", "k"]})
+    copies = []
+
+    def scratch(spark, label):
+        copies.append(label)
+        return os.path.join(tmp_out, f"scratch-{len(copies)}")
+
+    def staged(base, columns, share):
+        raise AssertionError("the wide rows are written once more")
+    monkeypatch.setattr(tables, "scratch_path", scratch)
+    monkeypatch.setattr(flows, "share_base", staged)
+
+    def rows(*values):  # a join: no cheap base
+        df = spark.createDataFrame(list(values), schema)
+        return df.join(df.select("v").distinct(), "v").select("k", "g", "v")
+    first, second = rows(("a", "x", "1"), (None, "x", "2")), rows(("a", "x", "3"), ("b", "y", "4"))
+    sink, store = parquet_sink(os.path.join(tmp_out, "plain"), mode="append"), TableStore(spark, os.path.join(tmp_out, "store"))
+
+    def read(name):
+        return read_parquet(spark, sink.path(name)), store.read(name)
+    for base, more in ((first, []), (second, ["member-dim"] * 2)):
+        load_all(base, schema, sink, "single", star=spec)
+        store.load(str(more), lambda s: load_all(base, schema, s, "single", star=spec), mode="append")
+        assert copies == more  # tables that are not there yet get all rows and are read back
+    for t in read("single"):
+        assert sorted(map(str, t.select("v").collect())) == sorted(map(str, first.union(second).select("v").collect()))
+    for name, n in (("dim", 3), ("group", 2), ("f", 4)):
+        assert [t.count() for t in read(name)] == [n, n]
+    assert not [n for n in os.listdir(sink.path("single")) if n.startswith("_load-")]
+
+
+def test_appended_rows_are_told_from_older_ones(spark, tmp_out):
+    sink = parquet_sink(tmp_out, mode="append", partition_by={"parts": ["k"]})
+    df = spark.createDataFrame([(1,), (2,)], "k long")
+    sink(df, "t")
+    path, rows = sink.appended(df.selectExpr("k + 10 AS k"), "t")
+    assert sorted(r.k for r in rows.collect()) == [11, 12]
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [1, 2, 11, 12]
+    assert not sink.appends_apart(df, "parts")
+    assert sink.appended(df.limit(0), "empty")[1].count() == 0
