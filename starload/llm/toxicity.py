@@ -45,6 +45,7 @@ FOLDS = 5                # rows of fold 0 are held out
 SHORTEST, LONGEST = 3, 8  # letters of a beginning
 KNOWN = 1 << 17          # words whose features a worker remembers
 WORD = re.compile(r"[^\W\d_]+")
+ASCII_WORDS = "".join(c if c.islower() else " " for c in map(chr, range(128)))
 
 
 def fold(doc_id: Column) -> Column:
@@ -52,8 +53,15 @@ def fold(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS))
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text, in lower case. In ASCII texts all but a-z parts
+    them, which needs no regular expression."""
+    text = text.lower()
+    return text.translate(ASCII_WORDS).split() if text.isascii() else WORD.findall(text)
+
+
 def word_counts(text: str) -> Counter:
-    return Counter(WORD.findall(text.lower()))
+    return Counter(words_of(text))
 
 
 def beginnings(word: str) -> list[str]:
@@ -67,7 +75,8 @@ class Vectorizer:
     def __init__(self, features: list[str]):
         self.number = {f: i for i, f in enumerate(features)}
         self.heads = {f.removesuffix("$")[:SHORTEST] for f in features}
-        self.known: dict[str, tuple[int, ...]] = {}  # of words met, KNOWN at most
+        self.known: dict[str, tuple[int, ...]] = {}  # features of words met that have any
+        self.idle: set[str] = set()                  # words met that have none; KNOWN of both at most
 
     def numbers(self, word: str) -> tuple[int, ...]:
         found = self.known.get(word)
@@ -76,15 +85,27 @@ class Vectorizer:
             if word[:SHORTEST] in self.heads:
                 found = tuple(self.number[f] for f in beginnings(word) if f in self.number)
             if len(word) <= 32:
-                if len(self.known) >= KNOWN:
+                if len(self.known) + len(self.idle) >= KNOWN:
                     self.known.clear()
-                self.known[word] = found
+                    self.idle.clear()
+                if found:
+                    self.known[word] = found
+                else:
+                    self.idle.add(word)
         return found
 
     def counts(self, text: str) -> dict[int, int]:
         out: dict[int, int] = {}
-        for word, n in word_counts(text).items():
-            for i in self.numbers(word):
+        words = words_of(text)
+        # most words have no features: those met before go at once, and the others alone are counted
+        telling = {w: f for w in set(words).difference(self.idle) if (f := self.numbers(w))}
+        if len(telling) > 8:
+            times = Counter(words)
+            found = {w: times[w] for w in telling}
+        else:
+            found = {w: words.count(w) for w in telling}
+        for word, n in found.items():
+            for i in telling[word]:
                 out[i] = out.get(i, 0) + n
         return out
 

@@ -7,6 +7,7 @@ import hashlib
 import io
 import lzma
 import math
+import random
 import re
 import zlib
 from collections import Counter
@@ -781,3 +782,23 @@ def test_stages_keep_columns_named_like_their_own(spark, docs, stage):
     assert stage(spark, odd, "").columns == odd.columns
     plain = stage(spark, docs, "").collect()
     assert sorted(str(tuple(r)[:len(docs.columns)]) for r in rows) == sorted(str(tuple(r)) for r in plain)
+
+
+def test_toxicity_words_without_features_are_passed_over(monkeypatch):
+    """Counts are those of a plain loop, whatever a worker has met before."""
+    monkeypatch.setattr(toxicity, "KNOWN", 40)
+    rng = random.Random(5)
+    features = ["bad$", "bad", "badl", "ugly$", "ugl", "éta", "été$"]
+    words = ["bad", "Badly", "ugly", "été", "étage", "a", "x1y", "snake_case", "ÉTÉ", "Kelvin", "don't"]
+    words += [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    vectorizer = toxicity.Vectorizer(features)
+    for _ in range(200):
+        text = rng.choice(" \n\x1c\t.").join(rng.choices(words, k=rng.choice([0, 1, 5, 300])))
+        want: dict[int, int] = {}
+        for word in toxicity.WORD.findall(text.lower()):
+            for f in toxicity.beginnings(word):
+                if f in features:
+                    want[features.index(f)] = want.get(features.index(f), 0) + 1
+        assert vectorizer.counts(text) == want
+        assert all(w not in vectorizer.known for w in vectorizer.idle)
+    assert toxicity.words_of("".join(map(chr, range(128)))) == toxicity.WORD.findall("".join(map(chr, range(128))).lower())
