@@ -62,13 +62,17 @@ def picked(rows: DataFrame, key: str, wanted: DataFrame, name: str, keep: Column
     def page(c: Column) -> Column:
         return F.floor(c / PAGE_BITS).cast("int")
 
+    # each page's bytes are made numbers once, so that no row's bit is found by way of texts
+    numbers = F.expr(f"transform(sequence(1, {PAGE_BITS // 8}), i -> CAST(CAST(conv(hex(substring(__bits, i, 1)), 16, 10)"
+                     " AS INT) AS SMALLINT))")
     bits = wanted.select(spot(name).alias("__spot")).groupBy(page(F.col("__spot")).alias("__page")).agg(
-        F.bitmap_construct_agg(F.pmod(F.col("__spot"), F.lit(PAGE_BITS))).alias("__bits"))
+        F.bitmap_construct_agg(F.pmod(F.col("__spot"), F.lit(PAGE_BITS))).alias("__bits")).select(
+        "__page", numbers.alias("__bytes"))
     at = F.pmod(F.col("__spot"), F.lit(PAGE_BITS)).cast("int")
-    byte = F.conv(F.hex(F.substring(F.col("__bits"), F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    byte = F.get("__bytes", F.shiftright(at, 3))
     found = F.coalesce(F.call_function("getbit", byte, F.pmod(at, F.lit(8))) == 1, F.lit(False))
     met = rows.withColumn("__spot", spot(key)).withColumn("__page", page(F.col("__spot"))).join(
-        F.broadcast(bits), "__page", "inner" if keep is None else "left")  # at most MOST_PAGES pages of 4 KB
+        F.broadcast(bits), "__page", "inner" if keep is None else "left")  # at most MOST_PAGES pages of 8 KB
     return met.filter(found if keep is None else found | keep).select(*rows.columns)
 
 

@@ -58,9 +58,12 @@ NOT_HASHED = np.uint64(2**64 - 1)
 
 def mixed(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64."""
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 class Powers:
@@ -83,7 +86,9 @@ POWERS = [Powers(b) for b in BASES]
 def range_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, powers: Powers) -> np.ndarray:
     """A hash of each range of ``values``, the same wherever the range is."""
     up, down = powers.upto(len(values) + 1)
-    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * up[:len(values)])])
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.multiply(values, up[:len(values)], out=total[1:])
+    np.cumsum(total[1:], out=total[1:])
     return mixed((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
 
 
@@ -105,7 +110,8 @@ class Texts:
         self.first = np.searchsorted(self.starts, begins)
         self.last = np.append(self.first[1:], self.n)[:len(data)]
         # code points that begin before each byte, and before each text
-        self.char = np.concatenate([[0], np.cumsum((self.raw & 0xC0) != 0x80)])
+        self.char = np.zeros(len(self.raw) + 1, np.int64)
+        np.cumsum((self.raw & 0xC0) != 0x80, out=self.char[1:])
         self.base = self.char[begins]
 
     def grams(self, factors: np.ndarray) -> np.ndarray:
@@ -142,7 +148,8 @@ class Texts:
                 low = np.minimum(low[:-step], low[step:])
                 width += step
             at = np.arange(lo, lo + len(low))
-            found.append(np.unique(low[at + NEIGHBOURS <= stop[at]] & low_bits).astype(np.int64) + lo)
+            least = (low[at + NEIGHBOURS <= stop[at]] & low_bits).astype(np.int64) + lo
+            found.append(least[np.diff(least, prepend=-1) != 0])  # they never go back
         n = self.last - self.first - WINDOW_WORDS + 1
         few = self.first[(n > 0) & (n < NEIGHBOURS)]
         if len(few):
@@ -191,11 +198,14 @@ class Texts:
     def shingles(self, wanted: list[list[int] | None]) -> list[tuple[int, list[int]]]:
         """(signature, sorted distinct shingle hashes) of each text's wanted lines."""
         sets = [set(w or ()) for w in wanted]
+        if not any(sets):
+            return []
         first, last = self.paragraphs()
-        sigs = range_hashes(self.words, first, last, POWERS[1]).view(np.int64).tolist()
+        sigs = range_hashes(self.words, first, last, POWERS[1]).view(np.int64)
         grams = self.grams(GRAM).view(np.int64)
         found = {}
-        for s, t, a, b in zip(sigs, self.text[first].tolist(), first.tolist(), last.tolist()):
+        for i in np.flatnonzero(np.isin(sigs, np.array([*set().union(*sets)], np.int64))).tolist():
+            s, t, a, b = int(sigs[i]), self.text[first[i]], first[i], last[i]
             if s in sets[t] and s not in found:
                 found[s] = np.unique(grams[a:b - SHINGLE + 1]).tolist()
         return list(found.items())

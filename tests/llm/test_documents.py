@@ -802,3 +802,14 @@ def test_toxicity_words_without_features_are_passed_over(monkeypatch):
         assert vectorizer.counts(text) == want
         assert all(w not in vectorizer.known for w in vectorizer.idle)
     assert toxicity.words_of("".join(map(chr, range(128)))) == toxicity.WORD.findall("".join(map(chr, range(128))).lower())
+
+
+def test_a_row_finds_its_bit_without_texts(spark):
+    from starload.llm.common import picked
+    rows = spark.range(5000).selectExpr("IF(id = 0, NULL, id * 7919) AS k", "id")
+    wanted = rows.filter("id % 9 = 0").select(rows.k.alias("w"))
+    got = picked(rows, "k", wanted, "w")
+    tops = [ln for ln in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "getbit" in ln]
+    assert tops and not any("conv(" in ln or "hex(" in ln for ln in tops)
+    found = {r.id for r in got.select("id").collect()}
+    assert found >= set(range(0, 5000, 9)) and len(found) < 1200
