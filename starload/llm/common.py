@@ -44,7 +44,7 @@ def dropped(*tables: DataFrame) -> None:
             drop_path(t.sparkSession, root)
 
 
-#: A bitmap's pages of 32768 bits; it has 16 bits for each key and at most 16 MB in all.
+#: A bitmap's pages of 32768 bits; it has 16 bits for each key and at most 16 MB in all, twice that as broadcast numbers.
 PAGE_BITS, MOST_PAGES = 32_768, 4096
 
 
